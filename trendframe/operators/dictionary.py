@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.operators.joins import spread_join
 from trendframe.schemas import DICTIONARY, DICTIONARY_STATE
 
 OBJECT = ["obj_tipo", "obj_nome"]
@@ -77,8 +76,7 @@ def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each")
     message = F.concat(
         F.lit(EVENT_MESSAGE), "obj_nome", F.lit("."), F.coalesce(F.col("param_nome"), F.lit(""))
     )
-    # A name with very many events is spread over tasks by their seq.
-    joined = spread_join(events, found.drop("ordinal"), on, ["seq"], "left")
+    joined = events.join(found.drop("ordinal"), on, "left")
     return joined.select(
         "seq",
         "evento",
@@ -105,9 +103,7 @@ def dictionary_apply(state: DataFrame, events: DataFrame, mode: str = "each") ->
 
     after = lambda c: F.coalesce(F.col(c) > F.col("created_seq"), F.col(c).isNotNull())
     # NULL keys match nothing here, so rows without a known type can be neither altered nor dropped.
-    live = spread_join(rows, marks, OBJECT, ["created_seq", *VALUES], "left").filter(
-        ~after("dropped")
-    )
+    live = rows.join(marks, OBJECT, "left").filter(~after("dropped"))
     kept = live.filter(~after("altered")).select(*DICTIONARY_STATE.names)
     stale = live.filter(after("altered")).select(*OBJECT, "created_seq", "altered")
     if mode == "each":
@@ -118,7 +114,7 @@ def dictionary_apply(state: DataFrame, events: DataFrame, mode: str = "each") ->
         .select(*OBJECT, F.col("seq").alias("altered"), *VALUES)
         .join(marks, [*OBJECT, "altered"], "left_semi")
     )
-    altered = spread_join(stale, latest, [*OBJECT, "altered"], ["created_seq"])
+    altered = stale.join(latest, [*OBJECT, "altered"])
     return kept.unionByName(altered.select(*DICTIONARY_STATE.names))
 
 

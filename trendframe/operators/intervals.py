@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendframe.operators.joins import spread_join
 from trendframe.schemas import INPUT, TERM, WORK
 from trendframe.sources import Tables
 
@@ -45,21 +44,13 @@ def calendar_intervals(t: Tables, works: DataFrame | None = None) -> DataFrame:
     """
     term = t.term if works is None else t.term.join(works, WORK, "left_semi")
     owner = term.join(t.civil_work, WORK, "left_semi").select(TERM, WORK)
-    used = (
-        spread_join(t.term_input_data, owner, [TERM], [INPUT]).select(WORK, INPUT).distinct()
-    )
+    used = t.term_input_data.join(owner, TERM).select(WORK, INPUT).distinct()
     bounds = (
         previous_in_group(t.calendar, INPUT, "sdc_cod", "calendar_period", "interval_start")
         .select(INPUT, "interval_start", F.col("calendar_period").alias("interval_end"))
         .distinct()
     )
-    # One calendar may serve very many works, so its users are spread; a calendar has several rows
-    # here, each of which meets each of its users once, as the result holds them.
-    return (
-        spread_join(used, bounds, [INPUT], [WORK])
-        .select(WORK, "interval_start", "interval_end")
-        .distinct()
-    )
+    return used.join(bounds, INPUT).select(WORK, "interval_start", "interval_end").distinct()
 
 
 def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:

@@ -1,45 +1,14 @@
-"""Joins that hold when one key carries a large share of the rows."""
+"""Pruning of fact scans by a bounded set of keys."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPREAD_WAYS = 16
-# 1,000,000 long keys are about 8 MB (some 30 MB as a hash relation) on each executor.
+# 1,000,000 long keys are about 8 MB (some 50 MB as a hash relation) on each executor.
 BROADCAST_KEYS = 1_000_000
 
 
-def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: list[str],
-    spread_by: list[str],
-    how: str = "inner",
-    null_safe: bool = False,
-    ways: int = SPREAD_WAYS,
-) -> DataFrame:
-    """Equi-join of a possibly skewed ``left`` to a ``right`` that is unique on ``on``.
-
-    Rows of one left key go to ``ways`` tasks, picked by a hash of ``spread_by`` (columns that differ
-    within a key); each right row is repeated once per task. Adaptive skew splitting works on top of
-    it, and when the right side is measured to be small Spark turns the join into a broadcast.
-    """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
-    left = left.withColumn("_salt", salt)
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    if not null_safe:
-        return left.join(right, [*on, "_salt"], how).drop("_salt")
-    renamed = right.select(
-        *(F.col(c).alias(f"_r_{c}") if c in (*on, "_salt") else F.col(c) for c in right.columns)
-    )
-    match = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on))
-    joined = left.join(renamed, match & (F.col("_salt") == F.col("_r__salt")), how)
-    return joined.drop("_salt", *(f"_r_{c}" for c in (*on, "_salt")))
-
-
 def prune_by_keys(
     rows: DataFrame, keys: DataFrame, on: list[str], limit: int = BROADCAST_KEYS
 ) -> DataFrame:

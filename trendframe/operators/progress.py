@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendframe.operators.intervals import calendar_intervals, covering_intervals, covering_span
-from trendframe.operators.joins import prune_by_keys, spread_join
+from trendframe.operators.joins import prune_by_keys
 from trendframe.operators.latest import latest_by
 from trendframe.schemas import ACTIVITY, INPUT, SCHEDULE, TERM, WORK
 from trendframe.sources import Tables
@@ -36,6 +36,10 @@ def top_activities(t: Tables) -> DataFrame:
 
 def latest_term(t: Tables, by: tuple[str, ...] = (TERM,)) -> DataFrame:
     """(work, term, schedule) of the monitoring run that is greatest by ``by``."""
+    if by == (TERM,):  # the primary key: no ties, so plain maxima, which need no sort
+        return t.term.groupBy(WORK).agg(
+            F.max(TERM).alias(TERM), F.max_by(SCHEDULE, TERM).alias(SCHEDULE)
+        )
     return latest_by(t.term.select(WORK, TERM, SCHEDULE), [WORK], list(by))
 
 
@@ -103,26 +107,31 @@ def progress_by_calendar(
         .join(latest_schedule(t), [WORK, SCHEDULE])
         .join(_in_scope(t, works), WORK, "left_semi")
     )
-    activities = spread_join(top_activities(t), current, [SCHEDULE], [ACTIVITY])
-    facts = daily_facts(t, None if works is None else activities)
+    activities = top_activities(t)
+    pruned = None if works is None else activities.join(current, SCHEDULE, "left_semi")
     foreseen, accomplished = F.col("fraction"), F.col("percentage")
     if fanout == "join":
         foreseen = foreseen * F.greatest(F.col("n_real"), F.lit(1))
         accomplished = accomplished * F.col("n_foreseen")
-    sums = (
-        facts.filter(F.col("n_foreseen") > 0)
+    # Activities are summed into their schedule before it is looked up, so a schedule with very many
+    # activities is one row per date by then.
+    by_schedule = (
+        daily_facts(t, pruned)
+        .filter(F.col("n_foreseen") > 0)
         .join(activities, ACTIVITY)
-        .groupBy(*BASE_KEYS)
+        .groupBy(SCHEDULE, "period")
         .agg(F.sum(foreseen).alias("foreseen"), F.sum(accomplished).alias("accomplished"))
     )
-    # The calendar is matched on (calendar, date) after the sums, one row per work and period, so a
-    # calendar shared by many works is never expanded for each of them.
+    # The calendar is matched on (calendar, date), one row per work and period, so a calendar shared
+    # by many works is never expanded for each of them.
     links = t.term_input_data.groupBy(TERM, INPUT).agg(F.count(F.lit(1)).alias("n_links"))
     dates = t.calendar.groupBy(INPUT, F.col("calendar_period").cast("date").alias("period")).agg(
         F.count(F.lit(1)).alias("n_dates")
     )
     matched = (
-        spread_join(sums.join(links, TERM), dates, [INPUT, "period"], [WORK])
+        by_schedule.join(current.join(links, TERM), SCHEDULE)
+        .join(dates, [INPUT, "period"])
+        .repartition(WORK)  # serves this aggregate and the windows of the trend stages
         .groupBy(*BASE_KEYS)
         .agg(
             F.max("foreseen").alias("foreseen"),
@@ -152,7 +161,7 @@ def progress_by_interval(
     """
     _check_fanout(fanout)
     owners = t.schedule.select(SCHEDULE, WORK).join(_in_scope(t, works), WORK, "left_semi")
-    activities = spread_join(top_activities(t), owners, [SCHEDULE], [ACTIVITY]).select(ACTIVITY, WORK)
+    activities = top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, WORK)
     pruned = None if works is None else activities
     facts = daily_facts(t, pruned).join(activities, ACTIVITY)
 
@@ -168,7 +177,7 @@ def progress_by_interval(
     intervals = calendar_intervals(t, works)
     cover = covering_span if fanout == "collapse" else covering_intervals
     spans = cover(points, intervals)
-    dated = spread_join(facts, spans, [WORK, "period"], [ACTIVITY], "left")
+    dated = facts.join(spans, [WORK, "period"], "left")
 
     held = (F.col("n_foreseen") > 0) & F.col("lo").isNotNull()
     once = (F.col("n_real") > 0) & F.coalesce(F.col("first"), F.lit(True))

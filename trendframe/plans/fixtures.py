@@ -6,10 +6,14 @@ quarter, planned progress from prices and measured progress from discounted pric
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendframe.sources import Tables, normalise
+from trendframe.schemas import ACTIVITY, TABLES
+from trendframe.session import scratch_dir
+from trendframe.sources import Tables, normalise, read_tables, write_tables
 
 MONTHS = 84
 FIRST_MONTH = "1995-01-01"
@@ -20,14 +24,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price and discounted price per supplier and day, exact decimals."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    net = price * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    """Price in cents and discounted price in hundredths of cents per supplier and day, as exact integers."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    percent_left = 100 - F.round(F.col("l_discount") * 100).cast("long")
     return (
         _read(spark, sf_dir, "lineitem")
         .select(
             F.col("l_suppkey").alias("s"), F.col("l_shipdate").cast("date").alias("d"),
-            price.alias("price"), net.alias("net"),
+            cents.alias("price"), (cents * percent_left).alias("net"),
         )
         .groupBy("s", "d")
         .agg(F.sum("price").alias("price"), F.sum("net").alias("net"))
@@ -39,10 +43,34 @@ def _day_number(day: str):
     return F.datediff(F.col(day), F.lit(FIRST_MONTH).cast("date"))
 
 
+_stored: dict[tuple[str, str], dict[str, Tables]] = {}
+
+
 def schedule_tables(spark: SparkSession, sf_dir: str, real: str = "monthly") -> Tables:
-    """All nine tables; ``real`` is ``"monthly"`` or ``"daily"``."""
+    """All nine tables; ``real`` is ``"monthly"`` or ``"daily"``.
+
+    They are derived and written once per application, so queries read them as stored tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        folder = scratch_dir(spark, "tables")
+        _write(spark, sf_dir, folder)
+        monthly = read_tables(spark, folder)
+        daily = spark.read.schema(TABLES["real_progress"]).parquet(f"{folder}/real_progress_daily")
+        _stored[key] = {"monthly": monthly, "daily": replace(monthly, real_progress=daily)}
+    return _stored[key][real]
+
+
+def _write(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    _shipments(spark, sf_dir).write.parquet(f"{folder}/_shipments")
+    shipments = spark.read.parquet(f"{folder}/_shipments")
+    write_tables(_derive(spark, sf_dir, shipments, "monthly"), folder)
+    daily = _derive(spark, sf_dir, shipments, "daily").real_progress
+    daily.sortWithinPartitions(ACTIVITY).write.parquet(f"{folder}/real_progress_daily")
+
+
+def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Tables:
     supplier = _read(spark, sf_dir, "supplier")
-    daily = _shipments(spark, sf_dir)
     id_schedule = (F.col("s") * 10000 + F.col("y")).alias("id_schedule")
     year = daily.groupBy("s", "y").agg(
         F.sum("price").alias("yearly"), F.max(F.quarter("d")).alias("last_quarter")
@@ -90,7 +118,7 @@ def schedule_tables(spark: SparkSession, sf_dir: str, real: str = "monthly") ->
     measured = monthly.withColumnRenamed("p", "d") if real == "monthly" else daily
     # Works are measured up to a month of 2001 that depends on their nation: January to July.
     until = 1 + F.floor(F.col("s_nationkey") / 4)
-    percentage = (100 * F.col("net").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,4)")
+    percentage = (F.col("net").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,4)")
     real_progress = (
         measured.join(supplier.select(F.col("s_suppkey").alias("s"), "s_nationkey"), "s")
         .filter((F.col("y") < 2001) | (F.month("d") <= until))

@@ -8,12 +8,12 @@ overwrites the same folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendframe.operators.joins import spread_join
-
 FIRST = -1
 
 
@@ -42,10 +42,11 @@ def read_latest(
         df = df.filter(F.col("batch_id") < before)
     newest = df.filter("_marker").groupBy(*keys).agg(F.max("batch_id").alias("_newest"))
     if only is not None:
-        match = [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-        newest = newest.alias("n").join(only.alias("o"), match, "left_semi")
-    others = [f.name for f in schema.fields if f.name not in keys]
-    rows = spread_join(
-        df.filter(~F.col("_marker")), newest, keys, others or keys, null_safe=True
-    )
-    return rows.filter(F.col("batch_id") == F.col("_newest")).select(*schema.names)
+        newest = newest.alias("n").join(only.alias("o"), _same("n", "o", keys), "left_semi")
+    rows = df.filter(~F.col("_marker")).alias("r")
+    current = _same("r", "n", keys) & (F.col("r.batch_id") == F.col("n._newest"))
+    return rows.join(newest.alias("n"), current, "left_semi").select(*schema.names)
+
+
+def _same(left: str, right: str, keys: list[str]) -> Column:
+    return reduce(Column.__and__, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys))
