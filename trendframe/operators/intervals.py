@@ -37,13 +37,12 @@ def previous_in_group(df: DataFrame, group: str, order: str, value: str, out: st
     )
 
 
-def calendar_intervals(t: Tables, works: DataFrame | None = None) -> DataFrame:
+def calendar_intervals(t: Tables) -> DataFrame:
     """(work, interval_start, interval_end): distinct calendar intervals of each work.
 
     The start is the period of the preceding row of the same calendar, NULL (open) for its first row.
     """
-    term = t.term if works is None else t.term.join(works, WORK, "left_semi")
-    owner = term.join(t.civil_work, WORK, "left_semi").select(TERM, WORK)
+    owner = t.term.join(t.civil_work, WORK, "left_semi").select(TERM, WORK)
     used = t.term_input_data.join(owner, TERM).select(WORK, INPUT).distinct()
     bounds = (
         previous_in_group(t.calendar, INPUT, "sdc_cod", "calendar_period", "interval_start")
@@ -54,7 +53,7 @@ def calendar_intervals(t: Tables, works: DataFrame | None = None) -> DataFrame:
 
 
 def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:
-    """(work, period, lo, hi, first): the union ``(lo, hi]`` of the intervals that hold each period.
+    """(work, period, lo, hi): the union ``(lo, hi]`` of the intervals that hold each period.
 
     ``points`` has distinct (work, period). All intervals holding a date overlap, so their union is the
     smallest start to the greatest end: the greatest end among intervals starting before the date, and
@@ -83,15 +82,14 @@ def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:
         rows.withColumn("hi", F.max("reach").over(upward))
         .withColumn("lo", F.min("origin").over(downward))
         .filter((F.col("kind") == 1) & (F.col("hi") >= F.col("pos")))
-        .select(WORK, F.date_from_unix_date("pos").alias("period"), "lo", "hi", F.lit(True).alias("first"))
+        .select(WORK, F.date_from_unix_date("pos").alias("period"), "lo", "hi")
     )
 
 
 def covering_intervals(points: DataFrame, intervals: DataFrame) -> DataFrame:
-    """(work, period, lo, hi, first): one row per period and interval holding it.
+    """(work, period, lo, hi): one row per period and interval holding it.
 
-    An equi-join on month-sized bins tests each date against the intervals of its bin only. ``first``
-    marks one row per (work, period).
+    An equi-join on month-sized bins tests each date against the intervals of its bin only.
     """
     bin_of = lambda day: F.floor(day / F.lit(BIN_DAYS))
     dated = points.withColumn("_day", F.unix_date("period"))
@@ -106,10 +104,9 @@ def covering_intervals(points: DataFrame, intervals: DataFrame) -> DataFrame:
         .withColumn("_bin", F.explode(F.sequence(bin_of(F.col("_from")), bin_of(F.col("_to")))))
         .select(WORK, "lo", "hi", "_bin")
     )
-    held = (
+    return (
         dated.withColumn("_bin", bin_of(F.col("_day")))
         .join(binned, [WORK, "_bin"])
         .filter((F.col("_day") > F.col("lo")) & (F.col("_day") <= F.col("hi")))
+        .select(WORK, "period", "lo", "hi")
     )
-    order = Window.partitionBy(WORK, "period").orderBy("lo", "hi")
-    return held.select(WORK, "period", "lo", "hi", (F.row_number().over(order) == 1).alias("first"))

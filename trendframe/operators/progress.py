@@ -7,11 +7,12 @@ Periods are dates, so every group and window after it is bounded by a number of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendframe.operators.intervals import calendar_intervals, covering_intervals, covering_span
-from trendframe.operators.joins import prune_by_keys
 from trendframe.operators.latest import latest_by
 from trendframe.schemas import ACTIVITY, INPUT, SCHEDULE, TERM, WORK
 from trendframe.sources import Tables
@@ -24,11 +25,6 @@ def _check_fanout(fanout: str) -> None:
         raise ValueError(f"fanout must be 'collapse' or 'join', not {fanout!r}")
 
 
-def _in_scope(t: Tables, works: DataFrame | None) -> DataFrame:
-    owners = t.civil_work.select(WORK)
-    return owners if works is None else owners.join(works, WORK, "left_semi")
-
-
 def top_activities(t: Tables) -> DataFrame:
     """Activities of outline level 1, the only ones whose progress counts."""
     return t.qualitative_activity.filter(F.col("outline_lvl") == 1).select(ACTIVITY, SCHEDULE)
@@ -47,44 +43,51 @@ def latest_schedule(t: Tables) -> DataFrame:
     return t.schedule.groupBy(WORK).agg(F.max(SCHEDULE).alias(SCHEDULE))
 
 
-def daily_facts(t: Tables, activities: DataFrame | None = None) -> DataFrame:
-    """Both fact tables summed per (activity, period), by one aggregate over their union.
+def _units(column: str, digits: int) -> Column:
+    """A decimal as an exact integer count of its last digit.
 
-    Sums are NULL where nothing was measured. ``n_foreseen`` and ``n_real`` count rows, ``n_measured``
-    the rows with a percentage. ``activities`` prunes the scans when it is small.
+    Sums of these stay in long arithmetic, which has room for 9e9 rows of the largest value the column
+    can hold.
     """
-    foreseen, real = t.foreseen_progress, t.real_progress
-    if activities is not None:
-        foreseen = prune_by_keys(foreseen, activities, [ACTIVITY])
-        real = prune_by_keys(real, activities, [ACTIVITY])
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    foreseen = foreseen.select(
+    return F.rint(F.col(column).cast("double") * 10**digits).cast("long")
+
+
+def _decimal(units: Column, digits: int) -> Column:
+    return units.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-digits))
+
+
+def _dated_foreseen(t: Tables) -> DataFrame:
+    return t.foreseen_progress.select(
         ACTIVITY,
         F.col("id_term_date").cast("date").alias("period"),
-        F.col("foreseen_fraction").alias("fraction"),
-        F.lit(None).cast("decimal(9,4)").alias("percentage"),
-        one.alias("n_foreseen"),
-        zero.alias("n_real"),
-    )
-    real = real.select(
+        _units("foreseen_fraction", 6).alias("fraction"),
+    ).filter(F.col("period").isNotNull())
+
+
+def _dated_real(t: Tables) -> DataFrame:
+    return t.real_progress.select(
         ACTIVITY,
         F.col("progress_date").cast("date").alias("period"),
-        F.lit(None).cast("decimal(9,6)").alias("fraction"),
-        F.col("progress_percentage").alias("percentage"),
-        zero.alias("n_foreseen"),
-        one.alias("n_real"),
+        _units("progress_percentage", 4).alias("percentage"),
+    ).filter(F.col("period").isNotNull())
+
+
+def daily_facts(t: Tables) -> DataFrame:
+    """Both fact tables summed per (activity, period), by one aggregate over their union.
+
+    ``fraction`` counts millionths, ``percentage`` ten-thousandths of a percent; a sum is NULL where
+    nothing was measured. ``n_foreseen`` and ``n_real`` count rows.
+    """
+    none, one, zero = F.lit(None).cast("long"), F.lit(1).cast("long"), F.lit(0).cast("long")
+    foreseen = _dated_foreseen(t).withColumns(
+        {"percentage": none, "n_foreseen": one, "n_real": zero}
     )
+    real = _dated_real(t).withColumns({"fraction": none, "n_foreseen": zero, "n_real": one})
+    measures = ("fraction", "percentage", "n_foreseen", "n_real")
     return (
         foreseen.unionByName(real)
-        .filter(F.col("period").isNotNull())
         .groupBy(ACTIVITY, "period")
-        .agg(
-            F.sum("fraction").alias("fraction"),
-            F.sum("percentage").alias("percentage"),
-            F.sum("n_foreseen").alias("n_foreseen"),
-            F.sum("n_real").alias("n_real"),
-            F.count("percentage").alias("n_measured"),
-        )
+        .agg(*(F.sum(m).alias(m) for m in measures))
     )
 
 
@@ -92,33 +95,30 @@ def progress_by_calendar(
     t: Tables,
     latest_term_by: tuple[str, ...] = (TERM,),
     fanout: str = "collapse",
-    works: DataFrame | None = None,
 ) -> DataFrame:
     """(work, schedule, term, period, foreseen_progress, accomplished_progress).
 
     Covers each work's latest term, if it belongs to the latest schedule, on the dates of that term's
     calendars. ``fanout="join"`` counts a foreseen value once per measurement and calendar row of its
     date and a measurement once per foreseen row, as summing after a join does; it is computed from
-    row counts. ``works`` restricts the computation to some works.
+    row counts.
     """
     _check_fanout(fanout)
     current = (
         latest_term(t, latest_term_by)
         .join(latest_schedule(t), [WORK, SCHEDULE])
-        .join(_in_scope(t, works), WORK, "left_semi")
+        .join(t.civil_work, WORK, "left_semi")
     )
-    activities = top_activities(t)
-    pruned = None if works is None else activities.join(current, SCHEDULE, "left_semi")
     foreseen, accomplished = F.col("fraction"), F.col("percentage")
     if fanout == "join":
-        foreseen = foreseen * F.greatest(F.col("n_real"), F.lit(1))
-        accomplished = accomplished * F.col("n_foreseen")
+        foreseen = foreseen.cast("decimal(19,0)") * F.greatest(F.col("n_real"), F.lit(1))
+        accomplished = accomplished.cast("decimal(19,0)") * F.col("n_foreseen")
     # Activities are summed into their schedule before it is looked up, so a schedule with very many
     # activities is one row per date by then.
     by_schedule = (
-        daily_facts(t, pruned)
+        daily_facts(t)
         .filter(F.col("n_foreseen") > 0)
-        .join(activities, ACTIVITY)
+        .join(top_activities(t), ACTIVITY)
         .groupBy(SCHEDULE, "period")
         .agg(F.sum(foreseen).alias("foreseen"), F.sum(accomplished).alias("accomplished"))
     )
@@ -142,14 +142,12 @@ def progress_by_calendar(
     times = F.col("n_calendar") if fanout == "join" else F.lit(1)
     return matched.select(
         *BASE_KEYS,
-        (F.col("foreseen") * times * 100).cast("decimal(9,2)").alias("foreseen_progress"),
-        (F.col("accomplished") * times).alias("accomplished_progress"),
+        _decimal(F.col("foreseen") * times, 4).cast("decimal(9,2)").alias("foreseen_progress"),
+        _decimal(F.col("accomplished") * times, 4).alias("accomplished_progress"),
     )
 
 
-def progress_by_interval(
-    t: Tables, fanout: str = "collapse", works: DataFrame | None = None
-) -> DataFrame:
+def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
     """(work, period, foreseen_progress, accomplished_progress) over all schedules and terms.
 
     Each foreseen date is a period; its accomplished progress is what its activities measured in the
@@ -157,51 +155,45 @@ def progress_by_interval(
     with ``"join"`` as often as a join of foreseen rows, measurements and intervals repeats it.
 
     The sum over ``(lo, hi]`` is a difference of running sums at ``hi`` and ``lo``: measurements and
-    the two ends of each period are ordered by day within an activity, in one window.
+    the two ends of each period are ordered by day within an activity, in one window. Measurements,
+    the larger table as a rule, are shuffled for their daily sums and for that window only.
     """
     _check_fanout(fanout)
-    owners = t.schedule.select(SCHEDULE, WORK).join(_in_scope(t, works), WORK, "left_semi")
+    owners = t.schedule.select(SCHEDULE, WORK).join(t.civil_work, WORK, "left_semi")
     activities = top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, WORK)
-    pruned = None if works is None else activities
-    facts = daily_facts(t, pruned).join(activities, ACTIVITY)
-
-    planned = t.foreseen_progress if pruned is None else prune_by_keys(t.foreseen_progress, pruned, [ACTIVITY])
+    foreseen = _dated_foreseen(t)
     points = (
-        planned.select(ACTIVITY, F.col("id_term_date").cast("date").alias("period"))
-        .filter(F.col("period").isNotNull())
-        .distinct()
-        .join(activities, ACTIVITY)
-        .select(WORK, "period")
-        .distinct()
+        foreseen.select(ACTIVITY, "period").distinct().join(activities, ACTIVITY).select(WORK, "period").distinct()
     )
-    intervals = calendar_intervals(t, works)
     cover = covering_span if fanout == "collapse" else covering_intervals
-    spans = cover(points, intervals)
-    dated = facts.join(spans, [WORK, "period"], "left")
-
-    held = (F.col("n_foreseen") > 0) & F.col("lo").isNotNull()
-    once = (F.col("n_real") > 0) & F.coalesce(F.col("first"), F.lit(True))
-
-    def probe(bound: str, sign: int):
-        return F.struct(
-            F.col(bound).alias("pos"), F.lit(sign).alias("sign"),
-            F.lit(None).cast("decimal(19,4)").alias("percentage"),
-            F.lit(0).cast("long").alias("n_real"), F.lit(0).cast("long").alias("n_measured"),
+    spans = cover(points, calendar_intervals(t))
+    ends = F.explode(
+        F.array(
+            F.struct(F.col("lo").alias("pos"), F.lit(-1).alias("sign")),
+            F.struct(F.col("hi").alias("pos"), F.lit(1).alias("sign")),
         )
-
-    measured = F.struct(
-        F.unix_date("period").alias("pos"), F.lit(0).alias("sign"),
-        F.col("percentage").cast("decimal(19,4)").alias("percentage"), "n_real", "n_measured",
     )
-    events = (
-        dated.select(
-            ACTIVITY, WORK, "period", "lo", "hi", "fraction", "n_foreseen",
-            F.explode(
-                F.array(F.when(once, measured), F.when(held, probe("lo", -1)), F.when(held, probe("hi", 1)))
-            ).alias("e"),
+    probes = (
+        foreseen.groupBy(ACTIVITY, "period")
+        .agg(F.sum("fraction").alias("fraction"), F.count(F.lit(1)).alias("n_foreseen"))
+        .join(activities, ACTIVITY)
+        .join(spans, [WORK, "period"])
+        .select("*", ends.alias("e"))
+        .select(ACTIVITY, WORK, "period", "lo", "hi", "fraction", "n_foreseen", "e.pos", "e.sign")
+    )
+    measured = (
+        _dated_real(t)
+        .groupBy(ACTIVITY, "period")
+        .agg(
+            F.sum("percentage").alias("percentage"),
+            F.count("percentage").alias("n_measured"),
+            F.count(F.lit(1)).alias("n_real"),
+        )
+        .join(activities.select(ACTIVITY), ACTIVITY, "left_semi")
+        .select(
+            ACTIVITY, F.unix_date("period").alias("pos"), F.lit(0).alias("sign"),
+            "percentage", "n_measured", "n_real",
         )
-        .filter(F.col("e").isNotNull())
-        .select(ACTIVITY, WORK, "period", "lo", "hi", "fraction", "n_foreseen", "e.*")
     )
     # Measurements of a day come before the ends that fall on it: both bounds include their day.
     so_far = (
@@ -209,38 +201,32 @@ def progress_by_interval(
         .orderBy("pos", F.col("sign") != 0)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    running = ("percentage", "n_measured", "n_real")
     sign = F.col("sign")
-    running = lambda name: F.coalesce(F.sum(name).over(so_far), F.lit(0))
-    spans_summed = (
-        events.select(
-            "*",
-            running("percentage").alias("sum_percentage"),
-            running("n_real").alias("sum_real"),
-            running("n_measured").alias("sum_measured"),
-        )
+    within = (
+        probes.unionByName(measured, allowMissingColumns=True)
+        .withColumns({c: F.coalesce(F.sum(c).over(so_far), F.lit(0)) for c in running})
         .filter(sign != 0)
         .groupBy(ACTIVITY, WORK, "period", "lo", "hi")
         .agg(
-            F.sum(F.col("sum_percentage") * sign).alias("percentage"),
-            F.sum(F.col("sum_real") * sign).alias("n_real"),
-            F.sum(F.col("sum_measured") * sign).alias("n_measured"),
+            *(F.sum(F.col(c) * sign).alias(c) for c in running),
             F.max("fraction").alias("fraction"),
             F.max("n_foreseen").alias("n_foreseen"),
         )
     )
-    foreseen = F.col("fraction")
-    accomplished = F.when(F.col("n_measured") > 0, F.col("percentage"))
+    fraction = F.col("fraction")
+    percentage = F.when(F.col("n_measured") > 0, F.col("percentage"))
     if fanout == "join":
-        foreseen = foreseen * F.greatest(F.col("n_real"), F.lit(1))
-        accomplished = accomplished * F.col("n_foreseen")
+        fraction = fraction.cast("decimal(19,0)") * F.greatest(F.col("n_real"), F.lit(1))
+        percentage = percentage.cast("decimal(19,0)") * F.col("n_foreseen")
     return (
-        spans_summed.groupBy(WORK, "period")
-        .agg(F.sum(foreseen).alias("foreseen"), F.sum(accomplished).alias("accomplished"))
+        within.groupBy(WORK, "period")
+        .agg(F.sum(fraction).alias("foreseen"), F.sum(percentage).alias("accomplished"))
         .select(
             WORK,
             "period",
-            (F.col("foreseen") * 100).cast("decimal(9,2)").alias("foreseen_progress"),
-            F.col("accomplished").alias("accomplished_progress"),
+            _decimal(F.col("foreseen"), 4).cast("decimal(9,2)").alias("foreseen_progress"),
+            _decimal(F.col("accomplished"), 4).alias("accomplished_progress"),
         )
     )
 

@@ -14,22 +14,14 @@ from trendframe.sources import Tables
 REAL_COLUMNS = [f.name for f in TABLES["real_progress"].fields]
 
 
-def touched_activities(changes: DataFrame) -> DataFrame:
-    """Distinct activities of the images before and after each change."""
-    images = F.array("before_activity", ACTIVITY)
-    return (
-        changes.select(F.explode(images).alias(ACTIVITY)).filter(F.col(ACTIVITY).isNotNull()).distinct()
-    )
-
-
 def affected_works(changes: DataFrame, activity: DataFrame, schedule: DataFrame) -> DataFrame:
-    """Distinct works whose measurements changed: change -> activity -> schedule -> work."""
-    schedules = (
-        touched_activities(changes)
-        .join(activity.select(ACTIVITY, SCHEDULE), ACTIVITY)
-        .select(SCHEDULE)
-        .distinct()
-    )
+    """Distinct works whose measurements changed: change -> activity -> schedule -> work.
+
+    The images before and after a change both count, so a measurement that moves touches two works.
+    """
+    images = F.array("before_activity", ACTIVITY)
+    touched = changes.select(F.explode(images).alias(ACTIVITY)).distinct()
+    schedules = touched.join(activity.select(ACTIVITY, SCHEDULE), ACTIVITY).select(SCHEDULE).distinct()
     return schedules.join(schedule.select(SCHEDULE, WORK), SCHEDULE).select(WORK).distinct()
 
 
@@ -63,8 +55,9 @@ def change_log(changes: DataFrame) -> DataFrame:
 
 
 def current_rows(real: DataFrame, log: DataFrame, activities: DataFrame | None = None) -> DataFrame:
-    """The measurements after all log entries, all of them or those of some activities.
+    """The measurements after all log entries.
 
+    With ``activities``, rows of others are left out where that prunes the scans (``prune_by_keys``).
     ``log`` may carry ``batch_id``; entries are ordered by it, then by ``seq``.
     """
     if activities is not None:
@@ -87,10 +80,28 @@ def current_rows(real: DataFrame, log: DataFrame, activities: DataFrame | None =
     )
 
 
-def changed_tables(t: Tables, log: DataFrame, works: DataFrame | None = None) -> Tables:
-    """``t`` after the log. With ``works``, measurements of other works may be missing from it."""
-    activities = None
-    if works is not None:
-        schedules = t.schedule.join(works, WORK, "left_semi").select(SCHEDULE)
-        activities = t.qualitative_activity.join(schedules, SCHEDULE, "left_semi").select(ACTIVITY)
-    return replace(t, real_progress=current_rows(t.real_progress, log, activities))
+def restrict(t: Tables, log: DataFrame, works: DataFrame, folder: str) -> Tables:
+    """``t`` after the log, cut down to ``works``.
+
+    The activities and their facts are written below ``folder``: the fact tables are then scanned once,
+    filtered by a broadcast of the activities if there are few enough, and every later step reads the
+    small copies.
+    """
+    spark = works.sparkSession
+    schedule = t.schedule.join(works, WORK, "left_semi")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
+
+    activity = stored("qualitative_activity", t.qualitative_activity.join(schedule, SCHEDULE, "left_semi"))
+    foreseen = prune_by_keys(t.foreseen_progress, activity, [ACTIVITY])
+    return replace(
+        t,
+        civil_work=t.civil_work.join(works, WORK, "left_semi"),
+        schedule=schedule,
+        term=t.term.join(works, WORK, "left_semi"),
+        qualitative_activity=activity,
+        foreseen_progress=stored("foreseen_progress", foreseen),
+        real_progress=stored("real_progress", current_rows(t.real_progress, log, activity)),
+    )

@@ -158,7 +158,7 @@ def q_affected_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trend_refresh_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.schedule_tables(spark, sf_dir)
     changes = fixtures.real_changes(spark, sf_dir, t)
-    return _trend(trend_refresh(forecast(t), changes, t))
+    return _trend(trend_refresh(forecast(t), changes, t, scratch_dir(spark, "refresh")))
 
 
 def trend_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

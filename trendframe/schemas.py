@@ -74,6 +74,11 @@ REAL_CHANGE = T.StructType(
     + TABLES["real_progress"].fields
 )
 
+# A change as entries of one (activity, measurement): dead for its old image, live for its new one.
+CHANGE_LOG = T.StructType(
+    [T.StructField("seq", _LONG), T.StructField("live", T.BooleanType())] + TABLES["real_progress"].fields
+)
+
 ROUTINE_PARAMS = _struct(
     routine_schema=_STR,
     routine_name=_STR,

@@ -1,27 +1,22 @@
 """Trend results kept current from a stream of measurement changes.
 
-Folders below ``store``: ``log`` holds the change log, ``results`` the versions of the result rows, one
-subfolder per micro-batch each. A change of any age is applied, so there is no watermark.
+Folders below ``store`` have one subfolder per micro-batch: ``log`` the change log, ``works`` the works it
+touched, ``scope`` their activities and facts, ``results`` the versions of the result rows. A change of any age is applied, so there is no watermark.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trendframe.operators.refresh import affected_works, change_log, changed_tables
-from trendframe.plans.forecast import forecast
-from trendframe.schemas import REAL_CHANGE, TABLES, TREND, WORK
+from trendframe.operators.refresh import restrict
+from trendframe.plans.forecast import forecast, stored_changes
+from trendframe.schemas import CHANGE_LOG, REAL_CHANGE, TREND, WORK
 from trendframe.sources import Tables
 from trendframe.sources.versioned import FIRST, read_latest, write_version
 
-LOG = T.StructType(
-    [T.StructField("seq", T.LongType()), T.StructField("live", T.BooleanType())]
-    + TABLES["real_progress"].fields
-    + [T.StructField("batch_id", T.LongType())]
-)
-
 
 def initialise(t: Tables, store: str, plan=forecast) -> None:
     """Write the results of all works as the first version."""
@@ -34,17 +29,14 @@ def apply_batch(changes: DataFrame, batch_id: int, t: Tables, store: str, plan=f
     A rerun of a batch rewrites its own folders, and reads only the log up to itself.
     """
     spark = changes.sparkSession
-    folder = f"{store}/log/batch_id={batch_id}"
-    change_log(changes).write.mode("overwrite").parquet(folder)
-    log = spark.read.schema(LOG).parquet(f"{store}/log").filter(f"batch_id <= {batch_id}")
-    # The works come from the stored log, dead and live entries alike, not from the batch again.
-    entries = log.filter(f"batch_id = {batch_id}").selectExpr(
-        "id_qualitative_activity", "CAST(NULL AS BIGINT) AS before_activity"
+    batch = f"batch_id={batch_id}"
+    _, works = stored_changes(changes, t, f"{store}/log/{batch}", f"{store}/works/{batch}")
+    log = (
+        spark.read.schema(T.StructType([*CHANGE_LOG.fields, T.StructField("batch_id", T.LongType())]))
+        .parquet(f"{store}/log")
+        .filter(F.col("batch_id") <= batch_id)
     )
-    touched = f"{store}/touched/batch_id={batch_id}"
-    affected_works(entries, t.qualitative_activity, t.schedule).write.mode("overwrite").parquet(touched)
-    works = spark.read.schema(TABLES["civil_work"]).parquet(touched)
-    fresh = plan(changed_tables(t, log, works), works)
+    fresh = plan(restrict(t, log, works, f"{store}/scope/{batch}"))
     write_version(fresh, works, f"{store}/results", batch_id)
 
 
