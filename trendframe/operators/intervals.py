@@ -37,11 +37,8 @@ def previous_in_group(df: DataFrame, group: str, order: str, value: str, out: st
     )
 
 
-def calendar_intervals(t: Tables) -> DataFrame:
-    """(work, interval_start, interval_end): distinct calendar intervals of each work.
-
-    The start is the period of the preceding row of the same calendar, NULL (open) for its first row.
-    """
+def interval_rows(t: Tables) -> DataFrame:
+    """``calendar_intervals`` where two calendars of a work may give the same interval twice."""
     owner = t.term.join(t.civil_work, WORK, "left_semi").select(TERM, WORK)
     used = t.term_input_data.join(owner, TERM).select(WORK, INPUT).distinct()
     bounds = (
@@ -49,7 +46,15 @@ def calendar_intervals(t: Tables) -> DataFrame:
         .select(INPUT, "interval_start", F.col("calendar_period").alias("interval_end"))
         .distinct()
     )
-    return used.join(bounds, INPUT).select(WORK, "interval_start", "interval_end").distinct()
+    return used.join(bounds, INPUT).select(WORK, "interval_start", "interval_end")
+
+
+def calendar_intervals(t: Tables) -> DataFrame:
+    """(work, interval_start, interval_end): distinct calendar intervals of each work.
+
+    The start is the period of the preceding row of the same calendar, NULL (open) for its first row.
+    """
+    return interval_rows(t).distinct()
 
 
 def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:

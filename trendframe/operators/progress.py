@@ -7,12 +7,18 @@ Periods are dates, so every group and window after it is bounded by a number of
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendframe.operators.intervals import calendar_intervals, covering_intervals, covering_span
+from trendframe.operators.intervals import (
+    calendar_intervals,
+    covering_intervals,
+    covering_span,
+    interval_rows,
+)
 from trendframe.operators.latest import latest_by
 from trendframe.schemas import ACTIVITY, INPUT, SCHEDULE, TERM, WORK
 from trendframe.sources import Tables
@@ -39,6 +45,19 @@ def latest_term(t: Tables, by: tuple[str, ...] = (TERM,)) -> DataFrame:
     return latest_by(t.term.select(WORK, TERM, SCHEDULE), [WORK], list(by))
 
 
+def _latest_terms(t: Tables, orders: Sequence[tuple[str, ...]]) -> DataFrame:
+    """``latest_term`` by each order, with the position of the order as ``base``."""
+    newest = [
+        F.max(F.struct(*by, *(c for c in (TERM, SCHEDULE) if c not in by))).alias(f"_{i}")
+        for i, by in enumerate(orders)
+    ]
+    picks = [
+        F.struct(F.lit(i).alias("base"), f"_{i}.{TERM}", f"_{i}.{SCHEDULE}") for i in range(len(orders))
+    ]
+    rows = t.term.groupBy(WORK).agg(*newest).select(WORK, F.explode(F.array(*picks)).alias("p"))
+    return rows.select(WORK, "p.*")
+
+
 def latest_schedule(t: Tables) -> DataFrame:
     return t.schedule.groupBy(WORK).agg(F.max(SCHEDULE).alias(SCHEDULE))
 
@@ -91,24 +110,19 @@ def daily_facts(t: Tables) -> DataFrame:
     )
 
 
-def progress_by_calendar(
-    t: Tables,
-    latest_term_by: tuple[str, ...] = (TERM,),
-    fanout: str = "collapse",
+def calendar_progress(
+    t: Tables, term_orders: Sequence[tuple[str, ...]], fanout: str = "collapse"
 ) -> DataFrame:
-    """(work, schedule, term, period, foreseen_progress, accomplished_progress).
+    """``progress_by_calendar`` for several choices of the latest term in one pass.
 
-    Covers each work's latest term, if it belongs to the latest schedule, on the dates of that term's
-    calendars. ``fanout="join"`` counts a foreseen value once per measurement and calendar row of its
-    date and a measurement once per foreseen row, as summing after a join does; it is computed from
-    row counts.
+    ``base`` is the position of the choice in ``term_orders``.
     """
     _check_fanout(fanout)
-    current = (
-        latest_term(t, latest_term_by)
-        .join(latest_schedule(t), [WORK, SCHEDULE])
-        .join(t.civil_work, WORK, "left_semi")
-    )
+    if len(term_orders) == 1:
+        chosen = latest_term(t, term_orders[0]).withColumn("base", F.lit(0))
+    else:
+        chosen = _latest_terms(t, term_orders)
+    current = chosen.join(latest_schedule(t), [WORK, SCHEDULE]).join(t.civil_work, WORK, "left_semi")
     foreseen, accomplished = F.col("fraction"), F.col("percentage")
     if fanout == "join":
         foreseen = foreseen.cast("decimal(19,0)") * F.greatest(F.col("n_real"), F.lit(1))
@@ -132,7 +146,7 @@ def progress_by_calendar(
         by_schedule.join(current.join(links, TERM), SCHEDULE)
         .join(dates, [INPUT, "period"])
         .repartition(WORK)  # serves this aggregate and the windows of the trend stages
-        .groupBy(*BASE_KEYS)
+        .groupBy("base", *BASE_KEYS)
         .agg(
             F.max("foreseen").alias("foreseen"),
             F.max("accomplished").alias("accomplished"),
@@ -141,12 +155,26 @@ def progress_by_calendar(
     )
     times = F.col("n_calendar") if fanout == "join" else F.lit(1)
     return matched.select(
+        "base",
         *BASE_KEYS,
         _decimal(F.col("foreseen") * times, 4).cast("decimal(9,2)").alias("foreseen_progress"),
         _decimal(F.col("accomplished") * times, 4).alias("accomplished_progress"),
     )
 
 
+def progress_by_calendar(
+    t: Tables, latest_term_by: tuple[str, ...] = (TERM,), fanout: str = "collapse"
+) -> DataFrame:
+    """(work, schedule, term, period, foreseen_progress, accomplished_progress).
+
+    Covers each work's latest term, if it belongs to the latest schedule, on the dates of that term's
+    calendars. ``fanout="join"`` counts a foreseen value once per measurement and calendar row of its
+    date and a measurement once per foreseen row, as summing after a join does; it is computed from
+    row counts.
+    """
+    return calendar_progress(t, [latest_term_by], fanout).drop("base")
+
+
 def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
     """(work, period, foreseen_progress, accomplished_progress) over all schedules and terms.
 
@@ -165,8 +193,10 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
     points = (
         foreseen.select(ACTIVITY, "period").distinct().join(activities, ACTIVITY).select(WORK, "period").distinct()
     )
-    cover = covering_span if fanout == "collapse" else covering_intervals
-    spans = cover(points, calendar_intervals(t))
+    if fanout == "collapse":
+        spans = covering_span(points, interval_rows(t))
+    else:
+        spans = covering_intervals(points, calendar_intervals(t))
     ends = F.explode(
         F.array(
             F.struct(F.col("lo").alias("pos"), F.lit(-1).alias("sign")),

@@ -32,7 +32,7 @@ def _add_stage(
     series = Window.partitionBy(WORK).orderBy("period")
     everything = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     so_far = series.rowsBetween(Window.unboundedPreceding, 0)
-    before = series.rowsBetween(Window.unboundedPreceding, -1)
+    preceding = series.rowsBetween(Window.unboundedPreceding, -1)
     name = lambda measure: f"{stage}_{measure}"
     foreseen = foreseen.cast("double")
     accomplished = accomplished.cast("double")
@@ -47,6 +47,7 @@ def _add_stage(
         eligible = implied.isNotNull()
         known = F.coalesce(accomplished, prior_trend)
 
+    dev = F.col(name("initial_deviation"))
     df = df.withColumns(
         {
             "_present": present,
@@ -60,30 +61,31 @@ def _add_stage(
     df = df.withColumns({"_count": F.sum(flag).over(everything), "_passed": F.sum(flag).over(so_far)})
     rank = F.col("_count") - F.col("_passed") + 1
     kept = F.col("_eligible") & (rank <= n)
-    dev = F.col(name("initial_deviation"))
+    mobile = F.when(kept, dev)
+    previous = F.when(kept & (rank >= F.least(F.col("_count"), F.lit(n)) - n + 2), dev)
+    current = F.when(kept & (rank == 1), dev)
+    # Deviation of the preceding row of this stage, which need not be the preceding row here.
+    before = F.last(F.when(F.col("_present"), F.struct(dev.alias("dev"))), ignorenulls=True)
     df = df.withColumns(
         {
-            name("mobile_deviation"): F.when(kept, dev),
-            name("previous_estimate"): F.when(kept & (rank >= F.least(F.col("_count"), F.lit(n)) - n + 2), dev),
-            name("current_estimate"): F.when(kept & (rank == 1), dev),
-        }
-    )
-    df = df.withColumns(
-        {
-            "_mobile": F.avg(name("mobile_deviation")).over(everything),
-            "_previous": F.avg(name("previous_estimate")).over(everything),
-            "_current": F.avg(name("current_estimate")).over(everything),
-            # Deviation of the preceding row of this stage, which need not be the preceding row here.
-            "_before": F.last(F.when(F.col("_present"), F.struct(dev.alias("dev"))), ignorenulls=True).over(before),
+            name("mobile_deviation"): mobile,
+            name("previous_estimate"): previous,
+            name("current_estimate"): current,
+            "_mobile": F.avg(mobile).over(everything),
+            "_previous": F.avg(previous).over(everything),
+            "_current": F.avg(current).over(everything),
+            "_before": before.over(preceding),
         }
     )
     seasonal = F.when(F.col("_previous") == 1, F.col("_mobile")).otherwise(
         (F.col("_previous") + F.col("_current")) / 2
     )
-    df = df.withColumn(name("seasonal_estimate"), F.when(F.col("_present"), seasonal))
-    ahead = F.when(F.col("_before.dev").isNotNull(), F.col(name("seasonal_estimate")) * foreseen)
-    df = df.withColumn(name("trend_period"), F.when(F.col("_present"), F.coalesce(known, ahead)))
-    return df.drop(*(c for c in df.columns if c.startswith("_")))
+    ahead = F.when(F.col("_before.dev").isNotNull(), seasonal * foreseen)
+    return df.select(
+        *(c for c in df.columns if not c.startswith("_")),
+        F.when(F.col("_present"), seasonal).alias(name("seasonal_estimate")),
+        F.when(F.col("_present"), F.coalesce(known, ahead)).alias(name("trend_period")),
+    )
 
 
 def _stage_columns(stage: str) -> list[Column]:
@@ -120,27 +122,10 @@ def trend_next(base: DataFrame, previous: DataFrame, n: int = 3) -> DataFrame:
     return staged.select("period", *_stage_columns("s"), *_keys(base))
 
 
-def _align(bases: Sequence[DataFrame]) -> DataFrame:
-    """One row per (work, period) holding the columns of every base as ``b<i>``, NULL where it has none."""
-    keys = (SCHEDULE, TERM)
-    tagged = []
-    for i, base in enumerate(bases):
-        own = [F.col(k) if k in base.columns else F.lit(None).cast("long").alias(k) for k in keys]
-        values = F.struct(
-            F.col("foreseen_progress").cast("double").alias("foreseen_progress"),
-            F.col("accomplished_progress").cast("double").alias("accomplished_progress"),
-            *own,
-        )
-        tagged.append(base.select(WORK, "period", F.lit(i).alias("_i"), values.alias("_v")))
-    return (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy(WORK, "period")
-        .agg(
-            *(
-                F.first(F.when(F.col("_i") == i, F.col("_v")), ignorenulls=True).alias(f"b{i}")
-                for i in range(len(bases))
-            )
-        )
+def _tag(bases: Sequence[DataFrame]) -> DataFrame:
+    return reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        (base.withColumn("base", F.lit(i)) for i, base in enumerate(bases)),
     )
 
 
@@ -149,23 +134,40 @@ def trend_chain(
 ) -> DataFrame:
     """All stages in one pass: a result row per (stage, work, period).
 
-    ``base`` is one DataFrame for every stage, or one per stage. With several, a period is in a stage if
-    it is in that stage's base and in the stage before.
+    ``base`` is one DataFrame for every stage or one per stage, given as a list or as one DataFrame whose
+    column ``base`` counts from 0. With several, a period is in a stage if it is in that stage's base
+    and in the stage before.
     """
-    if isinstance(base, DataFrame):
-        df = base.select(
-            WORK, "period",
-            F.struct(
-                "foreseen_progress", "accomplished_progress",
-                *(F.col(k) if k in base.columns else F.lit(None).cast("long").alias(k) for k in (SCHEDULE, TERM)),
-            ).alias("b0"),
-        )
-        source = ["b0"] * horizon
-    else:
+    if not isinstance(base, DataFrame):
         if len(base) != horizon:
             raise ValueError(f"{horizon} stages need {horizon} bases, not {len(base)}")
-        df = _align(base)
+        base = _tag(base)
+    keys = [
+        F.col(k) if k in base.columns else F.lit(None).cast("long").alias(k) for k in (SCHEDULE, TERM)
+    ]
+    values = F.struct(
+        F.col("foreseen_progress").cast("double").alias("foreseen_progress"),
+        F.col("accomplished_progress").cast("double").alias("accomplished_progress"),
+        *keys,
+    )
+    if "base" in base.columns:
         source = [f"b{i}" for i in range(horizon)]
+        # One row per (work, period) with the values of every base, NULL where it has none. Grouping
+        # what is already partitioned by work leaves the windows nothing to shuffle.
+        df = (
+            base.select(WORK, "period", "base", values.alias("v"))
+            .repartition(WORK)
+            .groupBy(WORK, "period")
+            .agg(
+                *(
+                    F.first(F.when(F.col("base") == i, F.col("v")), ignorenulls=True).alias(b)
+                    for i, b in enumerate(source)
+                )
+            )
+        )
+    else:
+        source = ["b0"] * horizon
+        df = base.select(WORK, "period", values.alias("b0"))
 
     results = []
     present = F.lit(True)

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.operators.progress import progress_by_calendar, progress_by_interval
+from trendframe.operators.progress import (
+    calendar_progress,
+    progress_by_calendar,
+    progress_by_interval,
+)
 from trendframe.operators.refresh import affected_works, change_log, replace_by_key, restrict
 from trendframe.operators.trend import trend_chain
 from trendframe.schemas import ACTIVITY, CHANGE_LOG, SCHEDULE, TABLES, TERM
@@ -18,12 +22,9 @@ def forecast(t: Tables, n: int = 3) -> DataFrame:
     Stage 1 takes the term of the newest schedule, stage 2 the newest term, stage 3 the progress per
     calendar interval over all schedules.
     """
-    bases = [
-        progress_by_calendar(t, latest_term_by=(SCHEDULE, TERM)),
-        progress_by_calendar(t),
-        progress_by_interval(t),
-    ]
-    return trend_chain(bases, horizon=3, n=n)
+    calendar = calendar_progress(t, [(SCHEDULE, TERM), (TERM,)])
+    interval = progress_by_interval(t).withColumn("base", F.lit(2))
+    return trend_chain(calendar.unionByName(interval, allowMissingColumns=True), horizon=3, n=n)
 
 
 def forecast_calendar(t: Tables, n: int = 3) -> DataFrame:
