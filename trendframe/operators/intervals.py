@@ -60,24 +60,29 @@ def calendar_intervals(t: Tables) -> DataFrame:
 def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:
     """(work, period, lo, hi): the union ``(lo, hi]`` of the intervals that hold each period.
 
-    ``points`` has distinct (work, period). All intervals holding a date overlap, so their union is the
-    smallest start to the greatest end: the greatest end among intervals starting before the date, and
-    the smallest start among those ending on or after it. Both are running extremes, so no date is ever
-    paired with an interval. A work has at most one row per day of each kind, which bounds the window.
+    ``points`` has (work, period); either input may repeat rows. All intervals holding a date overlap, so
+    their union is the smallest start to the greatest end: the greatest end among intervals starting
+    before the date, and the smallest start among those ending on or after it. Both are running
+    extremes, so no date is ever paired with an interval. Rows are first combined per day, so a work's
+    window holds at most three rows per day.
     """
     start = F.coalesce(F.unix_date("interval_start"), F.lit(OPEN))
     end = F.unix_date("interval_end")
     none = F.lit(None).cast("int")
-    ends = intervals.groupBy(WORK, end.alias("pos")).agg(F.min(start).alias("origin"))
-    starts = intervals.groupBy(WORK, start.alias("pos")).agg(F.max(end).alias("reach"))
-    # At one position an end comes before the date and a start after it: (start, end].
-    rows = (
-        points.select(
-            WORK, F.unix_date("period").alias("pos"), F.lit(1).alias("kind"),
-            none.alias("origin"), none.alias("reach"),
+
+    def mark(pos, kind, origin=none, reach=none):
+        # At one position an end comes before the date and a start after it: (start, end].
+        return F.struct(
+            pos.alias("pos"), F.lit(kind).alias("kind"), origin.alias("origin"), reach.alias("reach")
         )
-        .unionByName(ends.withColumn("kind", F.lit(0)).withColumn("reach", none))
-        .unionByName(starts.withColumn("kind", F.lit(2)).withColumn("origin", none))
+
+    ends = F.explode(F.array(mark(end, 0, origin=start), mark(start, 2, reach=end)))
+    rows = (
+        intervals.select(WORK, ends.alias("m"))
+        .unionByName(points.select(WORK, mark(F.unix_date("period"), 1).alias("m")))
+        .select(WORK, "m.*")
+        .groupBy(WORK, "pos", "kind")
+        .agg(F.min("origin").alias("origin"), F.max("reach").alias("reach"))
     )
     upward = Window.partitionBy(WORK).orderBy("pos", "kind").rowsBetween(Window.unboundedPreceding, 0)
     downward = (
@@ -94,6 +99,7 @@ def covering_span(points: DataFrame, intervals: DataFrame) -> DataFrame:
 def covering_intervals(points: DataFrame, intervals: DataFrame) -> DataFrame:
     """(work, period, lo, hi): one row per period and interval holding it.
 
+    ``points`` has distinct (work, period), ``intervals`` distinct rows.
     An equi-join on month-sized bins tests each date against the intervals of its bin only.
     """
     bin_of = lambda day: F.floor(day / F.lit(BIN_DAYS))

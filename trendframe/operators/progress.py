@@ -190,13 +190,11 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
     owners = t.schedule.select(SCHEDULE, WORK).join(t.civil_work, WORK, "left_semi")
     activities = top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, WORK)
     foreseen = _dated_foreseen(t)
-    points = (
-        foreseen.select(ACTIVITY, "period").distinct().join(activities, ACTIVITY).select(WORK, "period").distinct()
-    )
+    points = foreseen.select(ACTIVITY, "period").distinct().join(activities, ACTIVITY).select(WORK, "period")
     if fanout == "collapse":
         spans = covering_span(points, interval_rows(t))
     else:
-        spans = covering_intervals(points, calendar_intervals(t))
+        spans = covering_intervals(points.distinct(), calendar_intervals(t))
     ends = F.explode(
         F.array(
             F.struct(F.col("lo").alias("pos"), F.lit(-1).alias("sign")),
@@ -210,6 +208,7 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
         .join(spans, [WORK, "period"])
         .select("*", ends.alias("e"))
         .select(ACTIVITY, WORK, "period", "lo", "hi", "fraction", "n_foreseen", "e.pos", "e.sign")
+        .repartition(ACTIVITY)
     )
     measured = (
         _dated_real(t)
@@ -219,12 +218,14 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
             F.count("percentage").alias("n_measured"),
             F.count(F.lit(1)).alias("n_real"),
         )
+        .repartition(ACTIVITY)
         .join(activities.select(ACTIVITY), ACTIVITY, "left_semi")
         .select(
             ACTIVITY, F.unix_date("period").alias("pos"), F.lit(0).alias("sign"),
             "percentage", "n_measured", "n_real",
         )
     )
+    # Both sides of the union are partitioned by activity, so the window shuffles neither again.
     # Measurements of a day come before the ends that fall on it: both bounds include their day.
     so_far = (
         Window.partitionBy(ACTIVITY)
