@@ -1,0 +1,156 @@
+import datetime as dt
+import math
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tests.helpers import stage_model
+from trendframe.operators.trend import trend_chain, trend_first, trend_next
+from trendframe.schemas import MEASURES
+
+SCHEMA = "id_civil_work long, period date, foreseen_progress double, accomplished_progress double"
+
+
+def period(i: int) -> dt.date:
+    return dt.date(2023, 1, 1) + dt.timedelta(31 * i)
+
+
+def base_of(spark, works):
+    """``works`` maps a work to its (foreseen, accomplished) or (index, foreseen, accomplished) rows."""
+    data = []
+    for work, series in works.items():
+        for i, row in enumerate(series):
+            i, f, a = row if len(row) == 3 else (i, *row)
+            data.append((work, period(i), None if f is None else float(f), None if a is None else float(a)))
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def measures(df, work=1, stage=None):
+    df = df.filter(df.id_civil_work == work)
+    if stage:
+        df = df.filter(df.stage == stage)
+    return [tuple(r[m] for m in MEASURES) for r in df.orderBy("period").collect()]
+
+
+def same(got, want):
+    assert len(got) == len(want), (got, want)
+    for g, w in zip(got, want):
+        for x, y in zip(g, w):
+            assert (x is None) == (y is None) and (x is None or math.isclose(x, y, rel_tol=1e-9, abs_tol=1e-12)), (got, want)
+
+
+def test_worked_example(spark):
+    series = [(1, None if v is None else v) for v in (9.9, 8.8, 11.1, 12.4, 10.3, None, None)]
+    got = measures(trend_first(base_of(spark, {1: series})))
+    assert [r[1] for r in got] == [None, None, 11.1, 12.4, 10.3, None, None]
+    assert [r[2] for r in got] == [None, None, 11.1, 12.4, None, None, None]
+    assert [r[3] for r in got] == [None, None, None, None, 10.3, None, None]
+    assert all(math.isclose(r[4], 11.025) for r in got)
+    assert math.isclose(got[5][5], 11.025) and got[6][5] is None
+
+
+def test_no_measured_period(spark):
+    got = measures(trend_chain(base_of(spark, {1: [(10, None)] * 3})), stage=3)
+    assert got == [(None,) * 6] * 3
+
+
+def test_one_measured_period(spark):
+    got = measures(trend_first(base_of(spark, {1: [(10, 5), (20, None), (30, None)]})))
+    assert got == [(0.5, 0.5, 0.5, 0.5, 0.5, 5), (None, None, None, None, 0.5, 10), (None, None, None, None, 0.5, None)]
+
+
+def test_two_measured_periods_overlap(spark):
+    got = measures(trend_first(base_of(spark, {1: [(10, 5), (10, 10), (8, None)]})))
+    assert [r[2] for r in got] == [0.5, 1.0, None] and [r[3] for r in got] == [None, 1.0, None]
+    assert got[0][4] == ((0.5 + 1) / 2 + 1) / 2
+
+
+def test_gap_is_filled_after_a_measured_period(spark):
+    got = measures(trend_first(base_of(spark, {1: [(10, 5), (10, None), (10, 5), (10, None), (10, None)]})))
+    assert [r[5] for r in got] == [5, 5, 5, 5, None]
+
+
+def test_previous_average_of_exactly_one(spark):
+    got = measures(trend_first(base_of(spark, {1: [(10, 10), (10, 10), (10, 5), (6, None)]})))
+    assert math.isclose(got[3][4], 2.5 / 3) and math.isclose(got[3][5], 5)
+
+
+def test_zero_foreseen_is_eligible_without_deviation(spark):
+    got = measures(trend_first(base_of(spark, {1: [(10, 5), (10, 5), (10, 5), (0, 7), (10, None)]})))
+    assert got[3][0] is None and got[3][5] == 7
+    assert [r[1] for r in got] == [None, 0.5, 0.5, None, None]  # the three latest include the zero
+    assert got[4][5] is None  # no deviation just before
+
+
+def test_each_stage_fills_one_more_period(spark):
+    chain = trend_chain(base_of(spark, {1: [(10, 5)] * 3 + [(10, None)] * 5}))
+    assert [sum(r[5] is not None for r in measures(chain, stage=k)) for k in (1, 2, 3)] == [4, 5, 6]
+
+
+def test_works_are_independent(spark):
+    works = {1: [(10, 5)] * 4 + [(10, None)], 2: [(10, 20), (10, None), (10, None)]}
+    both = trend_first(base_of(spark, works))
+    for w in works:
+        same(measures(both, w), measures(trend_first(base_of(spark, {w: works[w]})), w))
+
+
+def test_wrong_number_of_bases(spark):
+    with pytest.raises(ValueError, match="3 stages"):
+        trend_chain([base_of(spark, {1: [(1, 1)]})])
+
+
+value = st.one_of(st.none(), st.sampled_from([0, 1, 2, 3, 10, 12.5]))
+foreseen = st.sampled_from([0, 1, 2, 4, 10, None])
+one_series = st.lists(st.tuples(foreseen, value), min_size=1, max_size=9)
+
+
+def model_chain(bases, n):
+    out, previous = [], None
+    for series in bases:
+        stage = stage_model([(p, f, a) for p, f, a in series], previous, n)
+        out.append([r[1:] for r in stage])
+        previous = {r[0]: (r[1], r[6]) for r in stage}
+    return out
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(one_series, min_size=1, max_size=40), st.sampled_from([2, 3, 5]))
+def test_chain_against_the_literal_model(spark, works, n):
+    base = base_of(spark, dict(enumerate(works)))
+    got = {}
+    for r in trend_chain(base, n=n).orderBy("period").collect():
+        got.setdefault((r.id_civil_work, r.stage), []).append(tuple(r[m] for m in MEASURES))
+    for w, series in enumerate(works):
+        full = [(period(i), f, a) for i, (f, a) in enumerate(series)]
+        for k, want in enumerate(model_chain([full] * 3, n), 1):
+            same(got[w, k], want)
+
+
+indexed = st.dictionaries(st.integers(0, 8), st.tuples(foreseen, value), max_size=9).map(
+    lambda d: [(i, *v) for i, v in d.items()]
+)
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(indexed, indexed, indexed), min_size=1, max_size=40))
+def test_chain_on_three_bases_against_the_literal_model(spark, works):
+    bases = [base_of(spark, {w: b[k] for w, b in enumerate(works)}) for k in range(3)]
+    got = {}
+    for r in trend_chain(bases).orderBy("period").collect():
+        got.setdefault((r.id_civil_work, r.stage), []).append(tuple(r[m] for m in MEASURES))
+    for w, three in enumerate(works):
+        series = [[(period(i), f, a) for i, f, a in b] for b in three]
+        for k, want in enumerate(model_chain(series, 3), 1):
+            same(got.get((w, k), []), want)
+
+
+def test_stage_by_stage_equals_the_chain(spark):
+    works = {w: [(10, 5 + w)] * (w + 1) + [(8, None)] * 5 for w in range(4)}
+    base = base_of(spark, works)
+    second = trend_next(base, trend_first(base))
+    third = trend_next(base, second)
+    chain = trend_chain(base)
+    for k, df in ((2, second), (3, third)):
+        for w in works:
+            same(measures(df, w), measures(chain, w, k))

@@ -27,7 +27,7 @@ def like_to_regex(pattern: str) -> str:
     out, i = [], 0
     while i < len(pattern):
         char = pattern[i]
-        close = pattern.find("]", i + 2) if char == "[" else -1
+        close = pattern.find("]", i + 1) if char == "[" else -1
         if char == "%":
             out.append(".*")
         elif char == "_":
@@ -38,7 +38,8 @@ def like_to_regex(pattern: str) -> str:
             body = body[1:] if negate else body
             # '-' keeps its range meaning; everything else is literal inside the set.
             members = re.sub(r"([\\\[\]^&])", r"\\\1", body)
-            out.append(f"[{'^' if negate else ''}{members}]")
+            # An empty set matches nothing, and a lone '^' is literal.
+            out.append(f"[{'^' if negate else ''}{members}]" if body else "(?!)")
             i = close
         else:
             out.append(re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", char))
