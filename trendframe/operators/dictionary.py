@@ -65,24 +65,21 @@ def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each")
     """
     if mode not in ("each", "one"):
         raise ValueError(f"mode must be 'each' or 'one', not {mode!r}")
-    on = [c for c in ("seq", "obj_nome") if c == "obj_nome" or c in params.columns]
-    found = params.withColumnRenamed("routine_name", "obj_nome").select(
+    on = ["seq", "_object"] if "seq" in params.columns else ["_object"]
+    found = params.withColumnRenamed("routine_name", "_object").select(
         *on, "ordinal", F.col("parameter_name").alias("param_nome"), F.col("data_type").alias("param_tipo")
     )
     if mode == "one":
         first = F.min(F.struct("ordinal", "param_nome", "param_tipo")).alias("p")
         found = found.groupBy(*on).agg(first).select(*on, "p.*")
-    known = F.col("obj_tipo").isNotNull()
     message = F.concat(
         F.lit(EVENT_MESSAGE), "obj_nome", F.lit("."), F.coalesce(F.col("param_nome"), F.lit(""))
     )
-    joined = events.join(found.drop("ordinal"), on, "left")
-    return joined.select(
-        "seq",
-        "evento",
-        *OBJECT,
-        *(F.when(known, F.col(c)).alias(c) for c in ("param_nome", "param_tipo")),
-    ).withColumn("mensagem", message)
+    return (
+        events.withColumn("_object", F.when(F.col("obj_tipo").isNotNull(), F.col("obj_nome")))
+        .join(found, on, "left")
+        .select("seq", "evento", *OBJECT, "param_nome", "param_tipo", message.alias("mensagem"))
+    )
 
 
 def dictionary_apply(state: DataFrame, events: DataFrame, mode: str = "each") -> DataFrame:

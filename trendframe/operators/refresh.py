@@ -27,7 +27,8 @@ def affected_works(changes: DataFrame, activity: DataFrame, schedule: DataFrame)
 
 def replace_by_key(current: DataFrame, fresh: DataFrame, keys: DataFrame) -> DataFrame:
     """``current`` without the rows of ``keys``, plus ``fresh``."""
-    return current.join(keys, keys.columns, "left_anti").unionByName(fresh)
+    kept = current.join(keys, keys.columns, "left_anti").select(*current.columns)
+    return kept.unionByName(fresh)
 
 
 def change_log(changes: DataFrame) -> DataFrame:
