@@ -1,0 +1,202 @@
+"""What the plans must look like, and skewed inputs."""
+
+import datetime as dt
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.helpers import day, make_tables
+from trendframe.operators import dictionary as d
+from trendframe.operators.intervals import calendar_intervals
+from trendframe.operators.joins import prune_by_keys
+from trendframe.operators.progress import daily_facts, progress_by_calendar, progress_by_interval
+from trendframe.operators.trend import trend_chain
+from trendframe.plans.queries import QUERIES
+from trendframe.schemas import DICTIONARY_STATE
+from trendframe.sources import read_tables, write_tables
+
+SF = "/root/testdata/sf0.001"
+NO_BROADCAST = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+}
+SPLIT_EARLY = {
+    **NO_BROADCAST,
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "10k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10k",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    from trendframe.plans import fixtures
+
+    path = str(tmp_path_factory.mktemp("tables"))
+    write_tables(fixtures.schedule_tables(spark, SF), path)
+    return read_tables(spark, path)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.endswith("_stream")])
+def test_no_python_workers_and_no_cross_joins(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    for node in ("EvalPython", "InPandas", "InArrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
+
+
+def test_chain_needs_one_exchange_and_one_sort(spark, tmp_path, stored, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    base = progress_by_calendar(stored)
+    base.write.parquet(str(tmp_path / "base"))
+    plan = plan_of(trend_chain(spark.read.parquet(str(tmp_path / "base"))))
+    assert (plan.count("Exchange "), plan.count("Sort [")) == (1, 1)
+    # On top of the base itself it needs none: the base is partitioned by work already.
+    assert plan_of(trend_chain(base)).count("Exchange ") == plan_of(base).count("Exchange ")
+
+
+def test_measurements_are_shuffled_twice(stored, conf):
+    """Once for the daily sums and once by activity, which serves both the join and the window."""
+    conf(spark__sql__adaptive__enabled="false", **NO_BROADCAST)
+    lines = plan_of(progress_by_interval(stored)).split("\n")
+    scan = next(i for i, line in enumerate(lines) if "progress_date" in line and "FileScan" in line)
+    above, depth = [], 10**6
+    for line in reversed(lines[:scan]):
+        indent = len(re.match(r"[ :]*([+:]- )?", line).group())
+        if indent < depth:
+            depth = indent
+            above.append(line)
+    # The two, and the final sum by (work, period).
+    assert sum("Exchange " in line for line in above) == 3
+
+
+def test_scans_read_only_what_they_need(stored):
+    plan = progress_by_calendar(stored)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    real = next(line for line in scans if "progress_date" in line)
+    assert "id_term_activity" not in real and "id_activity_real_progress" not in real
+    assert any("EqualTo(outline_lvl,1)" in line for line in scans)
+
+
+def test_runtime_filter_reaches_both_fact_scans(stored, conf):
+    conf(
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="0",
+        spark__sql__adaptive__enabled="false",
+        **NO_BROADCAST,
+    )
+    for df in (progress_by_calendar(stored), progress_by_interval(stored)):
+        lines = plan_of(df).split("\n")
+        for column in ("id_term_date", "progress_date"):
+            scan = next(i for i, line in enumerate(lines) if "FileScan" in line and column in line)
+            above = lines[max(0, scan - 12) : scan]
+            assert any("might_contain" in line for line in above), column
+
+
+def metric(plan, name):
+    """Sum of a metric over the nodes of a physical plan."""
+    found = plan.metrics().get(name)
+    own = found.get().value() if found.isDefined() else 0
+    children = plan.children()
+    return own + sum(metric(children.apply(i), name) for i in range(children.size()))
+
+
+def test_copies_are_combined_before_the_shuffle(spark, conf):
+    """A third of the rows share one activity and date; each map task sends one row for them."""
+    conf(spark__sql__adaptive__enabled="false")
+    t = make_tables(spark)
+    n = 30_000
+    real = spark.range(0, n, 1, 4).select(
+        F.col("id").alias("id_activity_real_progress"),
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 50).alias("id_qualitative_activity"),
+        F.lit(1).cast("long").alias("id_term_activity"),
+        F.lit("2023-01-31").cast("date").alias("progress_date"),
+        F.lit(1).cast("decimal(9,4)").alias("progress_percentage"),
+    )
+    df = daily_facts(type(t)(**{**t.__dict__, "real_progress": real}))
+    total = {r.id_qualitative_activity: r.percentage for r in df.collect()}
+    assert total[-1] == n // 3 * 10**4
+    assert metric(df._jdf.queryExecution().executedPlan(), "shuffleRecordsWritten") <= 4 * 51
+
+
+def collected(df):
+    out = sorted((tuple(r) for r in df.collect()), key=repr)
+    return out, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_calendar_serving_most_works_is_split(spark, conf):
+    works = 4000
+    t = make_tables(
+        spark,
+        civil_work=[(w,) for w in range(works)],
+        term=[(w, w, w) for w in range(works)],
+        term_input_data=[(w, 1 if w % 10 else w + 10) for w in range(works)],
+        calendar=[(k, 1, day("2023-01-01") + dt.timedelta(k)) for k in range(5)]
+        + [(100 + w, w + 10, day("2023-01-01")) for w in range(0, works, 10)],
+    )
+    want, _ = collected(calendar_intervals(t))
+    conf(**SPLIT_EARLY)
+    got, plan = collected(calendar_intervals(t))
+    assert got == want and len(got) == works // 10 * 9 * 5 + works // 10
+    assert "skew=true" in plan
+
+
+def skewed_tables(spark):
+    """One work has nine tenths of the activities, all on the same three dates."""
+    dates = [day("2023-01-31"), day("2023-02-28"), day("2023-03-31")]
+    rng = random.Random(1)
+    activity = [(a, 0 if a % 10 else a % 7 + 1, 1) for a in range(3000)]
+    return make_tables(
+        spark,
+        civil_work=[(w,) for w in range(8)],
+        schedule=[(w, w) for w in range(8)],
+        term=[(w, w, w) for w in range(8)],
+        term_input_data=[(w, 1) for w in range(8)],
+        calendar=[(k, 1, x) for k, x in enumerate(dates)],
+        qualitative_activity=activity,
+        foreseen_progress=[(a, x, "0.000100") for a, _, _ in activity for x in dates],
+        real_progress=[(a, a, 1, rng.choice(dates), 1) for a, _, _ in activity],
+    )
+
+
+@pytest.mark.parametrize("operator", [progress_by_calendar, progress_by_interval])
+def test_one_work_with_most_activities(spark, conf, operator):
+    t = skewed_tables(spark)
+    want, _ = collected(operator(t))
+    conf(**SPLIT_EARLY)
+    got, plan = collected(operator(t))
+    assert got == want and len(got) == 8 * 3
+    # The calendar form has no skewed join to split: activities are summed per schedule first.
+    assert ("skew=true" in plan) == (operator is progress_by_interval)
+
+
+def test_one_object_with_most_events_is_split(spark, conf):
+    n = 20_000
+    events = spark.range(n).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") == 100, "DROP").when(F.col("id") % 97 == 0, "ALTER").otherwise("CREATE").alias("evento"),
+        F.lit("FUNCTION").alias("obj_tipo"),
+        F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("o"), F.col("id") % 500)).alias("obj_nome"),
+        F.lit("@p").alias("param_nome"),
+        F.lit("int").alias("param_tipo"),
+        F.col("id").cast("string").alias("mensagem"),
+    )
+    state = spark.createDataFrame([], DICTIONARY_STATE)
+    want, _ = collected(d.dictionary_apply(state, events))
+    conf(**SPLIT_EARLY)
+    got, plan = collected(d.dictionary_apply(state, events))
+    assert got == want
+    assert "skew=true" in plan
+
+
+def test_pruning_broadcasts_only_within_the_limit(spark):
+    rows = spark.range(100).withColumnRenamed("id", "k")
+    keys = spark.range(10).withColumnRenamed("id", "k")
+    few = prune_by_keys(rows, keys, ["k"], limit=10)
+    assert few.count() == 10 and "BroadcastHashJoin" in plan_of(few)
+    assert prune_by_keys(rows, keys, ["k"], limit=9) is rows
