@@ -85,6 +85,8 @@ def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each")
 def dictionary_apply(state: DataFrame, events: DataFrame, mode: str = "each") -> DataFrame:
     """The state after ``events`` (rows of ``lookup_parameters``), which are all newer than it.
 
+    ``events`` is read several times; store it first if it is costly to compute.
+
     CREATE inserts its rows, DROP deletes the object's rows. ALTER sets the parameters of what the
     object has: with ``mode="one"`` on every row of it; with ``"each"`` the rows of one creation are
     replaced by one per parameter. ALTER and DROP of an unknown object do nothing.

@@ -22,7 +22,7 @@ from trendframe.operators.refresh import affected_works
 from trendframe.operators.trend import trend_chain, trend_first, trend_next
 from trendframe.plans import fixtures
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
-from trendframe.schemas import MEASURES, SCHEDULE, TERM, WORK
+from trendframe.schemas import MEASURES, PARSED_EVENT, SCHEDULE, TERM, WORK
 from trendframe.session import scratch_dir
 from trendframe.streaming import dictionary_stream, trend_stream
 
@@ -185,11 +185,14 @@ def dictionary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _apply(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    """Events are parsed and looked up once, and stored: applying them reads them several times."""
     events = _events(spark, sf_dir)
     parsed = dictionary.parse_events(fixtures.ddl_events(events))
-    looked_up = dictionary.lookup_parameters(parsed, fixtures.event_params(events), mode)
+    folder = scratch_dir(spark, "events")
+    dictionary.lookup_parameters(parsed, fixtures.event_params(events), mode).write.parquet(folder)
     state = dictionary.as_state(dictionary_snapshot(spark, sf_dir))
-    return dictionary.dictionary(dictionary.dictionary_apply(state, looked_up, mode))
+    applied = dictionary.dictionary_apply(state, spark.read.schema(PARSED_EVENT).parquet(folder), mode)
+    return dictionary.dictionary(applied)
 
 
 def dictionary_apply_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ def build_session(app: str, cores: str = "8", memory: str = "8g", **conf: str) -
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # The default keeps 100 compiled plan fragments; one forecast alone has about as many.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -6,7 +6,6 @@ Batches must arrive in ``seq`` order; within a batch any order will do.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from trendframe.operators.dictionary import (
@@ -17,13 +16,9 @@ from trendframe.operators.dictionary import (
     lookup_parameters,
     parse_events,
 )
-from trendframe.schemas import DICTIONARY, DICTIONARY_STATE
+from trendframe.schemas import DICTIONARY_STATE, PARSED_EVENT
 from trendframe.sources.versioned import FIRST, read_latest, write_version
 
-PARSED = T.StructType(
-    [T.StructField("seq", T.LongType()), T.StructField("evento", T.StringType())] + DICTIONARY.fields
-)
-
 
 def initialise(snapshot: DataFrame, store: str) -> None:
     """Write a snapshot (it may be empty) as the first version of the dictionary."""
@@ -39,7 +34,7 @@ def apply_batch(
     spark = raw.sparkSession
     folder = f"{store}/events/batch_id={batch_id}"
     lookup_parameters(parse_events(raw), params, mode).write.mode("overwrite").parquet(folder)
-    events = spark.read.schema(PARSED).parquet(folder)
+    events = spark.read.schema(PARSED_EVENT).parquet(folder)
     objects = events.select(*OBJECT).distinct()
     before = read_latest(
         spark, f"{store}/dictionary", DICTIONARY_STATE, OBJECT, before=batch_id, only=objects
