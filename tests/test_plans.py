@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import day, make_tables
 from trendframe.operators import dictionary as d
 from trendframe.operators.intervals import calendar_intervals
-from trendframe.operators.joins import prune_by_keys
+from trendframe.operators.joins import few_keys
 from trendframe.operators.progress import daily_facts, progress_by_calendar, progress_by_interval
 from trendframe.operators.trend import trend_chain
 from trendframe.plans.queries import QUERIES
@@ -194,9 +194,11 @@ def test_one_object_with_most_events_is_split(spark, conf):
     assert "skew=true" in plan
 
 
-def test_pruning_broadcasts_only_within_the_limit(spark):
+def test_keys_are_broadcast_only_within_the_limit(spark, conf):
+    conf(**NO_BROADCAST)
     rows = spark.range(100).withColumnRenamed("id", "k")
-    keys = spark.range(10).withColumnRenamed("id", "k")
-    few = prune_by_keys(rows, keys, ["k"], limit=10)
-    assert few.count() == 10 and "BroadcastHashJoin" in plan_of(few)
-    assert prune_by_keys(rows, keys, ["k"], limit=9) is rows
+    keys = spark.range(10).union(spark.range(10)).withColumnRenamed("id", "k")
+    few = few_keys(keys, ["k"], limit=10)
+    kept = rows.join(few, "k", "left_semi")
+    assert kept.count() == 10 and "BroadcastHashJoin" in plan_of(kept)
+    assert few_keys(keys, ["k"], limit=9) is None

@@ -1,4 +1,4 @@
-"""Pruning of fact scans by a bounded set of keys."""
+"""Broadcasts of a bounded size."""
 
 from __future__ import annotations
 
@@ -9,16 +9,10 @@ from pyspark.sql import functions as F
 BROADCAST_KEYS = 1_000_000
 
 
-def prune_by_keys(
-    rows: DataFrame, keys: DataFrame, on: list[str], limit: int = BROADCAST_KEYS
-) -> DataFrame:
-    """Drop the rows of ``rows`` whose key is not in ``keys``, if that costs no shuffle.
+def few_keys(keys: DataFrame, on: list[str], limit: int = BROADCAST_KEYS) -> DataFrame | None:
+    """The distinct ``keys`` marked for broadcast, or None if there are more than ``limit``.
 
-    The keys are counted first (at most ``limit + 1`` of them). Within the limit they are broadcast
-    and filter ``rows`` where they are scanned; beyond it ``rows`` comes back as it is. So this is
-    only for callers that join to ``keys`` later on.
+    They are counted first, up to ``limit + 1`` of them, so what is broadcast has a known size.
     """
     keys = keys.select(*on).distinct()
-    if keys.limit(limit + 1).count() > limit:
-        return rows
-    return rows.join(F.broadcast(keys), on, "left_semi")
+    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else None

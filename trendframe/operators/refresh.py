@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.operators.joins import prune_by_keys
+from trendframe.operators.joins import few_keys
 from trendframe.schemas import ACTIVITY, REAL_ID, SCHEDULE, TABLES, WORK
 from trendframe.sources import Tables
 
@@ -55,15 +55,12 @@ def change_log(changes: DataFrame) -> DataFrame:
     )
 
 
-def current_rows(real: DataFrame, log: DataFrame, activities: DataFrame | None = None) -> DataFrame:
+def current_rows(real: DataFrame, log: DataFrame) -> DataFrame:
     """The measurements after all log entries.
 
-    With ``activities``, rows of others are left out where that prunes the scans (``prune_by_keys``).
-    ``log`` may carry ``batch_id``; entries are ordered by it, then by ``seq``.
+    ``log`` may carry ``batch_id``; entries are ordered by it, then by ``seq``. Both inputs may be cut
+    down to some activities beforehand.
     """
-    if activities is not None:
-        real = prune_by_keys(real, activities, [ACTIVITY])
-        log = prune_by_keys(log, activities, [ACTIVITY])
     first = F.lit(-1).cast("long")
     if "batch_id" not in log.columns:
         log = log.withColumn("batch_id", F.lit(0).cast("long"))
@@ -84,9 +81,9 @@ def current_rows(real: DataFrame, log: DataFrame, activities: DataFrame | None =
 def restrict(t: Tables, log: DataFrame, works: DataFrame, folder: str) -> Tables:
     """``t`` after the log, cut down to ``works``.
 
-    The activities and their facts are written below ``folder``: the fact tables are then scanned once,
-    filtered by a broadcast of the activities if there are few enough, and every later step reads the
-    small copies.
+    The activities of the works are written below ``folder``. If they are few enough to broadcast, they
+    filter each fact table in one scan, and its small copy is written too and read by every later step.
+    Otherwise the fact tables stay whole: the joins of the later steps select the rows.
     """
     spark = works.sparkSession
     schedule = t.schedule.join(works, WORK, "left_semi")
@@ -96,13 +93,19 @@ def restrict(t: Tables, log: DataFrame, works: DataFrame, folder: str) -> Tables
         return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
     activity = stored("qualitative_activity", t.qualitative_activity.join(schedule, SCHEDULE, "left_semi"))
-    foreseen = prune_by_keys(t.foreseen_progress, activity, [ACTIVITY])
+    few = few_keys(activity, [ACTIVITY])
+    if few is None:
+        foreseen, real = t.foreseen_progress, current_rows(t.real_progress, log)
+    else:
+        only = lambda df: df.join(few, ACTIVITY, "left_semi")
+        foreseen = stored("foreseen_progress", only(t.foreseen_progress))
+        real = stored("real_progress", current_rows(only(t.real_progress), only(log)))
     return replace(
         t,
         civil_work=t.civil_work.join(works, WORK, "left_semi"),
         schedule=schedule,
         term=t.term.join(works, WORK, "left_semi"),
         qualitative_activity=activity,
-        foreseen_progress=stored("foreseen_progress", foreseen),
-        real_progress=stored("real_progress", current_rows(t.real_progress, log, activity)),
+        foreseen_progress=foreseen,
+        real_progress=real,
     )
