@@ -12,7 +12,7 @@ from trendframe.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", cores="4", memory="4g", **{"spark.sql.shuffle.partitions": "4"})
+    session = build_session("tests", cores="8", memory="4g", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
 

@@ -58,7 +58,7 @@ offset = st.integers(0, 80)
 spans = st.lists(st.tuples(st.one_of(st.none(), offset), offset), max_size=6)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(st.lists(st.tuples(spans, st.lists(offset, max_size=8, unique=True)), min_size=1, max_size=25))
 def test_cover_against_brute_force(spark, works):
     day_of = lambda n: None if n is None else BASE + dt.timedelta(n)

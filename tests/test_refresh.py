@@ -101,7 +101,7 @@ def canonical(df):
     )
 
 
-@pytest.mark.parametrize("seed, few", [(0, True), (1, True), (1, False)])
+@pytest.mark.parametrize("seed, few", [(0, True), (1, False)])
 def test_refresh_equals_a_full_recompute(spark, tmp_path, monkeypatch, seed, few):
     if not few:  # more activities than may be broadcast
         monkeypatch.setattr(refresh, "few_keys", lambda keys, on: few_keys(keys, on, limit=0))
@@ -122,7 +122,7 @@ def test_stream_over_several_batches(spark, tmp_path):
     activities = {a for a, _, _ in data["qualitative_activity"]}
     write_tables(t, f"{store}/tables")
     trend_stream.initialise(t, store, plan=forecast_calendar)
-    for step in range(3):
+    for step in range(2):
         batch = changes_of(spark, random_changes(rng, data, 8, 1000 + 100 * step, activities))
         batch.coalesce(1).write.mode("append").parquet(source)
         query = trend_stream.start(
@@ -132,7 +132,7 @@ def test_stream_over_several_batches(spark, tmp_path):
         want = canonical(forecast_calendar(make_tables(spark, **data)))
         assert canonical(trend_stream.results(spark, store)) == want
     # A replay of the last batch changes nothing.
-    trend_stream.apply_batch(batch, 2, t, store, plan=forecast_calendar)
+    trend_stream.apply_batch(batch, 1, t, store, plan=forecast_calendar)
     assert canonical(trend_stream.results(spark, store)) == want
 
 

@@ -114,7 +114,7 @@ def model_chain(bases, n):
     return out
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(one_series, min_size=1, max_size=40), st.sampled_from([2, 3, 5]))
 def test_chain_against_the_literal_model(spark, works, n):
     base = base_of(spark, dict(enumerate(works)))
@@ -132,7 +132,7 @@ indexed = st.dictionaries(st.integers(0, 8), st.tuples(foreseen, value), max_siz
 )
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=4, deadline=None)
 @given(st.lists(st.tuples(indexed, indexed, indexed), min_size=1, max_size=40))
 def test_chain_on_three_bases_against_the_literal_model(spark, works):
     bases = [base_of(spark, {w: b[k] for w, b in enumerate(works)}) for k in range(3)]
