@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import day, make_tables
 from trendframe.operators import dictionary as d
 from trendframe.operators.intervals import calendar_intervals
-from trendframe.operators.joins import few_keys
+from trendframe.operators.joins import key_filter
 from trendframe.operators.progress import daily_facts, progress_by_calendar, progress_by_interval
 from trendframe.operators.trend import trend_chain
 from trendframe.plans.queries import QUERIES
@@ -194,11 +194,14 @@ def test_one_object_with_most_events_is_split(spark, conf):
     assert "skew=true" in plan
 
 
-def test_keys_are_broadcast_only_within_the_limit(spark, conf):
+def test_keys_are_broadcast_only_within_the_limit(spark, tmp_path, conf):
     conf(**NO_BROADCAST)
-    rows = spark.range(100).withColumnRenamed("id", "k")
-    keys = spark.range(10).union(spark.range(10)).withColumnRenamed("id", "k")
-    few = few_keys(keys, ["k"], limit=10)
-    kept = rows.join(few, "k", "left_semi")
-    assert kept.count() == 10 and "BroadcastHashJoin" in plan_of(kept)
-    assert few_keys(keys, ["k"], limit=9) is None
+    spark.range(100).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    keys = spark.range(10, 20).union(spark.range(10, 20)).withColumnRenamed("id", "k")
+    kept = key_filter(keys, "k", limit=10)(rows)
+    plan = plan_of(kept)
+    assert kept.count() == 10 and "BroadcastHashJoin" in plan
+    assert "GreaterThanOrEqual(k,10), LessThanOrEqual(k,19)" in plan
+    assert key_filter(keys, "k", limit=9) is None
+    assert key_filter(keys.limit(0), "k")(rows).count() == 0

@@ -6,7 +6,7 @@ import pytest
 from tests.helpers import day, make_tables, rows
 from tests.test_progress import random_tables
 from trendframe.operators import refresh
-from trendframe.operators.joins import few_keys
+from trendframe.operators.joins import key_filter
 from trendframe.operators.refresh import affected_works, change_log, current_rows, replace_by_key
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
 from trendframe.schemas import REAL_CHANGE
@@ -104,7 +104,7 @@ def canonical(df):
 @pytest.mark.parametrize("seed, few", [(0, True), (1, False)])
 def test_refresh_equals_a_full_recompute(spark, tmp_path, monkeypatch, seed, few):
     if not few:  # more activities than may be broadcast
-        monkeypatch.setattr(refresh, "few_keys", lambda keys, on: few_keys(keys, on, limit=0))
+        monkeypatch.setattr(refresh, "key_filter", lambda keys, key: key_filter(keys, key, limit=0))
     rng = random.Random(seed)
     data = random_tables(rng)
     before = make_tables(spark, **data)
@@ -131,6 +131,11 @@ def test_stream_over_several_batches(spark, tmp_path):
         query.awaitTermination()
         want = canonical(forecast_calendar(make_tables(spark, **data)))
         assert canonical(trend_stream.results(spark, store)) == want
+    # Compacted, the same results and measurements carry on in a new place.
+    target = str(tmp_path / "compacted")
+    moved = trend_stream.compact(t, store, target)
+    assert canonical(trend_stream.results(spark, target)) == want
+    assert canonical(forecast_calendar(moved)) == want
     # A replay of the last batch changes nothing.
     trend_stream.apply_batch(batch, 1, t, store, plan=forecast_calendar)
     assert canonical(trend_stream.results(spark, store)) == want

@@ -1,0 +1,44 @@
+from types import SimpleNamespace
+
+import pytest
+
+from tests.helpers import day, one_work, rows
+from trendframe.schemas import TABLES
+from trendframe.session import scratch_dir
+from trendframe.sources import normalise, read_tables, write_tables
+
+
+def test_source_names_and_types(spark):
+    foreseen = spark.sql("SELECT 1 AS id_qualitative_activity, TIMESTAMP'2023-01-31 08:00:00' AS id_term_date, 0.25 AS id_foreseen_progress")
+    out = normalise("foreseen_progress", foreseen)
+    assert out.schema.simpleString() == TABLES["foreseen_progress"].simpleString()
+    assert (out.first().id_term_date, float(out.first().foreseen_fraction)) == (day("2023-01-31"), 0.25)
+    calendar = spark.sql("SELECT 1 AS SDC_COD, 2 AS id_input_data, DATE'2023-01-31' AS calendar_period")
+    assert normalise("calendar", calendar).columns == TABLES["calendar"].names
+
+
+def test_tables_survive_a_round_trip(spark, tmp_path):
+    d = day("2023-01-31")
+    t = one_work(spark, [d], [(d, "0.1")], [(d, 3)])
+    write_tables(t, str(tmp_path))
+    back = read_tables(spark, str(tmp_path))
+    for name in TABLES:
+        assert rows(getattr(back, name)) == rows(getattr(t, name))
+
+
+def fake(master, shared=None):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+def test_scratch_is_below_the_shared_folder():
+    a, b = (scratch_dir(fake("yarn", "hdfs:///shared/"), "x") for _ in range(2))
+    assert a.startswith("hdfs:///shared/x-") and a != b
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(fake("yarn"), "x")
+    assert "trendframe-" in scratch_dir(fake("local[2]"), "x")

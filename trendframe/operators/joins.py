@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,21 @@ from pyspark.sql import functions as F
 BROADCAST_KEYS = 1_000_000
 
 
-def few_keys(keys: DataFrame, on: list[str], limit: int = BROADCAST_KEYS) -> DataFrame | None:
-    """The distinct ``keys`` marked for broadcast, or None if there are more than ``limit``.
+def key_filter(
+    keys: DataFrame, key: str, limit: int = BROADCAST_KEYS
+) -> Callable[[DataFrame], DataFrame] | None:
+    """A function keeping the rows whose ``key`` is among ``keys``, by a broadcast; None if too many.
 
-    They are counted first, up to ``limit + 1`` of them, so what is broadcast has a known size.
+    The distinct keys are counted first, up to ``limit + 1`` of them, so what is broadcast has a known
+    size. Their range is known then too: as a plain predicate it reaches the scan, where it skips the row
+    groups of other keys in files sorted by the key.
     """
-    keys = keys.select(*on).distinct()
-    return F.broadcast(keys) if keys.limit(limit + 1).count() <= limit else None
+    keys = keys.select(key).distinct()
+    n, low, high = keys.limit(limit + 1).agg(F.count(key), F.min(key), F.max(key)).first()
+    if n > limit:
+        return None
+
+    def only(rows: DataFrame) -> DataFrame:
+        return rows.filter(F.col(key).between(low, high)).join(F.broadcast(keys), key, "left_semi")
+
+    return only

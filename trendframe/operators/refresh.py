@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.operators.joins import few_keys
+from trendframe.operators.joins import key_filter
 from trendframe.schemas import ACTIVITY, REAL_ID, SCHEDULE, TABLES, WORK
 from trendframe.sources import Tables
 
@@ -93,11 +93,10 @@ def restrict(t: Tables, log: DataFrame, works: DataFrame, folder: str) -> Tables
         return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
     activity = stored("qualitative_activity", t.qualitative_activity.join(schedule, SCHEDULE, "left_semi"))
-    few = few_keys(activity, [ACTIVITY])
-    if few is None:
+    only = key_filter(activity, ACTIVITY)
+    if only is None:
         foreseen, real = t.foreseen_progress, current_rows(t.real_progress, log)
     else:
-        only = lambda df: df.join(few, ACTIVITY, "left_semi")
         foreseen = stored("foreseen_progress", only(t.foreseen_progress))
         real = stored("real_progress", current_rows(only(t.real_progress), only(log)))
     return replace(

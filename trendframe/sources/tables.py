@@ -43,8 +43,7 @@ def read_tables(spark: SparkSession, location: str) -> Tables:
 def write_tables(tables: Tables, location: str) -> None:
     """Write every table as Parquet, the two fact tables sorted by activity within each file.
 
-    The sort keeps row-group statistics narrow, so a refresh that asks for few activities skips most
-    of the data.
+    The range of the activities that a refresh asks for then skips row groups of each file.
     """
     for f in fields(Tables):
         df = getattr(tables, f.name)

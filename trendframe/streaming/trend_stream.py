@@ -6,14 +6,16 @@ touched, ``scope`` their activities and facts, ``results`` the versions of the r
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from trendframe.operators.refresh import restrict
+from trendframe.operators.refresh import current_rows, restrict
 from trendframe.plans.forecast import forecast, stored_changes
-from trendframe.schemas import CHANGE_LOG, REAL_CHANGE, TREND, WORK
+from trendframe.schemas import ACTIVITY, CHANGE_LOG, REAL_CHANGE, TABLES, TREND, WORK
 from trendframe.sources import Tables
 from trendframe.sources.versioned import FIRST, read_latest, write_version
 
@@ -23,6 +25,11 @@ def initialise(t: Tables, store: str, plan=forecast) -> None:
     write_version(plan(t), t.civil_work.select(WORK), f"{store}/results", FIRST)
 
 
+def _log(spark: SparkSession, store: str) -> DataFrame:
+    schema = T.StructType([*CHANGE_LOG.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(schema).parquet(f"{store}/log")
+
+
 def apply_batch(changes: DataFrame, batch_id: int, t: Tables, store: str, plan=forecast) -> None:
     """Log one batch of changes and write a new version of the works it touches.
 
@@ -31,11 +38,7 @@ def apply_batch(changes: DataFrame, batch_id: int, t: Tables, store: str, plan=f
     spark = changes.sparkSession
     batch = f"batch_id={batch_id}"
     _, works = stored_changes(changes, t, f"{store}/log/{batch}", f"{store}/works/{batch}")
-    log = (
-        spark.read.schema(T.StructType([*CHANGE_LOG.fields, T.StructField("batch_id", T.LongType())]))
-        .parquet(f"{store}/log")
-        .filter(F.col("batch_id") <= batch_id)
-    )
+    log = _log(spark, store).filter(F.col("batch_id") <= batch_id)
     fresh = plan(restrict(t, log, works, f"{store}/scope/{batch}"))
     write_version(fresh, works, f"{store}/results", batch_id)
 
@@ -56,3 +59,17 @@ def results(spark: SparkSession, store: str) -> DataFrame:
 
 def change_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(REAL_CHANGE).parquet(path)
+
+
+def compact(t: Tables, store: str, target: str) -> Tables:
+    """Start ``target`` from the state of ``store``, without its log and old versions.
+
+    Writes the measurements after all logged changes and the current results; a stream that goes on
+    with ``target`` and the returned tables reads only these. For between two runs of the stream.
+    """
+    spark = t.real_progress.sparkSession
+    current = current_rows(t.real_progress, _log(spark, store))
+    current.sortWithinPartitions(ACTIVITY).write.mode("overwrite").parquet(f"{target}/real_progress")
+    write_version(results(spark, store), t.civil_work.select(WORK), f"{target}/results", FIRST)
+    real = spark.read.schema(TABLES["real_progress"]).parquet(f"{target}/real_progress")
+    return replace(t, real_progress=real)
