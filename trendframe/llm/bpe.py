@@ -146,33 +146,28 @@ class Codec:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
-        self._known: dict[str, np.ndarray] = {}
+        self._known: dict[str, bytes] = {}
         self._pieces = Pieces(self._encode_all)
 
-    def pre_token(self, text: str) -> np.ndarray:
+    def pre_token(self, text: str) -> bytes:
         ids = self._known.get(text)
         if ids is None:
             data = text.encode()
             whole = self.vocabulary.ranks.get(data)  # a pre-token that is a token is that token
-            ids = np.array([whole] if whole is not None else PrefixTable(self.vocabulary, data).ids(), dtype=np.uint32)
+            ids = np.array([whole] if whole is not None else PrefixTable(self.vocabulary, data).ids(), dtype="<u4").tobytes()
             if len(self._known) >= KEPT:
                 self._known.clear()
             self._known[text] = ids
         return ids
 
-    def _encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        empty = np.empty(0, dtype=np.uint32)
-        out = []
-        for text in texts:
-            found = [self.pre_token(m) for m in self.pattern.findall(text)]
-            out.append(found[0] if len(found) == 1 else np.concatenate(found) if found else empty)
-        return out
+    def _encode_all(self, texts: list[str]) -> list[bytes]:
+        return [b"".join(map(self.pre_token, self.pattern.findall(text))) for text in texts]
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(ids, dtype="<u4") for ids in self._pieces(texts)]
 
     def encode(self, text: str) -> list[int]:
-        return np.concatenate([np.empty(0, np.uint32), *self._encode_all([text])]).tolist()
+        return np.frombuffer(self._encode_all([text])[0], dtype="<u4").tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +38,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with about ``SLICE_CHARS`` of text each, and their texts (null: empty)."""
     start = size = 0
     lengths = [n or 0 for n in pc.utf8_length(batch.column(column)).to_pylist()]
@@ -52,7 +51,7 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[tuple[pa.Rec
         yield _slice(batch, column, start, len(lengths))
 
 
-def _slice(batch: pa.RecordBatch, column: str, start: int, end: int) -> tuple[pa.RecordBatch, list[str]]:
+def _slice(batch: pa.RecordBatch, column: str | int, start: int, end: int) -> tuple[pa.RecordBatch, list[str]]:
     part = batch.slice(start, end - start)
     return part, [t or "" for t in part.column(column).to_pylist()]
 
@@ -94,11 +93,11 @@ class Pieces:
     A piece is a space with what follows up to the next space. Splitters that attach a single space to the
     word after it never match over such a cut if the characters on both sides are no white space, so
     pieces are encoded independently; a text with any other white space next to a space is encoded whole.
-    ``encode`` takes strings and returns the ids of each as an array of 32-bit integers. At most ``limit``
+    ``encode`` takes strings and returns the ids of each as little-endian 32-bit integers. At most ``limit``
     pieces are kept; then the store starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 700_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes | None] = {}
 
@@ -112,13 +111,13 @@ class Pieces:
             missing = set().union(*(p[1:] for p in split))
         known.update(dict.fromkeys(p for p in missing if not p or p[0].isspace() or p[-1].isspace()))
         new = [p for p in missing if p not in known]
-        known.update(zip(new, (a.astype("<u4").tobytes() for a in self.encode([" " + p for p in new])), strict=True))
+        known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
         heads = self.encode([p[0] for p in split])
         out: list[bytes] = []
         for text, parts, head in zip(texts, split, heads, strict=True):
             ids = [known[p] for p in parts[1:]]
             if None in ids or parts[0][-1:].isspace():
-                out.append(self.encode([text])[0].astype("<u4").tobytes())
+                out.append(self.encode([text])[0])
             else:
-                out.append(head.astype("<u4").tobytes() + b"".join(ids))
+                out.append(head + b"".join(ids))
         return out

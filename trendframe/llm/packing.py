@@ -67,14 +67,17 @@ class _Encoder:
             self.bytes_of[i] = len(token)
         self.pieces = Pieces(self.joined)
 
-    def whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def arrays(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def joined(self, pieces: list[str]) -> list[np.ndarray]:
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [a.tobytes() for a in self.arrays(texts)]
+
+    def joined(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, encoded many at a time where each begins with a space and is cut off by the next."""
         if not pieces or not all(p[:1] == " " for p in pieces):
             return self.whole(pieces)
-        out: list[np.ndarray] = []
+        out: list[bytes] = []
         start = size = 0
         for i, p in enumerate(pieces):
             size += len(p)
@@ -83,17 +86,18 @@ class _Encoder:
                 start, size = i + 1, 0
         return out
 
-    def _cut(self, pieces: list[str]) -> list[np.ndarray]:
-        ids = self.whole(["".join(pieces)])[0]
+    def _cut(self, pieces: list[str]) -> list[bytes]:
+        ids = self.arrays(["".join(pieces)])[0]
         ends = np.cumsum(self.bytes_of[ids])
         cuts = np.cumsum([len(p.encode()) for p in pieces])
         at = np.searchsorted(ends, cuts)
         if at[-1] >= len(ends) or not np.array_equal(ends[at], cuts):
             return self.whole(pieces)
-        return np.split(ids, at[:-1] + 1)
+        data, ends = ids.tobytes(), (4 * (at + 1)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.pieces(texts) if self.by_pieces else [a.astype("<u4").tobytes() for a in self.whole(texts)]
+        return self.pieces(texts) if self.by_pieces else self.whole(texts)
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:

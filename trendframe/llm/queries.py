@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendframe.llm import bpe, packing
+from trendframe.llm import bpe, host_rules, jaccard_join, langid, packing, pii, resampling, secret_scan, syncmers, warc
 from trendframe.llm.common import table
+from trendframe.session import scratch_dir
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,14 +18,113 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made, normal = scratch_dir(spark, "warc"), scratch_dir(spark, "warc-members")
+    warc.write(table(spark, sf_dir, "pages"), made)
+    return warc.read(warc.normalise(spark, made, normal)).drop("uri")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(secret_scan.count_of(k).alias(f"n_{k}") for k in secret_scan.BASE),
+        F.sha2(secret_scan.joined(secret_scan.BASE), 256).alias("base_sha256"), secret_scan.joined().alias("spans"),
+    )
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(table(spark, sf_dir, "documents"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *(secret_scan.count_of(k).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(secret_scan.joined(pii.BASE), 256).alias("base_sha256"), secret_scan.joined().alias("spans"),
+    )
+
+
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
+def op9_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
+    "op3_langid": op3_langid,
     "op4_bpe": op4_bpe,
+    "op5_secrets": op5_secrets,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_pii": op7_pii,
+    "op8_host_rules": op8_host_rules,
+    "op9_resampling": op9_resampling,
+    "op10_syncmers": op10_syncmers,
 }
 
-ORACLES: dict[str, str] = {}
+#: The digest of a payload and the smallest page with it say all.
+OP2_SQL = """
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN first <> coalesce(page_id, first - 1) THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN first <> coalesce(page_id, first - 1) THEN first END AS refers_to
+FROM f
+"""
+
+#: Windows by their words, not by hashes; the prior as in the operator.
+OP8_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+    FROM d
+), g AS (
+    SELECT r, i, ws[i : i + 4] AS gram FROM w, unnest(generate_series(1, len(ws) - 4)) AS u(i)
+), twice AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS c FROM g) WHERE c > 1
+), covered AS (
+    SELECT r, count(DISTINCT i + k) AS n FROM twice, unnest(generate_series(0, 4)) AS u(k) GROUP BY r
+), m AS (
+    SELECT doc_id, source, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+        (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+    FROM w LEFT JOIN covered c USING (r)
+), b AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m
+), h AS (
+    SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS x FROM b GROUP BY source
+), s AS (
+    SELECT count(*) AS hosts, sum(n)::DOUBLE AS n, sum(x) / sum(n) AS mean, sum(x * x / n) AS square FROM h
+), v AS (
+    SELECT *, mean * (1 - mean) AS within, square / n - mean * mean - mean * (1 - mean) * hosts / n AS between_hosts FROM s
+), p AS (
+    SELECT mean, CASE WHEN between_hosts > 0 THEN least(greatest(within / between_hosts - 1, 1), 1000) ELSE 1000 END AS strength FROM v
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND (h.x + mean * strength) / (h.n + strength) <= 0.5 AS kept
+FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source, p
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op8_host_rules": OP8_SQL}
