@@ -8,8 +8,8 @@ characters never seen. All n-grams of all languages are hashed into one sorted a
 language beside it, and searched by bisection.
 
 A text's language has the lowest cross-entropy per character. A text is rejected if it has no letter, or if
-its cross-entropy lies further above the language's usual one than any calibration document's did, by ``SLACK``;
-the distance is measured in units that shrink with the root of the text's length.
+its cross-entropy lies further above the language's usual one than any calibration document's did, by ``SLACK`` and
+``MARGIN``; the distance is measured in units that shrink with the root of the text's length.
 
 The models learn from about ``SAMPLE`` documents per language, a fifth of which calibrate; which ones is decided by a
 hash of the id. n-grams are counted by Spark; the driver gets the finished tables, whose size the
@@ -39,6 +39,10 @@ from trendframe.llm.common import map_texts, slices, stored
 ORDER = 4
 SAMPLE = 3000
 SLACK = 1.25
+#: Cross-entropy (nats per character) above the usual one that is no ground for rejection at any length.
+MARGIN = 0.5
+#: Distance that is always allowed, as few calibration documents tell little: six times a usual deviation of one character.
+LEAST_LIMIT = 10.0
 #: Characters after which further evidence no longer raises the score.
 SURE = 50
 #: Alphabet over which the rest of the lowest order is spread.
@@ -47,7 +51,7 @@ ALPHABET = 1 << 16
 KEPT_SCORES = 4_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
-_BASE = np.uint64(0x100000001B3)
+_BASE = 0x100000001B3
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -58,11 +62,11 @@ def _mixed(sums: np.ndarray, n: int) -> np.ndarray:
 
 def _sums(codes: np.ndarray) -> list[np.ndarray]:
     """For n = 0 to ``ORDER``, hash sums of the n codes that end at each place."""
-    out, power = [np.zeros(len(codes), np.uint64)], np.uint64(1)
+    out = [np.zeros(len(codes), np.uint64)]
     for n in range(ORDER):
+        power = np.uint64(pow(_BASE, n, 2**64))
         shifted = np.concatenate([np.zeros(min(n, len(codes)), np.uint64), codes[: max(len(codes) - n, 0)]])
         out.append(out[-1] + shifted * power)
-        power = power * _BASE
     return out
 
 
@@ -153,7 +157,7 @@ class Models:
         if not n:
             return True
         k = self.langs.index(lang)
-        return bool((entropy - self.usual[k]) * n**0.5 > self.limit[k])
+        return bool((entropy - self.usual[k] - MARGIN) * n**0.5 > self.limit[k])
 
 
 def words_of(text: str) -> list[str]:
@@ -271,7 +275,7 @@ def _calibrate(models: Models, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]
         mine = found[found.lang == lang]
         if len(mine):
             usual[k] = np.average(mine.entropy, weights=mine.n)
-            limit[k] = SLACK * max(float(((mine.entropy - usual[k]) * mine.n**0.5).max()), 1.0)
+            limit[k] = max(SLACK * float(((mine.entropy - usual[k]) * mine.n**0.5).max()), LEAST_LIMIT)
     return usual, limit
 
 

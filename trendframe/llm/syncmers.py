@@ -27,7 +27,7 @@ from trendframe.llm.common import as_docs, map_texts, slices
 
 K, S = 64, 16
 BLOCK = 1 << 20
-_BASE = np.uint64(0x100000001B3)
+_BASE = 0x100000001B3
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 _NULL = -(2**63)
 
@@ -40,7 +40,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def _doubled(h: np.ndarray, size: int, times: int) -> np.ndarray:
     """Hash sums of pieces of ``size * 2 ** times`` codes from those of ``size``."""
     for _ in range(times):
-        power = np.uint64(pow(int(_BASE), size, 2**64))
+        power = np.uint64(pow(_BASE, size, 2**64))
         h = h[: len(h) - size] + h[size:] * power
         size *= 2
     return h
