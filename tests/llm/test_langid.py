@@ -1,0 +1,122 @@
+"""Language models against definitions written plainly, accuracy on held-out documents, rejection, awkward rows."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from tests.llm.helpers import awkward, make_docs
+from trendframe.llm import langid
+from trendframe.llm.queries import op3_langid
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_probability(lang_grams, word):
+    """Interpolated Kneser-Ney by recursion over dictionaries, for one language."""
+    counts = {n: Counter() for n in range(1, langid.ORDER + 1)}
+    for g, c in lang_grams.items():
+        if len(g) == langid.ORDER or g[0] == " ":
+            counts[len(g)][g] += c
+    for n in range(langid.ORDER - 1, 0, -1):
+        for g in counts[n + 1]:
+            if n == 1 or g[1] != " ":
+                counts[n][g[1:]] += 1
+    discount = {}
+    for n, table in counts.items():
+        ones, twos = (sum(c == k for c in table.values()) + 0.5 for k in (1, 2))
+        discount[n] = ones / (ones + 2 * twos)
+    by_context = {n: defaultdict(list) for n in counts}
+    for n, table in counts.items():
+        for g, c in table.items():
+            by_context[n][g[:-1]].append(c)
+
+    def p(gram):
+        n = len(gram)
+        if n == 0:
+            return 1 / langid.ALPHABET
+        lower = p(gram[1:]) if n > 1 else p("")
+        seen = by_context[n].get(gram[:-1])
+        if not seen:
+            return lower
+        total = sum(seen)
+        return max(counts[n].get(gram, 0) - discount[n], 0) / total + discount[n] * len(seen) / total * lower
+
+    padded = f" {word} "
+    return sum(math.log(p(padded[max(0, e - langid.ORDER) : e])) for e in range(2, len(padded) + 1))
+
+
+def grams_of(words):
+    out = Counter()
+    for w in words:
+        padded = f" {w} "
+        for e in range(2, len(padded) + 1):
+            out[padded[max(0, e - langid.ORDER) : e]] += 1
+    return out
+
+
+def test_probabilities_follow_the_definition():
+    training = {"a": "the then that there other than at he the".split(), "b": "der die das dass drei die de".split()}
+    table = pd.DataFrame([(k, g, c) for k, words in training.items() for g, c in grams_of(words).items()], columns=["lang", "gram", "c"])
+    models = langid.fit_table(table, ["a", "b"])
+    words = ["the", "there", "dreist", "x", "thethe", "daß", "e"]
+    got = models.word_scores(words)
+    want = [[plain_probability(grams_of(training[k]), w) for k in "ab"] for w in words]
+    np.testing.assert_allclose(got, want, rtol=1e-9)
+    assert models.hashes.tolist() == sorted(models.hashes.tolist())
+    np.testing.assert_allclose(models.totals(words + words), 2 * np.sum(want, axis=0))
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    words = "the then that there other than at he the a".split()
+    models = langid.fit_table(pd.DataFrame([("a", g, c) for g, c in grams_of(words).items()], columns=["lang", "gram", "c"]), ["a"])
+    alphabet = sorted(set("".join(words)) | {" "})
+    known = {c: float(np.exp(plain_probability(grams_of(words), "t" + c)) ) for c in alphabet if c != " "}
+    assert models.word_scores(["t"])[0, 0] < 0 and all(0 < v < 1 for v in known.values())
+
+
+@pytest.fixture(scope="module")
+def predicted(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text")
+    return op3_langid(spark, SF).join(docs, "doc_id").toPandas()
+
+
+def test_held_out_documents(predicted):
+    assert [zlib.crc32(str(i).encode()) % 4 == 2 for i in predicted.doc_id] == predicted.held_out.tolist()
+    held = predicted[predicted.held_out]
+    assert len(held) > 100 and (held.lang == held.lang_pred).mean() > 0.99
+    assert predicted.score.between(0, 1).all() and predicted.rejected.mean() < 0.01
+
+
+def test_awkward_rows(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(300).collect()
+    rows = awkward() + [(1000 + r.doc_id, r.text, r.lang, r.source) for r in base]
+    docs = make_docs(spark, rows)
+    models = langid.fit(docs)
+    got = langid.predict(docs, models).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got if r.doc_id is not None}
+    for i in (3, 4, 5, 6):
+        assert (by_id[i].lang_pred, by_id[i].score, by_id[i].rejected) == ("und", 0.0, True)
+    assert not [r for r in got if r.doc_id is None and r.held_out]
+    assert {r.lang_pred for r in got} <= {"und", "en", "de", "fr", "es", "ja"}
+    kept = langid.keep(docs, models)
+    assert kept.schema == docs.schema
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in got if not r.rejected)
+
+
+def test_foreign_text_is_rejected(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(600).collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in base]
+    models = langid.fit(make_docs(spark, rows))
+    foreign = make_docs(spark, [(1, "Это обычный русский текст о погоде и природе. " * 5, None, None), (2, "qzxv wkqj zzxq vvkw qqjx " * 30, None, None)])
+    assert [r.rejected for r in langid.predict(foreign, models).collect()] == [True, True]
+
+
+def test_without_training_text(spark):
+    docs = make_docs(spark, [(1, "some words", None, None), (3, None, "en", None)])
+    assert {r.lang_pred for r in langid.predict(docs).collect()} == {"und"}
+    assert langid.predict(make_docs(spark, [])).count() == 0 and langid.keep(make_docs(spark, [])).count() == 0

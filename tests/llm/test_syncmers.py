@@ -1,0 +1,90 @@
+"""Anchors against the definition, in-order likeness, next documents over partitions, awkward rows."""
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import awkward, make_docs, prose
+from trendframe.llm import syncmers
+
+
+def plain_anchors(text):
+    """Every piece by itself."""
+    out = []
+    for k in range(len(text) - syncmers.K + 1):
+        piece = text[k : k + syncmers.K]
+        codes = np.array([ord(c) for c in piece], dtype=np.uint64)
+        inner = syncmers._mixed(syncmers._doubled(codes, 1, 4))
+        assert len(inner) == syncmers.K - syncmers.S + 1
+        if inner.min() in (inner[0], inner[-1]):
+            whole = syncmers._mixed(syncmers._doubled(codes, 1, 6))
+            assert len(whole) == 1
+            out.append(int(whole[0] >> np.uint64(32)))
+    return list(dict.fromkeys(out))
+
+
+@pytest.mark.parametrize("text", [prose(1, 200), "aé🙂" * 60, "x" * 200, prose(2, 12)[:64], prose(3, 60).upper()])
+def test_anchors(text):
+    plain = plain_anchors(text)
+    if plain:
+        assert syncmers.anchors(text).tolist() == plain
+    else:
+        assert len(syncmers.anchors(text)) == 1
+
+
+def test_blocks_do_not_matter(monkeypatch):
+    text = prose(4, 2000)
+    want = syncmers.anchors(text).tolist()
+    for block in (1, 100, 777):
+        monkeypatch.setattr(syncmers, "BLOCK", block)
+        assert syncmers.anchors(text if block > 1 else text[:500]).tolist() == (want if block > 1 else plain_anchors(text[:500]))
+
+
+def test_anchors_do_not_depend_on_the_context():
+    passage = prose(5, 100)
+    for around in (prose(6, 50) + " ", "", "é" * 37):
+        mine, whole = syncmers.anchors(passage), syncmers.anchors(around + passage + around)
+        assert set(mine.tolist()) <= set(whole.tolist())
+
+
+def test_likeness():
+    a = np.array([1, 2, 3, 4], np.uint32)
+    like = lambda x, y: syncmers.likeness(np.array(x, np.uint32), np.array(y, np.uint32))
+    assert like(a, a) == 1 and like([], []) == 1 and like(a, []) == 0 and like(a, [9]) == 0
+    assert like(a, [4, 3, 2, 1]) == 2 / 8 and like(a, [1, 9, 2, 3]) == 6 / 8 and like([1, 2, 3], [2, 3]) == 4 / 5
+
+
+def plain_compare(rows):
+    order = sorted(rows, key=lambda r: (-r[0] if r[0] is not None else float("inf"), r[1] or ""))
+    out = []
+    for k, (i, t, _, _) in enumerate(order):
+        t, n = t or "", order[(k + 1) % len(order)][1] or ""
+        half = len(t) // 2
+        edited = t[: len(t) - half] + n[:half]
+        marks, new, following = (syncmers.anchors(x) for x in (t, edited, n))
+        out.append((
+            i, len(t), hashlib.sha256(edited.encode()).hexdigest(), syncmers.as_text(marks), syncmers.as_text(new),
+            syncmers.likeness(marks, new), syncmers.likeness(marks, following),
+        ))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("partitions", ["1", "4", "40"])
+def test_next_documents(spark, conf, partitions):
+    conf(spark__sql__shuffle__partitions=partitions)
+    rows = awkward() + [(100 + 7 * k, prose(k, 20 + k), None, None) for k in range(60)] + [(10**15, "far", None, None)]
+    got = [tuple(r) for r in syncmers.compare(make_docs(spark, rows).repartition(5)).collect()]
+    assert sorted(got, key=str) == plain_compare(rows)
+
+
+def test_few_rows(spark):
+    assert syncmers.compare(make_docs(spark, [])).count() == 0
+    for rows in ([(1, "alone " * 30, None, None)], [(None, "x", None, None), (None, None, None, None)], [(7, "same", None, None)] * 5):
+        assert sorted((tuple(r) for r in syncmers.compare(make_docs(spark, rows)).collect()), key=str) == plain_compare(rows)
+
+
+def test_fingerprints(spark):
+    rows = awkward()
+    got = syncmers.fingerprints(make_docs(spark, rows)).collect()
+    assert sorted((str(r.doc_id), r.fingerprint) for r in got) == sorted((str(i), syncmers.as_text(syncmers.anchors(t or ""))) for i, t, _, _ in rows)

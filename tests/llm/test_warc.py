@@ -1,0 +1,105 @@
+"""Archives written and read back, against the pages; members, index, streams of one and many members."""
+
+import glob
+import gzip
+import hashlib
+import io
+
+import pytest
+
+from trendframe.llm import warc
+from trendframe.session import scratch_dir
+
+LONG = "<html>" + "é" * 80 + "</html>"
+PAGES = [
+    (5, "http://a/5", LONG), (3, "http://a/3", LONG), (9, None, LONG), (3, "http://a/again", LONG), (None, "u", LONG),
+    (1, "http://a/1\r\nX: y", "short"), (2, "http://a/2", "short"), (4, "http://a/4", None), (6, "", ""), (None, None, None),
+    (7, "http://a/7", "a\r\n\r\nWARC/1.1\r\n\r\nb" * 30), (8, "http://a/8", "z" * 3_000_000), (-1, "http://a/-1", "n" * 99),
+    (10, "http://a/10", "n" * 100), (11, "http://a/11", "n" * 100),
+]
+
+
+def make_pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", "y") for r in rows], "page_id long, url string, html string, payload string, first string")
+
+
+def expected(rows):
+    first = {}
+    for i, _, h in rows:
+        if i is not None:
+            first[h or ""] = min(first.get(h or "", i), i)
+    out = []
+    for i, _, h in rows:
+        data = (h or "").encode()
+        target = first.get(h or "") if len(data) >= 100 else None
+        revisit = target is not None and target != i
+        out.append((i, len(data), hashlib.sha256(data).hexdigest(), "revisit" if revisit else "response", target if revisit else None))
+    return sorted(out, key=str)
+
+
+@pytest.fixture(scope="module")
+def written(spark):
+    made, normal = scratch_dir(spark, "warc"), scratch_dir(spark, "members")
+    warc.write(make_pages(spark, PAGES).repartition(3), made)
+    return made, warc.normalise(spark, made, normal)
+
+
+def test_reads_back_what_was_written(written):
+    got = [(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read(written[1]).collect()]
+    assert sorted(got, key=str) == expected(PAGES)
+    stored = [(r.page_id, bytes(r.payload).decode()) for r in warc.read(written[1], payloads=True).collect() if r.record_type == "response"]
+    assert sorted(stored, key=str) == sorted(((e[0], h or "") for e, (_, _, h) in zip(
+        [next(x for x in expected(PAGES) if x[0] == i and x[2] == hashlib.sha256((h or "").encode()).hexdigest()) for i, _, h in PAGES],
+        PAGES, strict=True) if e[3] == "response"), key=str)
+
+
+def test_members_follow_the_index(written):
+    index = written[1].orderBy("path", "offset").collect()
+    assert len(index) == len(PAGES)
+    for path in {r.path for r in index}:
+        with open(path.removeprefix("file:"), "rb") as f:
+            data = f.read()
+        rows = [r for r in index if r.path == path]
+        assert [r.offset for r in rows] == [sum(x.length for x in rows[:k]) for k in range(len(rows))]
+        assert sum(r.length for r in rows) == len(data)
+        for r in rows:
+            record = gzip.decompress(data[r.offset : r.offset + r.length])
+            assert record.startswith(b"WARC/1.1\r\n") and record.endswith(b"\r\n\r\n")
+            assert r.record_id.encode() in record and "\n" not in r.uri
+
+
+def test_sources_are_single_streams(written):
+    for path in glob.glob(written[0].removeprefix("file:") + "/*.gz"):
+        with open(path, "rb") as f:
+            data = f.read()
+        reader = gzip.GzipFile(fileobj=io.BytesIO(data))
+        text = reader.read()
+        assert not text or data.count(b"\x1f\x8b\x08") >= 1 and text.startswith(b"WARC/1.1")
+
+
+def test_already_normal_archives_pass_again(spark, written):
+    folder = written[1].first().path.rsplit("/", 1)[0]
+    again = warc.normalise(spark, folder, scratch_dir(spark, "again"))
+    assert sorted((r.record_id, r.length) for r in again.collect()) == sorted((r.record_id, r.length) for r in written[1].collect())
+
+
+def test_empty_table(spark):
+    made, normal = scratch_dir(spark, "warc"), scratch_dir(spark, "members")
+    warc.write(make_pages(spark, []), made)
+    assert warc.read(warc.normalise(spark, made, normal)).count() == 0
+
+
+def test_streams_that_end_early_and_padding():
+    data = gzip.compress(b"a" * 5_000_000)
+    whole = warc._Inflated(io.BytesIO(data + b"\0" * 100 + gzip.compress(b"b") + b"\0" * 7))
+    assert b"".join(whole.blocks(5_000_001)) == b"a" * 5_000_000 + b"b" and not whole.more()
+    with pytest.raises(ValueError):
+        list(warc._Inflated(io.BytesIO(data[:-20])).blocks(5_000_000 + 1))
+
+
+def test_a_changed_payload_is_noticed():
+    with pytest.raises(ValueError):
+        warc._record(
+            b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Target-URI: u\r\nContent-Length: 9\r\n"
+            b"WARC-Payload-Digest: sha256:00\r\nX-Payload-Bytes: 3\r\n\r\nHTTP\r\n\r\nabc"
+        )
