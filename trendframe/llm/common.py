@@ -104,20 +104,22 @@ class Pieces:
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [t.split(" ") for t in texts]
+        heads = [parts.pop(0) for parts in split]
         known = self.known
-        missing = set().union(*(p[1:] for p in split)).difference(known)
+        missing = set().union(*split).difference(known)
         if len(known) + len(missing) > self.limit:
             known.clear()
-            missing = set().union(*(p[1:] for p in split))
-        known.update(dict.fromkeys(p for p in missing if not p or p[0].isspace() or p[-1].isspace()))
-        new = [p for p in missing if p not in known]
+            missing = set().union(*split)
+        unsafe = [p for p in missing if not p or p[0].isspace() or p[-1].isspace()]
+        known.update(dict.fromkeys(unsafe))
+        new = list(missing.difference(unsafe))
         known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
-        heads = self.encode([p[0] for p in split])
         out: list[bytes] = []
-        for text, parts, head in zip(texts, split, heads, strict=True):
-            ids = [known[p] for p in parts[1:]]
-            if None in ids or parts[0][-1:].isspace():
+        for text, parts, head, ids in zip(texts, split, heads, self.encode(heads), strict=True):
+            try:
+                if head[-1:].isspace():
+                    raise TypeError
+                out.append(ids + b"".join(map(known.__getitem__, parts)))
+            except TypeError:  # a piece that must not be cut off
                 out.append(self.encode([text])[0])
-            else:
-                out.append(head + b"".join(ids))
         return out

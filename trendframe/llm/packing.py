@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from trendframe.llm.common import Pieces, as_docs, slices, stored
 
 #: Strings that are encoded at a time are joined to about this many characters.
-JOIN_CHARS = 50_000
+JOIN_CHARS = 20_000
 _TOKENS = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
 )
@@ -68,7 +68,7 @@ class _Encoder:
         self.pieces = Pieces(self.joined)
 
     def arrays(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [a.tobytes() for a in self.arrays(texts)]
