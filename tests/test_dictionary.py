@@ -197,3 +197,14 @@ def test_stream_over_several_batches(spark, tmp_path):
         assert sorted(rows(dictionary_stream.current(spark, store)), key=repr) == flat(want)
     dictionary_stream.apply_batch(frame, 2, params, store)
     assert sorted(rows(dictionary_stream.current(spark, store)), key=repr) == flat(want)
+    # Compacted, with the stream's position: no old event is read again.
+    target = str(tmp_path / "compacted")
+    dictionary_stream.compact(spark, store, target)
+    dictionary_stream.start(raw, params, target, once=True, checkpoint=f"{store}/checkpoint").awaitTermination()
+    assert not (tmp_path / "compacted" / "events").exists()
+    assert sorted(rows(dictionary_stream.current(spark, target)), key=repr) == flat(want)
+
+
+def test_the_first_of_repeated_nodes_counts(spark):
+    twice = payload("CREATE_FUNCTION", "FUNCTION", "a").replace("</EVENT_INSTANCE>", "<ObjectName>b</ObjectName><EventType>DROP_X</EventType></EVENT_INSTANCE>")
+    assert rows(d.parse_events(spark.createDataFrame([(1, twice)], DDL_EVENT))) == [(1, "CREATE", "FUNCTION", "a")]

@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.helpers import day, make_tables, rows
+from trendframe import session
 from trendframe.operators import intervals as iv
 
 BASE = dt.date(2020, 1, 1)
@@ -41,10 +42,11 @@ def test_terms_sharing_a_calendar_give_distinct_intervals(spark):
     ]
 
 
-def test_previous_across_blocks(spark, monkeypatch):
-    monkeypatch.setattr(iv, "BLOCK_BITS", 2)
+@pytest.mark.parametrize("apart", [1, 2**21])
+def test_previous_across_blocks(spark, conf, apart):
+    conf(spark__sql__shuffle__partitions="7", spark__sql__adaptive__coalescePartitions__enabled="false")
     rng = random.Random(4)
-    data = [(g, o, rng.choice([None, *range(9)])) for g in (1, 2) for o in rng.sample(range(-50, 50), 40)]
+    data = [(g, o * apart, rng.choice([None, *range(9)])) for g in (1, 2) for o in rng.sample(range(-50, 50), 40)]
     df = spark.createDataFrame(data, "g long, o long, v long")
     got = {(r.g, r.o): r.p for r in iv.previous_in_group(df, "g", "o", "v", "p").collect()}
     for g in (1, 2):
@@ -54,6 +56,17 @@ def test_previous_across_blocks(spark, monkeypatch):
     assert len(got) == 80
 
 
+def test_blocks_hold_equally_many_rows_whatever_the_keys(spark, conf, monkeypatch):
+    """One calendar, keys 2 ** 21 apart: no task orders all of it."""
+    conf(spark__sql__shuffle__partitions="8", spark__sql__adaptive__coalescePartitions__enabled="false")
+    kept = []
+    monkeypatch.setattr(iv, "stored", lambda df, name: kept.append(session.stored(df, name)) or kept[-1])
+    df = spark.range(3000).selectExpr("0 as g", "id * 2097152 as o", "id as v")
+    assert iv.previous_in_group(df, "g", "o", "v", "p").filter("p = v - 1").count() == 2999
+    sizes = [r["count"] for r in kept[0].groupBy("_block").count().collect()]
+    assert len(sizes) > 4 and max(sizes) < 1000
+
+
 offset = st.integers(0, 80)
 spans = st.lists(st.tuples(st.one_of(st.none(), offset), offset), max_size=6)
 

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from tests.helpers import day, make_tables
 from trendframe.operators import dictionary as d
 from trendframe.operators.intervals import calendar_intervals
-from trendframe.operators.joins import key_filter
-from trendframe.operators.progress import daily_facts, progress_by_calendar, progress_by_interval
+from trendframe.operators import progress
+from trendframe.operators.progress import daily_facts, progress_by_calendar, progress_by_interval, top_activities
+from trendframe.operators.refresh import current_rows, restrict
 from trendframe.operators.trend import trend_chain
+from trendframe.plans.forecast import forecast
 from trendframe.plans.queries import QUERIES
-from trendframe.schemas import DICTIONARY_STATE
+from trendframe.schemas import CHANGE_LOG, DICTIONARY_STATE
 from trendframe.sources import read_tables, write_tables
 
 SF = "/root/testdata/sf0.001"
@@ -171,8 +173,7 @@ def test_one_work_with_most_activities(spark, conf, operator):
     conf(**SPLIT_EARLY)
     got, plan = collected(operator(t))
     assert got == want and len(got) == 8 * 3
-    # The calendar form has no skewed join to split: activities are summed per schedule first.
-    assert ("skew=true" in plan) == (operator is progress_by_interval)
+    assert "skew=true" in plan
 
 
 def test_one_object_with_most_events_is_split(spark, conf):
@@ -194,14 +195,100 @@ def test_one_object_with_most_events_is_split(spark, conf):
     assert "skew=true" in plan
 
 
-def test_keys_are_broadcast_only_within_the_limit(spark, tmp_path, conf):
-    conf(**NO_BROADCAST)
-    spark.range(100).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "rows"))
-    rows = spark.read.parquet(str(tmp_path / "rows"))
-    keys = spark.range(10, 20).union(spark.range(10, 20)).withColumnRenamed("id", "k")
-    kept = key_filter(keys, "k", limit=10)(rows)
-    plan = plan_of(kept)
-    assert kept.count() == 10 and "BroadcastHashJoin" in plan
-    assert "GreaterThanOrEqual(k,10), LessThanOrEqual(k,19)" in plan
-    assert key_filter(keys, "k", limit=9) is None
-    assert key_filter(keys.limit(0), "k")(rows).count() == 0
+def scans(plan: str, column: str) -> list[list[str]]:
+    """For each scan that reads ``column``: the lines of the nodes above it, from the scan up."""
+    lines, out = plan.split("\n"), []
+    depth_of = lambda line: len(re.match(r"[ :]*([+:]- )?", line).group())
+    for k, line in enumerate(lines):
+        if "FileScan" in line and column in line:
+            above, depth = [], depth_of(line)
+            for other in reversed(lines[:k]):
+                if depth_of(other) < depth:
+                    depth = depth_of(other)
+                    above.append(other)
+            out.append(above)
+    return out
+
+
+def first(nodes: list[str], *kinds: str) -> str:
+    return next(k for line in nodes for k in kinds if k in line)
+
+
+def test_measurements_are_cut_before_they_are_folded_or_shuffled(spark, stored, tmp_path):
+    """The refresh: with default settings the semi-join with touched activities comes first, however many there are."""
+    works = stored.civil_work.limit(3)
+    log = spark.createDataFrame([], CHANGE_LOG)
+    activity = stored.qualitative_activity.select("id_qualitative_activity")
+    cut = stored.real_progress.join(activity, "id_qualitative_activity", "left_semi")
+    (nodes,) = scans(plan_of(current_rows(cut, log)), "progress_date")
+    assert first(nodes, "LeftSemi", "Exchange", "Aggregate") == "LeftSemi"
+    assert not any("Aggregate" in line for line in nodes)  # only the log is grouped
+    restrict(stored, log, works, str(tmp_path))
+
+
+def test_calendar_base_reads_activities_of_current_schedules_only(spark, stored, conf):
+    """With default settings, each fact is cut by a semi-join before its first exchange."""
+    conf(spark__sql__adaptive__enabled="false")
+    plan = plan_of(progress_by_calendar(stored))
+    for column in ("id_term_date", "progress_date"):
+        (nodes,) = scans(plan, column)
+        assert first(nodes, "LeftSemi", "Exchange", "Aggregate") == "LeftSemi"
+    latest = stored.schedule.groupBy("id_civil_work").agg(F.max("id_schedule").alias("id_schedule"))
+    current = top_activities(stored).join(latest, "id_schedule")
+    facts = [stored.foreseen_progress, stored.real_progress]
+    kept = [f.join(current, "id_qualitative_activity", "left_semi").count() for f in facts]
+    df = daily_facts(stored, current)
+    df.collect()
+    assert metric(df._jdf.queryExecution().executedPlan(), "shuffleRecordsWritten") <= sum(kept) + current.count() * 20 < sum(f.count() for f in facts)
+
+
+def test_a_term_with_very_many_calendars(spark, conf):
+    """Its dates are counted before they are dealt by work: a row per work and date goes there."""
+    conf(spark__sql__adaptive__enabled="false")
+    dates = [day("2023-01-31"), day("2023-02-28"), day("2023-03-31")]
+    t = make_tables(
+        spark, civil_work=[(1,)], schedule=[(10, 1)], term=[(100, 1, 10)], qualitative_activity=[(1000, 10, 1)],
+        foreseen_progress=[(1000, x, "0.1") for x in dates], real_progress=[(1, 1000, 5, dates[0], 1)],
+    )
+    links = spark.range(20_000).select(F.lit(100).cast("long").alias("id_term"), F.col("id").alias("id_input_data"))
+    calendar = links.select(
+        F.col("id_input_data").alias("sdc_cod"), "id_input_data", F.explode(F.array(*(F.lit(x) for x in dates))).alias("calendar_period")
+    )
+    t = type(t)(**{**t.__dict__, "term_input_data": links, "calendar": calendar})
+    df = progress_by_calendar(t, fanout="join")
+    got = {r.period: float(r.foreseen_progress) for r in df.collect()}
+    assert got == {x: 200_000.0 for x in dates}
+    exchange = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(id_civil_work#\d+L, \d+\), REPARTITION", exchange)
+    assert sent_by_repartition(df._jdf.queryExecution().executedPlan()) == 3
+
+
+def sent_by_repartition(node) -> int:
+    """Rows written by exchanges that ``repartition`` asked for."""
+    own = 0
+    if "REPARTITION_BY_COL" in node.simpleString(10_000):
+        own = node.metrics().get("shuffleRecordsWritten").get().value()
+    children = node.children()
+    return own + sum(sent_by_repartition(children.apply(i)) for i in range(children.size()))
+
+
+def test_the_forecast_reads_each_fact_once(stored, monkeypatch):
+    """Its daily sums are stored; the rest of the plan reads only these."""
+    plans = []
+    keep = progress.stored
+    monkeypatch.setattr(progress, "stored", lambda df, name: plans.append(plan_of(df)) or keep(df, name))
+    whole = plan_of(forecast(stored))
+    for column in ("id_term_date", "progress_date"):
+        assert sum(len(scans(p, column)) for p in [*plans, whole]) == 1
+
+
+def test_parameters_of_other_objects_are_not_shuffled(spark, conf):
+    conf(spark__sql__adaptive__enabled="false")
+    events = spark.createDataFrame([(1, "CREATE", "FUNCTION", "f7")], "seq long, evento string, obj_tipo string, obj_nome string")
+    params = spark.range(20_000).selectExpr(
+        "concat('f', id) as routine_name", "'@a' as parameter_name", "'int' as data_type", "1 as ordinal"
+    )
+    for mode in ("each", "one"):
+        df = d.lookup_parameters(events, params, mode)
+        assert [r.param_nome for r in df.collect()] == ["@a"]
+        assert metric(df._jdf.queryExecution().executedPlan(), "shuffleRecordsWritten") <= 10

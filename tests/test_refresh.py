@@ -5,8 +5,6 @@ import pytest
 
 from tests.helpers import day, make_tables, rows
 from tests.test_progress import random_tables
-from trendframe.operators import refresh
-from trendframe.operators.joins import key_filter
 from trendframe.operators.refresh import affected_works, change_log, current_rows, replace_by_key
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
 from trendframe.schemas import REAL_CHANGE
@@ -101,10 +99,22 @@ def canonical(df):
     )
 
 
-@pytest.mark.parametrize("seed, few", [(0, True), (1, False)])
-def test_refresh_equals_a_full_recompute(spark, tmp_path, monkeypatch, seed, few):
-    if not few:  # more activities than may be broadcast
-        monkeypatch.setattr(refresh, "key_filter", lambda keys, key: key_filter(keys, key, limit=0))
+def test_rows_that_repeat_an_id_survive_a_change_to_another(spark, tmp_path):
+    real = [A, A, (2, 100, 5, FEB, 1)]
+    t = two_works(spark, real)
+    log = change_log(changes_of(spark, [(1, real[2], (2, 100, 5, FEB, 1))]))
+    got = sorted((r[0], r[1], float(r[4])) for r in current_rows(t.real_progress, log).collect())
+    assert got == [(1, 100, 10.0), (1, 100, 10.0), (2, 100, 1.0)]
+    # A change to the id itself replaces all rows that had it.
+    log = change_log(changes_of(spark, [(1, A, (1, 100, 5, JAN, 7))]))
+    got = sorted((r[0], r[1], float(r[4])) for r in current_rows(t.real_progress, log).collect())
+    assert got == [(1, 100, 7.0), (2, 100, 1.0)]
+
+
+@pytest.mark.parametrize("seed, broadcast", [(0, True), (1, False)])
+def test_refresh_equals_a_full_recompute(spark, tmp_path, conf, seed, broadcast):
+    if not broadcast:
+        conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
     rng = random.Random(seed)
     data = random_tables(rng)
     before = make_tables(spark, **data)
@@ -136,6 +146,17 @@ def test_stream_over_several_batches(spark, tmp_path):
     moved = trend_stream.compact(t, store, target)
     assert canonical(trend_stream.results(spark, target)) == want
     assert canonical(forecast_calendar(moved)) == want
+    # Going on there with the stream's position: nothing old is read again, and new changes are applied.
+    go_on = lambda: trend_stream.start(
+        trend_stream.change_stream(spark, source), moved, target, plan=forecast_calendar, once=True, checkpoint=f"{store}/checkpoint"
+    ).awaitTermination()
+    go_on()
+    assert not (tmp_path / "compacted" / "log").exists()
+    more = changes_of(spark, random_changes(rng, data, 8, 2000, activities))
+    more.coalesce(1).write.mode("append").parquet(source)
+    go_on()
+    assert sorted(p.name for p in (tmp_path / "compacted" / "log").iterdir()) == ["batch_id=2"]
+    assert canonical(trend_stream.results(spark, target)) == canonical(forecast_calendar(make_tables(spark, **data)))
     # A replay of the last batch changes nothing.
     trend_stream.apply_batch(batch, 1, t, store, plan=forecast_calendar)
     assert canonical(trend_stream.results(spark, store)) == want

@@ -77,3 +77,11 @@ def _matches(pattern: str, text: str) -> bool:
 def test_like_to_regex_without_sets(pattern, text):
     regex = like_to_regex(pattern).replace(r"\z", r"\Z")
     assert bool(re.match("(?s)" + regex, text)) == _matches(pattern, text)
+
+
+@pytest.mark.parametrize("pattern", ["ação", "[a]ção", "A[Ç]ão", "aÇÃ_", "[^b]ção%"])
+def test_like_folds_accented_letters_with_and_without_sets(spark, pattern):
+    df = spark.createDataFrame([("AÇÃO",), ("ação",), ("acao",)], "name string")
+    assert {r.name for r in df.filter(tsql_like("name", pattern)).collect()} == {"AÇÃO", "ação"}
+    exact = {r.name for r in df.filter(tsql_like("name", "[a]ção", case_sensitive=True)).collect()}
+    assert exact == {"ação"}

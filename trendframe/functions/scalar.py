@@ -52,5 +52,6 @@ def tsql_like(column, pattern: str, case_sensitive: bool = False) -> Column:
     column = _col(column)
     if "[" not in pattern and "\\" not in pattern:
         return column.like(pattern) if case_sensitive else column.ilike(pattern)
-    flags = "(?s)" if case_sensitive else "(?is)"
+    # Without "u", Java folds the case of ASCII letters only.
+    flags = "(?s)" if case_sensitive else "(?isu)"
     return column.rlike(flags + like_to_regex(pattern))

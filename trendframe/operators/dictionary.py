@@ -19,7 +19,8 @@ VALUES = ["param_nome", "param_tipo", "mensagem"]
 SNAPSHOT_MESSAGE = "Mensagem para o parâmetro "
 EVENT_MESSAGE = "Mensagem para "
 OBJECT_TYPES = ["FUNCTION", "PROCEDURE"]
-EVENT_XML = "EventType STRING, ObjectType STRING, ObjectName STRING"
+# Arrays, as a payload may repeat a node; the first one counts.
+EVENT_XML = "EventType ARRAY<STRING>, ObjectType ARRAY<STRING>, ObjectName ARRAY<STRING>"
 
 
 def dictionary_snapshot(params: DataFrame) -> DataFrame:
@@ -47,12 +48,13 @@ def parse_events(df: DataFrame) -> DataFrame:
     ``evento`` is the part of the event type before its first underscore: CREATE, ALTER or DROP.
     """
     e = F.from_xml("event_xml", EVENT_XML)
-    kind = F.col("e.ObjectType")
+    first = lambda field: F.get(f"e.{field}", F.lit(0))
+    kind = first("ObjectType")
     return df.select("seq", e.alias("e")).select(
         "seq",
-        F.substring_index("e.EventType", "_", 1).alias("evento"),
+        F.substring_index(first("EventType"), "_", 1).alias("evento"),
         F.when(kind.isin(OBJECT_TYPES), kind).alias("obj_tipo"),
-        F.col("e.ObjectName").alias("obj_nome"),
+        first("ObjectName").alias("obj_nome"),
     )
 
 
@@ -66,8 +68,12 @@ def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each")
     if mode not in ("each", "one"):
         raise ValueError(f"mode must be 'each' or 'one', not {mode!r}")
     on = ["seq", "_object"] if "seq" in params.columns else ["_object"]
-    found = params.withColumnRenamed("routine_name", "_object").select(
-        *on, "ordinal", F.col("parameter_name").alias("param_nome"), F.col("data_type").alias("param_tipo")
+    named = events.withColumn("_object", F.when(F.col("obj_tipo").isNotNull(), F.col("obj_nome")))
+    # Parameters of other objects go first: a left join could neither broadcast few events nor drop them.
+    found = (
+        params.withColumnRenamed("routine_name", "_object")
+        .join(named.select(*on).distinct(), on, "left_semi")
+        .select(*on, "ordinal", F.col("parameter_name").alias("param_nome"), F.col("data_type").alias("param_tipo"))
     )
     if mode == "one":
         first = F.min(F.struct("ordinal", "param_nome", "param_tipo")).alias("p")
@@ -76,8 +82,7 @@ def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each")
         F.lit(EVENT_MESSAGE), "obj_nome", F.lit("."), F.coalesce(F.col("param_nome"), F.lit(""))
     )
     return (
-        events.withColumn("_object", F.when(F.col("obj_tipo").isNotNull(), F.col("obj_nome")))
-        .join(found, on, "left")
+        named.join(found, on, "left")
         .select("seq", "evento", *OBJECT, "param_nome", "param_tipo", message.alias("mensagem"))
     )
 

@@ -6,22 +6,23 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendframe.schemas import INPUT, TERM, WORK
+from trendframe.session import stored
 from trendframe.sources import Tables
 
 # Days are counted as integers from 1970-01-01; this one stands for an open lower bound.
 OPEN = -(2**31)
-# A block of 2^20 consecutive calendar keys, the most one window task orders at a time.
-BLOCK_BITS = 20
 BIN_DAYS = 31
 
 
 def previous_in_group(df: DataFrame, group: str, order: str, value: str, out: str) -> DataFrame:
     """Add ``out``: ``value`` of the preceding row of ``group`` by the unique integer ``order``.
 
-    A plain ``lag`` over ``group`` would put a whole group into one task. Here rows are ordered within
-    blocks of ``order``, and only the last row of each block is ordered across blocks.
+    A plain ``lag`` over ``group`` would put a whole group into one task. Here rows are dealt by ranges of
+    (group, order) with about equally many rows, whatever the keys are, and stored with the number of their range.
+    They are ordered within it, and of each group only the last row of each range is ordered across.
     """
-    df = df.withColumn("_block", F.shiftright(F.col(order), BLOCK_BITS))
+    ranges = df.repartitionByRange(group, order).withColumn("_block", F.spark_partition_id())
+    df = stored(ranges, "ranges")
     in_block = Window.partitionBy(group, "_block").orderBy(order)
     across = Window.partitionBy(group).orderBy("_block")
     carried = (
@@ -42,7 +43,7 @@ def interval_rows(t: Tables) -> DataFrame:
     owner = t.term.join(t.civil_work, WORK, "left_semi").select(TERM, WORK)
     used = t.term_input_data.join(owner, TERM).select(WORK, INPUT).distinct()
     bounds = (
-        previous_in_group(t.calendar, INPUT, "sdc_cod", "calendar_period", "interval_start")
+        previous_in_group(t.calendar.select(INPUT, "sdc_cod", "calendar_period"), INPUT, "sdc_cod", "calendar_period", "interval_start")
         .select(INPUT, "interval_start", F.col("calendar_period").alias("interval_end"))
         .distinct()
     )

@@ -21,6 +21,7 @@ from trendframe.operators.intervals import (
 )
 from trendframe.operators.latest import latest_by
 from trendframe.schemas import ACTIVITY, INPUT, SCHEDULE, TERM, WORK
+from trendframe.session import stored
 from trendframe.sources import Tables
 
 BASE_KEYS = [WORK, SCHEDULE, TERM, "period"]
@@ -91,11 +92,12 @@ def _dated_real(t: Tables) -> DataFrame:
     ).filter(F.col("period").isNotNull())
 
 
-def daily_facts(t: Tables) -> DataFrame:
+def daily_facts(t: Tables, activities: DataFrame | None = None) -> DataFrame:
     """Both fact tables summed per (activity, period), by one aggregate over their union.
 
     ``fraction`` counts millionths, ``percentage`` ten-thousandths of a percent; a sum is NULL where
-    nothing was measured. ``n_foreseen`` and ``n_real`` count rows.
+    nothing was measured. ``n_foreseen`` and ``n_real`` count rows, ``n_measured`` measurements with a value. With
+    ``activities`` only their rows are summed; they are selected before anything else is done.
     """
     none, one, zero = F.lit(None).cast("long"), F.lit(1).cast("long"), F.lit(0).cast("long")
     foreseen = _dated_foreseen(t).withColumns(
@@ -103,19 +105,25 @@ def daily_facts(t: Tables) -> DataFrame:
     )
     real = _dated_real(t).withColumns({"fraction": none, "n_foreseen": zero, "n_real": one})
     measures = ("fraction", "percentage", "n_foreseen", "n_real")
-    return (
-        foreseen.unionByName(real)
-        .groupBy(ACTIVITY, "period")
-        .agg(*(F.sum(m).alias(m) for m in measures))
-    )
+    rows = foreseen.unionByName(real)
+    if activities is not None:
+        rows = rows.join(activities.select(ACTIVITY), ACTIVITY, "left_semi")
+    sums = (F.sum(m).alias(m) for m in measures)
+    return rows.groupBy(ACTIVITY, "period").agg(*sums, F.count("percentage").alias("n_measured"))
+
+
+def stored_daily_facts(t: Tables) -> DataFrame:
+    """``daily_facts`` of all top activities, stored: for plans that need them several times."""
+    return stored(daily_facts(t, top_activities(t)), "daily-facts")
 
 
 def calendar_progress(
-    t: Tables, term_orders: Sequence[tuple[str, ...]], fanout: str = "collapse"
+    t: Tables, term_orders: Sequence[tuple[str, ...]], fanout: str = "collapse", daily: DataFrame | None = None
 ) -> DataFrame:
     """``progress_by_calendar`` for several choices of the latest term in one pass.
 
-    ``base`` is the position of the choice in ``term_orders``.
+    ``base`` is the position of the choice in ``term_orders``. Without ``daily`` (``stored_daily_facts``), the facts
+    are cut down to the activities of current schedules before they are summed.
     """
     _check_fanout(fanout)
     if len(term_orders) == 1:
@@ -127,31 +135,31 @@ def calendar_progress(
     if fanout == "join":
         foreseen = foreseen.cast("decimal(19,0)") * F.greatest(F.col("n_real"), F.lit(1))
         accomplished = accomplished.cast("decimal(19,0)") * F.col("n_foreseen")
+    activities = top_activities(t).join(current, SCHEDULE, "left_semi")
     # Activities are summed into their schedule before it is looked up, so a schedule with very many
     # activities is one row per date by then.
     by_schedule = (
-        daily_facts(t)
+        (daily_facts(t, activities) if daily is None else daily)
         .filter(F.col("n_foreseen") > 0)
-        .join(top_activities(t), ACTIVITY)
+        .join(activities, ACTIVITY)
         .groupBy(SCHEDULE, "period")
         .agg(F.sum(foreseen).alias("foreseen"), F.sum(accomplished).alias("accomplished"))
     )
-    # The calendar is matched on (calendar, date), one row per work and period, so a calendar shared
-    # by many works is never expanded for each of them.
-    links = t.term_input_data.groupBy(TERM, INPUT).agg(F.count(F.lit(1)).alias("n_links"))
+    # The dates of a term are counted over all its calendars, combined before they are shuffled, so a
+    # term with very many calendars is one row per date when its work is joined.
+    links = t.term_input_data.join(current, TERM, "left_semi").groupBy(TERM, INPUT).agg(F.count(F.lit(1)).alias("n_links"))
     dates = t.calendar.groupBy(INPUT, F.col("calendar_period").cast("date").alias("period")).agg(
         F.count(F.lit(1)).alias("n_dates")
     )
+    term_dates = (
+        links.join(dates, INPUT)
+        .groupBy(TERM, "period")
+        .agg(F.sum(F.col("n_links") * F.col("n_dates")).alias("n_calendar"))
+    )
     matched = (
-        by_schedule.join(current.join(links, TERM), SCHEDULE)
-        .join(dates, [INPUT, "period"])
-        .repartition(WORK)  # serves this aggregate and the windows of the trend stages
-        .groupBy("base", *BASE_KEYS)
-        .agg(
-            F.max("foreseen").alias("foreseen"),
-            F.max("accomplished").alias("accomplished"),
-            F.sum(F.col("n_links") * F.col("n_dates")).alias("n_calendar"),
-        )
+        by_schedule.join(current, SCHEDULE)
+        .join(term_dates, [TERM, "period"])
+        .repartition(WORK)  # serves the windows of the trend stages
     )
     times = F.col("n_calendar") if fanout == "join" else F.lit(1)
     return matched.select(
@@ -175,7 +183,7 @@ def progress_by_calendar(
     return calendar_progress(t, [latest_term_by], fanout).drop("base")
 
 
-def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
+def progress_by_interval(t: Tables, fanout: str = "collapse", daily: DataFrame | None = None) -> DataFrame:
     """(work, period, foreseen_progress, accomplished_progress) over all schedules and terms.
 
     Each foreseen date is a period; its accomplished progress is what its activities measured in the
@@ -184,13 +192,25 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
 
     The sum over ``(lo, hi]`` is a difference of running sums at ``hi`` and ``lo``: measurements and
     the two ends of each period are ordered by day within an activity, in one window. Measurements,
-    the larger table as a rule, are shuffled for their daily sums and for that window only.
+    the larger table as a rule, are shuffled for their daily sums and for that window only. With ``daily``
+    (``stored_daily_facts``) neither fact table is read again.
     """
     _check_fanout(fanout)
     owners = t.schedule.select(SCHEDULE, WORK).join(t.civil_work, WORK, "left_semi")
     activities = top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, WORK)
-    foreseen = _dated_foreseen(t)
-    points = foreseen.select(ACTIVITY, "period").distinct().join(activities, ACTIVITY).select(WORK, "period")
+    if daily is None:
+        planned = (
+            _dated_foreseen(t)
+            .groupBy(ACTIVITY, "period")
+            .agg(F.sum("fraction").alias("fraction"), F.count(F.lit(1)).alias("n_foreseen"))
+        )
+        sums = (F.sum("percentage").alias("percentage"), F.count("percentage").alias("n_measured"), F.count(F.lit(1)).alias("n_real"))
+        actual = _dated_real(t).groupBy(ACTIVITY, "period").agg(*sums)
+    else:
+        planned = daily.filter("n_foreseen > 0").select(ACTIVITY, "period", "fraction", "n_foreseen")
+        actual = daily.filter("n_real > 0").select(ACTIVITY, "period", "percentage", "n_measured", "n_real")
+    planned = planned.join(activities, ACTIVITY)
+    points = planned.select(WORK, "period")
     if fanout == "collapse":
         spans = covering_span(points, interval_rows(t))
     else:
@@ -202,23 +222,13 @@ def progress_by_interval(t: Tables, fanout: str = "collapse") -> DataFrame:
         )
     )
     probes = (
-        foreseen.groupBy(ACTIVITY, "period")
-        .agg(F.sum("fraction").alias("fraction"), F.count(F.lit(1)).alias("n_foreseen"))
-        .join(activities, ACTIVITY)
-        .join(spans, [WORK, "period"])
+        planned.join(spans, [WORK, "period"])
         .select("*", ends.alias("e"))
         .select(ACTIVITY, WORK, "period", "lo", "hi", "fraction", "n_foreseen", "e.pos", "e.sign")
         .repartition(ACTIVITY)
     )
     measured = (
-        _dated_real(t)
-        .groupBy(ACTIVITY, "period")
-        .agg(
-            F.sum("percentage").alias("percentage"),
-            F.count("percentage").alias("n_measured"),
-            F.count(F.lit(1)).alias("n_real"),
-        )
-        .repartition(ACTIVITY)
+        actual.repartition(ACTIVITY)
         .join(activities.select(ACTIVITY), ACTIVITY, "left_semi")
         .select(
             ACTIVITY, F.unix_date("period").alias("pos"), F.lit(0).alias("sign"),

@@ -7,8 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.operators.joins import key_filter
-from trendframe.schemas import ACTIVITY, REAL_ID, SCHEDULE, TABLES, WORK
+from trendframe.schemas import ACTIVITY, INPUT, REAL_ID, SCHEDULE, TABLES, TERM, WORK
 from trendframe.sources import Tables
 
 REAL_COLUMNS = [f.name for f in TABLES["real_progress"].fields]
@@ -58,53 +57,53 @@ def change_log(changes: DataFrame) -> DataFrame:
 def current_rows(real: DataFrame, log: DataFrame) -> DataFrame:
     """The measurements after all log entries.
 
-    ``log`` may carry ``batch_id``; entries are ordered by it, then by ``seq``. Both inputs may be cut
-    down to some activities beforehand.
+    A row of ``real`` counts unless the log names its activity and id; of each pair that it names the
+    newest entry counts, if that is a live one. Only the log is grouped, so rows of ``real`` may repeat. ``log`` may carry
+    ``batch_id``; entries are ordered by it, then by ``seq``. Both inputs may be cut down to some
+    activities beforehand.
     """
-    first = F.lit(-1).cast("long")
     if "batch_id" not in log.columns:
         log = log.withColumn("batch_id", F.lit(0).cast("long"))
     order = ["batch_id", "seq", "live"]
     rest = [c for c in REAL_COLUMNS if c not in (ACTIVITY, REAL_ID)]
-    entries = real.select(
-        first.alias("batch_id"), first.alias("seq"), F.lit(True).alias("live"), *REAL_COLUMNS
-    ).unionByName(log.select(*order, *REAL_COLUMNS))
-    newest = F.max(F.struct(*order, *rest)).alias("_n")
-    return (
-        entries.groupBy(ACTIVITY, REAL_ID)
-        .agg(newest)
-        .filter("_n.live")
-        .select(*(c if c in (ACTIVITY, REAL_ID) else F.col(f"_n.{c}").alias(c) for c in REAL_COLUMNS))
+    named = log.groupBy(ACTIVITY, REAL_ID).agg(F.max(F.struct(*order, *rest)).alias("_n"))
+    live = named.filter("_n.live").select(
+        *(c if c in (ACTIVITY, REAL_ID) else F.col(f"_n.{c}").alias(c) for c in REAL_COLUMNS)
     )
+    pair = F.col(f"r.{ACTIVITY}").eqNullSafe(F.col(f"n.{ACTIVITY}")) & F.col(f"r.{REAL_ID}").eqNullSafe(F.col(f"n.{REAL_ID}"))
+    untouched = real.alias("r").join(named.alias("n"), pair, "left_anti").select(*REAL_COLUMNS)
+    return untouched.unionByName(live)
 
 
 def restrict(t: Tables, log: DataFrame, works: DataFrame, folder: str) -> Tables:
-    """``t`` after the log, cut down to ``works``.
+    """``t`` after the log, cut down to ``works``; every table that is cut is written below ``folder``.
 
-    The activities of the works are written below ``folder``. If they are few enough to broadcast, they
-    filter each fact table in one scan, and its small copy is written too and read by every later step.
-    Otherwise the fact tables stay whole: the joins of the later steps select the rows.
+    Each fact table is read once: the range of the touched activities is pushed to its scan, where it skips the row
+    groups of others in files sorted by activity, and a semi-join keeps their rows. How that join is
+    done is the planner's choice by the size of the stored activities.
     """
     spark = works.sparkSession
-    schedule = t.schedule.join(works, WORK, "left_semi")
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
+    def kept(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{folder}/{name}")
         return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}")
 
-    activity = stored("qualitative_activity", t.qualitative_activity.join(schedule, SCHEDULE, "left_semi"))
-    only = key_filter(activity, ACTIVITY)
-    if only is None:
-        foreseen, real = t.foreseen_progress, current_rows(t.real_progress, log)
-    else:
-        foreseen = stored("foreseen_progress", only(t.foreseen_progress))
-        real = stored("real_progress", current_rows(only(t.real_progress), only(log)))
+    schedule = kept("schedule", t.schedule.join(works, WORK, "left_semi"))
+    term = kept("term", t.term.join(works, WORK, "left_semi"))
+    links = kept("term_input_data", t.term_input_data.join(term, TERM, "left_semi"))
+    activity = kept("qualitative_activity", t.qualitative_activity.join(schedule, SCHEDULE, "left_semi"))
+    low, high = activity.agg(F.min(ACTIVITY), F.max(ACTIVITY)).first()
+    keys = activity.select(ACTIVITY)
+    only = lambda df: df.filter(F.col(ACTIVITY).between(low, high)).join(keys, ACTIVITY, "left_semi")
     return replace(
         t,
         civil_work=t.civil_work.join(works, WORK, "left_semi"),
         schedule=schedule,
-        term=t.term.join(works, WORK, "left_semi"),
+        term=term,
+        term_input_data=links,
+        calendar=kept("calendar", t.calendar.join(links, INPUT, "left_semi")),
+        term_activity=kept("term_activity", t.term_activity.join(term, TERM, "left_semi")),
         qualitative_activity=activity,
-        foreseen_progress=foreseen,
-        real_progress=real,
+        foreseen_progress=kept("foreseen_progress", only(t.foreseen_progress).select(*TABLES["foreseen_progress"].names)),
+        real_progress=kept("real_progress", current_rows(only(t.real_progress), only(log))),
     )

@@ -6,8 +6,11 @@ quarter, planned progress from prices and measured progress from discounted pric
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +18,9 @@ from trendframe.schemas import ACTIVITY, TABLES
 from trendframe.session import scratch_dir
 from trendframe.sources import Tables, normalise, read_tables, write_tables
 
-MONTHS = 84
-FIRST_MONTH = "1995-01-01"
+# Factor of the work in the id of a measurement; the rest is twice the day number, plus one for a second
+# measurement of the day.
+REAL_IDS = 1_000_000
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,34 +43,60 @@ def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _day_number(day: str):
-    return F.datediff(F.col(day), F.lit(FIRST_MONTH).cast("date"))
+def _real_id(day: str):
+    return F.col("s") * REAL_IDS + F.unix_date(F.col(day)) * 2
 
 
-_stored: dict[tuple[str, str], dict[str, Tables]] = {}
+_folders: dict[tuple, str] = {}
+
+
+def _input_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the files that the tables are derived from."""
+    paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "supplier")]
+    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime").collect()
+    return tuple(sorted(tuple(r) for r in files))
+
+
+def _folder(spark: SparkSession, sf_dir: str, name: str, write) -> str:
+    """Where ``write(folder)`` has put a table for this application and input; written if it is new or gone."""
+    key = (spark.sparkContext.applicationId, name, sf_dir, _input_version(spark, sf_dir))
+    if key in _folders:
+        try:
+            spark.read.format("binaryFile").load(f"{_folders[key]}/_done").limit(0).collect()
+        except AnalysisException:
+            del _folders[key]
+    if key not in _folders:
+        folder = scratch_dir(spark, name)
+        write(folder)
+        spark.range(1).write.parquet(f"{folder}/_done")
+        _folders[key] = folder
+    return _folders[key]
 
 
 def schedule_tables(spark: SparkSession, sf_dir: str, real: str = "monthly") -> Tables:
-    """All nine tables; ``real`` is ``"monthly"`` or ``"daily"``.
+    """All nine tables; ``real`` names the measurements: ``"monthly"``, or ``"all"``, daily and without cut-off.
 
-    They are derived and written once per application, so queries read them as stored tables.
+    They are derived and written once per application and input, so queries read them as stored tables.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        folder = scratch_dir(spark, "tables")
-        _write(spark, sf_dir, folder)
-        monthly = read_tables(spark, folder)
-        daily = spark.read.schema(TABLES["real_progress"]).parquet(f"{folder}/real_progress_daily")
-        _stored[key] = {"monthly": monthly, "daily": replace(monthly, real_progress=daily)}
-    return _stored[key][real]
+    folder = _folder(spark, sf_dir, "tables", lambda f: _write(spark, sf_dir, f))
+    tables = read_tables(spark, folder)
+    if real == "monthly":
+        return tables
+    return replace(tables, real_progress=spark.read.schema(TABLES["real_progress"]).parquet(f"{folder}/real_progress_{real}"))
+
+
+def kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A result that others start from, stored once per application and input."""
+    folder = _folder(spark, sf_dir, name, lambda f: make().write.parquet(f"{f}/rows"))
+    return spark.read.parquet(f"{folder}/rows")
 
 
 def _write(spark: SparkSession, sf_dir: str, folder: str) -> None:
     _shipments(spark, sf_dir).write.parquet(f"{folder}/_shipments")
     shipments = spark.read.parquet(f"{folder}/_shipments")
     write_tables(_derive(spark, sf_dir, shipments, "monthly"), folder)
-    daily = _derive(spark, sf_dir, shipments, "daily").real_progress
-    daily.sortWithinPartitions(ACTIVITY).write.parquet(f"{folder}/real_progress_daily")
+    every = _derive(spark, sf_dir, shipments, "all").real_progress
+    every.sortWithinPartitions(ACTIVITY).write.parquet(f"{folder}/real_progress_all")
 
 
 def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Tables:
@@ -75,6 +105,10 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
     year = daily.groupBy("s", "y").agg(
         F.sum("price").alias("yearly"), F.max(F.quarter("d")).alias("last_quarter")
     )
+    first_month, months, last_year = daily.agg(
+        F.min(F.trunc("d", "month")), F.months_between(F.max(F.trunc("d", "month")), F.min(F.trunc("d", "month"))), F.max("y")
+    ).first()
+    first_month, months = first_month or date(1970, 1, 1), int(months or 0)
     schedule = year.select(id_schedule, F.col("s").alias("id_civil_work"))
     term = (
         daily.select("s", "y", F.quarter("d").alias("q"))
@@ -83,12 +117,24 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
             (id_schedule * 10 + F.col("q")).alias("id_term"), F.col("s").alias("id_civil_work"), id_schedule
         )
     )
+    # The newest term of every seventh work belongs to its oldest schedule.
+    late = (
+        daily.filter(F.col("s") % 7 == 0)
+        .groupBy("s")
+        .agg(F.max("y").alias("y"), F.min("y").alias("first"))
+        .select(
+            (id_schedule * 10 + 9).alias("id_term"), F.col("s").alias("id_civil_work"),
+            (F.col("s") * 10000 + F.col("first")).alias("id_schedule"),
+        )
+    )
+    term = term.union(late)
     last_term = (id_schedule * 10 + F.col("last_quarter")).alias("id_term")
-    month = F.explode(F.sequence(F.lit(0), F.lit(MONTHS - 1))).alias("m")
+    month = F.explode(F.sequence(F.lit(0), F.lit(months))).alias("m")
+    # Keys of a calendar leave gaps, so the preceding row is not the one with the preceding key.
     calendar = supplier.select(F.col("s_suppkey").alias("s"), month).select(
-        (F.col("s") * 1000 + F.col("m")).alias("sdc_cod"),
+        (F.col("s") * 100000 + F.col("m") * 7).alias("sdc_cod"),
         F.col("s").alias("id_input_data"),
-        F.last_day(F.add_months(F.lit(FIRST_MONTH).cast("date"), F.col("m"))).alias("calendar_period"),
+        F.last_day(F.add_months(F.lit(first_month), F.col("m"))).alias("calendar_period"),
     )
     level = F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("part")
     activity = schedule.select("id_schedule", level).select(
@@ -116,15 +162,20 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
     )
 
     measured = monthly.withColumnRenamed("p", "d") if real == "monthly" else daily
-    # Works are measured up to a month of 2001 that depends on their nation: January to July.
+    # Works are measured up to a month of the last year that depends on their nation: January to July.
     until = 1 + F.floor(F.col("s_nationkey") / 4)
-    percentage = (F.col("net").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,4)")
+    in_time = F.lit(True) if real == "all" else (F.col("y") < last_year) | (F.month("d") <= until)
+    share = (F.col("net").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,4)")
+    percentage = F.when(F.col("part") == 0, share).otherwise(F.lit("0.25").cast("decimal(9,4)"))
+    # A second measurement on each date of an even month.
+    parts = F.explode(F.when(F.month("d") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     real_progress = (
         measured.join(supplier.select(F.col("s_suppkey").alias("s"), "s_nationkey"), "s")
-        .filter((F.col("y") < 2001) | (F.month("d") <= until))
+        .filter(in_time)
         .join(year, ["s", "y"])
+        .select("*", parts.alias("part"))
         .select(
-            (F.col("s") * 100000 + _day_number("d")).alias("id_activity_real_progress"),
+            (_real_id("d") + F.col("part")).alias("id_activity_real_progress"),
             id_schedule.alias("id_qualitative_activity"),
             last_term.alias("id_term_activity"),
             F.col("d").alias("progress_date"),
@@ -149,9 +200,9 @@ def real_changes(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
     """Changes to the last measurement of a work: deleted where the supplier's balance is negative,
     followed by a new one a month later up to 1,000, raised by a tenth from 8,000 on."""
     last = (
-        t.real_progress.withColumn("s", F.floor(F.col("id_activity_real_progress") / 100000))
+        t.real_progress.withColumn("s", F.floor(F.col("id_activity_real_progress") / REAL_IDS))
         .groupBy("s")
-        .agg(F.max_by(F.struct(*t.real_progress.columns), "progress_date").alias("r"))
+        .agg(F.max_by(F.struct(*t.real_progress.columns), "id_activity_real_progress").alias("r"))
     )
     balance = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"), "s_acctbal")
     deleted, added = F.col("s_acctbal") < 0, F.col("s_acctbal") <= 1000
@@ -166,7 +217,7 @@ def real_changes(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
         .select(
             F.col("id_activity_real_progress").alias("seq"),
             F.when(deleted | ~added, F.col("id_qualitative_activity")).alias("before_activity"),
-            F.when(~deleted & added, F.col("s") * 100000 + _day_number("progress_date"))
+            F.when(~deleted & added, _real_id("progress_date"))
             .otherwise(F.col("id_activity_real_progress"))
             .alias("id_activity_real_progress"),
             kept("id_qualitative_activity"),

@@ -9,6 +9,7 @@ from trendframe.operators.progress import (
     calendar_progress,
     progress_by_calendar,
     progress_by_interval,
+    stored_daily_facts,
 )
 from trendframe.operators.refresh import affected_works, change_log, replace_by_key, restrict
 from trendframe.operators.trend import trend_chain
@@ -20,10 +21,11 @@ def forecast(t: Tables, n: int = 3) -> DataFrame:
     """The three stages on their own bases, as the source scripts define them.
 
     Stage 1 takes the term of the newest schedule, stage 2 the newest term, stage 3 the progress per
-    calendar interval over all schedules.
+    calendar interval over all schedules. All need the daily sums of the facts, which are stored once.
     """
-    calendar = calendar_progress(t, [(SCHEDULE, TERM), (TERM,)])
-    interval = progress_by_interval(t).withColumn("base", F.lit(2))
+    daily = stored_daily_facts(t)
+    calendar = calendar_progress(t, [(SCHEDULE, TERM), (TERM,)], daily=daily)
+    interval = progress_by_interval(t, daily=daily).withColumn("base", F.lit(2))
     return trend_chain(calendar.unionByName(interval, allowMissingColumns=True), horizon=3, n=n)
 
 

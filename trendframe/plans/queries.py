@@ -17,6 +17,7 @@ from trendframe.operators.progress import (
     progress_by_calendar,
     progress_by_interval,
     status_date,
+    stored_daily_facts,
 )
 from trendframe.operators.refresh import affected_works
 from trendframe.operators.trend import trend_chain, trend_first, trend_next
@@ -24,6 +25,7 @@ from trendframe.plans import fixtures
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
 from trendframe.schemas import MEASURES, PARSED_EVENT, SCHEDULE, TERM, WORK
 from trendframe.session import scratch_dir
+from trendframe.sources import Tables
 from trendframe.streaming import dictionary_stream, trend_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,21 +74,25 @@ def q_calendar_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_intervals(fixtures.schedule_tables(spark, sf_dir))
 
 
+def _interval_base(t: Tables) -> DataFrame:
+    return progress_by_interval(t, daily=stored_daily_facts(t))
+
+
 def q_progress_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _progress(progress_by_interval(fixtures.schedule_tables(spark, sf_dir, "daily")))
+    return _progress(_interval_base(fixtures.schedule_tables(spark, sf_dir, "all")))
 
 
 def q_progress_by_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.schedule_tables(spark, sf_dir, "daily")
-    return _progress(progress_by_interval(t, fanout="join"))
+    t = fixtures.schedule_tables(spark, sf_dir, "all")
+    return _progress(progress_by_interval(t, fanout="join", daily=stored_daily_facts(t)))
 
 
 def status_date_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return status_date(fixtures.schedule_tables(spark, sf_dir, "daily"))
+    return status_date(fixtures.schedule_tables(spark, sf_dir, "all"))
 
 
 def status_date_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return status_date(fixtures.schedule_tables(spark, sf_dir, "daily"), latest_only=False)
+    return status_date(fixtures.schedule_tables(spark, sf_dir, "all"), latest_only=False)
 
 
 def accumulated_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,8 +101,8 @@ def accumulated_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def accumulated_interval_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.schedule_tables(spark, sf_dir, "daily")
-    return _progress(accumulate(progress_by_interval(t), status_date(t, latest_only=False)))
+    t = fixtures.schedule_tables(spark, sf_dir, "all")
+    return _progress(accumulate(_interval_base(t), status_date(t, latest_only=False)))
 
 
 def _calendar_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +138,7 @@ def trend_third_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.schedule_tables(spark, sf_dir)
     calendar = progress_by_calendar(t)
     second = _stage(trend_chain(calendar, horizon=2), 2)
-    return _trend(trend_next(progress_by_interval(t), second))
+    return _trend(trend_next(_interval_base(t), second))
 
 
 def q_trend_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +164,8 @@ def q_affected_works(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trend_refresh_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = fixtures.schedule_tables(spark, sf_dir)
     changes = fixtures.real_changes(spark, sf_dir, t)
-    return _trend(trend_refresh(forecast(t), changes, t, scratch_dir(spark, "refresh")))
+    current = fixtures.kept(spark, sf_dir, "forecast", lambda: forecast(t))
+    return _trend(trend_refresh(current, changes, t, scratch_dir(spark, "refresh")))
 
 
 def trend_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str, cores: str = "8", memory: str = "8g", **conf: str) -> SparkSession:
@@ -29,14 +30,26 @@ def build_session(app: str, cores: str = "8", memory: str = "8g", **conf: str) -
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder below the cluster's shared ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where that is unset, only a local master may fall back to the machine's temporary folder: no other
-    executor would see it.
+    Only where neither is set and all executors are threads of this machine (a ``local`` master) is a temporary
+    folder made, once per application, and its place set as ``spark.checkpoint.dir`` of the session.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="trendframe-")
+        spark.sparkContext.setCheckpointDir(shared)
+        shared = spark.sparkContext.getCheckpointDir()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new folder of the shared place and read again.
+
+    Lineage ends there, several readers see the same rows, and a lost executor loses nothing.
+    """
+    folder = scratch_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -45,9 +45,10 @@ def apply_batch(
 
 
 def start(
-    raw: DataFrame, params: DataFrame, store: str, mode: str = "each", once: bool = False
+    raw: DataFrame, params: DataFrame, store: str, mode: str = "each", once: bool = False, checkpoint: str | None = None
 ) -> StreamingQuery:
-    writer = raw.writeStream.option("checkpointLocation", f"{store}/checkpoint").foreachBatch(
+    """Run ``apply_batch`` on a streaming DataFrame of events; ``checkpoint`` as in ``trend_stream.start``."""
+    writer = raw.writeStream.option("checkpointLocation", checkpoint or f"{store}/checkpoint").foreachBatch(
         lambda batch, batch_id: apply_batch(batch, batch_id, params, store, mode)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -55,3 +56,13 @@ def start(
 
 def current(spark: SparkSession, store: str) -> DataFrame:
     return dictionary(read_latest(spark, f"{store}/dictionary", DICTIONARY_STATE, OBJECT))
+
+
+def compact(spark: SparkSession, store: str, target: str) -> None:
+    """Start ``target`` from the state of ``store``, without its events and old versions.
+
+    A stream that goes on with ``target`` must keep its old ``checkpoint``. For between two runs of it; a last batch that
+    was applied but not ticked off must be let finish first, as its rows would be created twice.
+    """
+    state = read_latest(spark, f"{store}/dictionary", DICTIONARY_STATE, OBJECT)
+    write_version(state, state.select(*OBJECT).distinct(), f"{target}/dictionary", FIRST)

@@ -44,10 +44,14 @@ def apply_batch(changes: DataFrame, batch_id: int, t: Tables, store: str, plan=f
 
 
 def start(
-    changes: DataFrame, t: Tables, store: str, plan=forecast, once: bool = False
+    changes: DataFrame, t: Tables, store: str, plan=forecast, once: bool = False, checkpoint: str | None = None
 ) -> StreamingQuery:
-    """Run ``apply_batch`` on a streaming DataFrame of ``REAL_CHANGE`` rows."""
-    writer = changes.writeStream.option("checkpointLocation", f"{store}/checkpoint").foreachBatch(
+    """Run ``apply_batch`` on a streaming DataFrame of ``REAL_CHANGE`` rows.
+
+    ``checkpoint`` is where the stream keeps its position and batch numbers, ``<store>/checkpoint`` by default. After
+    ``compact``, pass the one used before.
+    """
+    writer = changes.writeStream.option("checkpointLocation", checkpoint or f"{store}/checkpoint").foreachBatch(
         lambda batch, batch_id: apply_batch(batch, batch_id, t, store, plan)
     )
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -65,7 +69,9 @@ def compact(t: Tables, store: str, target: str) -> Tables:
     """Start ``target`` from the state of ``store``, without its log and old versions.
 
     Writes the measurements after all logged changes and the current results; a stream that goes on
-    with ``target`` and the returned tables reads only these. For between two runs of the stream.
+    with ``target``, the returned tables and its old ``checkpoint`` reads only these and the changes that are new. A
+    last batch that was applied but not yet ticked off is applied again, which changes nothing. For between two runs of
+    the stream.
     """
     spark = t.real_progress.sparkSession
     current = current_rows(t.real_progress, _log(spark, store))
