@@ -104,6 +104,11 @@ class PrefixTable:
         self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.append(data)
 
+    def copy(self) -> PrefixTable:
+        out = PrefixTable(self.vocabulary)
+        out.data, out.last = self.data, list(self.last)
+        return out
+
     def append(self, more: bytes) -> None:
         self.data += more
         self._extend(len(self.data))
@@ -210,6 +215,7 @@ class EncodedText:
             data, reused = m.group().encode(), keep + count
             table = old_tables[reused] if reused == keep and reused < len(old_tables) else None
             if table is not None and data.startswith(table.data) and table.data:
+                table = table.copy()  # the old one may still be met again behind the edit
                 table.append(data[len(table.data) :])  # the pre-token at the seam only grew
             else:
                 table = PrefixTable(vocabulary, data)

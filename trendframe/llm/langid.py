@@ -141,6 +141,8 @@ class Models:
 
     def prepare(self, texts: list[list[str]]) -> None:
         """Score the new words of several texts at once."""
+        if not self.langs:
+            return
         self.totals(list(set().union(*texts).difference(self.known)))
 
     def predict(self, words: list[str]) -> tuple[str, float, float, int]:

@@ -191,6 +191,21 @@ def _labelled_spans(text: str, run: list[tuple[int, int]], tags: list[str]) -> I
         kind, start, end = ("", 0, 0) if tag == "O" else (tag[2:], s, e)
 
 
+#: What a labelled span must look like to be reported: its characters, and how many digits.
+_PLAUSIBLE = {
+    "email": (re.compile(r"(?i).*(@|[\[(] ?at ?[\])]).*"), 0, 99),
+    "ip": (re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}([:/][0-9]+)?"), 4, 17),
+    "card": (re.compile(r"[0-9]{4}[0-9 .-]+[0-9]"), 13, 19),
+    "phone": (re.compile(r"[+(]?[0-9][0-9 ()./-]+[0-9]"), 7, 15),
+}
+
+
+def _plausible(kind: str, text: str) -> bool:
+    pattern, least, most = _PLAUSIBLE[kind]
+    digits = _digits(text)
+    return bool(pattern.fullmatch(text)) and least <= len(digits) <= most and (kind != "card" or _luhn(digits))
+
+
 def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
     """Spans of each text by kind and start."""
     out, runs = [base_spans(t) if _MARKED.search(t) else [] for t in texts], []
@@ -201,7 +216,7 @@ def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
     for (i, run), tags in zip(runs, paths, strict=True):
         taken = [x for x in out[i] if x[1] < run[-1][1] and run[0][0] < x[2]]
         for kind, s, e in _labelled_spans(texts[i], run, tags):
-            if e > s and _DIGIT.search(texts[i], s, e) and not any(a < e and s < b for _, a, b in taken):
+            if _plausible(kind, texts[i][s:e]) and not any(a < e and s < b for _, a, b in taken):
                 out[i].append((f"crf_{kind}", s, e))
     return [sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1])) for spans in out]
 

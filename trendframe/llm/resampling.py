@@ -154,14 +154,14 @@ def kth_greatest(values: DataFrame, column: str, k: int, bins: int = 4096) -> in
     low, high = values.agg(F.min(column), F.max(column)).first()
     while low < high:
         width = (high - low) // bins + 1
+        least = F.col(column) - F.pmod(F.col(column), F.lit(width))  # of the bin
         inside = values.filter(F.col(column).between(low, high))
-        counts = inside.groupBy(((F.col(column) - low) / width).cast("long").alias("bin")).count().collect()
-        for r in sorted(counts, key=lambda r: -r.bin):
-            if r["count"] >= k:
-                # Division of doubles may put a value one bin off; a bin's own values bound the next range.
-                low, high = inside.filter(((F.col(column) - low) / width).cast("long") == r.bin).agg(F.min(column), F.max(column)).first()
+        bins_of = inside.groupBy(least.alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        for r in sorted(bins_of.collect(), key=lambda r: -r.bin):
+            if r.n >= k:
+                low, high = r.low, r.high
                 break
-            k -= r["count"]
+            k -= r.n
     return low
 
 

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 #: Bytes read, inflated and deflated at a time.
 BLOCK = 1 << 20
-#: Bytes of an archive that one task reads back.
-READ_BLOCK = 32 << 20
+#: Bytes of an archive whose records are read back by the same task.
+READ_BLOCK = 8 << 20
 #: Payloads of fewer bytes are stored each time.
 LEAST = 100
 #: Pages have no time of capture; records need one.
@@ -165,9 +165,9 @@ def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
             for path in batch.column("path").to_pylist():
                 yield from _rewrite(path, target)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "length")
-    # A task per file: files are as large as their writer made them, and a path is all that moves.
-    files.repartition("path").select("path").mapInArrow(run, _INDEX).write.parquet(f"{target}/index")
+    # The reader deals the files by their sizes; without its content column it only lists them.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
+    files.mapInArrow(run, _INDEX).write.parquet(f"{target}/index")
     return read_index(spark, target)
 
 
@@ -236,7 +236,9 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
             yield _record_batch(rows, payloads)
 
     block = (F.col("offset") / READ_BLOCK).cast("long")
-    placed = index.select("path", "offset", "length").repartition("path", block).sortWithinPartitions("path", "offset")
+    # A number of its own, as Spark would merge the few bytes of the index into one task.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = index.select("path", "offset", "length").repartition(tasks, "path", block).sortWithinPartitions("path", "offset")
     return placed.mapInArrow(run, _RECORDS + (", payload binary" if payloads else ""))
 
 
