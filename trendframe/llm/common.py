@@ -38,6 +38,19 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def about(df: DataFrame, n: int, *key: str) -> DataFrame:
+    """About ``n`` rows of ``df`` (all, if it has fewer), never more than twice as many, by a hash of ``key``.
+
+    The rows are counted first and kept by their share, so each task finds its own: no task and not the driver sees
+    the least of all partitions.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    drawn = F.pmod(F.xxhash64(*key, F.lit(n)), F.lit(1 << 30)) < int(n / total * (1 << 30))
+    return df.filter(drawn).limit(2 * n)
+
+
 def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Parts of a batch with about ``SLICE_CHARS`` of text each, and their texts (null: empty)."""
     start = size = 0

@@ -3,8 +3,8 @@
 The patterns find e-mail addresses, IP addresses, card and telephone numbers written in the usual way. The field labels
 words near digits and at-signs (``REACH`` words on each side of each such word) by their own shape and
 their neighbours'; what it finds and the patterns don't is added as ``crf_<kind>``. It is trained on the driver from a
-small labelled table: ``EXAMPLES``, and at most ``SAMPLE`` documents with matches of the patterns, those with
-the smallest hash of their text, labelled by these matches.
+small labelled table: ``EXAMPLES``, and about ``SAMPLE`` documents that may have matches of the patterns, chosen by a
+hash of their id and labelled by these matches.
 
 Defined results: a null text is empty and has no span (masking keeps it null); a null ``doc_id`` is kept as null; each
 repeated row gets its spans; an empty table gives no row and trains on the examples alone; ``find`` reads
@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trendframe.llm import crf
-from trendframe.llm.common import as_docs, map_texts, slices
+from trendframe.llm.common import about, as_docs, map_texts, slices
 
 Span = tuple[str, int, int]
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, *(f"crf_{k}" for k in BASE))
-#: Documents whose matches are training material, at most.
+#: Documents whose matches are training material, about (never twice as many).
 SAMPLE = 300
 #: Words on each side of a word with a digit or at-sign that are labelled with it.
 REACH = 3
@@ -222,12 +222,11 @@ def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Crf:
-    """Train on the driver; at most ``sample`` texts of at most 20,000 characters come from ``docs``."""
-    marked = docs.select(F.col("text").cast("string").alias("text")).filter(
+    """Train on the driver; about ``sample`` texts of at most 20,000 characters come from ``docs``."""
+    marked = as_docs(docs).filter(
         F.col("text").rlike(r"@[A-Za-z0-9-]+\.|[0-9]{4}|\+[0-9]|[0-9]\.[0-9]+\.") & (F.length("text") <= 20_000)
     )
-    rows = marked.select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(sample).collect()
-    return train([r.text for r in rows])
+    return train(sorted(r.text for r in about(marked, sample, "doc_id").select("text").collect()))
 
 
 def find(docs: DataFrame, model: crf.Crf | None = None) -> DataFrame:

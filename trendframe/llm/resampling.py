@@ -7,8 +7,8 @@ noise to log weights and keeping the ``k`` greatest sums samples ``k`` documents
 replacement. ``k`` is the number of documents with a weight above the cut that best parts good from bad
 labelled documents, which took no part in the target model.
 
-Every document counts in the raw model and is weighed. Of labelled rows, at most ``TARGET`` with the smallest
-hashes of their ids make the target model and ``HELD_OUT`` others the cut; only these ids, the bucket
+Every document counts in the raw model and is weighed. Of labelled rows, about ``TARGET`` good ones, chosen by a
+hash of their ids, make the target model and about ``HELD_OUT`` others the cut; only these ids, the bucket
 sums and the held-out weights pass through the driver. The noise is a hash of id and text, so a task that is run
 again keeps the same documents. The k-th greatest sum is found exactly by counting in ever narrower ranges.
 
@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendframe.llm.common import as_docs, fresh, slices, stored
+from trendframe.llm.common import about, as_docs, fresh, slices, stored
 
 BUCKETS = 10_000
 MIX = 0.5
-#: Labelled documents of the target model, and of the cut, at most.
+#: Labelled documents of the target model, and of the cut, about (never twice as many).
 TARGET, HELD_OUT = 20_000, 10_000
 #: n-grams that every text is taken to have in addition, with ratio 1.
 PRIOR_GRAMS = 20
@@ -71,10 +71,9 @@ def labelled(labels: DataFrame, target: int = TARGET, held_out: int = HELD_OUT)
     """Ids of the good documents of the target model; ids and labels of held-out documents (a quarter of the labelled)."""
     one = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     one = one.dropna().groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    one = one.withColumn("h", F.xxhash64("doc_id", F.lit(SEED)))
-    out = F.pmod("h", F.lit(4)) == 3
-    good = one.filter(~out & (F.col("quality") == 1)).orderBy("h", "doc_id").limit(target).collect()
-    rest = one.filter(out).orderBy("h", "doc_id").limit(held_out).collect()
+    out = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(4)) == 3
+    good = about(one.filter(~out & (F.col("quality") == 1)), target, "doc_id").collect()
+    rest = about(one.filter(out), held_out, "doc_id").collect()
     return {r.doc_id for r in good}, {r.doc_id: r.quality for r in rest}
 
 
@@ -170,7 +169,7 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int | None, l
     target_ids, held_out = labelled(labels)
     names = fresh(docs, "log_weight", "sampling_sum", "held_out_label")
     weighed = stored(weigh(docs, log_ratios(docs, target_ids), held_out, names), "weights")
-    rows = weighed.filter(F.col(names[2]).isNotNull()).select(names[0], names[2]).limit(2 * HELD_OUT).toPandas()
+    rows = weighed.filter(F.col(names[2]).isNotNull()).select(names[0], names[2]).limit(4 * HELD_OUT).toPandas()
     cut = best_cut(rows[names[0]].to_numpy(float), rows[names[2]].to_numpy() == 1) if len(rows) else -np.inf
     if cut == -np.inf:
         return weighed, None, names
