@@ -36,6 +36,7 @@ def test_weights_follow_the_definition(spark):
 
 def test_repeated_words_share_a_bucket():
     assert resampling.buckets("x x")[-1] == resampling.buckets("Yy yY")[-1] and len(resampling.buckets("")) == 0
+    assert resampling.buckets("x. x.").tolist()[-2:] == resampling.buckets("y! y!").tolist()[-2:]
 
 
 @pytest.mark.parametrize("bins", [2, 7, 4096])

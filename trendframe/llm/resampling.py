@@ -1,6 +1,6 @@
 """Quality classifier by importance resampling: how much likelier a text is among good documents than in the corpus.
 
-Words and pairs of neighbouring words are hashed into ``BUCKETS``; the raw model has the bucket shares of all
+Words, pairs of neighbouring words and words repeated after one other are hashed into ``BUCKETS``; the raw model has the bucket shares of all
 documents, the target model those of documents labelled good (mixed with the raw ones by ``MIX``, so no share is 0).
 A document's weight is its mean log ratio, shrunk towards 0 for short texts and sharpened. Adding Gumbel
 noise to log weights and keeping the ``k`` greatest sums samples ``k`` documents in proportion to their weights without
@@ -46,14 +46,17 @@ SEED = 20
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _KNOWN_WORDS = 400_000
-_SAME = np.uint64(xxhash.xxh64_intdigest(b"\0the same word again"))
+_SAME, _SAME_BUT_ONE = (np.uint64(xxhash.xxh64_intdigest(b"\0", k)) for k in (1, 2))
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 _words: dict[str, int] = {}
 
 
 def buckets(text: str) -> np.ndarray:
-    """Bucket numbers of the words and of the pairs of neighbours; all pairs of equal words share one."""
+    """Bucket numbers of the words, of the pairs of neighbours, and of words that come again after one other.
+
+    All pairs of equal words share one bucket, and so do all of the last kind.
+    """
     words = _TOKEN.findall(text.lower())
     known = _words
     if len(known) > _KNOWN_WORDS:
@@ -64,7 +67,8 @@ def buckets(text: str) -> np.ndarray:
     a, b = h[:-1], h[1:]
     pairs = a * _MIXER ^ (b + (a >> np.uint64(29)))
     pairs = np.where(a == b, _SAME, pairs ^ (pairs >> np.uint64(32)))
-    return (np.concatenate([h, pairs]) % np.uint64(BUCKETS)).astype(np.int64)
+    again = np.full(np.count_nonzero(h[:-2] == h[2:]), _SAME_BUT_ONE)
+    return (np.concatenate([h, pairs, again]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def labelled(labels: DataFrame, target: int = TARGET, held_out: int = HELD_OUT) -> tuple[set[int], dict[int, int]]:
@@ -164,11 +168,11 @@ def kth_greatest(values: DataFrame, column: str, k: int, bins: int = 4096) -> in
     return low
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int | None, list[str]]:
-    """Stored ``docs`` with weight, sum and label; the least sum that is kept (None: all); their names."""
+def sample(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[DataFrame, int | None, list[str]]:
+    """Stored ``columns`` of ``docs`` with weight, sum and label; the least sum that is kept (None: all); their names."""
     target_ids, held_out = labelled(labels)
     names = fresh(docs, "log_weight", "sampling_sum", "held_out_label")
-    weighed = stored(weigh(docs, log_ratios(docs, target_ids), held_out, names), "weights")
+    weighed = stored(weigh(docs, log_ratios(docs, target_ids), held_out, names).select(*columns, *names), "weights")
     rows = weighed.filter(F.col(names[2]).isNotNull()).select(names[0], names[2]).limit(4 * HELD_OUT).toPandas()
     cut = best_cut(rows[names[0]].to_numpy(float), rows[names[2]].to_numpy() == 1) if len(rows) else -np.inf
     if cut == -np.inf:
@@ -181,12 +185,12 @@ def sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, int | None, l
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, log_weight, sampling_sum, kept) of every document."""
-    weighed, least, names = sample(as_docs(docs), labels)
+    weighed, least, names = sample(as_docs(docs), labels, ["doc_id"])
     kept = F.lit(True) if least is None else F.col(names[1]) >= least
     return weighed.select("doc_id", F.col(names[0]).alias("log_weight"), F.col(names[1]).alias("sampling_sum"), kept.alias("kept"))
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The sampled documents, with the columns of ``docs``."""
-    weighed, least, names = sample(docs, labels)
+    weighed, least, names = sample(docs, labels, docs.columns)
     return (weighed if least is None else weighed.filter(F.col(names[1]) >= least)).select(*docs.columns)
