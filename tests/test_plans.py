@@ -282,12 +282,15 @@ def test_the_forecast_reads_each_fact_once(stored, monkeypatch):
         assert sum(len(scans(p, column)) for p in [*plans, whole]) == 1
 
 
-def test_parameters_of_other_objects_are_not_shuffled(spark, conf):
+def test_parameters_of_other_objects_are_not_shuffled(spark, conf, tmp_path):
     conf(spark__sql__adaptive__enabled="false")
     events = spark.createDataFrame([(1, "CREATE", "FUNCTION", "f7")], "seq long, evento string, obj_tipo string, obj_nome string")
     params = spark.range(20_000).selectExpr(
         "concat('f', id) as routine_name", "'@a' as parameter_name", "'int' as data_type", "1 as ordinal"
     )
+    for name, df in (("events", events), ("params", params)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    events, params = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("events", "params"))
     for mode in ("each", "one"):
         df = d.lookup_parameters(events, params, mode)
         assert [r.param_nome for r in df.collect()] == ["@a"]
