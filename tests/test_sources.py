@@ -26,13 +26,20 @@ def test_tables_survive_a_round_trip(spark, tmp_path):
         assert rows(getattr(back, name)) == rows(getattr(t, name))
 
 
-def fake(master, shared=None):
+def fake(master, shared=None, folder=None):
+    made = [folder]
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: shared if key == "spark.checkpoint.dir" else default),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: made[-1], setCheckpointDir=made.append),
     )
 
 
+def test_scratch_falls_back_to_the_checkpoint_folder():
+    assert scratch_dir(fake("yarn", folder="hdfs:///checkpoints"), "x").startswith("hdfs:///checkpoints/x-")
+    local = fake("local[2]")
+    assert scratch_dir(local, "x").rsplit("/", 1)[0] == scratch_dir(local, "y").rsplit("/", 1)[0]  # made once
+
+
 def test_scratch_is_below_the_shared_folder():
     a, b = (scratch_dir(fake("yarn", "hdfs:///shared/"), "x") for _ in range(2))
     assert a.startswith("hdfs:///shared/x-") and a != b
