@@ -27,6 +27,8 @@ from trendframe.llm.common import as_docs, map_texts, slices
 
 K, S = 64, 16
 BLOCK = 1 << 20
+#: Ranges of ids per shuffle partition.
+RANGES = 4
 _BASE = 0x100000001B3
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 _NULL = -(2**63)
@@ -113,14 +115,15 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _with_followers(docs: DataFrame) -> DataFrame:
     """Rows (bucket, copy, key, doc_id, text) placed by ranges of ids, each range followed by the next one's first row.
 
-    Ranges are cut at quantiles of the ids, as many as shuffle partitions. The boundary rows, the first of
-    every range, are sent to the range before as well (the very first to the last range), so that every row finds the one
+    Ranges are cut at quantiles of the ids, ``RANGES`` for each shuffle partition, so that no partition gets many more
+    rows than others. The boundary rows, the first of every range, are sent to the range before as well (the very first to the last range), so that every row finds the one
     after it in its own partition. Per range, one id goes to the driver.
     """
     spark = docs.sparkSession
     rows = as_docs(docs).withColumn("key", F.coalesce("doc_id", F.lit(_NULL)))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.select(F.percentile_approx("key", [k / n for k in range(1, n)] or [0.5], 10 * n + 100)).first()[0]
+    parts = RANGES * n
+    cuts = rows.select(F.percentile_approx("key", [k / parts for k in range(1, parts)], 10 * parts)).first()[0]
     edges = np.array(sorted(set(cuts or [])), dtype=np.int64)
 
     @F.arrow_udf("int")
