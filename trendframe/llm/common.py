@@ -110,7 +110,7 @@ class Pieces:
     pieces are kept; then the store starts anew.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 700_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes | None] = {}
 

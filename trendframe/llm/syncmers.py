@@ -23,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.llm.common import as_docs, map_texts, slices
+from trendframe.llm.common import about, as_docs, map_texts, slices
 
 K, S = 64, 16
 BLOCK = 1 << 20
 #: Ranges of ids per shuffle partition.
 RANGES = 4
+#: Sampled ids per range that cuts the ranges.
+SAMPLE = 50
 _BASE = 0x100000001B3
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 _NULL = -(2**63)
@@ -115,16 +117,17 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _with_followers(docs: DataFrame) -> DataFrame:
     """Rows (bucket, copy, key, doc_id, text) placed by ranges of ids, each range followed by the next one's first row.
 
-    Ranges are cut at quantiles of the ids, ``RANGES`` for each shuffle partition, so that no partition gets many more
-    rows than others. The boundary rows, the first of every range, are sent to the range before as well (the very first to the last range), so that every row finds the one
-    after it in its own partition. Per range, one id goes to the driver.
+    Ranges are cut at quantiles of a sample of ids, about ``SAMPLE`` for each range; there are ``RANGES`` for each
+    shuffle partition, so that no partition gets many more rows than others. The boundary rows, the first of every
+    range, are sent to the range before as well (the very first to the last range), so that every row finds the
+    one after it in its own partition. The driver gets the sample and one id per range.
     """
     spark = docs.sparkSession
     rows = as_docs(docs).withColumn("key", F.coalesce("doc_id", F.lit(_NULL)))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = RANGES * n
-    cuts = rows.select(F.percentile_approx("key", [k / parts for k in range(1, parts)], 10 * parts)).first()[0]
-    edges = np.array(sorted(set(cuts or [])), dtype=np.int64)
+    sample = np.sort(about(rows.select("key"), SAMPLE * parts, "key").toPandas().key.to_numpy(np.int64))
+    edges = np.unique(sample[np.arange(1, parts) * len(sample) // parts]) if len(sample) else sample
 
     @F.arrow_udf("int")
     def bucket(key: pa.Array) -> pa.Array:
