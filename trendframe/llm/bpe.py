@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from trendframe.llm.common import Pieces, as_docs, map_texts
+from trendframe.llm.common import Pieces, as_docs, held, map_texts
 
 #: Distinct pre-tokens and token pairs whose result a worker keeps; the store starts anew beyond it.
 KEPT = 400_000
@@ -229,39 +230,35 @@ class EncodedText:
         return [i for t in self.tables for i in ([ranks[t.data]] if t.data in ranks else t.ids())]
 
 
-_codecs: dict[tuple[int, str], Codec] = {}
+class _Sent:
+    """A vocabulary for the workers, each of which keeps one codec of it from task to task."""
 
+    def __init__(self, docs: DataFrame, path: str, pattern: str):
+        v = Vocabulary(read_ranks(path))
+        self.name, self.pattern = uuid.uuid4().hex, pattern
+        self.shared = docs.sparkSession.sparkContext.broadcast((v.ranks, v.left, v.right))  # bounded by the vocabulary
 
-def _codec(shared, pattern: str) -> Codec:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(Vocabulary(*shared.value), pattern)
-    return _codecs[key]
-
-
-def _send(docs: DataFrame, path: str):
-    v = Vocabulary(read_ranks(path))  # bounded by the vocabulary
-    return docs.sparkSession.sparkContext.broadcast((v.ranks, v.left, v.right))
+    def codec(self) -> Codec:
+        return held(("bpe", self.name), lambda: Codec(Vocabulary(*self.shared.value), self.pattern))
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids): ids of every whole text as little-endian 32-bit integers."""
-    shared = _send(docs, ranks_path)
+    sent = _Sent(docs, ranks_path, pattern)
 
     def run(rows: pa.RecordBatch, texts: list[str]) -> dict:
-        return {"doc_id": rows.column("doc_id"), "ids": [a.tobytes() for a in _codec(shared, pattern).encode_batch(texts)]}
+        return {"doc_id": rows.column("doc_id"), "ids": [a.tobytes() for a in sent.codec().encode_batch(texts)]}
 
     return map_texts(as_docs(docs), ["doc_id", "text"], "doc_id long, ids binary", run)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """(doc_id, data): the bytes of each row's ids; null ids give null."""
-    shared = _send(encoded, ranks_path)
+    sent = _Sent(encoded, ranks_path, "")
 
     def run(batches):
         for batch in batches:
-            tokens = _codec(shared, "").vocabulary.tokens.__getitem__
+            tokens = sent.codec().vocabulary.tokens.__getitem__
             data = [None if x is None else b"".join(map(tokens, np.frombuffer(x, dtype="<u4").tolist())) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(data, pa.binary())], names=["doc_id", "data"])
 
@@ -270,10 +267,10 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, by encoding it and decoding the ids."""
-    shared = _send(docs, ranks_path)
+    sent = _Sent(docs, ranks_path, pattern)
 
     def run(rows: pa.RecordBatch, texts: list[str]) -> dict:
-        codec = _codec(shared, pattern)
+        codec = sent.codec()
         names = {}
         n, ids_sha, bytes_sha = [], [], []
         for ids in codec.encode_batch(texts):

@@ -16,6 +16,20 @@ from trendframe.session import scratch_dir
 SLICE_CHARS = 2_000_000
 
 
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What this worker keeps under ``key`` from task to task, made if it is new.
+
+    Workers outlive operators, so what earlier operators kept is let go: a worker never holds more than one store.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
     folder = scratch_dir(df.sparkSession, name)

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendframe.llm.common import as_docs, fresh, slices, stored
+from trendframe.llm.common import as_docs, fresh, held, slices, stored
 
 N, THRESHOLD = 5, 0.8
 RECALL, MOST_HASHES = 0.9999, 128
@@ -38,8 +38,6 @@ BLOCK = 256
 _KNOWN_WORDS = 400_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
-_words: dict[bytes, int] = {}
-
 
 def bands_for(threshold: float, recall: float = RECALL, most: int = MOST_HASHES) -> tuple[int, int]:
     """(bands, rows): the most selective rows for which ``recall`` at ``threshold`` needs no more than ``most`` hashes."""
@@ -60,7 +58,7 @@ def shingles(text: str, n: int = N) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").split()
     if not words:
         return np.empty(0, np.uint64)
-    known = _words
+    known = held("shingles", dict)
     if len(known) > _KNOWN_WORDS:
         known.clear()
     for w in set(words).difference(known):

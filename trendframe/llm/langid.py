@@ -24,6 +24,7 @@ no other columns and ``keep`` keeps them.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trendframe.llm.common import map_texts, slices, stored
+from trendframe.llm.common import held, map_texts, slices, stored
 
 ORDER = 4
 SAMPLE = 3000
@@ -48,7 +49,7 @@ SURE = 50
 #: Alphabet over which the rest of the lowest order is spread.
 ALPHABET = 1 << 16
 #: Word scores that a worker keeps, words times languages; the store starts anew beyond it.
-KEPT_SCORES = 4_000_000
+KEPT_SCORES = 2_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _BASE = 0x100000001B3
@@ -70,6 +71,28 @@ def _sums(codes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+class _Scores:
+    """Scores of the words that a worker has met."""
+
+    def __init__(self, langs: int):
+        self.row: dict[str, int] = {}
+        self.scores = np.zeros((0, langs))
+
+    def missing(self, words: list[str]) -> list[str]:
+        out = set(words).difference(self.row)
+        if (len(self.row) + len(out)) * max(self.scores.shape[1], 1) > KEPT_SCORES:
+            self.row, self.scores = {}, self.scores[:0]
+            out = set(words)
+        return list(out)
+
+    def add(self, words: list[str], scores: np.ndarray) -> None:
+        start, end = len(self.row), len(self.row) + len(words)
+        self.row.update(zip(words, range(start, end), strict=True))
+        if end > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros((max(end - len(self.scores), len(self.scores)), scores.shape[1]))])
+        self.scores[start:end] = scores
+
+
 @dataclass
 class Models:
     """Sorted n-gram hashes, and per n-gram and language the discounted share and the share left to lower orders.
@@ -83,17 +106,10 @@ class Models:
     left: np.ndarray
     usual: np.ndarray = field(default_factory=lambda: np.empty(0))
     limit: np.ndarray = field(default_factory=lambda: np.empty(0))
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
-    def __post_init__(self) -> None:
-        self.known: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.langs)))
-
-    def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "scores")}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
-        self.__post_init__()
+    def _kept(self) -> _Scores:
+        return held(("langid", self.name), lambda: _Scores(len(self.langs)))
 
     def _rows(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.hashes):
@@ -126,24 +142,18 @@ class Models:
 
     def totals(self, words: list[str]) -> np.ndarray:
         """Log probability of all words per language."""
-        missing = list(set(words).difference(self.known))
-        if (len(self.known) + len(missing)) * len(self.langs) > KEPT_SCORES:
-            self.known, self.scores = {}, self.scores[:0]
-            missing = list(set(words))
+        kept = self._kept()
+        missing = kept.missing(words)
         if missing:
-            self.known.update(zip(missing, range(len(self.known), len(self.known) + len(missing)), strict=True))
-            if len(self.known) > len(self.scores):
-                more = max(len(self.known) - len(self.scores), len(self.scores))
-                self.scores = np.concatenate([self.scores, np.zeros((more, len(self.langs)))])
-            self.scores[len(self.known) - len(missing) : len(self.known)] = self._scored(missing)
-        rows = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        return self.scores[rows].sum(axis=0)
+            kept.add(missing, self._scored(missing))
+        rows = np.fromiter(map(kept.row.__getitem__, words), dtype=np.int64, count=len(words))
+        return kept.scores[rows].sum(axis=0)
 
     def prepare(self, texts: list[list[str]]) -> None:
         """Score the new words of several texts at once."""
         if not self.langs:
             return
-        self.totals(list(set().union(*texts).difference(self.known)))
+        self.totals(list(set().union(*texts).difference(self._kept().row)))
 
     def predict(self, words: list[str]) -> tuple[str, float, float, int]:
         """(language, score, cross-entropy, characters) of a text's words."""

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendframe.llm.common import Pieces, as_docs, slices, stored
+from trendframe.llm.common import Pieces, as_docs, held, slices, stored
 
 #: Strings that are encoded at a time are joined to about this many characters.
 JOIN_CHARS = 20_000
@@ -38,9 +38,6 @@ _PIECES = pa.schema(
     ]
 )
 
-_encoders: dict[str, "_Encoder"] = {}
-
-
 class _Encoder:
     """A tokenizer of the ``tokenizers`` library, given as its JSON."""
 
@@ -104,9 +101,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFram
     """(doc_id, part, part_start, n, ids): each document's ids and their start in its partition's stream."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer not in _encoders:
-            _encoders[tokenizer] = _Encoder(tokenizer)
-        encode = _encoders[tokenizer]
+        encode = held(("packing", tokenizer), lambda: _Encoder(tokenizer))
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:

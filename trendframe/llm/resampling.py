@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendframe.llm.common import about, as_docs, fresh, slices, stored
+from trendframe.llm.common import about, as_docs, fresh, held, slices, stored
 
 BUCKETS = 10_000
 MIX = 0.5
@@ -49,8 +49,6 @@ _KNOWN_WORDS = 400_000
 _SAME, _SAME_BUT_ONE = (np.uint64(xxhash.xxh64_intdigest(b"\0", k)) for k in (1, 2))
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
-_words: dict[str, int] = {}
-
 
 def buckets(text: str) -> np.ndarray:
     """Bucket numbers of the words, of the pairs of neighbours, and of words that come again after one other.
@@ -58,7 +56,7 @@ def buckets(text: str) -> np.ndarray:
     All pairs of equal words share one bucket, and so do all of the last kind.
     """
     words = _TOKEN.findall(text.lower())
-    known = _words
+    known = held("resampling", dict)
     if len(known) > _KNOWN_WORDS:
         known.clear()
     for w in set(words).difference(known):
