@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -121,12 +122,16 @@ class Pieces:
     word after it never match over such a cut if the characters on both sides are no white space, so
     pieces are encoded independently; a text with any other white space next to a space is encoded whole.
     ``encode`` takes strings and returns the ids of each as little-endian 32-bit integers. At most ``limit``
-    pieces are kept; then the store starts anew.
+    pieces are kept; then the store starts anew. Such splitters also part a word of Latin letters from a last comma or
+    full stop, so a piece of this form needs its word only.
     """
 
+    latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]").fullmatch
+
     def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes | None] = {}
+        self.marks = dict(zip(",.", encode([",", "."]), strict=True))
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
@@ -139,8 +144,12 @@ class Pieces:
             missing = set().union(*split)
         unsafe = [p for p in missing if not p or p[0].isspace() or p[-1].isspace()]
         known.update(dict.fromkeys(unsafe))
-        new = list(missing.difference(unsafe))
+        missing.difference_update(unsafe)
+        marked = [p for p in missing if self.latin(p)]
+        missing.difference_update(marked)
+        new = list(missing.union(p[:-1] for p in marked if p[:-1] not in known))
         known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
+        known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in marked)
         out: list[bytes] = []
         for text, parts, head, ids in zip(texts, split, heads, self.encode(heads), strict=True):
             try:
