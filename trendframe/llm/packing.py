@@ -16,6 +16,7 @@ often as needed; columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,6 +29,17 @@ from trendframe.llm.common import Pieces, as_docs, held, slices, stored
 
 #: Strings that are encoded at a time are joined to about this many characters.
 JOIN_CHARS = 20_000
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def _byte_names() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(unseen)}
+
+
+_BYTE_NAMES = _byte_names()
 _TOKENS = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
 )
@@ -52,7 +64,8 @@ class _Encoder:
         splitter = spec.get("pre_tokenizer") or {}
         #: Byte-level with the usual pattern: independent pieces, and a token has as many bytes as its name has letters.
         self.by_pieces = (
-            spec.get("normalizer") is None
+            spec["model"]["type"] == "BPE"
+            and spec.get("normalizer") is None
             and spec.get("post_processor") is None
             and splitter.get("type") == "ByteLevel"
             and splitter.get("use_regex", True)
@@ -62,7 +75,7 @@ class _Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)
-        self.pieces = Pieces(self.joined)
+        self.pieces = Pieces(self.mixed)
 
     def arrays(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,6 +83,17 @@ class _Encoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [a.tobytes() for a in self.arrays(texts)]
 
+    def word(self, piece: str) -> bytes:
+        """Ids of a space and a word, one pre-token, from the tokenizer's model alone."""
+        tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_NAMES))
+        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
+
+    def mixed(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces: words by themselves, the others joined."""
+        rest = [p for p in pieces if not _WORD(p)]
+        others = iter(self.joined(rest))
+        return [self.word(p) if _WORD(p) else next(others) for p in pieces]
+
     def joined(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, encoded many at a time where each begins with a space and is cut off by the next."""
         if not pieces or not all(p[:1] == " " for p in pieces):
