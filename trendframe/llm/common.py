@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from trendframe.session import scratch_dir
 
 #: Characters of text that a task turns into Python objects at a time; a longer text is a slice of its own.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 _held: dict = {}
@@ -128,7 +128,7 @@ class Pieces:
 
     latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]").fullmatch
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 500_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes | None] = {}
         self.marks = dict(zip(",.", encode([",", "."]), strict=True))

@@ -35,7 +35,7 @@ N, THRESHOLD = 5, 0.8
 RECALL, MOST_HASHES = 0.9999, 128
 #: Nodes per block of a large bucket; a unit compares at most two blocks.
 BLOCK = 256
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 250_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
 

@@ -29,6 +29,8 @@ from trendframe.llm.common import Pieces, as_docs, held, slices, stored
 
 #: Strings that are encoded at a time are joined to about this many characters.
 JOIN_CHARS = 20_000
+#: Documents that are cut at a time, so that few ids are copied at once.
+CUT_ROWS = 500
 _WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
@@ -160,7 +162,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int |
     placed = tokens.join(F.broadcast(offsets), "part").select("doc_id", (F.col("first") + F.col("part_start")).alias("at"), "n", "ids")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        parts = (batch.slice(k, CUT_ROWS) for batch in batches for k in range(0, batch.num_rows, CUT_ROWS))
+        for batch in parts:
             at, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("at", "n"))
             first, last = at // length, (at + n - 1) // length
             count = np.where(n > 0, last - first + 1, 0)

@@ -45,7 +45,7 @@ UNIT = 1e-9
 SEED = 20
 
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 250_000
 _SAME, _SAME_BUT_ONE = (np.uint64(xxhash.xxh64_intdigest(b"\0", k)) for k in (1, 2))
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
