@@ -53,3 +53,12 @@ def test_pieces_between_spaces_equal_whole_texts(tokenizer):
     texts = ["", " ", "a", " a", "a ", "a  b", "a \n b", "a  b", "a \x1cb", "it's <|endoftext|> ok", prose(1, 500), "é 🙂 12 34!"]
     want = [b"".join(i.to_bytes(4, "little") for i in tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
     assert encoder(texts) == want
+
+
+def test_literals_of_added_tokens_are_the_tokens(spark):
+    plain = Tokenizer.from_file(PATH)
+    texts = ["a <|endoftext|> b", "x<|endoftext|>y", "<|endoftext|><|endoftext|>.", "a <|endoftext|>\n b", "word, <|endoftext|>, <|endoftext| >"]
+    want = {k: [*plain.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
+    assert want[0] == [64, 220, 50256, 275, 1]
+    pieces = packing.pack(make_docs(spark, [(k, t, None, None) for k, t in enumerate(texts)]), PATH, 2048).collect()
+    assert {p.doc_id: ids_of(p) for p in pieces} == want

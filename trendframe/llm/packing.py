@@ -10,7 +10,8 @@ The ids are read again from a stored table, not encoded twice, and places are co
 so a task that is run again after a loss cannot disagree with what others have read.
 
 Defined results: a null text is empty and gives the end token alone; a null ``doc_id`` is kept as null;
-repeated rows and equal texts are packed once each; an empty table gives no piece; a text of any length is cut as
+a literal of an added token in a text, such as ``<|endoftext|>``, becomes that token, as ``add_special_tokens=False`` alone
+has it; repeated rows and equal texts are packed once each; an empty table gives no piece; a text of any length is cut as
 often as needed; columns other than ``doc_id`` and ``text`` are not read.
 """
 
@@ -52,16 +53,28 @@ _PIECES = pa.schema(
     ]
 )
 
+
+def _within_pieces(token: dict) -> bool:
+    """Whether an added token never reaches over a space, is no part of a word and has as many bytes as letters."""
+    name = token["content"]
+    free = not (token["lstrip"] or token["rstrip"] or token["single_word"])
+    return free and name.isascii() and not re.search(r"\s", name) and bool(re.search("[^A-Za-z.,]", name))
+
+
 class _Encoder:
-    """A tokenizer of the ``tokenizers`` library, given as its JSON."""
+    """A tokenizer of the ``tokenizers`` library, given as its JSON.
+
+    With ``literals``, a special token that a text spells out becomes that token, as the library has it by default;
+    without, it is encoded like other text.
+    """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, literals: bool = False):
         import json
 
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not literals
         spec = json.loads(definition)
         splitter = spec.get("pre_tokenizer") or {}
         #: Byte-level with the usual pattern: independent pieces, and a token has as many bytes as its name has letters.
@@ -72,6 +85,7 @@ class _Encoder:
             and splitter.get("type") == "ByteLevel"
             and splitter.get("use_regex", True)
             and not splitter.get("add_prefix_space", True)
+            and all(map(_within_pieces, spec.get("added_tokens") or []))
         )
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
@@ -127,7 +141,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFram
     """(doc_id, part, part_start, n, ids): each document's ids and their start in its partition's stream."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = held(("packing", tokenizer), lambda: _Encoder(tokenizer))
+        encode = held(("packing", tokenizer), lambda: _Encoder(tokenizer, literals=True))
         end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
