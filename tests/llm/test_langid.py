@@ -1,12 +1,14 @@
 """Language models against definitions written plainly, accuracy on held-out documents, rejection, awkward rows."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward, make_docs
 from trendframe.llm import langid
@@ -116,6 +118,28 @@ def test_foreign_text_is_rejected(spark):
     assert [r.rejected for r in langid.predict(foreign, models).collect()] == [True, True]
 
 
+def test_one_odd_document_does_not_set_the_bar(spark):
+    r = random.Random(5)
+    letters = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n))
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(600).collect()
+    calibrating = spark.range(10**6, 10**6 + 500).filter((F.pmod(F.xxhash64("id", F.lit(8)), F.lit(5)) == 0) & ~langid.held_out(F.col("id")))
+    english = " ".join(x.text for x in base if x.lang == "en" and x.text)[:30_000]
+    odd = (calibrating.first().id, f"{english} {letters(4_000)}", "en", "s")
+    models = langid.fit(make_docs(spark, [(x.doc_id, x.text, x.lang, x.source) for x in base] + [odd]))
+    texts = [
+        "Wczoraj wieczorem poszliśmy do kina, żeby zobaczyć nowy film o wojnie, a potem długo rozmawialiśmy o tym, co się wydarzyło.",
+        "Dün akşam arkadaşlarımızla birlikte yeni açılan lokantaya gittik ve uzun süre oturup eski günlerden konuştuk, sonra eve döndük.",
+        "Eilen illalla kävimme ystävien kanssa uudessa ravintolassa ja keskustelimme pitkään vanhoista ajoista ja kävelimme kotiin.",
+        "Ieri sera siamo andati con gli amici nel nuovo ristorante e abbiamo parlato a lungo dei vecchi tempi, poi siamo tornati.",
+        letters(40),
+    ]
+    foreign = [((t + " ") * 3)[:n] for t in texts for n in (100, 200, 300)]
+    found = langid.predict(make_docs(spark, [(k, t, None, None) for k, t in enumerate(foreign)]), models).collect()
+    assert [x.doc_id for x in found if not x.rejected] == []
+    known = langid.predict(make_docs(spark, [(x.doc_id, x.text, None, None) for x in base]), models).collect()
+    assert sum(x.rejected for x in known) < 0.01 * len(known)
+
+
 def test_without_training_text(spark):
     docs = make_docs(spark, [(1, "some words", None, None), (3, None, "en", None)])
     assert {r.lang_pred for r in langid.predict(docs).collect()} == {"und"}

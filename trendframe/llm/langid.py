@@ -8,8 +8,9 @@ characters never seen. All n-grams of all languages are hashed into one sorted a
 language beside it, and searched by bisection.
 
 A text's language has the lowest cross-entropy per character. A text is rejected if it has no letter, or if
-its cross-entropy lies further above the language's usual one than any calibration document's did, by ``SLACK`` and
-``MARGIN``; the distance is measured in units that shrink with the root of the text's length.
+its cross-entropy lies further above the language's usual one, the median, than a share of ``QUANTILE`` of the calibration documents,
+by ``SLACK`` and ``MARGIN``. Only documents whose label is predicted calibrate, and the greatest distance never does. The distance is measured in
+units that shrink with the root of the text's length, down to how much long documents differ from each other.
 
 The models learn from about ``SAMPLE`` documents per language, a fifth of which calibrate; which ones is decided by a
 hash of the id. n-grams are counted by Spark; the driver gets the finished tables, whose size the
@@ -40,6 +41,8 @@ from trendframe.llm.common import held, map_texts, slices, stored
 ORDER = 4
 SAMPLE = 3000
 SLACK = 1.25
+#: Share of calibration documents of a language that lie within the limit before ``SLACK``.
+QUANTILE = 0.99
 #: Cross-entropy (nats per character) above the usual one that is no ground for rejection at any length.
 MARGIN = 0.5
 #: Distance that is always allowed, as few calibration documents tell little: six times a usual deviation of one character.
@@ -106,6 +109,7 @@ class Models:
     left: np.ndarray
     usual: np.ndarray = field(default_factory=lambda: np.empty(0))
     limit: np.ndarray = field(default_factory=lambda: np.empty(0))
+    between: np.ndarray = field(default_factory=lambda: np.empty(0))
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def _kept(self) -> _Scores:
@@ -169,7 +173,7 @@ class Models:
         if not n:
             return True
         k = self.langs.index(lang)
-        return bool((entropy - self.usual[k] - MARGIN) * n**0.5 > self.limit[k])
+        return bool(entropy - self.usual[k] - MARGIN > self.limit[k] * (1 / n + self.between[k]) ** 0.5)
 
 
 def words_of(text: str) -> list[str]:
@@ -267,28 +271,45 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Models:
     if not langs:
         return Models([], np.empty(0, np.uint64), np.empty((0, 0)), np.empty((0, 0)))
     models = fit_table(grams, langs)
-    models.usual, models.limit = _calibrate(models, rows.filter("calibrates"))
+    models.usual, models.limit, models.between = _calibrate(models, rows.filter("calibrates"))
     return models
 
 
-def _calibrate(models: Models, rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Usual cross-entropy per language and the greatest distance from it, of documents that taught nothing."""
+def _calibrate(models: Models, rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_limits`` per language, of documents that taught nothing and whose label is predicted (without any: no limit)."""
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(part: pa.RecordBatch, texts: list[str]) -> dict:
         split = [words_of(t) for t in texts]
         shared.value.prepare(split)
         found = [shared.value.predict(w) for w in split]
-        return {"lang": [x[0] for x in found], "entropy": [x[2] for x in found], "n": [x[3] for x in found]}
+        return {
+            "label": part.column("lang"), "lang": [x[0] for x in found], "entropy": [x[2] for x in found], "n": [x[3] for x in found],
+        }
 
-    found = map_texts(rows, ["text"], "lang string, entropy double, n long", run).filter("n > 0").toPandas()
-    usual, limit = np.full(len(models.langs), np.inf), np.full(len(models.langs), np.inf)
+    schema = "label string, lang string, entropy double, n long"
+    found = map_texts(rows, ["lang", "text"], schema, run).filter("n > 0 and label = lang").toPandas()
+    usual, limit, between = np.full(len(models.langs), np.inf), np.full(len(models.langs), np.inf), np.zeros(len(models.langs))
     for k, lang in enumerate(models.langs):
         mine = found[found.lang == lang]
         if len(mine):
-            usual[k] = np.average(mine.entropy, weights=mine.n)
-            limit[k] = max(SLACK * float(((mine.entropy - usual[k]) * mine.n**0.5).max()), LEAST_LIMIT)
-    return usual, limit
+            usual[k], limit[k], between[k] = _limits(mine.entropy.to_numpy(), mine.n.to_numpy())
+    return usual, limit, between
+
+
+def _limits(entropy: np.ndarray, n: np.ndarray) -> tuple[float, float, float]:
+    """Usual cross-entropy, the limit of distances from it, and the variance between long documents.
+
+    The variance is given as a multiple of that of a single character. All rest on medians and on a quantile below the
+    greatest distance, so no single document moves them far, however long or odd it is.
+    """
+    usual = float(np.median(entropy))
+    above = entropy - usual
+    long = n >= np.median(n)
+    one = float(np.median(above**2 * n))
+    between = max(float(np.median(above[long] ** 2)) / one - float(np.median(1 / n[long])), 0.0) if one else 0.0
+    distance = above / np.sqrt(1 / n + between)
+    return usual, max(SLACK * float(np.quantile(distance, QUANTILE, method="lower")), LEAST_LIMIT), between
 
 
 def predict(docs: DataFrame, models: Models | None = None) -> DataFrame:
