@@ -91,6 +91,17 @@ def test_the_field_finds_other_ways_of_writing(model):
     assert pii.find_spans(model, [text])[0] == [("crf_phone", 17, 31)]
 
 
+@pytest.mark.parametrize(
+    "address", ["anna [at] example.com", "anna (at) example.com", "peter.kohl [at] firma.example.de", "sue (AT) mail.example.org", "ben[at]example.net", "mia ( at ) example.org"]
+)
+def test_addresses_without_digits_and_at_signs(model, address):
+    text = f"for the tickets please write to {address} before the end of the week"
+    start = text.index(address)
+    assert pii.find_spans(model, [text])[0] == [("crf_email", start, start + len(address))]
+    assert pii.masked(text, pii.find_spans(model, [text])[0]) == "for the tickets please write to [EMAIL] before the end of the week"
+    assert pii.find_spans(model, ["we stood (at the gate) and looked at [the] sea"]) == [[]]
+
+
 def test_clean_text_has_no_spans(model):
     clean = ["no digits here at all, only words", "in 1984 there were 25 people", "pages 12 and 13, section 4.2", "token = 0641917ea4e9feb9cda8", ""]
     assert pii.find_spans(model, clean) == [[]] * len(clean)

@@ -1,8 +1,8 @@
 """Personal data: fixed patterns, and a conditional random field over word shapes for other ways of writing them.
 
 The patterns find e-mail addresses, IP addresses, card and telephone numbers written in the usual way. The field labels
-words near digits and at-signs (``REACH`` words on each side of each such word) by their own shape and
-their neighbours'; what it finds and the patterns don't is added as ``crf_<kind>``. It is trained on the driver from a
+words near digits, at-signs and bracketed ones as in ``anna [at] example.com`` (``REACH`` words on each side of each such word) by their
+own shape and their neighbours'; nothing that may be reported is without one of these; what it finds and the patterns don't is added as ``crf_<kind>``. It is trained on the driver from a
 small labelled table: ``EXAMPLES``, and about ``SAMPLE`` documents that may have matches of the patterns, chosen by a
 hash of their id and labelled by these matches.
 
@@ -28,7 +28,7 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, *(f"crf_{k}" for k in BASE))
 #: Documents whose matches are training material, about (never twice as many).
 SAMPLE = 300
-#: Words on each side of a word with a digit or at-sign that are labelled with it.
+#: Words on each side of a word with a digit, at-sign or bracketed "at" that are labelled with it.
 REACH = 3
 LABELS = ["O", *(f"{p}-{k}" for k in BASE for p in "BI")]
 
@@ -43,6 +43,24 @@ EXAMPLES: list[tuple[str, list[tuple[str, str]]]] = [
     ("reach us under (415) 555-2671 today", [("phone", "(415) 555-2671")]),
     ("the desk (808) 555-9902 is open", [("phone", "(808) 555-9902")]),
     ("contact joe_17 [at] example.com please", [("email", "joe_17 [at] example.com")]),
+    ("write to anna [at] example.com today", [("email", "anna [at] example.com")]),
+    ("ask max.berg (at) mail.example.org first", [("email", "max.berg (at) mail.example.org")]),
+    ("mail lena ( at ) example.net or call", [("email", "lena ( at ) example.net")]),
+    ("or Tom_Hill [ AT ] Example.org for more", [("email", "Tom_Hill [ AT ] Example.org")]),
+    ("send it to eva[at]example.com please", [("email", "eva[at]example.com")]),
+    ("the address is j.doe(at)example.org now", [("email", "j.doe(at)example.org")]),
+    ("ask Bob (AT) mail.example.net about it", [("email", "Bob (AT) mail.example.net")]),
+    ("and reply to kim (AT) example.com soon", [("email", "kim (AT) example.com")]),
+    ("for help try ina [AT] shop.example.com there", [("email", "ina [AT] shop.example.com")]),
+    ("you find jan (at) example.net in it", [("email", "jan (at) example.net")]),
+    ("rosa (at) example.com", [("email", "rosa (at) example.com")]),
+    ("finn [ at ] example.de", [("email", "finn [ at ] example.de")]),
+    ("SALES (AT) EXAMPLE.COM", [("email", "SALES (AT) EXAMPLE.COM")]),
+    ("write to OFFICE [AT] EXAMPLE.ORG or call", [("email", "OFFICE [AT] EXAMPLE.ORG")]),
+    ("mara[AT]example.org", [("email", "mara[AT]example.org")]),
+    ("ask leo[AT]lab.example.edu there", [("email", "leo[AT]lab.example.edu")]),
+    ("or nora(AT)mail.example.net instead", [("email", "nora(AT)mail.example.net")]),
+    ("we met (at the gate) and look (at) this [at] night", []),
     ("from 10.0.0.12:8080 to the server", [("ip", "10.0.0.12:8080")]),
     ("host 192.168.4.20/24 is down", [("ip", "192.168.4.20/24")]),
     ("the card 4111.1111.1111.1111 was used", [("card", "4111.1111.1111.1111")]),
@@ -73,7 +91,10 @@ _CARD = re.compile(r"[0-9]+(?:[\x20-][0-9]+)*")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"\S+")
-_MARKED = re.compile(r"[0-9@]")
+_AT = r"[\[(] ?at ?[\])]"
+_BRACKETED = re.compile(rf"(?i){_AT}")
+#: Whatever ``_PLAUSIBLE`` accepts has one of these.
+_MARKED = re.compile(rf"(?i)[0-9@]|{_AT}")
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -117,12 +138,16 @@ def base_spans(text: str) -> list[Span]:
 
 
 def _neighbourhoods(text: str) -> Iterator[list[tuple[int, int]]]:
-    """Runs of words with a digit or at-sign in at most ``REACH`` words' distance."""
+    """Runs of words with a match of ``_MARKED`` or a part of one in at most ``REACH`` words' distance."""
     recent: list[tuple[int, int]] = []
     run: list[tuple[int, int]] = []
-    left = 0
+    left = marked = 0
+    marks = _MARKED.finditer(text)
+    mark = next(marks, None)
     for m in _WORD.finditer(text):
-        if _MARKED.search(m[0]):
+        while mark and mark.start() < m.end():
+            marked, mark = mark.end(), next(marks, None)
+        if m.start() < marked:
             run = run + [m.span()] if run else [*recent, m.span()]
             left = REACH
         elif left:
@@ -141,11 +166,23 @@ def _shape(word: str) -> str:
     return re.sub(r"([^Xx9])(?=\1)", "", "".join("9" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in word[:40]))
 
 
+def _mark(word: str) -> str:
+    """What a word may be in an address: a bracketed "at" or a part of one, a word with one, a host."""
+    if len(word) < 3:
+        return {"(": "o", "[": "o", ")": "c", "]": "c", "at": "b"}.get(word.lower(), "-")
+    if word[0] in "[(" and _BRACKETED.fullmatch(word):
+        return "a"
+    if ("(" in word or "[" in word) and _BRACKETED.search(word):
+        return "g"
+    return "h" if "." in word and _DOMAIN.fullmatch(word) and not _DIGIT.search(word) else "-"
+
+
 def _features(text: str, run: list[tuple[int, int]]) -> list[tuple[str, ...]]:
     words = [text[s:e].rstrip(".,;:!?") for s, e in run]
     shapes = [_shape(w) for w in words]
     short = [re.sub(r"([Xx9])\1+", r"\1+", s) for s in shapes]
     digits = [str(min(len(_digits(w)), 20)) for w in words]
+    marks = [_mark(w) for w in words]
     at = lambda x, i: x[i] if 0 <= i < len(x) else "-"
     return [
         (
@@ -153,6 +190,7 @@ def _features(text: str, run: list[tuple[int, int]]) -> list[tuple[str, ...]]:
             "start=" + words[i][:1], "word=" + (words[i].lower()[:12] if digits[i] == "0" else "#"),
             "before=" + at(short, i - 1)[:24] + "|" + short[i][:24], "after=" + short[i][:24] + "|" + at(short, i + 1)[:24],
             "before digits=" + at(digits, i - 1) + "|" + digits[i], "after digits=" + digits[i] + "|" + at(digits, i + 1),
+            "marks=" + at(marks, i - 1) + marks[i] + at(marks, i + 1),
         )
         for i in range(len(words))
     ]
@@ -193,7 +231,7 @@ def _labelled_spans(text: str, run: list[tuple[int, int]], tags: list[str]) -> I
 
 #: What a labelled span must look like to be reported: its characters, and how many digits.
 _PLAUSIBLE = {
-    "email": (re.compile(r"(?i).*(@|[\[(] ?at ?[\])]).*"), 0, 99),
+    "email": (re.compile(rf"(?i).*(@|{_AT}).*"), 0, 99),
     "ip": (re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}([:/][0-9]+)?"), 4, 17),
     "card": (re.compile(r"[0-9]{4}[0-9 .-]+[0-9]"), 13, 19),
     "phone": (re.compile(r"[+(]?[0-9][0-9 ()./-]+[0-9]"), 7, 15),
