@@ -6,6 +6,10 @@ when a complementary part is within ``reach`` characters (the scope): an identif
 secret, a weak secret an identifier or address. This is an interval join within the document: the intervals of each
 side are sorted and disjoint, so the nearest on either side is found by bisection and no pairs are formed.
 
+A URL is taken apart: its user is a weak identifier (a weak secret if it looks random and has no password), its password a weak secret
+whatever it looks like, a value of its query or fragment a weak secret if it looks random, and the rest, from host to path,
+the endpoint. Parts of one URL are always in each other's scope; others measure their distance from the whole URL.
+
 Defined results: a null text is empty and has no span; a null ``doc_id`` is kept as null; each repeated row gets its
 spans; an empty table gives no row; other columns are not read. Each pattern passes a text once, so time
 is linear in its length; a weak candidate that overlaps a certain one is dropped.
@@ -17,6 +21,7 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -40,6 +45,8 @@ _ID = re.compile(
 )
 _ID_WORDS = ("keyid", "key_id", "clientid", "client_id", "accountid", "account_id", "user", "login")
 _ENDPOINT = re.compile(r"""(?:https?|ftp|amqps?|redis|mysql|postgres(?:ql)?|mongodb|s3)://[^\s"'<>]{4,}""", re.A | re.I)
+_USER_INFO = re.compile(r"://([^\s/?#@:]*)(?::([^\s/?#]*))?@")
+_VALUE = re.compile(r"[?&#;][^=&#;]*=([^&#;]+)")
 _WEAK_SECRET = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -80,6 +87,24 @@ def _clear_of(taken: list[Span], spans: list[Span]) -> list[Span]:
     return out
 
 
+def _url_parts(text: str, start: int, end: int) -> list[Span]:
+    """The endpoint of a URL and its weak identifier and secrets."""
+    info = _USER_INFO.match(text, text.index("://", start), end)
+    host = info.end() if info else start
+    path_end = next((k for k in range(host, end) if text[k] in "?#"), end)
+    out: list[Span] = []
+    if info and info[2]:
+        out.append(("weak_secret", *info.span(2)))
+    if info and info[1]:
+        out.append(("weak_id" if info[2] or not _has_secret(info[1]) else "weak_secret", *info.span(1)))
+    out += [("weak_secret", *m.span(1)) for m in _VALUE.finditer(text, path_end, end) if _has_secret(unquote(m[1]))]
+    return [*out, ("endpoint", host, path_end)] if path_end > host else out
+
+
+def _has_secret(s: str) -> bool:
+    return any(_random_looking(m[0]) for m in _WEAK_SECRET.finditer(s))
+
+
 def _near(spans: list[Span], others: list[Span], reach: int) -> list[Span]:
     """Those of ``spans`` with one of ``others`` at most ``reach`` characters away."""
     others = sorted(others, key=lambda x: x[1])
@@ -97,19 +122,34 @@ def _near(spans: list[Span], others: list[Span], reach: int) -> list[Span]:
 
 def linked(text: str, lower: str, base: list[Span], reach: int) -> list[Span]:
     """Weak candidates with a complementary part in reach."""
+    urls: dict[Span, Span] = {}  # the whole URL that a part is of
+    if "://" in text:
+        for m in _ENDPOINT.finditer(text):
+            urls.update((part, (part[0], *m.span())) for part in _url_parts(text, *m.span()))
+    parts = _clear_of(base, list(urls))
+    users = [x for x in parts if x[0] == "weak_id"]
+    url_secrets = [x for x in parts if x[0] == "weak_secret"]
+    endpoints = [x for x in parts if x[0] == "endpoint"]
     weak_ids: list[Span] = []
     if any(w in lower for w in _ID_WORDS):
-        weak_ids = _clear_of(base, [("weak_id", *m.span()) for m in _ID.finditer(text)])
-    endpoints: list[Span] = []
-    if "://" in text:
-        endpoints = _clear_of(base, [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)])
+        named = [("weak_id", *m.span()) for m in _ID.finditer(text)]
+        info = [x for x in parts if x[0] != "endpoint" and text[x[1] - 1] in ":/"]  # user info is no name and value
+        weak_ids = _clear_of(base + info, named)
+        url_secrets = _clear_of(weak_ids, url_secrets)
+    weak_ids += users
     identifying = weak_ids + endpoints + [x for x in base if x[0] == "access"]
     if not identifying:
         return []
+
+    def near(spans: list[Span], others: list[Span]) -> list[Span]:
+        kept = set(_near([urls.get(x, x) for x in spans], [urls.get(x, x) for x in others], reach))
+        return [x for x in spans if urls.get(x, x) in kept]
+
     weak_secrets = [("weak_secret", *m.span()) for m in _WEAK_SECRET.finditer(text) if _random_looking(m[0])]
-    weak_secrets = _near(_clear_of(base + weak_ids + endpoints, weak_secrets), identifying, reach)
+    whole = [("endpoint", s, e) for _, s, e in urls.values()]
+    weak_secrets = near(_clear_of(base + weak_ids + whole, weak_secrets) + url_secrets, identifying)
     secrets = weak_secrets + [x for x in base if x[0] != "access"]
-    return weak_secrets + _near(weak_ids + endpoints, secrets, reach)
+    return weak_secrets + near(weak_ids + endpoints, secrets)
 
 
 def find_spans(text: str, reach: int = 200) -> list[Span]:
