@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -71,6 +72,31 @@ def test_viterbi_equals_all_paths():
         assert got == [model.labels[k] for k in best]
 
 
+def test_long_sequences_are_decoded_alike_in_little_memory(monkeypatch):
+    r = np.random.default_rng(4)
+    model = crf.Crf(["a", "b", "c"], {"f1": 1, "f2": 2, "f3": 3}, r.normal(size=(4, 3)), r.normal(size=(3, 3)), r.normal(size=3))
+    sequences = [[(f"f{r.integers(0, 5)}",) for _ in range(n)] for n in (1, 700, 3, 40, 0, 90, 2, 41)]
+    want = model.viterbi(sequences)
+    for cells, window in ((100, 16), (1, 41), (5000, 7)):
+        monkeypatch.setattr(crf, "CELLS", cells)
+        monkeypatch.setattr(crf, "WINDOW", window)
+        assert model.viterbi(sequences) == want
+    monkeypatch.undo()
+    mixed = [[("f1",)] * 30_000] + [[("f2",)] * 3] * 511
+    tracemalloc.start()
+    model.viterbi(mixed)
+    assert tracemalloc.get_traced_memory()[1] < 100e6  # padded to one length they would take 369 MB for scores alone
+    tracemalloc.stop()
+
+
+def test_windows_of_a_run_have_the_features_of_the_whole():
+    text = "call (555) 123-4567 or anna [at] example.com, 10.0.0.1 now"
+    run = next(pii._neighbourhoods(text))
+    whole = pii._features(text, run)
+    for size in (1, 2, 3, 50):
+        assert [w for k in range(0, len(run), size) for w in pii._Run(text, run)[k : k + size]] == whole
+
+
 def test_training_gradient_and_fit():
     sequences = [[("x",), ("y",)], [("y",), ("y",), ("x",)], [("x",)]]
     tags = [["a", "b"], ["b", "b", "a"], ["a"]]

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Sequences that are padded to one length and decoded together.
-BATCH = 512
+#: Words, with padding, that are decoded together.
+CELLS = 65_536
+#: Words of a longer sequence that are scored at a time.
+WINDOW = 8_192
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -33,15 +35,41 @@ class Crf:
 
     def viterbi(self, sequences: Sequence[Sequence[Sequence[str]]]) -> list[list[str]]:
         """The best labels of each sequence; of equally good ones the first in label order."""
-        order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+        order = sorted((i for i in range(len(sequences)) if len(sequences[i])), key=lambda i: len(sequences[i]))
         out: list[list[str]] = [[] for _ in sequences]
-        for at in range(0, len(order), BATCH):
-            part = order[at : at + BATCH]
-            scores, lengths = _padded([self.state[self.rows(sequences[i])].sum(axis=1) for i in part])
-            for i, path in zip(part, self._paths(scores, lengths), strict=True):
+        at = 0
+        while at < len(order):
+            end = at + 1  # sequences come by length, so the last one of a batch gives its width
+            while end < len(order) and (end + 1 - at) * len(sequences[order[end]]) <= CELLS:
+                end += 1
+            part = order[at:end]
+            if len(sequences[part[-1]]) > WINDOW:
+                paths = [self._long_path(sequences[i]) for i in part]
+            else:
+                paths = self._paths(*_padded([self.state[self.rows(sequences[i][:])].sum(axis=1) for i in part]))
+            for i, path in zip(part, paths, strict=True):
                 out[i] = [self.labels[k] for k in path]
+            at = end
         return out
 
+    def _long_path(self, sequence: Sequence[Sequence[str]]) -> list[int]:
+        """The best labels of one sequence, scored window by window; only its back pointers are as long as it is."""
+        back = np.zeros((len(sequence), len(self.labels)), dtype=np.min_scalar_type(len(self.labels)))
+        best = None
+        for start in range(0, len(sequence), WINDOW):
+            scores = self.state[self.rows(sequence[start : start + WINDOW])].sum(axis=1)
+            for t, score in enumerate(scores, start):
+                if best is None:
+                    best = score + self.first
+                    continue
+                through = best[:, None] + self.step
+                back[t] = through.argmax(axis=0)
+                best = through.max(axis=0) + score
+        path = [int(best.argmax())]
+        for t in range(len(sequence) - 1, 0, -1):
+            path.append(int(back[t, path[-1]]))
+        return path[::-1]
+
     def _paths(self, scores: np.ndarray, lengths: np.ndarray) -> list[list[int]]:
         n, size, k = scores.shape
         best = scores[:, 0] + self.first

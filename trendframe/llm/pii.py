@@ -14,7 +14,7 @@ no other columns and ``mask`` keeps them. Every pattern is linear in the length
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -148,7 +148,9 @@ def _neighbourhoods(text: str) -> Iterator[list[tuple[int, int]]]:
         while mark and mark.start() < m.end():
             marked, mark = mark.end(), next(marks, None)
         if m.start() < marked:
-            run = run + [m.span()] if run else [*recent, m.span()]
+            if not run:
+                run = recent
+            run.append(m.span())
             left = REACH
         elif left:
             run.append(m.span())
@@ -157,7 +159,7 @@ def _neighbourhoods(text: str) -> Iterator[list[tuple[int, int]]]:
             yield run
             recent, run = run[-REACH:], []
         if not run:
-            recent = [*recent, m.span()][-REACH:]
+            recent = [*recent, m.span()][-REACH:]  # a new list: a run never shares it
     if run:
         yield run
 
@@ -196,6 +198,21 @@ def _features(text: str, run: list[tuple[int, int]]) -> list[tuple[str, ...]]:
     ]
 
 
+class _Run(Sequence):
+    """A run of words; a slice of it is their features, made when it is taken, with the neighbours outside it."""
+
+    def __init__(self, text: str, run: list[tuple[int, int]]):
+        self.text, self.run = text, run
+
+    def __len__(self) -> int:
+        return len(self.run)
+
+    def __getitem__(self, part: slice) -> list[tuple[str, ...]]:
+        start, end, _ = part.indices(len(self.run))
+        before = max(start - 1, 0)
+        return _features(self.text, self.run[before : end + 1])[start - before : end - before]
+
+
 def _tags(run: list[tuple[int, int]], spans: list[Span]) -> list[str]:
     """Labels of words: first or further word of the span that holds most of its beginning."""
     tags = []
@@ -250,7 +267,7 @@ def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
     for i, text in enumerate(texts):
         if _MARKED.search(text):
             runs += [(i, run) for run in _neighbourhoods(text)]
-    paths = model.viterbi([_features(texts[i], run) for i, run in runs]) if runs else []
+    paths = model.viterbi([_Run(texts[i], run) for i, run in runs]) if runs else []
     for (i, run), tags in zip(runs, paths, strict=True):
         taken = [x for x in out[i] if x[1] < run[-1][1] and run[0][0] < x[2]]
         for kind, s, e in _labelled_spans(texts[i], run, tags):
