@@ -78,6 +78,19 @@ def test_next_documents(spark, conf, partitions):
     assert sorted(got, key=str) == plain_compare(rows)
 
 
+def test_rows_of_one_id_are_dealt_to_several_ranges(spark, conf):
+    conf(spark__sql__shuffle__partitions="8")
+    rows = [(i, prose(k, 30), None, None) for k in range(600) for i in ([k] if k % 3 else [None])]
+    rows += [(7, prose(k, 30), None, None) for k in range(600, 1200)]
+    docs = make_docs(spark, rows).repartition(5)
+    placed = syncmers._with_followers(docs).select("bucket", "copy", "key").collect()
+    for key in (7, syncmers._NULL):
+        assert len({r.bucket for r in placed if r.key == key and not r.copy}) > 3
+    copies = [r.bucket for r in placed if r.copy]
+    assert len(copies) == len(set(copies)) == len({r.bucket for r in placed})
+    assert sorted((tuple(r) for r in syncmers.compare(docs).collect()), key=str) == plain_compare(rows)
+
+
 def test_few_rows(spark):
     assert syncmers.compare(make_docs(spark, [])).count() == 0
     for rows in ([(1, "alone " * 30, None, None)], [(None, "x", None, None), (None, None, None, None)], [(7, "same", None, None)] * 5):

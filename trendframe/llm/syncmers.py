@@ -15,7 +15,7 @@ blocks.
 from __future__ import annotations
 
 import hashlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +31,8 @@ BLOCK = 1 << 20
 RANGES = 4
 #: Sampled ids per range that cuts the ranges.
 SAMPLE = 50
+#: First characters of a text that cut ranges of rows with one id.
+PREFIX = 64
 _BASE = 0x100000001B3
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 _NULL = -(2**63)
@@ -117,29 +119,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def _with_followers(docs: DataFrame) -> DataFrame:
     """Rows (bucket, copy, key, doc_id, text) placed by ranges of ids, each range followed by the next one's first row.
 
-    Ranges are cut at quantiles of a sample of ids, about ``SAMPLE`` for each range; there are ``RANGES`` for each
-    shuffle partition, so that no partition gets many more rows than others. The boundary rows, the first of every
-    range, are sent to the range before as well (the very first to the last range), so that every row finds the
-    one after it in its own partition. The driver gets the sample and one id per range.
+    Ranges are cut at quantiles of a sample of rows by descending id and the first ``PREFIX`` characters of the text, so that rows that
+    repeat an id, or have none, are dealt to several ranges too unless their texts begin alike. About ``SAMPLE`` rows
+    are sampled for each range; there are ``RANGES`` for each
+    shuffle partition, so that no partition gets many more rows than others. The boundary row, the first of every
+    range, is sent to the range before as well (the very first to the last range), so that every row finds the
+    one after it in its own partition. The driver gets the sample and one id and prefix per range.
     """
     spark = docs.sparkSession
-    rows = as_docs(docs).withColumn("key", F.coalesce("doc_id", F.lit(_NULL)))
+    key = F.coalesce("doc_id", F.lit(_NULL))
+    # From the greatest id to the least: the complement of a long reverses its order and cannot overflow.
+    rows = as_docs(docs).withColumns({
+        "key": key, "place": F.bitwise_not(key), "prefix": F.substring(F.coalesce("text", F.lit("")), 1, PREFIX),
+    })
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = RANGES * n
-    sample = np.sort(about(rows.select("key"), SAMPLE * parts, "key").toPandas().key.to_numpy(np.int64))
-    edges = np.unique(sample[np.arange(1, parts) * len(sample) // parts]) if len(sample) else sample
+    sample = sorted((r.place, r.prefix) for r in about(rows.select("place", "prefix"), SAMPLE * parts, "place", "prefix").collect())
+    edges = sorted({sample[k * len(sample) // parts] for k in range(1, parts)}) if sample else []
+    edge_places = np.array([e[0] for e in edges], np.int64)
 
     @F.arrow_udf("int")
-    def bucket(key: pa.Array) -> pa.Array:
-        """Ranges in descending order; each holds the edge above it."""
-        return pa.array(len(edges) - np.searchsorted(edges, key.to_numpy(zero_copy_only=False), side="left"), pa.int32())
-
-    placed = rows.withColumn("bucket", bucket("key"))
-    firsts = sorted((r.bucket, r.key) for r in placed.groupBy("bucket").agg(F.max("key").alias("key")).collect())
-    before = {key: firsts[i - 1][0] for i, (_, key) in enumerate(firsts)}
-    boundary = spark.createDataFrame([(k, b) for k, b in before.items()], "first long, before int")  # a row per range
-    copies = rows.join(F.broadcast(boundary), F.col("key") == F.col("first")).select(
-        F.col("before").alias("bucket"), F.lit(True).alias("copy"), "key", "doc_id", "text"
+    def bucket(place: pa.Array, prefix: pa.Array) -> pa.Array:
+        """Ranges in the order of rows; each begins with its edge."""
+        places = place.to_numpy(zero_copy_only=False)
+        out = np.searchsorted(edge_places, places, side="left")
+        for i in np.flatnonzero(out != np.searchsorted(edge_places, places, side="right")).tolist():  # ids of edges
+            out[i] = bisect_right(edges, (int(places[i]), prefix[i].as_py()))
+        return pa.array(out, pa.int32())
+
+    placed = rows.withColumn("bucket", bucket("place", "prefix"))
+    least = placed.groupBy("bucket").agg(F.min(F.struct("place", "prefix")).alias("first")).collect()
+    firsts = sorted((r.bucket, r.first.place, r.first.prefix) for r in least)
+    before = [(place, prefix, firsts[i - 1][0]) for i, (_, place, prefix) in enumerate(firsts)]
+    boundary = spark.createDataFrame(before, "first long, start string, before int")  # a row per range
+    heads = rows.join(F.broadcast(boundary), (F.col("place") == F.col("first")) & (F.col("prefix") == F.col("start")))
+    copies = heads.groupBy("before").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).select(
+        F.col("before").alias("bucket"), F.lit(True).alias("copy"), F.lit(_NULL).alias("key"), F.lit(None).cast("long").alias("doc_id"), "text"
     )
     own = placed.select("bucket", F.lit(False).alias("copy"), "key", "doc_id", "text")
     return own.union(copies).repartition(n, "bucket").sortWithinPartitions("bucket", "copy", F.desc("key"), "text")
