@@ -81,6 +81,18 @@ def test_good_documents_stay_and_bad_ones_go(spark):
     assert np.mean(good) > 0.98 and np.mean(bad) < 0.05
 
 
+def test_every_held_out_id_counts_once_however_often_it_is_repeated(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0) for i in range(200)], LABELS)
+    _, held_out = resampling.labelled(labels)
+    hot = next(i for i, good in held_out.items() if good)
+    rows = [(i, prose(i, 50) if i % 2 == 0 else "junk " * 50, None, None) for i in range(200)]
+    cuts = []
+    monkeypatch.setattr(resampling, "HELD_OUT", 1)
+    monkeypatch.setattr(resampling, "best_cut", lambda w, good: cuts.append((len(w), int(good.sum()))) or -np.inf)
+    resampling.classify(make_docs(spark, [rows[hot]] * 100 + rows), labels)
+    assert cuts == [(len(held_out), sum(held_out.values()))]
+
+
 def test_labelled_documents(spark):
     got = op9_resampling(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").toPandas()
     assert got[got.quality == 1].kept.mean() > 0.95 and got[got.quality == 0].kept.mean() < 0.1

@@ -8,8 +8,8 @@ replacement. ``k`` is the number of documents with a weight above the cut that b
 labelled documents, which took no part in the target model.
 
 Every document counts in the raw model and is weighed. Of labelled rows, about ``TARGET`` good ones, chosen by a
-hash of their ids, make the target model and about ``HELD_OUT`` others the cut; only these ids, the bucket
-sums and the held-out weights pass through the driver. The noise is a hash of id and text, so a task that is run
+hash of their ids, make the target model and about ``HELD_OUT`` others the cut, each with the least weight of the documents
+with its id; only these ids, the bucket sums and a weight per held-out id pass through the driver. The noise is a hash of id and text, so a task that is run
 again keeps the same documents. The k-th greatest sum is found exactly by counting in ever narrower ranges.
 
 Defined results: a null or empty text has log weight 0; a null ``doc_id`` is unlabelled; a document with
@@ -171,7 +171,8 @@ def sample(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Data
     target_ids, held_out = labelled(labels)
     names = fresh(docs, "log_weight", "sampling_sum", "held_out_label")
     weighed = stored(weigh(docs, log_ratios(docs, target_ids), held_out, names).select(*columns, *names), "weights")
-    rows = weighed.filter(F.col(names[2]).isNotNull()).select(names[0], names[2]).limit(4 * HELD_OUT).toPandas()
+    seen = weighed.filter(F.col(names[2]).isNotNull())  # a row per held-out id, however often documents repeat it
+    rows = seen.groupBy("doc_id").agg(F.min(names[0]).alias(names[0]), F.min(names[2]).alias(names[2])).toPandas()
     cut = best_cut(rows[names[0]].to_numpy(float), rows[names[2]].to_numpy() == 1) if len(rows) else -np.inf
     if cut == -np.inf:
         return weighed, None, names
