@@ -1,0 +1,123 @@
+"""The manifest against a plain tree built in Python; proofs fold to the root unless a field was changed."""
+
+import hashlib
+import math
+import zlib
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import awkward, make_docs
+from trendframe.llm import merkle
+from trendframe.llm.queries import ORACLES, op12_merkle
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def leaf(doc_id, source, lang, n_chars, text):
+    values = [None if v is None else str(v) for v in (doc_id, source, lang, n_chars, text)]
+    return sha("".join("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        out.append([sha("".join(out[-1][k : k + 8])) for k in range(0, len(out[-1]), 8)])
+    return out
+
+
+def siblings(tree, i):
+    """(left, right) of node ``i`` and of each above it."""
+    out = []
+    for nodes in tree[:-1]:
+        run = nodes[i // 8 * 8 : i // 8 * 8 + 8]
+        out.append(("".join(run[: i % 8]), "".join(run[i % 8 + 1 :])))
+        i //= 8
+    return out
+
+
+def plain(rows, claim=lambda row: row):
+    """(doc_id, leaf, subroot, root, proof, folded, verified) of rows (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(*row), leaf(*claim(row)), row[0]))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: levels([r[2] for r in sorted(groups[g])]) for g in names}
+    top = levels([trees[g][-1][0] for g in names])
+    out = []
+    for k, g in enumerate(names):
+        for i, (_, _, true, claimed, doc_id) in enumerate(sorted(groups[g])):
+            path = siblings(trees[g], i) + siblings(top, k)
+            folded = claimed
+            for left, right in path:
+                folded = sha(left + folded + right)
+            out.append((doc_id, true, trees[g][-1][0], top[-1][0], sha("".join(a + b for a, b in path)), folded, folded == top[-1][0]))
+    return sorted(out, key=str)
+
+
+COLUMNS = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+
+
+def manifest(df, claimed=None):
+    return sorted(map(tuple, merkle.verify(merkle.manifest(df, claimed)).select(*COLUMNS).collect()), key=str)
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+
+
+def test_awkward_rows(spark):
+    docs = make_docs(spark, awkward())
+    change = lambda r: (*r[:4], r[4].lower()) if r[4] is not None and r[0] is not None and r[0] % 2 == 0 else r
+    lower = F.when(F.col("doc_id") % 2 == 0, F.lower("text")).otherwise(F.col("text"))
+    assert manifest(docs, {"text": lower}) == plain(rows_of(docs), change)
+
+
+@pytest.mark.parametrize("n,langs", [(0, 1), (1, 1), (8, 1), (9, 1), (65, 2), (700, 3), (60, 60)])
+def test_sizes(spark, n, langs):
+    docs = make_docs(spark, [(i * 7 % max(n, 1), f"T{i}", f"l{i % langs}", None) for i in range(n)])
+    assert manifest(docs) == plain(rows_of(docs))
+
+
+def test_many_blocks_of_a_hot_group_over_tiers(spark, monkeypatch):
+    """Blocks of 64 leaves: one group needs three tiers, others less than a block."""
+    monkeypatch.setattr(merkle, "LEVELS", 2)
+    docs = make_docs(spark, [(i, f"T{i}", "hot" if i < 4200 else f"l{i % 90}", None) for i in range(4500)]).repartition(7)
+    want = plain(rows_of(docs))
+    assert manifest(docs) == want and all(r[-1] for r in want)
+
+
+def test_one_hot_id_and_equal_rows(spark):
+    docs = make_docs(spark, [(5, f"t{i % 40}", "en", "s") for i in range(300)] + [(5, "same", "en", "s")] * 300)
+    assert manifest(docs) == plain(rows_of(docs))
+
+
+def test_a_changed_field_breaks_its_own_proof_only(spark):
+    docs = make_docs(spark, [(i, "Text", "en", "s") for i in range(100)])
+    found = manifest(docs, {"source": F.when(F.col("doc_id") == 42, "other").otherwise(F.col("source"))})
+    assert [r[0] for r in found if not r[-1]] == [42] and len({r[3] for r in found}) == 1
+
+
+def test_rows_of_a_block_are_bounded_and_leaves_never_joined(spark, monkeypatch):
+    monkeypatch.setattr(merkle, "LEVELS", 2)
+    nodes = spark.range(1000).select(F.lit("g").alias("group"), F.col("id").alias("rank"), F.lit(1000).alias("total"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    blocks = merkle.roll_up(nodes, ["rank"])
+    sizes = [len(x.children) for r in blocks.collect() for x in r.tree.children]
+    assert sum(sizes) == 1000 and max(sizes) == 8 and blocks.count() == math.ceil(1000 / 64)
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1  # the digits are grouped away within it
+    emitted = merkle.emit(blocks, ["rank"])
+    assert "Join" not in emitted._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.rank for r in emitted.collect()) == list(range(1000))
+
+
+def test_query_against_sql_and_plain(spark):
+    sf = "/root/testdata/sf0.001"
+    duckdb.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    got = sorted(map(tuple, op12_merkle(spark, sf).select(*COLUMNS).collect()), key=str)
+    change = lambda r: (*r[:4], r[4].translate({k: k + 32 for k in range(65, 91)})) if r[4] and zlib.crc32(str(r[0]).encode()) % 3 == 0 else r
+    assert got == plain(rows_of(spark.read.parquet(f"{sf}/documents.parquet")), change)
+    assert got == sorted(duckdb.sql(f"SELECT {', '.join(COLUMNS)} FROM ({ORACLES['op12_merkle']})").fetchall(), key=str)
+    assert {r[-1] for r in got} == {True, False}

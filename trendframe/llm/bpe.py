@@ -14,17 +14,18 @@ and memory are linear in the length of a text.
 from __future__ import annotations
 
 import base64
-import hashlib
 import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from trendframe.llm.common import Pieces, as_docs, held, map_texts
+from trendframe.llm.common import Pieces, as_binary, as_docs, held, map_columns, sha256_of, taken
 
 #: Distinct pre-tokens and token pairs whose result a worker keeps; the store starts anew beyond it.
 KEPT = 400_000
@@ -48,6 +49,7 @@ class Vocabulary:
         self.tokens = {i: t for t, i in self.ranks.items()}
         self.longest = max(map(len, self.ranks), default=1)
         self._compatible: dict[tuple[int, int], bool] = {}
+        self.lengths = {i: len(t) for i, t in self.tokens.items()}
         missing = [b for b in range(256) if bytes([b]) not in self.ranks]
         if missing:
             raise ValueError(f"no token for bytes {missing[:5]}")
@@ -57,6 +59,16 @@ class Vocabulary:
                     pair = self._last_merge(token, i)
                     self.left[i], self.right[i] = pair if pair else (-1, -1)
 
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds every token that merges can make, in bytes read as Latin-1."""
+        found = ahocorasick.Automaton()
+        for token, i in self.ranks.items():
+            if self.right.get(i) != -1:
+                found.add_word(token.decode("latin-1"), i)
+        found.make_automaton()
+        return found
+
     def _last_merge(self, token: bytes, limit: int) -> tuple[int, int] | None:
         """The two tokens that merges of ranks below ``limit`` reduce ``token`` to; None if they don't."""
         parts = [token[k : k + 1] for k in range(len(token))]
@@ -129,14 +141,23 @@ class PrefixTable:
         return len(self.data) - start
 
     def _extend(self, size: int) -> None:
-        v, data, last = self.vocabulary, self.data, self.last
-        ranks, right, compatible = v.ranks, v.right, v.compatible
-        for end in range(len(last) + 1, size + 1):
-            for start in range(max(0, end - v.longest), end):
-                token = ranks.get(data[start:end])
-                if token is not None and right.get(token) != -1 and (start == 0 or compatible(last[start - 1], token)):
-                    last.append(token)
-                    break
+        v, last = self.vocabulary, self.last
+        lengths, known, add = v.lengths, v._compatible, last.append
+        at = len(last)
+        begin = max(0, at - v.longest)
+        # The automaton names the tokens that end at each byte, the longest first.
+        for end, token in v.automaton.iter(self.data[begin:size].decode("latin-1")):
+            if begin + end == at:
+                start = at + 1 - lengths[token]
+                if start:
+                    before = last[start - 1]
+                    apart = known.get((before, token))
+                    if apart is None:
+                        apart = v.compatible(before, token)
+                    if not apart:
+                        continue
+                add(token)
+                at += 1
 
     def ids(self) -> list[int]:
         out, end = [], len(self.data)
@@ -169,12 +190,27 @@ class Codec:
     def _encode_all(self, texts: list[str]) -> list[bytes]:
         return [b"".join(map(self.pre_token, self.pattern.findall(text))) for text in texts]
 
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin, with the end of the last."""
+        return self._pieces.flat(texts)
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         return [np.frombuffer(ids, dtype="<u4") for ids in self._pieces(texts)]
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self._encode_all([text])[0], dtype="<u4").tolist()
 
+    @cached_property
+    def token_bytes(self) -> pa.LargeBinaryArray:
+        """The bytes of each id, empty where there is no such token."""
+        tokens = self.vocabulary.tokens
+        return pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
+
+    @cached_property
+    def decimals(self) -> pa.LargeBinaryArray:
+        """Each id in decimal, with a space behind it."""
+        return pa.array([b"%d " % i for i in range(max(self.vocabulary.tokens) + 1)], pa.large_binary())
+
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
@@ -246,10 +282,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, ids): ids of every whole text as little-endian 32-bit integers."""
     sent = _Sent(docs, ranks_path, pattern)
 
-    def run(rows: pa.RecordBatch, texts: list[str]) -> dict:
-        return {"doc_id": rows.column("doc_id"), "ids": [a.tobytes() for a in sent.codec().encode_batch(texts)]}
+    def run(rows: pa.RecordBatch) -> dict:
+        return {"doc_id": rows.column("doc_id"), "ids": as_binary(*sent.codec().flat(rows.column("text")))}
 
-    return map_texts(as_docs(docs), ["doc_id", "text"], "doc_id long, ids binary", run)
+    return map_columns(as_docs(docs), "doc_id long, ids binary", run)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -269,19 +305,16 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every whole text, by encoding it and decoding the ids."""
     sent = _Sent(docs, ranks_path, pattern)
 
-    def run(rows: pa.RecordBatch, texts: list[str]) -> dict:
+    def run(rows: pa.RecordBatch) -> dict:
         codec = sent.codec()
-        names = {}
-        n, ids_sha, bytes_sha = [], [], []
-        for ids in codec.encode_batch(texts):
-            ids = ids.tolist()
-            for i in set(ids).difference(names):
-                names[i] = str(i)
-            n.append(len(ids))
-            ids_sha.append(hashlib.sha256(" ".join(map(names.__getitem__, ids)).encode()).hexdigest())
-            bytes_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-        return {"doc_id": rows.column("doc_id"), "n_tokens": n, "ids_sha256": ids_sha, "decoded_sha256": bytes_sha}
-
-    return map_texts(
-        as_docs(docs), ["doc_id", "text"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", run
-    )
+        ids, at = codec.flat(rows.column("text"))
+        written, said = taken(codec.decimals, ids)
+        data, spelled = taken(codec.token_bytes, ids)
+        return {
+            "doc_id": rows.column("doc_id"),
+            "n_tokens": np.diff(at),
+            "ids_sha256": sha256_of(written, said[at], trim=1),
+            "decoded_sha256": sha256_of(data, spelled[at]),
+        }
+
+    return map_columns(as_docs(docs), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", run)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from trendframe.session import scratch_dir
 
 #: Characters of text that a task turns into Python objects at a time; a longer text is a slice of its own.
 SLICE_CHARS = 1_000_000
+#: Characters of text that are cut into pieces at a time, in Arrow.
+PIECES_CHARS = 4_000_000
 
 
 _held: dict = {}
@@ -66,22 +70,23 @@ def about(df: DataFrame, n: int, *key: str) -> DataFrame:
     return df.filter(drawn).limit(2 * n)
 
 
-def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Parts of a batch with about ``SLICE_CHARS`` of text each, and their texts (null: empty)."""
+def parts(batch: pa.RecordBatch, column: str | int = "text", chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``chars`` characters of text each; a longer text is a part of its own."""
     start = size = 0
-    lengths = [n or 0 for n in pc.utf8_length(batch.column(column)).to_pylist()]
+    lengths = pc.utf8_length(batch.column(column)).fill_null(0).to_pylist()
     for i, n in enumerate(lengths):
-        if size and size + n > SLICE_CHARS:
-            yield _slice(batch, column, start, i)
+        if size and size + n > chars:
+            yield batch.slice(start, i - start)
             start, size = i, 0
         size += n
     if start < len(lengths):
-        yield _slice(batch, column, start, len(lengths))
+        yield batch.slice(start)
 
 
-def _slice(batch: pa.RecordBatch, column: str | int, start: int, end: int) -> tuple[pa.RecordBatch, list[str]]:
-    part = batch.slice(start, end - start)
-    return part, [t or "" for t in part.column(column).to_pylist()]
+def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Parts of a batch with about ``SLICE_CHARS`` of text each, and their texts (null: empty)."""
+    for part in parts(batch, column):
+        yield part, [t or "" for t in part.column(column).to_pylist()]
 
 
 def map_texts(
@@ -104,6 +109,24 @@ def map_texts(
     return docs.select(*columns).mapInArrow(run, schema)
 
 
+def map_columns(docs: DataFrame, schema: T.StructType | str, fn: Callable[[pa.RecordBatch], dict], chars: int = PIECES_CHARS) -> DataFrame:
+    """Rows that ``fn`` makes of parts of ``docs`` with about ``chars`` characters each, as Arrow columns; no text becomes a string."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    arrow = _arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in parts(batch, chars=chars):
+                out = fn(part)
+                yield pa.RecordBatch.from_arrays(
+                    [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, out[f.name]) for f in arrow)],
+                    schema=arrow,
+                )
+
+    return docs.mapInArrow(run, schema)
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -116,7 +139,7 @@ def as_docs(df: DataFrame) -> DataFrame:
 
 
 class Pieces:
-    """Encode texts piece by piece, each distinct piece once per worker.
+    """Encode texts piece by piece, each distinct piece of a slice looked up once and each new one encoded once per worker.
 
     A piece is a space with what follows up to the next space. Splitters that attach a single space to the
     word after it never match over such a cut if the characters on both sides are no white space, so
@@ -133,15 +156,13 @@ class Pieces:
         self.known: dict[str, bytes | None] = {}
         self.marks = dict(zip(",.", encode([",", "."]), strict=True))
 
-    def __call__(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [t.split(" ") for t in texts]
-        heads = [parts.pop(0) for parts in split]
+    def _learn(self, words: list[str]) -> None:
+        """See to it that the pieces of a space and each of ``words`` are known; None for one that must not be cut off."""
         known = self.known
-        missing = set().union(*split).difference(known)
+        missing = set(words).difference(known)
         if len(known) + len(missing) > self.limit:
             known.clear()
-            missing = set().union(*split)
+            missing = set(words)
         unsafe = [p for p in missing if not p or p[0].isspace() or p[-1].isspace()]
         known.update(dict.fromkeys(unsafe))
         missing.difference_update(unsafe)
@@ -150,12 +171,59 @@ class Pieces:
         new = list(missing.union(p[:-1] for p in marked if p[:-1] not in known))
         known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
         known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in marked)
-        out: list[bytes] = []
-        for text, parts, head, ids in zip(texts, split, heads, self.encode(heads), strict=True):
-            try:
-                if head[-1:].isspace():
-                    raise TypeError
-                out.append(ids + b"".join(map(known.__getitem__, parts)))
-            except TypeError:  # a piece that must not be cut off
-                out.append(self.encode([text])[0])
-        return out
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
+        texts = texts.fill_null("")
+        lists = pc.split_pattern(texts, " ")
+        first = lists.offsets.to_numpy().astype(np.int64)
+        first -= first[0]
+        spelled = lists.flatten().dictionary_encode()
+        words, n = spelled.dictionary.to_pylist(), len(spelled.dictionary)
+        # Entry w stands for a space and word w, n + w for the word at the start of a text, 2 * n + k for a whole text.
+        codes = spelled.indices.to_numpy().astype(np.int64)
+        codes[first[:-1]] += n
+        used = np.bincount(codes, minlength=2 * n) > 0
+        inner, heads = np.flatnonzero(used[:n]).tolist(), np.flatnonzero(used[n:]).tolist()
+        self._learn([words[w] for w in inner])
+        table: list[bytes | None] = [b""] * (2 * n)
+        for w in inner:
+            table[w] = self.known[words[w]]
+        for w, ids in zip(heads, self.encode([words[w] for w in heads]), strict=True):
+            table[n + w] = None if words[w][-1:].isspace() else ids
+        uncut = np.fromiter((ids is None for ids in table), dtype=bool, count=2 * n)
+        if uncut.any():
+            whole = np.logical_or.reduceat(uncut[codes], first[:-1])
+            kept = ~np.repeat(whole, np.diff(first))
+            kept[first[:-1][whole]] = True
+            codes[first[:-1][whole]] = 2 * n + np.arange(whole.sum())
+            codes = codes[kept]
+            first = np.concatenate([[0], np.cumsum(np.where(whole, 1, np.diff(first)))])
+            table += self.encode(texts.filter(pa.array(whole)).to_pylist())
+        ids, at = taken(pa.array(table, pa.large_binary()), codes)
+        return ids.view("<u4"), at[first] // 4
+
+    def __call__(self, texts: Sequence[str]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers."""
+        ids, at = self.flat(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+
+
+def taken(table: pa.LargeBinaryArray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries of ``table`` that ``codes`` name as one array of bytes, and where each begins, with the end of the last."""
+    out = table.take(pa.array(codes))
+    at = np.frombuffer(out.buffers()[1], dtype=np.int64)[out.offset : out.offset + len(out) + 1]
+    data = out.buffers()[2]
+    return np.frombuffer(data, dtype=np.uint8)[: at[-1]] if data else np.zeros(0, np.uint8), at
+
+
+def sha256_of(data: np.ndarray, at: np.ndarray, trim: int = 0) -> list[str]:
+    """Hex SHA-256 of consecutive stretches of bytes, which begin ``at``, each without its last ``trim`` bytes."""
+    view = memoryview(data)
+    return [hashlib.sha256(view[a : max(a, b - trim)]).hexdigest() for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
+
+
+def as_binary(data: np.ndarray, at: np.ndarray) -> pa.BinaryArray:
+    """Consecutive stretches of ``data``, which begin at items ``at``, as a column."""
+    offsets = (at * data.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendframe.llm.common import Pieces, as_docs, held, slices, stored
+from trendframe.llm.common import PIECES_CHARS, Pieces, as_binary, as_docs, held, parts, stored
 
 #: Strings that are encoded at a time are joined to about this many characters.
 JOIN_CHARS = 20_000
@@ -35,14 +35,14 @@ CUT_ROWS = 500
 _WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
 
-def _byte_names() -> dict[int, str]:
+def byte_names() -> dict[int, str]:
     """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
     seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
     unseen = [b for b in range(256) if b not in seen]
     return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(unseen)}
 
 
-_BYTE_NAMES = _byte_names()
+_BYTE_NAMES = byte_names()
 _TOKENS = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
 )
@@ -133,6 +133,13 @@ class _Encoder:
         data, ends = ids.tobytes(), (4 * (at + 1)).tolist()
         return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
+        if self.by_pieces:
+            return self.pieces.flat(texts)
+        ids = self.arrays(texts.fill_null("").to_pylist())
+        return np.concatenate([np.zeros(0, "<u4"), *ids]), np.concatenate([[0], np.cumsum([len(a) for a in ids])]).astype(np.int64)
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         return self.pieces(texts) if self.by_pieces else self.whole(texts)
 
@@ -142,18 +149,19 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFram
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = held(("packing", tokenizer), lambda: _Encoder(tokenizer, literals=True))
-        end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for rows, texts in slices(batch):
-                ids = [x + end for x in encode(texts)]
-                n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-                starts = at + np.cumsum(n) - n
-                at += int(n.sum())
+            for rows in parts(batch, chars=PIECES_CHARS):
+                ids, first = encode.flat(rows.column("text"))
+                if end_id is not None:
+                    ids = np.insert(ids, first[1:], end_id)
+                    first = first + np.arange(len(first))
+                n = np.diff(first)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array([part] * len(n), pa.int32()), pa.array(starts), pa.array(n), pa.array(ids, pa.binary())],
+                    [rows.column(0), pa.array([part] * len(n), pa.int32()), pa.array(at + first[:-1]), pa.array(n), as_binary(ids, first)],
                     schema=_TOKENS,
                 )
+                at += int(first[-1])
 
     return as_docs(docs).mapInArrow(run, "doc_id long, part int, part_start long, n long, ids binary")
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendframe.llm import bpe, host_rules, jaccard_join, langid, packing, pii, resampling, secret_scan, syncmers, warc
+from trendframe.llm import bpe, bpe_index, hard_negatives, host_rules, jaccard_join, langid, merkle, packing, pii, resampling, secret_scan, syncmers, warc
 from trendframe.llm.common import table
 from trendframe.session import scratch_dir
 
@@ -65,6 +65,25 @@ def op10_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.compare(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe_index.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.col("text")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.translate(text, UPPER, UPPER.lower())).otherwise(text)
+    return merkle.verify(merkle.manifest(table(spark, sf_dir, "documents"), {"text": tampered}))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.quantised(vectors.withColumn("label", moved), 256), every=100)
+
+
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -76,6 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_host_rules": op8_host_rules,
     "op9_resampling": op9_resampling,
     "op10_syncmers": op10_syncmers,
+    "op11_bpe_index": op11_bpe_index,
+    "op12_merkle": op12_merkle,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: The digest of a payload and the smallest page with it say all.
@@ -127,4 +149,87 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b JOIN h ON b.source IS NOT DISTINCT FROM h.source, p
 """
 
-ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op8_host_rules": OP8_SQL}
+def _merkle_sql(levels: int = 8) -> str:
+    """Level after level of both trees, enough for ``8 ** levels`` rows of a language and as many languages."""
+    said = ", ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars"))
+    text = lambda t: f"CASE WHEN {t} IS NULL THEN '-' ELSE strlen({t}) || ':' || {t} END"
+    # CRC-32 one bit at a time: eight steps for each byte of the decimal id.
+    step = "list_reduce(list_concat([xor(a, b)], generate_series(1, 8)), lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+    crc = f"xor(list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda a, b: {step}), 4294967295)"
+    steps = [
+        f"""d AS (
+    SELECT doc_id, lang, sha256(concat({said}, {text("text")})) AS leaf,
+        sha256(concat({said}, {text("changed")})) AS claimed
+    FROM (SELECT *, CASE WHEN {crc} % 3 = 0 THEN translate(text, '{UPPER}', '{UPPER.lower()}') ELSE text END AS changed FROM documents)
+), r AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS g FROM d
+), a0 AS (
+    SELECT g, rank AS i, leaf AS h FROM r
+)"""
+    ]
+
+    def level(n: str, k: int) -> str:
+        return f"""{n}{k + 1} AS (
+    SELECT g, i // 8 AS i, CASE WHEN any_value(many) THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h
+    FROM (SELECT *, count(*) OVER (PARTITION BY g) > 1 AS many FROM {n}{k}) GROUP BY g, i // 8
+)"""
+
+    def path(n: str, k: int) -> str:
+        return f"""{n}p{k} AS (
+    SELECT x.g, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS l,
+        coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS r, count(*) > 0 AND any_value(y.n) > 1 AS there
+    FROM {n}{k} x JOIN (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {n}{k}) y ON x.g = y.g AND x.i // 8 = y.i // 8
+    GROUP BY x.g, x.i
+)"""
+
+    for k in range(levels):
+        steps += [path("a", k), level("a", k)]
+    steps.append(f"b0 AS (SELECT 0 AS g, g - 1 AS i, h FROM a{levels})")
+    for k in range(levels):
+        steps += [path("b", k), level("b", k)]
+    joins, proof = [], []
+    for n, g, i in (("a", "r.g", "r.rank"), ("b", "0", "(r.g - 1)")):
+        for k in range(levels):
+            t = f"{n}p{k}"
+            joins.append(f"JOIN {t} ON {t}.g = {g} AND {t}.i = {i} // {8**k}")
+            proof.append(f"{t}.l || {t}.r")
+    steps.append(
+        "w AS (SELECT r.*, "
+        + f"a{levels}.h AS subroot, b{levels}.h AS root, sha256({' || '.join(proof)}) AS proof_sha256, "
+        + ", ".join(f"{n}p{k}.l AS {n}l{k}, {n}p{k}.r AS {n}r{k}, {n}p{k}.there AS {n}t{k}" for n in "ab" for k in range(levels))
+        + f" FROM r {' '.join(joins)} JOIN a{levels} ON a{levels}.g = r.g JOIN b{levels} ON true)"
+    )
+    below = "claimed"
+    for n in "ab":
+        for k in range(levels):
+            steps.append(f"f{n}{k} AS (SELECT *, CASE WHEN {n}t{k} THEN sha256({n}l{k} || {below} || {n}r{k}) ELSE {below} END AS c{n}{k} FROM {'w' if below == 'claimed' else last})")
+            below, last = f"c{n}{k}", f"f{n}{k}"
+    return (
+        "WITH " + ",\n".join(steps)
+        + f"\nSELECT doc_id, leaf, subroot, root, proof_sha256, {below} AS folded_root, {below} = root AS verified FROM {last}"
+    )
+
+
+#: Every anchor against every row; sums of integers in whole numbers.
+OP13_SQL = """
+WITH v AS (
+    SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), p AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same
+), n AS (
+    SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+    WHERE p.place <= 5
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_warc": OP2_SQL, "op8_host_rules": OP8_SQL, "op12_merkle": _merkle_sql(), "op13_hard_negatives": OP13_SQL}
