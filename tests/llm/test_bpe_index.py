@@ -35,9 +35,11 @@ def plain(merges, word):
 
 
 def indexed(merges, words):
-    index = bpe_index.PairIndex(merges, words)
+    ends = np.cumsum([0, *map(len, words)])
+    index = bpe_index.PairIndex(merges, np.frombuffer(b"".join(words), np.uint8), ends[1:])
     index.run()
-    return [np.frombuffer(x, "<u4").tolist() for x in index.ids()]
+    ids, at = index.ids(ends)
+    return [ids[a:b].tolist() for a, b in zip(at, at[1:], strict=False)]
 
 
 @settings(max_examples=300, deadline=None)
@@ -79,7 +81,7 @@ def test_any_order_of_merges_equals_word_by_word(pairs, words, random):
 
 def test_positions_of_a_pair_are_all_indexed():
     merges = toy([(1, 2)])
-    index = bpe_index.PairIndex(merges, [b"\1\2\1\2", b"", b"\2\1", b"\1\2"])
+    index = bpe_index.PairIndex(merges, np.array([1, 2, 1, 2, 2, 1, 1, 2], np.uint8), np.array([4, 4, 6, 8]))
     assert [p.tolist() for p in index.places[0]] == [[0, 2, 6]]  # not over the cuts between words
     index.run()
     assert not index.places and not index.active

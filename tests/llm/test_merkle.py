@@ -102,12 +102,15 @@ def test_a_changed_field_breaks_its_own_proof_only(spark):
 
 def test_rows_of_a_block_are_bounded_and_leaves_never_joined(spark, monkeypatch):
     monkeypatch.setattr(merkle, "LEVELS", 2)
-    nodes = spark.range(1000).select(F.lit("g").alias("group"), F.col("id").alias("rank"), F.lit(1000).alias("total"), F.sha2(F.col("id").cast("string"), 256).alias("hash"))
+    zero = F.col("id") % 1
+    nodes = spark.range(1000).select(
+        zero.cast("string").alias("group"), F.col("id").alias("rank"), (zero + 1000).alias("total"), F.sha2(F.col("id").cast("string"), 256).alias("hash")
+    )
     blocks = merkle.roll_up(nodes, ["rank"])
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
     sizes = [len(x.children) for r in blocks.collect() for x in r.tree.children]
     assert sum(sizes) == 1000 and max(sizes) == 8 and blocks.count() == math.ceil(1000 / 64)
-    plan = blocks._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1  # the digits are grouped away within it
+    assert plan.count("Exchange hashpartitioning") == 1, plan  # the digits are grouped away within it
     emitted = merkle.emit(blocks, ["rank"])
     assert "Join" not in emitted._jdf.queryExecution().executedPlan().toString()
     assert sorted(r.rank for r in emitted.collect()) == list(range(1000))

@@ -174,7 +174,7 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
         self._known: dict[str, bytes] = {}
-        self._pieces = Pieces(self._encode_all)
+        self._pieces = Pieces(lambda pieces: pa.array(self._encode_all(pieces.to_pylist()), pa.large_binary()))
 
     def pre_token(self, text: str) -> bytes:
         ids = self._known.get(text)

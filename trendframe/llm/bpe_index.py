@@ -7,7 +7,7 @@ their own ranks. Positions whose pair has gone since are skipped when their list
 changes nothing in other pre-tokens, and the lowest rank of all is the lowest of each pre-token it occurs in, so
 this gives each the merges it would have had alone, in the same order.
 
-Merges are as many steps as there are active ranks, each over arrays, whatever the text. Pre-tokens and pieces between spaces are
+Merges are as many steps as there are active ranks, each over arrays, whatever the text. Pieces between spaces are
 kept from part to part, so later parts index new ones only.
 
 Defined results: a null text is empty and has no ids; a null ``doc_id`` is kept as null; a literal of an added token
@@ -27,14 +27,11 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from trendframe.llm.common import Pieces, as_binary, as_docs, held, map_columns, sha256_of, taken
-from trendframe.llm.packing import byte_names
-
-#: Distinct pre-tokens whose ids a worker keeps; the store starts anew beyond it.
-KEPT = 400_000
+from trendframe.llm.common import Pieces, as_binary, as_docs, byte_names, held, map_columns, sha256_of, taken
 
 
 @dataclass
@@ -106,20 +103,20 @@ class Merges:
 
 
 class PairIndex:
-    """Symbols of several pre-tokens, and for each active rank the positions where its pair stands or stood."""
-
-    def __init__(self, merges: Merges, words: Sequence[bytes]):
-        self.merges = merges
-        data = np.frombuffer(b"".join(words), dtype=np.uint8)
-        self.n, self.words = len(data), len(words)
-        n = self.n
-        ends = np.cumsum([len(w) for w in words]) if words else np.zeros(0, np.int64)
+    """Symbols of several pre-tokens, and for each active rank the positions where its pair stands or stood.
+
+    ``data`` holds the bytes of all pre-tokens one after the other, ``ends`` where each ends.
+    """
+
+    def __init__(self, merges: Merges, data: np.ndarray, ends: np.ndarray):
+        self.merges, self.n = merges, len(data)
+        n, sizes = self.n, np.diff(ends, prepend=0)
         # Position n stands for what is before the first and behind the last symbol of every word.
         self.symbol = np.append(merges.base[data], -1)
         self.next = np.append(np.arange(1, n + 1), n)
         self.before = np.append(np.arange(-1, n - 1), n)
-        self.word = np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
-        filled = ends[np.diff(ends, prepend=0) > 0]
+        self.word = np.repeat(np.arange(len(ends)), sizes)
+        filled = ends[sizes > 0]
         self.next[filled - 1] = n
         if n:
             self.before[np.append(0, filled[:-1])] = n
@@ -175,13 +172,14 @@ class PairIndex:
         run_start = np.maximum.accumulate(np.where(linked, 0, np.arange(len(at))))
         return at[(np.arange(len(at)) - run_start) % 2 == 0]
 
-    def ids(self) -> list[bytes]:
-        """The ids of each word as little-endian 32-bit integers."""
+    def ids(self, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and how many come before each of the byte positions ``bounds``, which cut no pre-token."""
         alive = self.symbol[:-1] >= 0
-        data = self.symbol[:-1][alive].astype("<u4").tobytes()
-        counts = np.bincount(self.word[alive], minlength=self.words)
-        ends = (4 * np.cumsum(counts)).tolist()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return self.symbol[:-1][alive].astype("<u4"), np.append(0, np.cumsum(alive))[bounds]
+
+
+#: Pieces that are one pre-token, and those of one with a comma or full stop behind it.
+_WORD, _MARKED = "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+$", "^ ?[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]$"
 
 
 class Encoder:
@@ -191,24 +189,37 @@ class Encoder:
         self.merges, self.pattern = merges, regex.compile(pattern)
         literals = sorted(merges.added, key=len, reverse=True)
         self.literal = re.compile("(" + "|".join(map(re.escape, literals)) + ")") if literals else None
-        self._known: dict[str, bytes] = {}
-        #: A literal that reaches over a space would be torn apart between pieces.
+        #: A literal that reaches over a space would be torn apart between pieces; one like a word would not be looked for.
         self.by_pieces = not any(re.search(r"\s", a) or not re.search("[^A-Za-z.,]", a) for a in literals)
-        self._pieces = Pieces(self.encode_all)
-
-    def encode_all(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers, without cutting at spaces first."""
-        split = [self._pre_tokens(t) for t in texts]
-        known = self._known
-        new = list(set().union(*split).difference(known))
-        if len(known) + len(new) > KEPT:
-            known.clear()
-            new = list(set().union(*split))
-        index = PairIndex(self.merges, [w.encode() for w in new if w not in self.merges.added])
+        self._pieces = Pieces(self.encode)
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each string as little-endian 32-bit integers, without cutting at spaces first."""
+        if not len(texts):
+            return pa.array([], pa.large_binary())
+        marked = _flags(pc.match_substring_regex(texts, _MARKED)) if self.by_pieces else np.zeros(len(texts), bool)
+        plain = _flags(pc.match_substring_regex(texts, _WORD)) if self.by_pieces else marked
+        texts = texts.cast(pa.large_binary())
+        bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        bounds = bounds - bounds[0]
+        cuts, tokens = [bounds[1:], bounds[1:][marked] - 1], []
+        for k in np.flatnonzero(~(plain | marked)).tolist():
+            at = int(bounds[k])
+            for word in self._pre_tokens(texts[k].as_py().decode()):
+                size = len(word.encode())
+                if word in self.merges.added:
+                    tokens.append((at, size, self.merges.added[word]))
+                at += size
+                cuts.append(np.array([at]))
+        ends = np.unique(np.concatenate(cuts))
+        index = PairIndex(self.merges, data, ends[ends > 0])
         index.run()
-        known.update(zip((w for w in new if w not in self.merges.added), index.ids(), strict=True))
-        known.update((w, np.array([self.merges.added[w]], "<u4").tobytes()) for w in new if w in self.merges.added)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        for at, size, token in tokens:  # an added token stands for all its bytes, whatever they were merged to
+            index.symbol[at : at + size] = -2
+            index.symbol[at] = token
+        ids, at = index.ids(bounds)
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(4 * at), pa.py_buffer(ids)])
 
     def _pre_tokens(self, text: str) -> list[str]:
         if self.literal is None or not self.literal.search(text):
@@ -220,8 +231,8 @@ class Encoder:
         """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
         if self.by_pieces:
             return self._pieces.flat(texts)
-        ids = self.encode_all(texts.fill_null("").to_pylist())
-        return np.frombuffer(b"".join(ids), "<u4"), np.cumsum([0, *(len(x) // 4 for x in ids)])
+        data, at = taken(self.encode(texts.fill_null("")), np.arange(len(texts)))
+        return data.view("<u4"), at // 4
 
     def __call__(self, texts: Sequence[str]) -> list[list[int]]:
         ids, at = self.flat(pa.array(texts, pa.string()))
@@ -252,6 +263,10 @@ class Encoder:
         return np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
 
 
+def _flags(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
+
+
 class _Sent:
     """A vocabulary for the workers, each of which keeps one encoder of it from task to task."""
 
@@ -295,8 +310,6 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
 
 
 def _or_null(values: pa.Array, valid: pa.Array) -> pa.Array:
-    import pyarrow.compute as pc
-
     return pc.if_else(valid, values, pa.scalar(None, values.type))
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -18,7 +17,7 @@ from trendframe.session import scratch_dir
 #: Characters of text that a task turns into Python objects at a time; a longer text is a slice of its own.
 SLICE_CHARS = 1_000_000
 #: Characters of text that are cut into pieces at a time, in Arrow.
-PIECES_CHARS = 4_000_000
+PIECES_CHARS = 12_000_000
 
 
 _held: dict = {}
@@ -138,39 +137,42 @@ def as_docs(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def byte_names() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    unseen = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(unseen)}
+
+
 class Pieces:
-    """Encode texts piece by piece, each distinct piece of a slice looked up once and each new one encoded once per worker.
+    """Encode texts piece by piece, each distinct piece of a part looked up once and each new one encoded once per worker.
 
     A piece is a space with what follows up to the next space. Splitters that attach a single space to the
     word after it never match over such a cut if the characters on both sides are no white space, so
     pieces are encoded independently; a text with any other white space next to a space is encoded whole.
-    ``encode`` takes strings and returns the ids of each as little-endian 32-bit integers. At most ``limit``
-    pieces are kept; then the store starts anew. Such splitters also part a word of Latin letters from a last comma or
-    full stop, so a piece of this form needs its word only.
+    ``encode`` takes an array of strings and returns the ids of each as little-endian 32-bit integers. At most ``limit``
+    pieces are kept; then the store starts anew. All of it stays in Arrow: no piece becomes a Python string here.
     """
 
-    latin = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+[.,]").fullmatch
-
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], limit: int = 400_000):
+    def __init__(self, encode: Callable[[pa.Array], pa.Array], limit: int = 400_000):
         self.encode, self.limit = encode, limit
-        self.known: dict[str, bytes | None] = {}
-        self.marks = dict(zip(",.", encode([",", "."]), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        """See to it that the pieces of a space and each of ``words`` are known; None for one that must not be cut off."""
-        known = self.known
-        missing = set(words).difference(known)
-        if len(known) + len(missing) > self.limit:
-            known.clear()
-            missing = set(words)
-        unsafe = [p for p in missing if not p or p[0].isspace() or p[-1].isspace()]
-        known.update(dict.fromkeys(unsafe))
-        missing.difference_update(unsafe)
-        marked = [p for p in missing if self.latin(p)]
-        missing.difference_update(marked)
-        new = list(missing.union(p[:-1] for p in marked if p[:-1] not in known))
-        known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
-        known.update((p, known[p[:-1]] + self.marks[p[-1]]) for p in marked)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
+
+    def _table(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Ids of pieces, and where in it the piece of a space and each of ``words`` stands."""
+        at = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(at))
+        if len(new):
+            if len(self.words) + len(new) > self.limit:
+                self._forget()
+                new = words
+            ids = self.encode(pc.binary_join_element_wise(pa.scalar(""), new, " "))
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
+            at = pc.index_in(words, value_set=self.words)
+        return self.ids, at.to_numpy()
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
@@ -179,29 +181,33 @@ class Pieces:
         first = lists.offsets.to_numpy().astype(np.int64)
         first -= first[0]
         spelled = lists.flatten().dictionary_encode()
-        words, n = spelled.dictionary.to_pylist(), len(spelled.dictionary)
-        # Entry w stands for a space and word w, n + w for the word at the start of a text, 2 * n + k for a whole text.
-        codes = spelled.indices.to_numpy().astype(np.int64)
-        codes[first[:-1]] += n
-        used = np.bincount(codes, minlength=2 * n) > 0
-        inner, heads = np.flatnonzero(used[:n]).tolist(), np.flatnonzero(used[n:]).tolist()
-        self._learn([words[w] for w in inner])
-        table: list[bytes | None] = [b""] * (2 * n)
-        for w in inner:
-            table[w] = self.known[words[w]]
-        for w, ids in zip(heads, self.encode([words[w] for w in heads]), strict=True):
-            table[n + w] = None if words[w][-1:].isspace() else ids
-        uncut = np.fromiter((ids is None for ids in table), dtype=bool, count=2 * n)
-        if uncut.any():
-            whole = np.logical_or.reduceat(uncut[codes], first[:-1])
-            kept = ~np.repeat(whole, np.diff(first))
-            kept[first[:-1][whole]] = True
-            codes[first[:-1][whole]] = 2 * n + np.arange(whole.sum())
-            codes = codes[kept]
-            first = np.concatenate([[0], np.cumsum(np.where(whole, 1, np.diff(first)))])
-            table += self.encode(texts.filter(pa.array(whole)).to_pylist())
-        ids, at = taken(pa.array(table, pa.large_binary()), codes)
-        return ids.view("<u4"), at[first] // 4
+        words, codes = spelled.dictionary, spelled.indices.to_numpy().astype(np.int64)
+        begins = first[:-1]
+        at_head = np.zeros(len(codes), dtype=bool)
+        at_head[begins] = True
+        # A piece that must not be cut off makes its text one that is encoded whole.
+        blank = lambda part: pc.utf8_is_space(part).to_numpy(zero_copy_only=False)
+        ends_blank = blank(pc.utf8_slice_codeunits(words, -1))
+        uncut = ends_blank | blank(pc.utf8_slice_codeunits(words, 0, 1)) | pc.equal(words, "").to_numpy(zero_copy_only=False)
+        whole = np.logical_or.reduceat(np.where(at_head, ends_blank[codes], uncut[codes]), begins) if len(codes) else np.zeros(0, bool)
+        kept = ~np.repeat(whole, np.diff(first))
+        inner = kept & ~at_head
+        needed = np.flatnonzero(np.bincount(codes[inner], minlength=len(words)))
+        ids, at = self._table(words.take(pa.array(needed)))
+        place = np.zeros(len(words), dtype=np.int64)
+        place[needed] = at
+        # Heads have no space before them, and whole texts are pieces of their own: both are encoded as they are.
+        heads = np.flatnonzero(np.bincount(codes[begins[~whole]], minlength=len(words)))
+        head_place = np.zeros(len(words), dtype=np.int64)
+        head_place[heads] = len(ids) + np.arange(len(heads))
+        others = pa.concat_arrays([words.take(pa.array(heads)), texts.filter(pa.array(whole))])
+        table = pa.concat_arrays([ids, self.encode(others)])
+        codes = np.where(at_head, head_place[codes], place[codes])
+        codes[begins[whole]] = len(ids) + len(heads) + np.arange(whole.sum())
+        kept[begins] = True
+        first = np.concatenate([[0], np.cumsum(np.where(whole, 1, np.diff(first)))]).astype(np.int64)
+        data, starts = taken(table, codes[kept])
+        return data.view("<u4"), starts[first] // 4
 
     def __call__(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""

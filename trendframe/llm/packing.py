@@ -17,32 +17,21 @@ often as needed; columns other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from trendframe.llm.common import PIECES_CHARS, Pieces, as_binary, as_docs, held, parts, stored
+from trendframe.llm.bpe_index import Encoder, Merges
+from trendframe.llm.common import PIECES_CHARS, as_binary, as_docs, held, parts, stored
 
-#: Strings that are encoded at a time are joined to about this many characters.
-JOIN_CHARS = 20_000
 #: Documents that are cut at a time, so that few ids are copied at once.
 CUT_ROWS = 500
-_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
-
-
-def byte_names() -> dict[int, str]:
-    """The letter that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
-    seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    unseen = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + k) for k, b in enumerate(unseen)}
-
-
-_BYTE_NAMES = byte_names()
 _TOKENS = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())]
 )
@@ -54,94 +43,36 @@ _PIECES = pa.schema(
 )
 
 
-def _within_pieces(token: dict) -> bool:
-    """Whether an added token never reaches over a space, is no part of a word and has as many bytes as letters."""
-    name = token["content"]
-    free = not (token["lstrip"] or token["rstrip"] or token["single_word"])
-    return free and name.isascii() and not re.search(r"\s", name) and bool(re.search("[^A-Za-z.,]", name))
-
-
 class _Encoder:
     """A tokenizer of the ``tokenizers`` library, given as its JSON.
 
     With ``literals``, a special token that a text spells out becomes that token, as the library has it by default;
-    without, it is encoded like other text.
+    without, it is encoded like other text. Plain byte-level BPE is encoded piece by piece, any other by the library.
     """
 
     def __init__(self, definition: str, literals: bool = False):
-        import json
-
-        from tokenizers import Tokenizer
-
+        try:
+            merges = Merges.read(definition)
+        except ValueError:
+            merges = None
+        if merges and not literals:
+            merges.added = {}
+        self.pieces = Encoder(merges, public_tokenizers.PATTERN) if merges else None
+        self.by_pieces = merges is not None and self.pieces.by_pieces
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = not literals
-        spec = json.loads(definition)
-        splitter = spec.get("pre_tokenizer") or {}
-        #: Byte-level with the usual pattern: independent pieces, and a token has as many bytes as its name has letters.
-        self.by_pieces = (
-            spec["model"]["type"] == "BPE"
-            and spec.get("normalizer") is None
-            and spec.get("post_processor") is None
-            and splitter.get("type") == "ByteLevel"
-            and splitter.get("use_regex", True)
-            and not splitter.get("add_prefix_space", True)
-            and all(map(_within_pieces, spec.get("added_tokens") or []))
-        )
-        vocabulary = self.tokenizer.get_vocab()
-        self.bytes_of = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
-        for token, i in vocabulary.items():
-            self.bytes_of[i] = len(token)
-        self.pieces = Pieces(self.mixed)
-
-    def arrays(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [a.tobytes() for a in self.arrays(texts)]
-
-    def word(self, piece: str) -> bytes:
-        """Ids of a space and a word, one pre-token, from the tokenizer's model alone."""
-        tokens = self.tokenizer.model.tokenize(piece.encode().decode("latin-1").translate(_BYTE_NAMES))
-        return np.array([t.id for t in tokens], dtype="<u4").tobytes()
-
-    def mixed(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces: words by themselves, the others joined."""
-        rest = [p for p in pieces if not _WORD(p)]
-        others = iter(self.joined(rest))
-        return [self.word(p) if _WORD(p) else next(others) for p in pieces]
-
-    def joined(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces, encoded many at a time where each begins with a space and is cut off by the next."""
-        if not pieces or not all(p[:1] == " " for p in pieces):
-            return self.whole(pieces)
-        out: list[bytes] = []
-        start = size = 0
-        for i, p in enumerate(pieces):
-            size += len(p)
-            if size >= JOIN_CHARS or i == len(pieces) - 1:
-                out += self._cut(pieces[start : i + 1])
-                start, size = i + 1, 0
-        return out
-
-    def _cut(self, pieces: list[str]) -> list[bytes]:
-        ids = self.arrays(["".join(pieces)])[0]
-        ends = np.cumsum(self.bytes_of[ids])
-        cuts = np.cumsum([len(p.encode()) for p in pieces])
-        at = np.searchsorted(ends, cuts)
-        if at[-1] >= len(ends) or not np.array_equal(ends[at], cuts):
-            return self.whole(pieces)
-        data, ends = ids.tobytes(), (4 * (at + 1)).tolist()
-        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
         if self.by_pieces:
             return self.pieces.flat(texts)
-        ids = self.arrays(texts.fill_null("").to_pylist())
+        found = self.tokenizer.encode_batch_fast(texts.fill_null("").to_pylist(), add_special_tokens=False)
+        ids = [np.array(e.ids, dtype="<u4") for e in found]
         return np.concatenate([np.zeros(0, "<u4"), *ids]), np.concatenate([[0], np.cumsum([len(a) for a in ids])]).astype(np.int64)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.pieces(texts) if self.by_pieces else self.whole(texts)
+        ids, at = self.flat(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
