@@ -59,6 +59,19 @@ def _latest_terms(t: Tables, orders: Sequence[tuple[str, ...]]) -> DataFrame:
     return rows.select(WORK, "p.*")
 
 
+def current_terms(t: Tables, orders: Sequence[tuple[str, ...]]) -> DataFrame:
+    """(base, work, schedule, term), stored: each work's latest term by each order, where it belongs to the latest schedule.
+
+    The scope of the calendar base. It cuts activities and terms, so it is computed once and its plan not repeated there.
+    """
+    if len(orders) == 1:
+        chosen = latest_term(t, orders[0]).withColumn("base", F.lit(0))
+    else:
+        chosen = _latest_terms(t, orders)
+    current = chosen.join(latest_schedule(t), [WORK, SCHEDULE]).join(t.civil_work, WORK, "left_semi")
+    return stored(current.select("base", WORK, SCHEDULE, TERM), "current-terms")
+
+
 def latest_schedule(t: Tables) -> DataFrame:
     return t.schedule.groupBy(WORK).agg(F.max(SCHEDULE).alias(SCHEDULE))
 
@@ -84,14 +97,20 @@ def _dated_foreseen(t: Tables) -> DataFrame:
     ).filter(F.col("period").isNotNull())
 
 
-def _dated_real(t: Tables) -> DataFrame:
-    return t.real_progress.select(
+def dated_real(rows: DataFrame, *carried: str) -> DataFrame:
+    """(activity, period, percentage) of measurements with a date; ``percentage`` counts ten-thousandths."""
+    return rows.select(
         ACTIVITY,
         F.col("progress_date").cast("date").alias("period"),
         _units("progress_percentage", 4).alias("percentage"),
+        *carried,
     ).filter(F.col("period").isNotNull())
 
 
+def _dated_real(t: Tables) -> DataFrame:
+    return dated_real(t.real_progress)
+
+
 def daily_facts(t: Tables, activities: DataFrame | None = None) -> DataFrame:
     """Both fact tables summed per (activity, period), by one aggregate over their union.
 
@@ -117,50 +136,39 @@ def stored_daily_facts(t: Tables) -> DataFrame:
     return stored(daily_facts(t, top_activities(t)), "daily-facts")
 
 
-def calendar_progress(
-    t: Tables, term_orders: Sequence[tuple[str, ...]], fanout: str = "collapse", daily: DataFrame | None = None
-) -> DataFrame:
-    """``progress_by_calendar`` for several choices of the latest term in one pass.
+def calendar_targets(t: Tables, current: DataFrame) -> DataFrame:
+    """(base, work, schedule, term, period, n_calendar): the dates of the terms in ``current`` and how many calendar rows each has.
 
-    ``base`` is the position of the choice in ``term_orders``. Without ``daily`` (``stored_daily_facts``), the facts
-    are cut down to the activities of current schedules before they are summed.
+    The dates of a term are counted over all its calendars, combined before they are shuffled, so a
+    term with very many calendars is one row per date when its work is joined.
     """
-    _check_fanout(fanout)
-    if len(term_orders) == 1:
-        chosen = latest_term(t, term_orders[0]).withColumn("base", F.lit(0))
-    else:
-        chosen = _latest_terms(t, term_orders)
-    current = chosen.join(latest_schedule(t), [WORK, SCHEDULE]).join(t.civil_work, WORK, "left_semi")
+    term = ["base", WORK, SCHEDULE, TERM]
+    links = t.term_input_data.join(current, TERM).groupBy(*term, INPUT).agg(F.count(F.lit(1)).alias("n_links"))
+    dates = t.calendar.groupBy(INPUT, F.col("calendar_period").cast("date").alias("period")).agg(
+        F.count(F.lit(1)).alias("n_dates")
+    )
+    return (
+        links.join(dates, INPUT)
+        .groupBy(*term, "period")
+        .agg(F.sum(F.col("n_links") * F.col("n_dates")).alias("n_calendar"))
+    )
+
+
+def targets_progress(daily: DataFrame, owners: DataFrame, targets: DataFrame, fanout: str = "collapse") -> DataFrame:
+    """Progress on ``targets`` from daily sums and the schedules that own their activities."""
     foreseen, accomplished = F.col("fraction"), F.col("percentage")
     if fanout == "join":
         foreseen = foreseen.cast("decimal(19,0)") * F.greatest(F.col("n_real"), F.lit(1))
         accomplished = accomplished.cast("decimal(19,0)") * F.col("n_foreseen")
-    activities = top_activities(t).join(current, SCHEDULE, "left_semi")
     # Activities are summed into their schedule before it is looked up, so a schedule with very many
     # activities is one row per date by then.
     by_schedule = (
-        (daily_facts(t, activities) if daily is None else daily)
-        .filter(F.col("n_foreseen") > 0)
-        .join(activities, ACTIVITY)
+        daily.filter(F.col("n_foreseen") > 0)
+        .join(owners.select(ACTIVITY, SCHEDULE), ACTIVITY)
         .groupBy(SCHEDULE, "period")
         .agg(F.sum(foreseen).alias("foreseen"), F.sum(accomplished).alias("accomplished"))
     )
-    # The dates of a term are counted over all its calendars, combined before they are shuffled, so a
-    # term with very many calendars is one row per date when its work is joined.
-    links = t.term_input_data.join(current, TERM, "left_semi").groupBy(TERM, INPUT).agg(F.count(F.lit(1)).alias("n_links"))
-    dates = t.calendar.groupBy(INPUT, F.col("calendar_period").cast("date").alias("period")).agg(
-        F.count(F.lit(1)).alias("n_dates")
-    )
-    term_dates = (
-        links.join(dates, INPUT)
-        .groupBy(TERM, "period")
-        .agg(F.sum(F.col("n_links") * F.col("n_dates")).alias("n_calendar"))
-    )
-    matched = (
-        by_schedule.join(current, SCHEDULE)
-        .join(term_dates, [TERM, "period"])
-        .repartition(WORK)  # serves the windows of the trend stages
-    )
+    matched = by_schedule.join(targets, [SCHEDULE, "period"]).repartition(WORK)  # serves the windows of the trend stages
     times = F.col("n_calendar") if fanout == "join" else F.lit(1)
     return matched.select(
         "base",
@@ -170,6 +178,25 @@ def calendar_progress(
     )
 
 
+def calendar_progress(
+    t: Tables, term_orders: Sequence[tuple[str, ...]], fanout: str = "collapse", daily: DataFrame | None = None
+) -> DataFrame:
+    """``progress_by_calendar`` for several choices of the latest term in one pass.
+
+    ``base`` is the position of the choice in ``term_orders``. Without ``daily`` (``stored_daily_facts``), the facts
+    are cut down to the activities of current schedules before they are summed.
+    """
+    _check_fanout(fanout)
+    current = current_terms(t, term_orders)
+    owners = top_activities(t)
+    activities = owners.join(current, SCHEDULE, "left_semi")
+    if daily is None:  # sums of current activities only, so all that is left to look up is their schedule
+        daily = daily_facts(t, activities)
+    else:
+        owners = activities
+    return targets_progress(daily, owners, calendar_targets(t, current), fanout)
+
+
 def progress_by_calendar(
     t: Tables, latest_term_by: tuple[str, ...] = (TERM,), fanout: str = "collapse"
 ) -> DataFrame:
@@ -196,8 +223,7 @@ def progress_by_interval(t: Tables, fanout: str = "collapse", daily: DataFrame |
     (``stored_daily_facts``) neither fact table is read again.
     """
     _check_fanout(fanout)
-    owners = t.schedule.select(SCHEDULE, WORK).join(t.civil_work, WORK, "left_semi")
-    activities = top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, WORK)
+    activities = work_activities(t).select(ACTIVITY, WORK)
     if daily is None:
         planned = (
             _dated_foreseen(t)
@@ -207,14 +233,40 @@ def progress_by_interval(t: Tables, fanout: str = "collapse", daily: DataFrame |
         sums = (F.sum("percentage").alias("percentage"), F.count("percentage").alias("n_measured"), F.count(F.lit(1)).alias("n_real"))
         actual = _dated_real(t).groupBy(ACTIVITY, "period").agg(*sums)
     else:
-        planned = daily.filter("n_foreseen > 0").select(ACTIVITY, "period", "fraction", "n_foreseen")
-        actual = daily.filter("n_real > 0").select(ACTIVITY, "period", "percentage", "n_measured", "n_real")
+        planned, actual = _planned(daily), _actual(daily)
     planned = planned.join(activities, ACTIVITY)
+    return spans_progress(planned, actual, activities, interval_spans(t, planned, fanout), fanout)
+
+
+def work_activities(t: Tables) -> DataFrame:
+    """(activity, schedule, work) of all top activities of known works."""
+    owners = t.schedule.select(SCHEDULE, WORK).join(t.civil_work, WORK, "left_semi")
+    return top_activities(t).join(owners, SCHEDULE).select(ACTIVITY, SCHEDULE, WORK)
+
+
+def _planned(daily: DataFrame) -> DataFrame:
+    return daily.filter("n_foreseen > 0").select(ACTIVITY, "period", "fraction", "n_foreseen")
+
+
+def _actual(daily: DataFrame) -> DataFrame:
+    return daily.filter("n_real > 0").select(ACTIVITY, "period", "percentage", "n_measured", "n_real")
+
+
+def interval_spans(t: Tables, planned: DataFrame, fanout: str = "collapse") -> DataFrame:
+    """(work, period, lo, hi): the calendar days whose measurements count for each planned period of a work."""
     points = planned.select(WORK, "period")
     if fanout == "collapse":
-        spans = covering_span(points, interval_rows(t))
-    else:
-        spans = covering_intervals(points.distinct(), calendar_intervals(t))
+        return covering_span(points, interval_rows(t))
+    return covering_intervals(points.distinct(), calendar_intervals(t))
+
+
+def daily_spans_progress(daily: DataFrame, activities: DataFrame, spans: DataFrame) -> DataFrame:
+    """``progress_by_interval`` from daily sums, the works of activities, and spans that are known."""
+    return spans_progress(_planned(daily).join(activities, ACTIVITY), _actual(daily), activities, spans, "collapse")
+
+
+def spans_progress(planned: DataFrame, actual: DataFrame, activities: DataFrame, spans: DataFrame, fanout: str) -> DataFrame:
+    """What was measured within the span of each planned period, and what was planned there, per work and period."""
     ends = F.explode(
         F.array(
             F.struct(F.col("lo").alias("pos"), F.lit(-1).alias("sign")),

@@ -10,7 +10,6 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,22 +49,24 @@ def _real_id(day: str):
 _folders: dict[tuple, str] = {}
 
 
-def _input_version(spark: SparkSession, sf_dir: str) -> tuple:
-    """Names, sizes and times of the files that the tables are derived from."""
-    paths = [f"{sf_dir}/{name}.parquet" for name in ("lineitem", "supplier")]
-    files = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime").collect()
-    return tuple(sorted(tuple(r) for r in files))
+def _files(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and times of the files below ``path``, listed without a job; none if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return ()
+    out, left = [], system.listFiles(place, True)
+    while left.hasNext():
+        f = left.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def _folder(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """Where ``write(folder)`` has put a table for this application and input; written if it is new or gone."""
-    key = (spark.sparkContext.applicationId, name, sf_dir, _input_version(spark, sf_dir))
-    if key in _folders:
-        try:
-            spark.read.format("binaryFile").load(f"{_folders[key]}/_done").limit(0).collect()
-        except AnalysisException:
-            del _folders[key]
-    if key not in _folders:
+    inputs = [_files(spark, f"{sf_dir}/{table}.parquet") for table in ("lineitem", "supplier")]
+    key = (spark.sparkContext.applicationId, name, sf_dir, *inputs)
+    if key not in _folders or not _files(spark, f"{_folders[key]}/_done"):
         folder = scratch_dir(spark, name)
         write(folder)
         spark.range(1).write.parquet(f"{folder}/_done")
@@ -91,6 +92,23 @@ def kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFra
     return spark.read.parquet(f"{folder}/rows")
 
 
+def kept_folder(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """A store that others start from, written once per application and input."""
+    return _folder(spark, sf_dir, name, lambda f: write(f"{f}/store")) + "/store"
+
+
+def changed_version(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
+    """The measurements after ``change_images``, as a second stored version of the table."""
+
+    def make() -> DataFrame:
+        changes = change_images(spark, sf_dir, t)
+        gone = changes.select(F.col("before.id_activity_real_progress").alias("id_activity_real_progress"))
+        kept_rows = t.real_progress.join(gone, "id_activity_real_progress", "left_anti").select(*t.real_progress.columns)
+        return kept_rows.unionByName(changes.filter("after IS NOT NULL").select("after.*"))
+
+    return kept(spark, sf_dir, "changed-version", make)
+
+
 def _write(spark: SparkSession, sf_dir: str, folder: str) -> None:
     _shipments(spark, sf_dir).write.parquet(f"{folder}/_shipments")
     shipments = spark.read.parquet(f"{folder}/_shipments")
@@ -196,43 +214,45 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
     return Tables(**{name: normalise(name, df) for name, df in frames.items()})
 
 
-def real_changes(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
-    """Changes to the last measurement of a work: deleted where the supplier's balance is negative,
+def change_images(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
+    """Changes to the last measurement of a work, both images as whole rows: deleted where the supplier's balance is negative,
     followed by a new one a month later up to 1,000, raised by a tenth from 8,000 on."""
+    columns = t.real_progress.columns
     last = (
         t.real_progress.withColumn("s", F.floor(F.col("id_activity_real_progress") / REAL_IDS))
         .groupBy("s")
-        .agg(F.max_by(F.struct(*t.real_progress.columns), "id_activity_real_progress").alias("r"))
+        .agg(F.max_by(F.struct(*columns), "id_activity_real_progress").alias("old"))
     )
     balance = _read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("s"), "s_acctbal")
     deleted, added = F.col("s_acctbal") < 0, F.col("s_acctbal") <= 1000
-    kept = lambda c, new=None: F.when(~deleted, F.col(c) if new is None else new).alias(c)
+    changed = last.join(balance, "s").filter(added | (F.col("s_acctbal") >= 8000)).select("s", "s_acctbal", "old", "old.*")
     next_month = F.last_day(F.add_months(F.col("progress_date"), 1))
-    return (
-        last.join(balance, "s")
-        .filter(added | (F.col("s_acctbal") >= 8000))
-        .select("s", "s_acctbal", "r.*")
-        .withColumn("_old_date", F.col("progress_date"))
-        .withColumn("progress_date", F.when(~deleted & added, next_month).otherwise(F.col("progress_date")))
-        .select(
-            F.col("id_activity_real_progress").alias("seq"),
-            F.when(deleted | ~added, F.col("id_qualitative_activity")).alias("before_activity"),
-            F.when(~deleted & added, _real_id("progress_date"))
-            .otherwise(F.col("id_activity_real_progress"))
-            .alias("id_activity_real_progress"),
-            kept("id_qualitative_activity"),
-            kept("id_term_activity"),
-            kept("progress_date"),
-            kept(
-                "progress_percentage",
-                F.when(added, F.col("progress_percentage")).otherwise(
-                    (F.col("progress_percentage") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(9,4)")
-                ),
-            ),
-        )
+    raised = (F.col("progress_percentage") * F.lit("1.1").cast("decimal(2,1)")).cast("decimal(9,4)")
+    new = {
+        "progress_date": F.when(added, next_month).otherwise(F.col("progress_date")),
+        "progress_percentage": F.when(added, F.col("progress_percentage")).otherwise(raised),
+    }
+    moved = changed.withColumns(new).withColumn(
+        "id_activity_real_progress", F.when(added, _real_id("progress_date")).otherwise(F.col("id_activity_real_progress"))
+    )
+    return moved.select(
+        F.col("old.id_activity_real_progress").alias("seq"),
+        F.when(deleted | ~added, F.col("old")).alias("before"),
+        F.when(~deleted, F.struct(*columns)).alias("after"),
     )
 
 
+def real_changes(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
+    """``change_images`` as change rows: of the image before, its activity only."""
+    columns = t.real_progress.columns
+    after = [
+        F.coalesce(F.col(f"after.{c}"), F.col(f"before.{c}") if c == "id_activity_real_progress" else F.lit(None)).alias(c)
+        for c in columns
+    ]
+    changes = change_images(spark, sf_dir, t)
+    return changes.select("seq", F.col(f"before.{ACTIVITY}").alias("before_activity"), *after)
+
+
 # Event types of the test data and the DDL events they stand for (fixed values).
 DDL_EVENTS = {
     "signup": ("CREATE_FUNCTION", "FUNCTION"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from trendframe.functions import safe_div
 from trendframe.operators import columns, dictionary
+from trendframe.operators.deltas import changes_between
 from trendframe.operators.intervals import calendar_intervals
 from trendframe.operators.progress import (
     accumulate,
@@ -23,10 +24,11 @@ from trendframe.operators.refresh import affected_works
 from trendframe.operators.trend import trend_chain, trend_first, trend_next
 from trendframe.plans import fixtures
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
-from trendframe.schemas import MEASURES, PARSED_EVENT, SCHEDULE, TERM, WORK
+from trendframe.schemas import MEASURES, PARSED_EVENT, REAL_ID, SCHEDULE, TERM, WORK
 from trendframe.session import scratch_dir
 from trendframe.sources import Tables
-from trendframe.streaming import dictionary_stream, trend_stream
+from trendframe.streaming import delta_stream, dictionary_stream
+from trendframe.streaming.delta_stream import refresh_by_deltas
 
 Query = Callable[[SparkSession, str], DataFrame]
 COLUMN_PATTERN = "%RD[_]re[cd]%"
@@ -161,7 +163,36 @@ def q_affected_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return affected_works(changes, t.qualitative_activity, t.schedule)
 
 
+def _delta_store(spark: SparkSession, sf_dir: str, t: Tables) -> str:
+    """A store with the forecast of ``t``, kept for the queries that start from it; they write to folders of their own."""
+    return fixtures.kept_folder(spark, sf_dir, "delta-store", lambda folder: delta_stream.initialise(t, folder))
+
+
 def trend_refresh_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of changes on stored results and daily sums; no fact is read."""
+    t = fixtures.schedule_tables(spark, sf_dir)
+    changes = fixtures.change_images(spark, sf_dir, t)
+    return _trend(refresh_by_deltas(changes, _delta_store(spark, sf_dir, t), scratch_dir(spark, "refresh")))
+
+
+def trend_refresh_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two versions of the measurements, which say what has changed."""
+    t = fixtures.schedule_tables(spark, sf_dir)
+    changes = changes_between(t.real_progress, fixtures.changed_version(spark, sf_dir, t))
+    return _trend(refresh_by_deltas(changes, _delta_store(spark, sf_dir, t), scratch_dir(spark, "refresh")))
+
+
+def changes_between_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What differs between two versions in which rows repeat."""
+    t = fixtures.schedule_tables(spark, sf_dir)
+    twice = lambda df, k: df.unionByName(df.filter(F.pmod(F.floor(F.col(REAL_ID) / 2), F.lit(k)) == 0))
+    changes = changes_between(twice(t.real_progress, 10), twice(fixtures.changed_version(spark, sf_dir, t), 15))
+    sides = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("before", "after") for c in t.real_progress.columns]
+    return changes.select("weight", *sides)
+
+
+def trend_refresh_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From change rows without their old values: the facts of touched works are read again."""
     t = fixtures.schedule_tables(spark, sf_dir)
     changes = fixtures.real_changes(spark, sf_dir, t)
     current = fixtures.kept(spark, sf_dir, "forecast", lambda: forecast(t))
@@ -171,11 +202,11 @@ def trend_refresh_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trend_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_dir(spark, "trend")
     t = fixtures.schedule_tables(spark, sf_dir)
-    fixtures.real_changes(spark, sf_dir, t).write.parquet(f"{store}/changes")
-    trend_stream.initialise(t, store)
-    changes = trend_stream.change_stream(spark, f"{store}/changes")
-    trend_stream.start(changes, t, store, once=True).awaitTermination()
-    return _trend(trend_stream.results(spark, store))
+    fixtures.change_images(spark, sf_dir, t).write.parquet(f"{store}/changes")
+    delta_stream.initialise(t, store)
+    changes = delta_stream.change_stream(spark, f"{store}/changes")
+    delta_stream.start(changes, store, once=True).awaitTermination()
+    return _trend(delta_stream.results(spark, store))
 
 
 def dictionary_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,7 +285,10 @@ QUERIES: dict[str, Query] = {
     "trend_forecast": trend_forecast,
     "affected_works": q_affected_works,
     "trend_refresh_batch": trend_refresh_batch,
+    "trend_refresh_versions": trend_refresh_versions,
+    "trend_refresh_log": trend_refresh_log,
     "trend_refresh_stream": trend_refresh_stream,
+    "changes_between_versions": changes_between_versions,
     "dictionary_snapshot": dictionary_snapshot,
     "dictionary_lookup": dictionary_lookup,
     "dictionary_apply_batch": dictionary_apply_batch,

@@ -74,6 +74,11 @@ REAL_CHANGE = T.StructType(
     + TABLES["real_progress"].fields
 )
 
+# A change with both images as whole rows, as triggers see them; `before` is NULL for an insert, `after` for a delete.
+CHANGE_IMAGES = T.StructType(
+    [T.StructField("seq", _LONG), T.StructField("before", TABLES["real_progress"]), T.StructField("after", TABLES["real_progress"])]
+)
+
 # A change as entries of one (activity, measurement): dead for its old image, live for its new one.
 CHANGE_LOG = T.StructType(
     [T.StructField("seq", _LONG), T.StructField("live", T.BooleanType())] + TABLES["real_progress"].fields

@@ -3,7 +3,8 @@
 Each batch writes one folder with the new rows of the keys it touched and one marker row per such key.
 The current rows of a key are those of its newest version; a key whose rows are all gone has a marker
 only. Nothing is deleted or rewritten, readers never see a half-replaced key, and running a batch again
-overwrites the same folder.
+overwrites the same folder. A ledger lists the batches that have been applied as a whole; a store made from the state of another
+takes its last entry along, so a batch that is contained in that state is known when it comes again.
 """
 
 from __future__ import annotations
@@ -50,3 +51,14 @@ def read_latest(
 
 def _same(left: str, right: str, keys: list[str]) -> Column:
     return reduce(Column.__and__, (F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys))
+
+
+def record(spark: SparkSession, store: str, batch_id: int) -> None:
+    """Enter ``batch_id`` in the ledger of ``store``: all that the batch writes is there."""
+    row = spark.range(1).select(F.lit(batch_id).cast("long").alias("applied"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{store}/ledger/entry={batch_id}")
+
+
+def applied(spark: SparkSession, store: str) -> int:
+    """The last batch in the ledger of ``store``. Batches are applied in ascending order."""
+    return spark.read.schema("applied long").parquet(f"{store}/ledger").agg(F.max("applied")).first()[0]
