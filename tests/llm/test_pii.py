@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import time
 import tracemalloc
 
 import numpy as np
@@ -165,3 +166,27 @@ def test_tables(spark, tmp_path):
     assert texts[30] == ("write [EMAIL] from [IP] now", 27) and texts[31] == ("[PHONE]", 7) and texts[3] == (None, None)
     assert all(texts[i][0] == t for i, t, _, _ in rows if i in (1, 2, 4, 5, 8, 10, 12))
     assert pii.find(make_docs(spark, [])).count() == 0 and pii.mask(make_docs(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["+1 (269) 555-3296 ", "anna@example.com x ", "bob (at) site.io or "])
+def test_a_long_text_takes_time_in_proportion(model, unit):
+    """With as many spans as there can be, of the patterns and of the field."""
+    seconds = []
+    for n in (250_000, 1_000_000):
+        start = time.perf_counter()
+        assert len(pii.find_spans(model, [unit * (n // len(unit))])[0]) >= n // len(unit)
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 6 * seconds[0] + 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 8)), max_size=8), st.integers(0, 40), st.integers(1, 6))
+def test_cover(spans, start, size):
+    cover = pii._Cover([("email", s, s + n) for s, n in spans])
+    assert cover.meets(start, start + size) == any(s < start + size and start < s + n for s, n in spans)
+
+
+def test_runs_that_share_words_add_no_overlapping_spans(model):
+    text = " ".join(["555.123.4567 or so"] + ["word"] * 5 + ["030 1234567 bob (at) site.io"]) * 3
+    added = sorted(x[1:] for x in pii.find_spans(model, [text])[0] if x[0].startswith("crf_"))
+    assert all(a[1] <= b[0] for a, b in zip(added, added[1:], strict=False))

@@ -8,12 +8,14 @@ hash of their id and labelled by these matches.
 
 Defined results: a null text is empty and has no span (masking keeps it null); a null ``doc_id`` is kept as null; each
 repeated row gets its spans; an empty table gives no row and trains on the examples alone; ``find`` reads
-no other columns and ``mask`` keeps them. Every pattern is linear in the length of a text.
+no other columns and ``mask`` keeps them. Patterns, field and the search for overlaps take time in proportion to a text's length (times the
+logarithm of its spans).
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -268,14 +270,35 @@ def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
         if _MARKED.search(text):
             runs += [(i, run) for run in _neighbourhoods(text)]
     paths = model.viterbi([_Run(texts[i], run) for i, run in runs]) if runs else []
+    covers = [_Cover(spans) if spans else None for spans in out]
+    latest = [0] * len(texts)  # where the last span that the field added to a text ends
     for (i, run), tags in zip(runs, paths, strict=True):
-        taken = [x for x in out[i] if x[1] < run[-1][1] and run[0][0] < x[2]]
+        # A run may begin with the last words of the one before it, whose spans stand.
+        before = latest[i]
         for kind, s, e in _labelled_spans(texts[i], run, tags):
-            if _plausible(kind, texts[i][s:e]) and not any(a < e and s < b for _, a, b in taken):
+            if s >= before and _plausible(kind, texts[i][s:e]) and not (covers[i] and covers[i].meets(s, e)):
                 out[i].append((f"crf_{kind}", s, e))
+                latest[i] = e
     return [sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1])) for spans in out]
 
 
+class _Cover:
+    """The characters that some spans cover, as sorted stretches."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts, self.ends = [], []
+        for _, s, e in sorted(spans, key=lambda x: x[1]):
+            if self.ends and s <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], e)
+            else:
+                self.starts.append(s)
+                self.ends.append(e)
+
+    def meets(self, start: int, end: int) -> bool:
+        k = bisect_right(self.ends, start)
+        return k < len(self.ends) and self.starts[k] < end
+
+
 def fit(docs: DataFrame, sample: int = SAMPLE) -> crf.Crf:
     """Train on the driver; about ``sample`` texts of at most 20,000 characters come from ``docs``."""
     marked = as_docs(docs).filter(

@@ -46,7 +46,7 @@ _ID = re.compile(
 _ID_WORDS = ("keyid", "key_id", "clientid", "client_id", "accountid", "account_id", "user", "login")
 _ENDPOINT = re.compile(r"""(?:https?|ftp|amqps?|redis|mysql|postgres(?:ql)?|mongodb|s3)://[^\s"'<>]{4,}""", re.A | re.I)
 _USER_INFO = re.compile(r"://([^\s/?#@:]*)(?::([^\s/?#]*))?@")
-_VALUE = re.compile(r"[?&#;][^=&#;]*=([^&#;]+)")
+_PART = re.compile(r"[^&#;]+")
 _WEAK_SECRET = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 
 
@@ -97,7 +97,10 @@ def _url_parts(text: str, start: int, end: int) -> list[Span]:
         out.append(("weak_secret", *info.span(2)))
     if info and info[1]:
         out.append(("weak_id" if info[2] or not _has_secret(info[1]) else "weak_secret", *info.span(1)))
-    out += [("weak_secret", *m.span(1)) for m in _VALUE.finditer(text, path_end, end) if _has_secret(unquote(m[1]))]
+    for part in _PART.finditer(text, min(path_end + 1, end), end):
+        value = text.find("=", *part.span()) + 1
+        if value and _has_secret(unquote(text[value : part.end()])):
+            out.append(("weak_secret", value, part.end()))
     return [*out, ("endpoint", host, path_end)] if path_end > host else out
 
 
