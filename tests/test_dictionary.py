@@ -208,3 +208,68 @@ def test_stream_over_several_batches(spark, tmp_path):
 def test_the_first_of_repeated_nodes_counts(spark):
     twice = payload("CREATE_FUNCTION", "FUNCTION", "a").replace("</EVENT_INSTANCE>", "<ObjectName>b</ObjectName><EventType>DROP_X</EventType></EVENT_INSTANCE>")
     assert rows(d.parse_events(spark.createDataFrame([(1, twice)], DDL_EVENT))) == [(1, "CREATE", "FUNCTION", "a")]
+
+
+def test_payloads_that_cannot_be_applied(spark):
+    good = payload("CREATE_FUNCTION", "FUNCTION", "f")
+    data = [
+        (1, good), (2, good), (2, good), (2, good), (3, good[:40]), (4, "no xml"), (5, ""), (6, " \n"), (7, None), (7, None),
+        (8, payload(None, "FUNCTION", "f")), (9, payload("CREATE_FUNCTION", "FUNCTION", None)), (10, payload("DROP_TABLE", "TABLE", "t")),
+        (11, good.replace("FUNCTION<", "FUN&CTION<")), (12, "<EVENT_INSTANCE/>"), (13, good), (13, good.replace(">f<", ">g<")), (None, good),
+    ]
+    read = d.read_events(spark.createDataFrame(data, DDL_EVENT))
+    bad = sorted(((r.seq, r.defect, r.n) for r in d.rejected_events(read).collect()), key=repr)
+    assert bad == sorted(
+        [(2, "repeated", 2), (3, "malformed", 1), (4, "malformed", 1), (5, "empty", 1), (6, "empty", 1), (7, "empty", 2),
+         (8, "incomplete", 1), (11, "malformed", 1), (12, "incomplete", 1)], key=repr,
+    )
+    kept = sorted(rows(d.good_events(read)), key=repr)
+    f = ("CREATE", "FUNCTION", "f")
+    assert kept == sorted([(1, *f), (2, *f), (9, "CREATE", "FUNCTION", None), (10, "DROP", None, "t"), (13, *f), (13, "CREATE", "FUNCTION", "g"), (None, *f)], key=repr)
+    # Nothing is lost: each payload is an event, or rejected as often as it came.
+    assert len(kept) + sum(n for _, _, n in bad) == len(data)
+
+
+def test_rejected_payloads_of_a_stream_are_kept_and_the_rest_applied(spark, tmp_path):
+    store = str(tmp_path / "store")
+    dictionary_stream.initialise(spark.createDataFrame([], DICTIONARY), store)
+    params = spark.createDataFrame([], "routine_name string, parameter_name string, data_type string, ordinal int")
+    good = payload("CREATE_FUNCTION", "FUNCTION", "f")
+    batches = [[(1, good), (1, good), (2, good[:50])], [(3, None), (4, payload("CREATE_PROCEDURE", "PROCEDURE", "p"))]]
+    for k, data in enumerate(batches):
+        for _ in range(2):  # a replay rejects nothing twice
+            dictionary_stream.apply_batch(spark.createDataFrame(data, DDL_EVENT), k, params, store)
+    names = lambda: sorted(r.obj_nome for r in dictionary_stream.current(spark, store).collect())
+    assert names() == ["f", "p"]
+    bad = sorted((r.batch_id, r.seq, r.defect, r.n) for r in dictionary_stream.rejected(spark, store).collect())
+    assert bad == [(0, 1, "repeated", 1), (0, 2, "malformed", 1), (1, 3, "empty", 1)]
+
+
+def test_a_batch_that_comes_again_after_compaction(spark, tmp_path):
+    """Applied but not ticked off, then compacted, then replayed: its rows are not created twice. One only begun is applied."""
+    store, target = str(tmp_path / "store"), str(tmp_path / "compacted")
+    dictionary_stream.initialise(spark.createDataFrame([], DICTIONARY), store)
+    params = spark.createDataFrame([("f", "@a", "int", 1)], "routine_name string, parameter_name string, data_type string, ordinal int")
+    frame = lambda seq, kind, name: spark.createDataFrame([(seq, payload(f"{kind}_FUNCTION", "FUNCTION", name))], DDL_EVENT)
+    first, second = frame(1, "CREATE", "f"), frame(2, "CREATE", "g")
+    dictionary_stream.apply_batch(first, 0, params, store)
+    # The second batch writes its version, but does not get as far as the ledger.
+    ledger, dictionary_stream.record = dictionary_stream.record, lambda *_: None
+    try:
+        dictionary_stream.apply_batch(second, 1, params, store)
+    finally:
+        dictionary_stream.record = ledger
+    dictionary_stream.compact(spark, store, target)
+    state = lambda: sorted((r.obj_nome, r.param_nome) for r in dictionary_stream.current(spark, target).collect())
+    assert state() == [("f", "@a")]
+    for _ in range(2):
+        dictionary_stream.apply_batch(first, 0, params, target)
+        assert state() == [("f", "@a")]
+    for _ in range(2):
+        dictionary_stream.apply_batch(second, 1, params, target)
+        assert state() == [("f", "@a"), ("g", None)]
+    again = str(tmp_path / "again")
+    dictionary_stream.compact(spark, target, again)
+    for k, batch in enumerate((first, second)):
+        dictionary_stream.apply_batch(batch, k, params, again)
+    assert sorted(r.obj_nome for r in dictionary_stream.current(spark, again).collect()) == ["f", "g"]

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tests.helpers import stage_model
-from trendframe.operators.trend import trend_chain, trend_first, trend_next
+from trendframe.operators.trend import _tag, trend_chain, trend_first, trend_fold, trend_next
 from trendframe.schemas import MEASURES
 
 SCHEMA = "id_civil_work long, period date, foreseen_progress double, accomplished_progress double"
@@ -154,3 +154,31 @@ def test_stage_by_stage_equals_the_chain(spark):
     for k, df in ((2, second), (3, third)):
         for w in works:
             same(measures(df, w), measures(chain, w, k))
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(indexed, indexed, indexed), min_size=1, max_size=40), st.sampled_from([1, 2, 3, 5]))
+def test_fold_against_the_literal_model(spark, works, n):
+    """On one base and on three, each with periods of its own."""
+    for shared in (True, False):
+        bases = [base_of(spark, {w: b[0 if shared else k] for w, b in enumerate(works)}) for k in range(3)]
+        got = {}
+        for r in trend_fold(bases[0] if shared else _tag(bases), n=n).orderBy("period").collect():
+            got.setdefault((r.id_civil_work, r.stage), []).append(tuple(r[m] for m in MEASURES))
+        for w, three in enumerate(works):
+            series = [[(period(i), f, a) for i, f, a in three[0 if shared else k]] for k in range(3)]
+            for k, want in enumerate(model_chain(series, n), 1):
+                same(got.get((w, k), []), want)
+
+
+def test_fold_equals_windows_for_any_number_of_stages_and_its_plan_does_not_grow(spark, tmp_path):
+    works = {w: [(10, 5 + w)] * (w + 1) + [(8, None)] * 6 for w in range(5)}
+    base_of(spark, works).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    rows = lambda df: sorted(((r.stage, r.id_civil_work, r.period, *(r[m] for m in MEASURES)) for r in df.collect()), key=repr)
+    for horizon in (1, 2, 5, 12):
+        got, want = rows(trend_fold(base, horizon)), rows(trend_chain(base, horizon))
+        assert [r[:3] for r in got] == [r[:3] for r in want]
+        same([r[3:] for r in got], [r[3:] for r in want])
+    size = lambda h: len(trend_fold(base, h)._jdf.queryExecution().analyzed().toString())
+    assert size(12) <= size(1) + 20

@@ -58,9 +58,51 @@ def parse_events(df: DataFrame) -> DataFrame:
     )
 
 
+def read_events(df: DataFrame) -> DataFrame:
+    """(seq, evento, obj_tipo, obj_nome, event_xml, copies, defect): ``parse_events`` with what is wrong with a payload.
+
+    A row per distinct (seq, payload), which came ``copies`` times; each payload is parsed once. ``defect`` is NULL for an event
+    that can be applied, else ``empty`` (NULL or blank), ``malformed`` (no XML) or ``incomplete`` (no event type).
+    """
+    counted = df.groupBy("seq", "event_xml").agg(F.count(F.lit(1)).alias("copies"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+    e = F.from_xml("event_xml", f"{EVENT_XML}, _corrupt STRING", options)
+    first = lambda field: F.get(f"e.{field}", F.lit(0))
+    kind = first("ObjectType")
+    blank = F.trim(F.coalesce(F.col("event_xml"), F.lit(""))) == ""
+    defect = (
+        F.when(blank, "empty")
+        .when(F.col("e._corrupt").isNotNull(), "malformed")
+        .when(first("EventType").isNull(), "incomplete")
+    )
+    return counted.select("seq", "event_xml", "copies", e.alias("e")).select(
+        "seq",
+        F.substring_index(first("EventType"), "_", 1).alias("evento"),
+        F.when(kind.isin(OBJECT_TYPES), kind).alias("obj_tipo"),
+        first("ObjectName").alias("obj_nome"),
+        "event_xml",
+        "copies",
+        defect.alias("defect"),
+    )
+
+
+def good_events(read: DataFrame) -> DataFrame:
+    """The events of ``read_events`` that can be applied, each once."""
+    return read.filter(F.col("defect").isNull()).select("seq", "evento", *OBJECT)
+
+
+def rejected_events(read: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, seq, event_xml, defect, n): payloads that are not applied, ``n`` times each; ``repeated`` are copies beyond the first."""
+    defect = F.coalesce(F.col("defect"), F.when(F.col("copies") > 1, "repeated"))
+    n = F.when(F.col("defect").isNull(), F.col("copies") - 1).otherwise(F.col("copies"))
+    return read.select(*keys, "seq", "event_xml", defect.alias("defect"), n.alias("n")).filter(F.col("defect").isNotNull())
+
+
 def lookup_parameters(events: DataFrame, params: DataFrame, mode: str = "each") -> DataFrame:
     """Parsed events with the parameters of their object and the message.
 
+    ``events`` is read twice, to cut the parameters down to its objects and to look them up; store it if parsing is part of it.
+
     ``mode="each"`` gives a row per parameter, ``"one"`` the first by ordinal. With a ``seq`` column in
     ``params`` the parameters are those recorded with that event, else those of the object's name. Events
     without parameters stay, with NULLs; so do events of other object types, which are not looked up.

@@ -184,3 +184,115 @@ def trend_chain(
         results.append(F.when(present, row))
     stages = df.select(F.explode(F.array(*results)).alias("r"))
     return stages.filter(F.col("r").isNotNull()).select("r.*")
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, where expressions of arrays would repeat it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _mean(rows: Column) -> Column:
+    """Mean deviation of ``rows``, NULL if none has one."""
+    known = F.filter(F.transform(rows, lambda x: x["dev"]), lambda d: d.isNotNull())
+    return _let(known, lambda d: F.when(F.size(d) > 0, F.aggregate(d, F.lit(0.0), lambda a, b: a + b) / F.size(d)))
+
+
+def _next_stage(rows: Column, k: Column, source: Column, n: int) -> Column:
+    """The rows of stage ``k`` from those of the stage before: their deviation and trend, and the other measures."""
+
+    def measured(r: Column) -> Column:
+        v = F.get(r["v"], source)
+        implied = safe_div(r["trend"], v["foreseen_progress"])
+        return F.struct(
+            r["period"].alias("period"),
+            r["v"].alias("v"),
+            v["foreseen_progress"].alias("foreseen"),
+            F.coalesce(r["dev"], implied).alias("dev"),
+            F.when(k == 1, r["trend"].isNotNull()).otherwise(implied.isNotNull()).alias("eligible"),
+            F.coalesce(v["accomplished_progress"], r["trend"]).alias("known"),
+        )
+
+    def estimated(x: Column) -> Column:
+        eligible = F.filter(x, lambda r: r["eligible"])
+        last = F.slice(eligible, F.greatest(F.size(eligible) - n, F.lit(0)) + 1, n)
+
+        def finished(last: Column) -> Column:
+            earlier = F.slice(last, 1, n - 1)
+            newest = F.get(last, F.size(last) - 1)
+            averages = F.struct(_mean(last).alias("mobile"), _mean(earlier).alias("previous"), newest["dev"].alias("current"))
+
+            def row(a: Column):
+                seasonal = F.when(a["previous"] == 1, a["mobile"]).otherwise((a["previous"] + a["current"]) / 2)
+
+                def one(r: Column, i: Column) -> Column:
+                    within = lambda part: r["eligible"] & (r["period"] >= F.get(part, F.lit(0))["period"])
+                    up_to = F.get(earlier, F.size(earlier) - 1)["period"]
+                    ahead = F.when(F.get(x, i - 1)["dev"].isNotNull(), seasonal * r["foreseen"])
+                    return F.struct(
+                        r["period"].alias("period"),
+                        r["v"].alias("v"),
+                        r["dev"].alias("dev"),
+                        F.coalesce(r["known"], ahead).alias("trend"),
+                        F.when(within(last), r["dev"]).alias("mobile"),
+                        F.when(within(earlier) & (r["period"] <= up_to), r["dev"]).alias("previous"),
+                        F.when(r["eligible"] & (r["period"] == newest["period"]), r["dev"]).alias("current"),
+                        seasonal.alias("seasonal"),
+                    )
+
+                return F.transform(x, one)
+
+            return _let(averages, row)
+
+        return _let(last, finished)
+
+    return _let(F.transform(F.filter(rows, lambda r: F.get(r["v"], source).isNotNull()), measured), estimated)
+
+
+def trend_fold(base: DataFrame, horizon: int = 3, n: int = 3) -> DataFrame:
+    """``trend_chain`` as one fold over the stages of each work's sorted array of periods.
+
+    ``base`` is one DataFrame for every stage, or one whose column ``base`` counts from 0 to ``horizon`` - 1. The plan does not grow
+    with ``horizon``: an aggregate by work, which needs no exchange on a base partitioned by it, and one expression.
+    """
+    several = "base" in base.columns
+    keys = [F.col(k) if k in base.columns else F.lit(None).cast("long").alias(k) for k in (SCHEDULE, TERM)]
+    values = F.struct(
+        F.col("foreseen_progress").cast("double").alias("foreseen_progress"),
+        F.col("accomplished_progress").cast("double").alias("accomplished_progress"),
+        *keys,
+    )
+    if several:
+        picked = [F.first(F.when(F.col("base") == i, F.col("v")), ignorenulls=True) for i in range(horizon)]
+        rows = base.select(WORK, "period", "base", values.alias("v")).repartition(WORK).groupBy(WORK, "period").agg(F.array(*picked).alias("v"))
+    else:
+        rows = base.select(WORK, "period", F.array(values).alias("v"))
+    works = rows.groupBy(WORK).agg(F.sort_array(F.collect_list(F.struct("period", "v"))).alias("rows"))
+
+    nothing = F.lit(None).cast("double")
+    start = F.transform(
+        "rows",
+        lambda r: F.struct(
+            r["period"].alias("period"), r["v"].alias("v"), nothing.alias("dev"),
+            F.get(r["v"], F.lit(0))["accomplished_progress"].alias("trend"),
+            *(nothing.alias(c) for c in ("mobile", "previous", "current", "seasonal")),
+        ),
+    )
+
+    def step(state: Column, k: Column) -> Column:
+        source = k - 1 if several else F.lit(0)
+
+        def with_stage(rows: Column) -> Column:
+            of_stage = lambda r: F.struct(
+                k.alias("stage"), r["period"].alias("period"), r["dev"].alias("initial_deviation"), r["mobile"].alias("mobile_deviation"),
+                r["previous"].alias("previous_estimate"), r["current"].alias("current_estimate"), r["seasonal"].alias("seasonal_estimate"),
+                r["trend"].alias("trend_period"), F.get(r["v"], source)[SCHEDULE].alias(SCHEDULE), F.get(r["v"], source)[TERM].alias(TERM),
+            )
+            return F.struct(rows.alias("rows"), F.concat(state["out"], F.transform(rows, of_stage)).alias("out"))
+
+        return _let(_next_stage(state["rows"], k, source, n), with_stage)
+
+    measures = ", ".join(f"{m}: double" for m in MEASURES)
+    out = F.array().cast(f"array<struct<stage: int, period: date, {measures}, {SCHEDULE}: long, {TERM}: long>>")
+    stages = F.sequence(F.lit(1), F.lit(horizon))
+    folded = F.aggregate(stages, F.struct(start.alias("rows"), out.alias("out")), step, lambda state: state["out"])
+    return works.select(WORK, F.explode(folded).alias("r")).select("r.stage", "r.period", *(f"r.{m}" for m in MEASURES), WORK, f"r.{SCHEDULE}", f"r.{TERM}")

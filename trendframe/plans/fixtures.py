@@ -285,6 +285,22 @@ def ddl_events(events: DataFrame) -> DataFrame:
     )
 
 
+def damaged_events(events: DataFrame) -> DataFrame:
+    """``ddl_events`` of which some come damaged: cut off where ``event_id`` is divisible by 11, blank by 13, NULL by 17, without event type
+    by 19; and those divisible by 23 come three times."""
+    n = F.col("seq")
+    payload = F.col("event_xml")
+    damaged = (
+        F.when(n % 11 == 0, F.substring(payload, 1, 30))
+        .when(n % 13 == 0, F.lit("  "))
+        .when(n % 17 == 0, F.lit(None).cast("string"))
+        .when(n % 19 == 0, F.regexp_replace(payload, "<EventType>.*</EventType>", ""))
+        .otherwise(payload)
+    )
+    copies = F.explode(F.sequence(F.lit(1), F.when(n % 23 == 0, 3).otherwise(1)))
+    return ddl_events(events).select("seq", damaged.alias("event_xml"), copies.alias("copy")).drop("copy")
+
+
 def event_params(events: DataFrame) -> DataFrame:
     """Parameters of the object as each event left it: one, and a second where ``value`` is over 10.
 

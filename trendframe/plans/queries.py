@@ -21,11 +21,11 @@ from trendframe.operators.progress import (
     stored_daily_facts,
 )
 from trendframe.operators.refresh import affected_works
-from trendframe.operators.trend import trend_chain, trend_first, trend_next
+from trendframe.operators.trend import trend_chain, trend_first, trend_fold, trend_next
 from trendframe.plans import fixtures
 from trendframe.plans.forecast import forecast, forecast_calendar, trend_refresh
-from trendframe.schemas import MEASURES, PARSED_EVENT, REAL_ID, SCHEDULE, TERM, WORK
-from trendframe.session import scratch_dir
+from trendframe.schemas import MEASURES, REAL_ID, SCHEDULE, TERM, WORK
+from trendframe.session import scratch_dir, stored
 from trendframe.sources import Tables
 from trendframe.streaming import delta_stream, dictionary_stream
 from trendframe.streaming.delta_stream import refresh_by_deltas
@@ -124,7 +124,7 @@ def q_trend_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trend_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = _calendar_base(spark, sf_dir)
+    base = stored(_calendar_base(spark, sf_dir), "calendar-base")  # two stages read it
     return _trend(trend_next(base, trend_first(base)))
 
 
@@ -153,6 +153,11 @@ def trend_chain_five(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trend(forecast_calendar(t, n=5))
 
 
+def trend_eight_stages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight periods ahead, by the fold: its plan is the same for any number of stages."""
+    return _trend(trend_fold(_calendar_base(spark, sf_dir), horizon=8))
+
+
 def trend_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trend(forecast(fixtures.schedule_tables(spark, sf_dir)))
 
@@ -218,19 +223,23 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = dictionary.parse_events(fixtures.ddl_events(_events(spark, sf_dir)))
+    parsed = stored(dictionary.parse_events(fixtures.ddl_events(_events(spark, sf_dir))), "parsed-events")
     return dictionary.lookup_parameters(parsed, fixtures.customer_params(spark, sf_dir))
 
 
+def dictionary_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with the payloads of a source that cuts off, empties and repeats some."""
+    raw = fixtures.damaged_events(_events(spark, sf_dir))
+    return dictionary.rejected_events(dictionary.read_events(raw)).drop("event_xml")
+
+
 def _apply(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
-    """Events are parsed and looked up once, and stored: applying them reads them several times."""
+    """Events are parsed once and stored, then looked up and stored: both steps read their input several times."""
     events = _events(spark, sf_dir)
-    parsed = dictionary.parse_events(fixtures.ddl_events(events))
-    folder = scratch_dir(spark, "events")
-    dictionary.lookup_parameters(parsed, fixtures.event_params(events), mode).write.parquet(folder)
+    parsed = stored(dictionary.parse_events(fixtures.ddl_events(events)), "parsed-events")
+    looked_up = stored(dictionary.lookup_parameters(parsed, fixtures.event_params(events), mode), "events")
     state = dictionary.as_state(dictionary_snapshot(spark, sf_dir))
-    applied = dictionary.dictionary_apply(state, spark.read.schema(PARSED_EVENT).parquet(folder), mode)
-    return dictionary.dictionary(applied)
+    return dictionary.dictionary(dictionary.dictionary_apply(state, looked_up, mode))
 
 
 def dictionary_apply_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "trend_third_interval": trend_third_interval,
     "trend_chain": q_trend_chain,
     "trend_chain_five": trend_chain_five,
+    "trend_eight_stages": trend_eight_stages,
     "trend_forecast": trend_forecast,
     "affected_works": q_affected_works,
     "trend_refresh_batch": trend_refresh_batch,
@@ -291,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "changes_between_versions": changes_between_versions,
     "dictionary_snapshot": dictionary_snapshot,
     "dictionary_lookup": dictionary_lookup,
+    "dictionary_rejected": dictionary_rejected,
     "dictionary_apply_batch": dictionary_apply_batch,
     "dictionary_apply_one": dictionary_apply_one,
     "dictionary_apply_stream": dictionary_apply_stream,

@@ -96,6 +96,10 @@ DDL_EVENT = _struct(seq=_LONG, event_xml=_STR)
 DICTIONARY = _struct(
     obj_tipo=_STR, obj_nome=_STR, param_nome=_STR, param_tipo=_STR, mensagem=_STR
 )
+# An event as read, with what is wrong with its payload.
+READ_EVENT = _struct(
+    seq=_LONG, evento=_STR, obj_tipo=_STR, obj_nome=_STR, event_xml=_STR, copies=_LONG, defect=_STR
+)
 # A parsed event with its parameters: the dictionary row it would create.
 PARSED_EVENT = T.StructType([T.StructField("seq", _LONG), T.StructField("evento", _STR)] + DICTIONARY.fields)
 # The dictionary plus the event that created each row (NULL for rows of the first snapshot).

@@ -55,10 +55,24 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
 
 def record(spark: SparkSession, store: str, batch_id: int) -> None:
     """Enter ``batch_id`` in the ledger of ``store``: all that the batch writes is there."""
-    row = spark.range(1).select(F.lit(batch_id).cast("long").alias("applied"))
-    row.coalesce(1).write.mode("overwrite").parquet(f"{store}/ledger/entry={batch_id}")
+    _enter(spark, store, batch_id, batch_id)
+
+
+def carry(spark: SparkSession, store: str, through: int) -> None:
+    """Begin the ledger of a ``store`` whose first version holds all batches up to ``through``."""
+    _enter(spark, store, FIRST, through)
+
+
+def _enter(spark: SparkSession, store: str, entry: int, through: int) -> None:
+    row = spark.range(1).select(F.lit(through).cast("long").alias("applied"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{store}/ledger/entry={entry}")
 
 
 def applied(spark: SparkSession, store: str) -> int:
     """The last batch in the ledger of ``store``. Batches are applied in ascending order."""
     return spark.read.schema("applied long").parquet(f"{store}/ledger").agg(F.max("applied")).first()[0]
+
+
+def carried(spark: SparkSession, store: str) -> int:
+    """The last batch that the first version of ``store`` holds."""
+    return spark.read.schema("applied long").parquet(f"{store}/ledger/entry={FIRST}").first()[0]

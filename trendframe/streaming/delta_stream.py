@@ -18,7 +18,7 @@ from trendframe.plans import frame as frames
 from trendframe.schemas import ACTIVITY, CHANGE_IMAGES, TREND, WORK
 from trendframe.session import stored
 from trendframe.sources import Tables
-from trendframe.sources.versioned import FIRST, applied, read_latest, record, write_version
+from trendframe.sources.versioned import FIRST, applied, carried, carry, read_latest, record, write_version
 
 _DELTAS = f"{frames.DAILY}, {WORK} long, batch_id long"
 _SCOPE = f"{WORK} long, bucket int"
@@ -72,10 +72,10 @@ def apply_batch(changes: DataFrame, batch_id: int, store: str) -> None:
     """Add one batch of ``CHANGE_IMAGES`` and write a new version of the works it touches.
 
     A rerun of a batch rewrites its own folders and reads only the deltas up to itself; one that the ledger
-    of a compacted store holds already is left out.
+    of a compacted store holds already is left out, as its sums are in the daily sums there.
     """
     spark = changes.sparkSession
-    if batch_id <= applied(spark, store) and not _written(spark, store, batch_id):
+    if batch_id <= carried(spark, store):
         return
     frame, buckets = frames.read_frame(spark, f"{store}/frame")
     fresh, works = refreshed(changes, frame, buckets, store, batch_id)
@@ -83,12 +83,6 @@ def apply_batch(changes: DataFrame, batch_id: int, store: str) -> None:
     record(spark, store, batch_id)
 
 
-def _written(spark: SparkSession, store: str, batch_id: int) -> bool:
-    """Whether the batch was applied in this store, not in one that it was compacted from."""
-    entries = spark.read.schema("applied long, entry long").parquet(f"{store}/ledger")
-    return not entries.filter((F.col("entry") == batch_id) & (F.col("entry") != FIRST)).isEmpty()
-
-
 def start(changes: DataFrame, store: str, once: bool = False, checkpoint: str | None = None) -> StreamingQuery:
     """Run ``apply_batch`` on a streaming DataFrame of ``CHANGE_IMAGES`` rows.
 
@@ -122,5 +116,4 @@ def compact(spark: SparkSession, store: str, target: str) -> None:
     state = read_latest(spark, f"{store}/results", TREND, [WORK], before=through + 1)
     write_version(state, state.select(WORK).distinct(), f"{target}/results", FIRST)
     spark.createDataFrame([], _DELTAS).drop("batch_id").write.parquet(f"{target}/deltas/batch_id={FIRST}")
-    carried = spark.range(1).select(F.lit(through).cast("long").alias("applied"))
-    carried.coalesce(1).write.parquet(f"{target}/ledger/entry={FIRST}")
+    carry(spark, target, through)
