@@ -9,22 +9,29 @@ from tests.llm.helpers import awkward, make_docs, prose
 from trendframe.llm import syncmers
 
 
+def hashed(piece):
+    """The hash sum of one piece, by its definition."""
+    return sum(ord(c) * pow(syncmers._BASE, k, 2**64) for k, c in enumerate(piece)) % 2**64
+
+
+def mixed(pieces):
+    return syncmers._mixed(np.array([hashed(p) for p in pieces], dtype=np.uint64))
+
+
 def plain_anchors(text):
-    """Every piece by itself."""
+    """Every piece by itself; of a short text all short pieces."""
     out = []
-    for k in range(len(text) - syncmers.K + 1):
-        piece = text[k : k + syncmers.K]
-        codes = np.array([ord(c) for c in piece], dtype=np.uint64)
-        inner = syncmers._mixed(syncmers._doubled(codes, 1, 4))
-        assert len(inner) == syncmers.K - syncmers.S + 1
-        if inner.min() in (inner[0], inner[-1]):
-            whole = syncmers._mixed(syncmers._doubled(codes, 1, 6))
-            assert len(whole) == 1
-            out.append(int(whole[0] >> np.uint64(32)))
+    short = len(text) < syncmers.SHORT
+    size = syncmers.PIECE if short else syncmers.K
+    for k in range(len(text) - size + 1):
+        piece = text[k : k + size]
+        inner = mixed([piece[j : j + syncmers.S] for j in range(syncmers.K - syncmers.S + 1)]) if not short else None
+        if short or inner.min() in (inner[0], inner[-1]):
+            out.append(int(mixed([piece])[0] >> np.uint64(32)))
     return list(dict.fromkeys(out))
 
 
-@pytest.mark.parametrize("text", [prose(1, 200), "aé🙂" * 60, "x" * 200, prose(2, 12)[:64], prose(3, 60).upper()])
+@pytest.mark.parametrize("text", [prose(1, 200), "aé🙂" * 60, "x" * 200, prose(2, 12)[:64], prose(3, 60).upper(), "ab", "abcde", "x" * 79, "x" * 80])
 def test_anchors(text):
     plain = plain_anchors(text)
     if plain:
@@ -33,6 +40,28 @@ def test_anchors(text):
         assert len(syncmers.anchors(text)) == 1
 
 
+def changed(text, every, seed):
+    """Each ``every``-th word replaced by another."""
+    other = prose(seed, 600).split()
+    return " ".join(other[k] if k % every == 3 else w for k, w in enumerate(text.split()))
+
+
+def test_near_copies_and_short_texts_are_alike():
+    like = lambda a, b: syncmers.likeness(syncmers.anchors(a), syncmers.anchors(b))
+    near, far = [], []
+    for k in range(60):
+        text = prose(k, 60 + 6 * k)
+        near.append(like(text, changed(text, 10, 500 + k)))
+        far.append(like(text, prose(1000 + k, 60 + 6 * k)))
+    assert min(near) > 0.3 and max(far) < 0.05
+    for n in (10, 24, 40, 63, 79, 80, 120, 200, 399):
+        for k in range(20):
+            text = prose(k, 80)[:n]
+            assert like(text, syncmers.edit(text, prose(600 + k, 80))) > 0, (n, k)
+    one = "the committee met on Tuesday to talk about the budget of the new school"
+    assert like(one, one.replace("Tuesday", "Friday")) > 0.5
+
+
 def test_blocks_do_not_matter(monkeypatch):
     text = prose(4, 2000)
     want = syncmers.anchors(text).tolist()

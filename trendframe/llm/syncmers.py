@@ -4,7 +4,8 @@ A piece of ``K`` characters is an anchor if the smallest hash of its inner piece
 or its end. This depends on the piece alone, so a passage has the same anchors wherever it stands, and of
 any ``K - S + 1`` neighbouring pieces at least one is an anchor. A fingerprint is the hashes of a text's
 anchors in order, each once. Likeness is the share of anchors that two texts have in the same order (a
-longest increasing subsequence of positions). A text without anchor has its own hash as the only one.
+longest increasing subsequence of positions). A text of under ``SHORT`` characters, half of which may hold no anchor, has all its pieces of
+``PIECE`` characters instead, so its likeness to longer texts is 0; one of at most ``PIECE`` has its own hash as the only one.
 
 Defined results: a null text is empty, its fingerprint too; two empty texts have likeness 1, an empty one and another 0;
 a null ``doc_id`` comes last in descending order; rows that repeat an id follow each other by text; a
@@ -25,7 +26,9 @@ from pyspark.sql import functions as F
 
 from trendframe.llm.common import about, as_docs, map_texts, slices
 
-K, S = 64, 16
+K, S = 24, 8
+#: Below this length a half may be too short for an anchor; such texts are fingerprinted by pieces of ``PIECE`` characters.
+SHORT, PIECE = 2 * (2 * K - S), 4
 BLOCK = 1 << 20
 #: Ranges of ids per shuffle partition.
 RANGES = 4
@@ -43,13 +46,18 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _doubled(h: np.ndarray, size: int, times: int) -> np.ndarray:
-    """Hash sums of pieces of ``size * 2 ** times`` codes from those of ``size``."""
-    for _ in range(times):
-        power = np.uint64(pow(_BASE, size, 2**64))
-        h = h[: len(h) - size] + h[size:] * power
-        size *= 2
-    return h
+def _pieces(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hash sums of all pieces of ``size`` codes, put together from pieces whose sizes are powers of two."""
+    h, width, out, done = codes, 1, None, 0
+    while width <= size:
+        if size & width:
+            part = h[done:] * np.uint64(pow(_BASE, done, 2**64))
+            out = part if out is None else out[: len(part)] + part
+            done += width
+        if 2 * width <= size:
+            h = h[: max(len(h) - width, 0)] + h[width:] * np.uint64(pow(_BASE, width, 2**64))
+        width *= 2
+    return out[: max(len(codes) - size + 1, 0)]
 
 
 def _window_minimum(h: np.ndarray, width: int) -> np.ndarray:
@@ -61,25 +69,31 @@ def _window_minimum(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(h[: len(h) - rest], h[rest:]) if rest else h
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    return (_mixed(h) >> np.uint64(32)).astype(np.uint32)
+
+
 def _block_anchors(codes: np.ndarray) -> np.ndarray:
-    inner = _doubled(codes, 1, S.bit_length() - 1)
-    outer = _doubled(inner, S, (K // S).bit_length() - 1)
-    inner = _mixed(inner)
+    inner = _mixed(_pieces(codes, S))
     least = _window_minimum(inner, K - S + 1)
     at = np.flatnonzero((inner[: len(least)] == least) | (inner[K - S :] == least))
-    return (_mixed(outer[at]) >> np.uint64(32)).astype(np.uint32)
+    return _short(_pieces(codes, K)[at])
 
 
 def anchors(text: str) -> np.ndarray:
-    """Hashes of the anchors of ``text``, each where it first occurs."""
-    found = []
-    for start in range(0, max(len(text) - K + 1, 0), BLOCK):
-        codes = np.frombuffer(text[start : start + BLOCK + K - 1].encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        found.append(_block_anchors(codes.astype(np.uint64)))
-    out = np.concatenate(found) if found else np.empty(0, np.uint32)
-    if not len(out):
+    """Hashes of the anchors of ``text`` (or its short pieces), each where it first occurs."""
+    if len(text) <= PIECE:
         whole = hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()[:4]
-        return np.frombuffer(whole, dtype="<u4") if text else out
+        return np.frombuffer(whole if text else b"", dtype="<u4")
+    if len(text) < SHORT:
+        found = [_short(_pieces(_codes(text), PIECE))]
+    else:
+        found = [_block_anchors(_codes(text[start : start + BLOCK + K - 1])) for start in range(0, len(text) - K + 1, BLOCK)]
+    out = np.concatenate(found)
     _, first = np.unique(out, return_index=True)
     return out[np.sort(first)]
 
