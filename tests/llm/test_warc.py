@@ -103,3 +103,9 @@ def test_a_changed_payload_is_noticed():
             b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Target-URI: u\r\nContent-Length: 9\r\n"
             b"WARC-Payload-Digest: sha256:00\r\nX-Payload-Bytes: 3\r\n\r\nHTTP\r\n\r\nabc"
         )
+
+
+def test_a_page_without_url_is_its_own_target(spark):
+    pages = spark.createDataFrame([(5, None, "x"), (6, " \n", "y"), (None, None, "z"), (7, "https://a.example/", "w")], "page_id long, url string, html string")
+    targets = [line for r in warc.records(pages).collect() for line in r.value.split("\r\n") if line.startswith("WARC-Target-URI")]
+    assert sorted(targets) == sorted(f"WARC-Target-URI: {u}" for u in ("urn:page:5", "urn:page:6", "urn:page:none", "https://a.example/"))

@@ -71,7 +71,7 @@ def records(pages: DataFrame, least: int = LEAST, date: str = DATE) -> DataFrame
     )
     block = F.concat(http, F.coalesce("payload", F.lit("")))
     name = _name(F.col("page_id"))
-    uri = F.coalesce(F.nullif(F.regexp_replace("url", r"[\x00-\x20\x7f]", ""), F.lit("")), F.substring(name, 2, 2**30))
+    uri = F.coalesce(F.nullif(F.regexp_replace("url", r"[\x00-\x20\x7f]", ""), F.lit("")), F.translate(name, "<>", ""))
     revisit = F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), _name(F.col("refers_to")), F.lit("\r\n"))
     lines = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"),
