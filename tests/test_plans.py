@@ -295,3 +295,43 @@ def test_parameters_of_other_objects_are_not_shuffled(spark, conf, tmp_path):
         df = d.lookup_parameters(events, params, mode)
         assert [r.param_nome for r in df.collect()] == ["@a"]
         assert metric(df._jdf.queryExecution().executedPlan(), "shuffleRecordsWritten") <= 10
+
+
+def test_the_chain_computes_its_scope_once(stored, conf):
+    """Latest terms and schedules are a stored table; the plan on top repeats neither their scans nor their exchanges."""
+    conf(spark__sql__adaptive__enabled="false")
+    for df in (progress_by_calendar(stored), trend_chain(progress_by_calendar(stored))):
+        plan = plan_of(df)
+        assert len(re.findall(r"(?<!Reused)Exchange ", plan)) <= 14
+        assert plan.count("FileScan") <= 10
+        for folder in ("/term]", "/schedule]", "/civil_work]"):
+            assert folder not in plan
+
+
+def test_payloads_are_parsed_once(spark, monkeypatch):
+    """Whatever is done with events afterwards reads them from a stored table."""
+    from trendframe.plans import queries
+
+    plans, keep = [], queries.stored
+    monkeypatch.setattr(queries, "stored", lambda df, name: plans.append(plan_of(df)) or keep(df, name))
+    for name in ("dictionary_lookup", "dictionary_apply_batch", "dictionary_apply_one"):
+        plans.clear()
+        whole = plan_of(QUERIES[name](spark, SF))
+        assert [p.count("from_xml") for p in [*plans, whole]] == [1] + [0] * len(plans)
+
+
+def test_reading_events_parses_each_payload_once(spark):
+    raw = spark.createDataFrame([(1, "<a/>"), (1, "<a/>")], "seq long, event_xml string")
+    plan = d.read_events(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 1
+
+
+def test_refreshes_read_no_fact(spark, monkeypatch):
+    from trendframe.streaming import delta_stream
+
+    QUERIES["trend_refresh_batch"](spark, SF)  # the store it starts from is there now
+    plans, keep = [], delta_stream.stored
+    monkeypatch.setattr(delta_stream, "stored", lambda df, name: plans.append(plan_of(df)) or keep(df, name))
+    whole = plan_of(QUERIES["trend_refresh_batch"](spark, SF))
+    for plan in [*plans, whole]:
+        assert not scans(plan, "progress_date") and not scans(plan, "id_term_date") and "dynamicpruning" in plan
