@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -17,7 +19,7 @@ from trendframe.session import scratch_dir
 #: Characters of text that a task turns into Python objects at a time; a longer text is a slice of its own.
 SLICE_CHARS = 1_000_000
 #: Characters of text that are cut into pieces at a time, in Arrow.
-PIECES_CHARS = 4_000_000
+PIECES_CHARS = 2_000_000
 
 
 _held: dict = {}
@@ -30,10 +32,20 @@ def held(key, make: Callable):
     """
     if key not in _held:
         _held.clear()
+        give_back()
         _held[key] = make()
     return _held[key]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker that lives through several operators would keep the most that any of them took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written below the shared folder and read again: lineage ends there, and a lost executor loses nothing."""
     folder = scratch_dir(df.sparkSession, name)
@@ -122,6 +134,7 @@ def map_columns(docs: DataFrame, schema: T.StructType | str, fn: Callable[[pa.Re
                     [v if isinstance(v, pa.Array) else pa.array(v, f.type) for f, v in ((f, out[f.name]) for f in arrow)],
                     schema=arrow,
                 )
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
@@ -154,7 +167,7 @@ class Pieces:
     pieces are kept; then the store starts anew. All of it stays in Arrow: no piece becomes a Python string here.
     """
 
-    def __init__(self, encode: Callable[[pa.Array], pa.Array], limit: int = 400_000):
+    def __init__(self, encode: Callable[[pa.Array], pa.Array], limit: int = 300_000):
         self.encode, self.limit = encode, limit
         self._forget()
 

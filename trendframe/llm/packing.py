@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from trendframe.llm.bpe_index import Encoder, Merges
-from trendframe.llm.common import PIECES_CHARS, as_binary, as_docs, held, parts, stored
+from trendframe.llm.common import PIECES_CHARS, as_binary, as_docs, give_back, held, parts, stored
 
 #: Documents that are cut at a time, so that few ids are copied at once.
 CUT_ROWS = 500
@@ -59,8 +59,9 @@ class _Encoder:
             merges.added = {}
         self.pieces = Encoder(merges, public_tokenizers.PATTERN) if merges else None
         self.by_pieces = merges is not None and self.pieces.by_pieces
-        self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = not literals
+        if not self.by_pieces:
+            self.tokenizer = Tokenizer.from_str(definition)
+            self.tokenizer.encode_special_tokens = not literals
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts (null: empty) one after the other, and where each text's begin, with the end of the last."""
@@ -93,6 +94,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int | None) -> DataFram
                     schema=_TOKENS,
                 )
                 at += int(first[-1])
+        give_back()
 
     return as_docs(docs).mapInArrow(run, "doc_id long, part int, part_start long, n long, ids binary")
 
