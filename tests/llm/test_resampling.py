@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tests.llm.helpers import awkward, make_docs, prose
 from trendframe.llm import resampling
@@ -112,3 +113,65 @@ def test_awkward_rows(spark):
     assert 0.0 in [r.log_weight for r in got if r.doc_id == 3]
     assert resampling.classify(make_docs(spark, []), labels).count() == 0
     assert resampling.keep(make_docs(spark, []), labels).count() == 0
+
+
+def mixed_quality(n):
+    """Texts with more and more junk in them; the label turns bad half-way, with some noise."""
+    rows, labels = [], []
+    for i in range(n):
+        words = prose(i, 30).split()
+        junk = (i * 7919) % n / n
+        text = " ".join(w if (k * 31 + i) % 100 >= 100 * junk else "###" for k, w in enumerate(words))
+        rows.append((i, text, "en", "s"))
+        if i % 2 == 0:
+            labels.append((i, int(junk + (i % 5 - 2) * 0.1 < 0.5), 0))
+    return rows, labels
+
+
+def test_kept_documents_are_a_gumbel_top_k_of_tempered_weights(spark, monkeypatch):
+    """The set is that of a plain draw, it is no threshold, and refusals lie where the weights ask for them."""
+    monkeypatch.setattr(resampling, "COST", 0.05)
+    rows, labels = mixed_quality(1200)
+    docs, labels = make_docs(spark, rows), spark.createDataFrame(labels, LABELS)
+    target, held_out = resampling.labelled(labels)
+    ratios = resampling.log_ratios(docs, target)
+    log_weights, noise = {}, {}
+    for i, text, _, _ in rows:
+        grams = resampling.buckets(text)
+        log_weights[i] = resampling.SHARPNESS * float(ratios[grams].sum()) / (len(grams) + resampling.PRIOR_GRAMS)
+        u = xxhash.xxh64_intdigest(f"{i}\0{text}".encode(), resampling.SEED)
+        noise[i] = -math.log(-math.log((u + 0.5) / 2**64))
+    held = sorted(held_out)
+    weights, good = np.array([log_weights[i] for i in held]), np.array([held_out[i] == 1 for i in held])
+    cut = resampling.best_cut(weights, good)
+    k = sum(w >= cut for w in log_weights.values())
+    factor = resampling.temper(weights, good, cut)
+    assert factor < 1
+    drawn = sorted(log_weights, key=lambda i: -(factor * log_weights[i] + noise[i]))[:k]
+    kept = {r.doc_id for r in resampling.classify(docs, labels).collect() if r.kept}
+    assert kept == set(drawn)
+    heaviest = set(sorted(log_weights, key=lambda i: -log_weights[i])[:k])
+    assert 0 < len(kept - heaviest) < k / 2  # the draw decides near the cut
+    # Near the cut the share kept is what the weights ask for, far from it nearly all or nothing.
+    level = min(factor * log_weights[i] + noise[i] for i in kept)
+    chance = {i: -math.expm1(-math.exp(min(factor * w - level, 50))) for i, w in log_weights.items()}
+    for low, high in ((0, 0.2), (0.2, 0.5), (0.5, 0.8), (0.8, 1.01)):
+        band = [i for i, p in chance.items() if low <= p < high]
+        if len(band) >= 30:
+            share, want = np.mean([i in kept for i in band]), np.mean([chance[i] for i in band])
+            assert abs(share - want) < 4 * math.sqrt(0.25 / len(band)), (low, share, want)
+
+
+def test_temper():
+    """Well parted weights are left with much noise, badly parted ones with little; never worse than the plain cut by more than the cost."""
+    good = np.arange(2000) % 2 == 0
+    r = np.random.default_rng(2)
+    factors = []
+    for gap in (2000.0, 100.0, 1.0):
+        weights = np.where(good, gap, -gap) + r.normal(size=2000)
+        cut = resampling.best_cut(weights, good)
+        factors.append(resampling.temper(weights, good, cut))
+        if factors[-1] < 1:
+            draws = [np.argsort(-(factors[-1] * weights + r.gumbel(size=2000)))[: (weights >= cut).sum()] for _ in range(20)]
+            assert np.mean([good[d].sum() for d in draws]) / good.sum() > (weights >= cut)[good].mean() - resampling.COST - 0.01
+    assert factors[0] < factors[1] < factors[2] == 1.0

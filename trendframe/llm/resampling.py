@@ -2,9 +2,10 @@
 
 Words, pairs of neighbouring words and words repeated after one other are hashed into ``BUCKETS``; the raw model has the bucket shares of all
 documents, the target model those of documents labelled good (mixed with the raw ones by ``MIX``, so no share is 0).
-A document's weight is its mean log ratio, shrunk towards 0 for short texts and sharpened. Adding Gumbel
+A document's log weight is its mean log ratio, shrunk towards 0 for short texts, times a factor: the least with which the draw still parts
+good from bad held-out documents nearly as well as a cut would (``temper``). Adding Gumbel
 noise to log weights and keeping the ``k`` greatest sums samples ``k`` documents in proportion to their weights without
-replacement. ``k`` is the number of documents with a weight above the cut that best parts good from bad
+replacement, so a document above the cut is refused at times and one below it kept. ``k`` is the number of documents with a weight above the cut that best parts good from bad
 labelled documents, which took no part in the target model.
 
 Every document counts in the raw model and is weighed. Of labelled rows, about ``TARGET`` good ones, chosen by a
@@ -38,8 +39,10 @@ MIX = 0.5
 TARGET, HELD_OUT = 20_000, 10_000
 #: n-grams that every text is taken to have in addition, with ratio 1.
 PRIOR_GRAMS = 20
-#: Factor of the mean log ratio: a step of 0.005 in it weighs as much as the usual noise.
+#: Greatest factor of the mean log ratio: a step of 0.005 in it weighs as much as the usual noise. Tempered on held-out labels.
 SHARPNESS = 200.0
+#: Parts of the log weight that are tried, and the share of good and of bad held-out documents that the draw may cost against the plain cut.
+TEMPERS, COST = tuple(2.0**-k for k in range(10, -1, -1)), 0.01
 #: Sums are compared as integers of this unit.
 UNIT = 1e-9
 SEED = 20
@@ -87,11 +90,11 @@ def log_ratios(docs: DataFrame, target_ids: set[int]) -> np.ndarray:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for rows, texts in slices(batch):
-                for i, text in zip(rows.column("doc_id").to_pylist(), texts, strict=True):
-                    counts = np.bincount(buckets(text), minlength=BUCKETS)
-                    raw += counts
-                    if i in shared.value:
-                        target += counts
+                grams = [buckets(text) for text in texts]
+                good = [g for i, g in zip(rows.column("doc_id").to_pylist(), grams, strict=True) if i in shared.value]
+                raw += np.bincount(np.concatenate(grams), minlength=BUCKETS)
+                if good:
+                    target += np.bincount(np.concatenate(good), minlength=BUCKETS)
         seen = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays(
             [pa.array(seen, pa.int32()), pa.array(raw[seen]), pa.array(target[seen])], names=["bucket", "raw", "target"]
@@ -150,6 +153,25 @@ def best_cut(weights: np.ndarray, good: np.ndarray) -> float:
     return float(w[k] + w[k + 1]) / 2 if k + 1 < len(w) else float(w[k]) + 1
 
 
+def temper(weights: np.ndarray, good: np.ndarray, cut: float) -> float:
+    """The least of ``TEMPERS`` with which drawing as many as lie above ``cut`` parts good from bad nearly as well as the cut does.
+
+    A log weight ``w`` with Gumbel noise passes ``t`` with probability ``1 - exp(-exp(w - t))``, so what a draw keeps is known beforehand.
+    """
+    above = weights >= cut
+    for factor in TEMPERS:
+        w = factor * weights
+        chance = lambda t: -np.expm1(-np.exp(np.clip(w - t, -700, 700)))  # noqa: B023, E731
+        low, high = w.min() - 50, w.max() + 50
+        for _ in range(100):
+            middle = (low + high) / 2
+            low, high = (middle, high) if chance(middle).sum() > above.sum() else (low, middle)
+        kept = chance(low)
+        if kept[good].mean() >= above[good].mean() - COST and kept[~good].mean() <= above[~good].mean() + COST:
+            return factor
+    return 1.0
+
+
 def kth_greatest(values: DataFrame, column: str, k: int, bins: int = 4096) -> int:
     """The ``k``-th greatest of a long column without nulls, by counts in ``bins`` ranges at a time."""
     low, high = values.agg(F.min(column), F.max(column)).first()
@@ -179,7 +201,11 @@ def sample(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Data
     k = weighed.filter(F.col(names[0]) >= cut).count()
     if not k:
         return weighed, 2**63 - 1, names
-    return weighed, kth_greatest(weighed, names[1], k), names
+    factor = temper(rows[names[0]].to_numpy(float), rows[names[2]].to_numpy() == 1, cut)
+    noise = F.col(names[1]) - F.rint(F.col(names[0]) / UNIT).cast("long")
+    drawn = weighed.withColumn(names[1], F.rint(F.col(names[0]) * (factor / UNIT)).cast("long") + noise)
+    drawn = drawn.withColumn(names[0], F.col(names[0]) * factor)
+    return drawn, kth_greatest(drawn, names[1], k), names
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
