@@ -1,6 +1,9 @@
 """The pipeline's contract, and each stage on the output of the one before against its operator or a plain version."""
 
 import corpus_pipeline
+import public_tokenizers
+from tokenizers import Tokenizer
+
 import __spark_entry__ as entry_module
 from tests.compare import compare, connect
 from tests.llm.test_jaccard_join import plain
@@ -11,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
     assert len(corpus_pipeline.STAGES) == 5
 
@@ -46,7 +49,16 @@ def test_stages(spark):
         assert plain_pii(r.text) or clean[r.doc_id].text == r.text or "[" in clean[r.doc_id].text
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert {p.doc_id for p in packed} == set(clean)
-    assert sorted((p.sequence_id, p.offset) for p in packed) == [(p.sequence_id, p.offset) for p in sorted(packed, key=lambda p: (p.sequence_id, p.offset))]
+    # Every id of every kept document stands once in the stream, in order, and the stream has no gap.
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids, place = {}, 0
+    for p in sorted(packed, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.sequence_id * 2048 + p.offset == place and 0 < p.length <= 2048 - p.offset
+        place += p.length
+        found = ids.setdefault(p.doc_id, [])
+        assert len(found) == p.start
+        found += [int.from_bytes(p.ids[k : k + 4], "little") for k in range(0, len(p.ids), 4)]
+    assert ids == {i: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 1] for i, r in clean.items()}
 
 
 def test_run(spark):
