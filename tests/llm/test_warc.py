@@ -109,3 +109,19 @@ def test_a_page_without_url_is_its_own_target(spark):
     pages = spark.createDataFrame([(5, None, "x"), (6, " \n", "y"), (None, None, "z"), (7, "https://a.example/", "w")], "page_id long, url string, html string")
     targets = [line for r in warc.records(pages).collect() for line in r.value.split("\r\n") if line.startswith("WARC-Target-URI")]
     assert sorted(targets) == sorted(f"WARC-Target-URI: {u}" for u in ("urn:page:5", "urn:page:6", "urn:page:none", "https://a.example/"))
+
+
+def test_record_ids_tell_rows_of_one_page_apart(spark):
+    """Rows that differ in url or payload have ids of their own, and a revisit names a response that exists."""
+    rows = PAGES + [(5, "http://a/other", LONG), (20, "http://a/20", LONG), (None, "v", LONG), (None, None, "w" * 200), (30, "http://a/30", "w" * 200), (31, None, "w" * 200)]
+    made, normal = scratch_dir(spark, "warc"), scratch_dir(spark, "members")
+    warc.write(make_pages(spark, rows).repartition(3), made)
+    index = warc.normalise(spark, made, normal)
+    ids = [r.record_id for r in index.collect()]
+    assert len(ids) == len(set(ids)) == len(set(rows)) == len(rows)
+    found = sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in warc.read(index).collect()), key=str)
+    assert found == expected(rows)
+    headers = [dict(x.split(": ", 1) for x in r.value.split("\r\n\r\n")[0].split("\r\n")[1:]) for r in warc.records(make_pages(spark, rows)).collect()]
+    responses = {h["WARC-Record-ID"]: h["WARC-Payload-Digest"] for h in headers if h["WARC-Type"] == "response"}
+    targets = [(h["WARC-Refers-To"], h["WARC-Payload-Digest"]) for h in headers if h["WARC-Type"] == "revisit"]
+    assert targets and all(responses[t] == d for t, d in targets)

@@ -44,23 +44,33 @@ END = "\r\n\r\n"
 
 
 def roles(pages: DataFrame, least: int = LEAST) -> DataFrame:
-    """(page_id, url, payload, payload_bytes, payload_digest, refers_to); ``payload`` is null for revisits."""
+    """(page_id, url, payload, payload_bytes, payload_digest, mark, refers_to, refers_mark); ``payload`` is null for revisits.
+
+    ``mark`` tells records of one page apart: it is a hash of url and payload, so only rows that agree in all are one record,
+    written as often as they occur. ``refers_to`` and ``refers_mark`` name the response.
+    """
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         payload.alias("payload"), F.octet_length(payload).cast("long").alias("payload_bytes"),
         F.sha2(payload, 256).alias("payload_digest"),
-    )
-    first = rows.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.min("page_id").alias("first"))
-    refers_to = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
+    ).withColumn("mark", F.xxhash64("url", "payload_digest"))
+    shared = rows.filter((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull())
+    first = shared.groupBy("payload_digest").agg(F.min(F.struct("page_id", "mark")).alias("first"))
+    revisits = F.col("page_id").isNull() | (F.col("page_id") != F.col("first.page_id"))
+    refers_to = F.when(revisits, F.col("first.page_id"))
     return rows.join(first, "payload_digest", "left").select(
         "page_id", "url", F.when(refers_to.isNull(), F.col("payload")).alias("payload"),
-        "payload_bytes", "payload_digest", refers_to.alias("refers_to"),
+        "payload_bytes", "payload_digest", "mark", refers_to.alias("refers_to"), F.when(revisits, F.col("first.mark")).alias("refers_mark"),
     )
 
 
-def _name(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
+def _page_uri(page_id: Column) -> Column:
+    return F.concat(F.lit("urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")))
+
+
+def _name(page_id: Column, mark: Column) -> Column:
+    return F.concat(F.lit("<"), _page_uri(page_id), F.lit(":"), F.lower(F.hex(mark)), F.lit(">"))
 
 
 def records(pages: DataFrame, least: int = LEAST, date: str = DATE) -> DataFrame:
@@ -70,9 +80,9 @@ def records(pages: DataFrame, least: int = LEAST, date: str = DATE) -> DataFrame
         F.col("payload_bytes").cast("string"), F.lit(END),
     )
     block = F.concat(http, F.coalesce("payload", F.lit("")))
-    name = _name(F.col("page_id"))
-    uri = F.coalesce(F.nullif(F.regexp_replace("url", r"[\x00-\x20\x7f]", ""), F.lit("")), F.translate(name, "<>", ""))
-    revisit = F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), _name(F.col("refers_to")), F.lit("\r\n"))
+    name = _name(F.col("page_id"), F.col("mark"))
+    uri = F.coalesce(F.nullif(F.regexp_replace("url", r"[\x00-\x20\x7f]", ""), F.lit("")), _page_uri(F.col("page_id")))
+    revisit = F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), _name(F.col("refers_to"), F.col("refers_mark")), F.lit("\r\n"))
     lines = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "), F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"),
         F.lit("\r\nWARC-Record-ID: "), name, F.lit("\r\nWARC-Target-URI: "), uri, F.lit(f"\r\nWARC-Date: {date}\r\n"),
@@ -243,8 +253,8 @@ def read(index: DataFrame, payloads: bool = False) -> DataFrame:
 
 
 def _page(name: str | None) -> int | None:
-    number = (name or "").removeprefix("<urn:page:").removesuffix(">")
-    return int(number) if re.fullmatch(r"-?[0-9]+", number) else None
+    named = re.fullmatch(r"<urn:page:(-?[0-9]+)(:[0-9a-f]+)?>", name or "")
+    return int(named[1]) if named else None
 
 
 def _record(data: bytes) -> tuple:
