@@ -140,6 +140,37 @@ def test_one_odd_document_does_not_set_the_bar(spark):
     assert sum(x.rejected for x in known) < 0.01 * len(known)
 
 
+def test_repeated_and_null_ids_are_drawn_by_their_texts(spark):
+    """One id on most rows, null ids, and copies of one document: a bounded sample of different documents, some of them to calibrate."""
+    rows = [(None, f"null ids have a text of their own each {k}", "en", "s") for k in range(2_000)]
+    rows += [(1, f"eine nummer auf fast allen zeilen {k}", "de", "s") for k in range(4_000)]
+    rows += [(1, "la misma copia muchas veces", "es", "s")] * 3_000 + [(k, f"otro texto {k}", "es", "s") for k in range(100, 160)]
+    docs = make_docs(spark, rows)
+    drawn = langid.training_rows(docs, 200).collect()
+    by_lang = {x: [r for r in drawn if r.lang == x] for x in ("en", "de", "es")}
+    for lang in ("en", "de"):
+        assert 120 < len(by_lang[lang]) < 300 and 10 < sum(r.calibrates for r in by_lang[lang]) < 80
+    assert len({r.text for r in by_lang["es"]}) == len(by_lang["es"]) <= 61 and len(by_lang["es"]) > 30
+    again = langid.training_rows(docs.repartition(5), 200).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, drawn))
+    held = [(k, f"zurückgehalten {k}", "fr", "s") for k in range(400) if zlib.crc32(str(k).encode()) % 4 == 2]
+    assert held and langid.training_rows(make_docs(spark, held), 200).count() == 0
+    models = langid.fit(docs, 200)
+    assert np.isfinite(models.limit).all() and sorted(models.langs) == ["de", "en", "es"]
+
+
+def test_an_odd_document_that_calibrates_does_not_set_the_bar(spark):
+    r = random.Random(6)
+    letters = lambda n: " ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(2, 9))) for _ in range(n))
+    base = [(x.doc_id, x.text, x.lang, x.source) for x in spark.read.parquet(f"{SF}/documents.parquet").limit(600).collect()]
+    english = " ".join(t for _, t, lang, _ in base if lang == "en" and t)[:30_000]
+    odd = [(10**6, f"{english} {letters(4_000)}", "en", "s") for _ in range(30)]
+    texts = {x.text for x in langid.training_rows(make_docs(spark, odd)).filter("calibrates").collect()}
+    chosen = next(x for x in odd if x[1] in texts)
+    models = langid.fit(make_docs(spark, [*base, chosen]))
+    assert [x.rejected for x in langid.predict(make_docs(spark, [(k, letters(40), None, None) for k in range(5)]), models).collect()] == [True] * 5
+
+
 def test_without_training_text(spark):
     docs = make_docs(spark, [(1, "some words", None, None), (3, None, "en", None)])
     assert {r.lang_pred for r in langid.predict(docs).collect()} == {"und"}

@@ -186,16 +186,23 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_rows(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(lang, text, calibrates): about ``sample`` documents of each language that are not held out."""
+    """(lang, text, calibrates): about ``sample`` different documents of each language that are not held out.
+
+    Documents are drawn by a hash of id and text, so a repeated or null id draws none of the others, and copies of a
+    document count once: however often rows repeat, a language has about ``sample`` rows.
+    """
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
-    ).filter((F.length("lang") > 0) & ~held_out(F.col("doc_id")))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30))
-    counts = rows.groupBy("lang").count()
+    ).filter((F.length("lang") > 0) & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.withColumn("which", F.xxhash64("doc_id", "text"))
+    draw = F.pmod(F.xxhash64("which", F.lit(7)), F.lit(1 << 30))
+    # A sketch of fixed size per language, combined before the shuffle; equal rows give the same in any order.
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("which", 0.02).alias("count"))
     share = counts.select(F.col("lang").alias("l"), F.least(F.lit(1.0), sample / F.col("count")).alias("share"))
     # A row per language, each of which every worker holds a model of: small enough to send along.
-    chosen = rows.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(draw < F.col("share") * (1 << 30)).drop("l", "share")
-    return chosen.filter("text is not null").select("lang", "text", (F.pmod(F.xxhash64("doc_id", F.lit(8)), F.lit(5)) == 0).alias("calibrates"))
+    chosen = rows.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(draw < F.col("share") * (1 << 30))
+    once = chosen.dropDuplicates(["lang", "which"])
+    return once.select("lang", "text", (F.pmod(F.xxhash64("which", F.lit(8)), F.lit(5)) == 0).alias("calibrates"))
 
 
 def count_grams(rows: DataFrame) -> DataFrame:
