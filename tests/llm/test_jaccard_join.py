@@ -69,6 +69,25 @@ def test_classes_equal_all_pairs(spark, monkeypatch, block):
     assert sorted((tuple(x) for x in got), key=str) == plain(rows)
 
 
+@pytest.mark.parametrize("limit", [1, 500, 5_000])
+def test_blocks_are_bounded_by_the_size_of_texts(spark, monkeypatch, limit):
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", limit)
+    rows = corpus(4)
+    got = jaccard_join.classes(make_docs(spark, rows).repartition(4)).collect()
+    assert sorted((tuple(x) for x in got), key=str) == plain(rows)
+
+
+def test_a_very_long_text_in_a_bucket(spark, monkeypatch):
+    """Its block is split off from others, links stay, and blocks are never more than nodes."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 50_000)
+    long = prose(90, 60_000)
+    rows = corpus(5) + [(5_000, long, None, None), (5_001, long + " and more", None, None), (5_002, long[:-300], None, None)]
+    got = jaccard_join.classes(make_docs(spark, rows).repartition(3)).collect()
+    assert sorted((tuple(x) for x in got), key=str) == plain(rows)
+    nodes = spark.createDataFrame([(k, [1], 10**9 if k == 3 else 10) for k in range(6)], "node long, bands array<long>, bytes long")
+    assert {(r.low, r.high) for r in jaccard_join._units(nodes).collect()} <= {(a, b) for a in range(6) for b in range(a, 6)}
+
+
 def test_other_thresholds(spark):
     rows = corpus(2)
     got = jaccard_join.classes(make_docs(spark, rows), n=3, threshold=0.5).collect()

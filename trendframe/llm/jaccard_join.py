@@ -29,12 +29,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trendframe.llm.common import as_docs, fresh, held, slices, stored
+from trendframe.llm.common import as_docs, fresh, held, parts, slices, stored
 
 N, THRESHOLD = 5, 0.8
 RECALL, MOST_HASHES = 0.9999, 128
 #: Nodes per block of a large bucket; a unit compares at most two blocks.
 BLOCK = 256
+#: Bytes of text per block, about; a longer text is a large part of its block.
+BLOCK_BYTES = 8_000_000
 _KNOWN_WORDS = 250_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -119,14 +121,18 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int, names: list[str]) ->
 
 
 def _units(nodes: DataFrame) -> DataFrame:
-    """(bucket, low, high, block, node): the nodes of every unit of work."""
-    member = nodes.select("node", F.explode("bands").alias("bucket"))
+    """(bucket, low, high, block, node): the nodes of every unit of work; ``nodes`` may have the sizes of their texts as ``bytes``."""
+    size = F.col("bytes") if "bytes" in nodes.columns else F.lit(0)
+    member = nodes.select("node", size.cast("long").alias("bytes"), F.explode("bands").alias("bucket"))
     # Members are summed up by two hashes; equal sets of members are one bucket.
     groups = member.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
-    )
-    kept = groups.filter("size > 1").groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+        F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
+    )
+    same = groups.filter("size > 1").groupBy("size", "bytes", "x", "y").agg(F.min("bucket").alias("bucket"))
+    kept = same.select("bucket", "size", F.col("bytes").alias("total"))
+    # Never more blocks than nodes, which one text of many times the limit would ask for.
+    blocks = F.least("size", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_BYTES))).cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
     placed = member.join(kept, "bucket").select("bucket", "node", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     return placed.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
@@ -187,15 +193,16 @@ def _links(units: DataFrame, texts: DataFrame, n: int, threshold: float, bands:
         make = Bands(bands, rows)
         key, unit = None, []
         for batch in batches:
-            found = []
-            columns = [batch.column(c).to_pylist() for c in ("bucket", "low", "high", "node", "block", "copies", "text")]
-            for bucket, low, high, *row in zip(*columns, strict=True):
-                if (bucket, low, high) != key:
-                    if len(unit) > 1:
-                        found += _compare(unit, key[0], key[1] != key[2], make, n, threshold)
-                    key, unit = (bucket, low, high), []
-                unit.append(row)
-            yield _found(found)
+            for part in parts(batch):
+                found = []
+                columns = [part.column(c).to_pylist() for c in ("bucket", "low", "high", "node", "block", "copies", "text")]
+                for bucket, low, high, *row in zip(*columns, strict=True):
+                    if (bucket, low, high) != key:
+                        if len(unit) > 1:
+                            found += _compare(unit, key[0], key[1] != key[2], make, n, threshold)
+                        key, unit = (bucket, low, high), []
+                    unit.append(row)
+                yield _found(found)
         if len(unit) > 1:
             yield _found(_compare(unit, key[0], key[1] != key[2], make, n, threshold))
 
@@ -243,7 +250,8 @@ def _classified(sketched: DataFrame, names: list[str], n: int, threshold: float,
         F.min(row).alias("node"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("id")
     )
     nodes = stored(grouped, "nodes")
-    banded = sketched.select(row.alias("node"), keys.alias("bands")).join(nodes.select("node"), "node")
+    size = F.octet_length(F.col("text").cast("string")).alias("bytes")
+    banded = sketched.select(row.alias("node"), keys.alias("bands"), size).join(nodes.select("node"), "node")
     texts = sketched.select(row.alias("node"), F.col("text").cast("string").alias("text")).join(nodes.select("node", "copies"), "node")
     found = stored(_links(_units(banded), texts, n, threshold, bands, rows), "links")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
