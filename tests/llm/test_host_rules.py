@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 
 from tests.compare import compare, connect
@@ -70,3 +71,22 @@ def test_native_plan_and_empty_table(spark):
 def test_query_matches_sql(spark):
     n, m, extra, missing = compare(spark, connect(SF), op8_host_rules, ORACLES["op8_host_rules"], SF)
     assert (extra, missing) == ([], []) and n == m > 0
+
+
+def test_query_matches_sql_where_hosts_fail(spark, tmp_path):
+    """A host that fails as a whole, one just above and one below the limit, a null host, and a small one, by the query and its SQL."""
+    rows = [(k, prose(k, 30), "en", f"good{k % 8}") for k in range(400)]
+    rows += [(1_000 + k, prose(k, 30) if k % 10 == 0 else "few words", "en", "bad") for k in range(100)]
+    rows += [(2_000 + k, prose(k, 30) if k % 9 < 4 else "too few", "en", "above") for k in range(180)]
+    rows += [(3_000 + k, prose(k, 30) if k % 9 < 5 else "too few", "en", "below") for k in range(180)]
+    rows += [(4_000 + k, "no" if k % 4 else prose(k, 30), "en", None) for k in range(60)] + [(5_000, "few", "en", "small")]
+    docs = make_docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    n, m, extra, missing = compare(spark, con, op8_host_rules, ORACLES["op8_host_rules"], str(tmp_path))
+    assert (extra, missing) == ([], []) and n == m == len(rows)
+    kept = {r.doc_id: (r.base_failed, r.kept) for r in op8_host_rules(spark, str(tmp_path)).collect()}
+    refused = {r[3] for r in rows if kept[r[0]] == (False, False)}
+    assert refused == {"bad", "above", None}
+    assert all(kept[r[0]][1] != kept[r[0]][0] for r in rows if r[3] not in refused)
