@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import random
 import re
 import time
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -13,6 +15,7 @@ from hypothesis import strategies as st
 
 from tests.llm.helpers import awkward, make_docs
 from trendframe.llm import crf, pii
+from trendframe.llm.common import about
 from trendframe.llm.queries import op7_pii
 
 PLAIN = {
@@ -190,3 +193,94 @@ def test_runs_that_share_words_add_no_overlapping_spans(model):
     text = " ".join(["555.123.4567 or so"] + ["word"] * 5 + ["030 1234567 bob (at) site.io"]) * 3
     added = sorted(x[1:] for x in pii.find_spans(model, [text])[0] if x[0].startswith("crf_"))
     assert all(a[1] <= b[0] for a, b in zip(added, added[1:], strict=False))
+
+
+def unseen(seed=11, n=30):
+    """Texts in forms and among words that no training row has: what is personal in each, with its kind, and near misses."""
+    r = random.Random(seed)
+    d = lambda k: "".join(r.choices("0123456789", k=k))
+    h = lambda k: [f"{r.randrange(256, 65536):x}" for _ in range(k)]
+
+    def checked(country, account):
+        value = int("".join(str(int(c, 36)) for c in account + country + "00"))
+        return f"{country}{98 - value % 97:02d}{account}"
+
+    heads = ["if questions arise try", "our records list", "she gave us", "the form says", "respond via"]
+    tails = ["within ten days", "as noted above", "per the contract", "so we kept it"]
+    out = []
+    for _ in range(n):
+        a, b, host = r.choice(["gina", "olaf", "petra", "sven", "ulla"]), r.choice(["stone", "rivera", "novak"]), r.choice(["harbor", "meadow", "quartz"])
+        british = checked("GB", "WEST" + d(14))
+        forms = [
+            ("email", f"{a} AT {host} (dot) org"), ("email", f"{a}{d(3)} at {host} dot co dot uk"), ("email", f"{a}_{b} [at] {host} dot info"),
+            ("email", f"{a} dot {b} (at) {host} dot museum"),
+            ("phone", f"0{r.randint(200, 999)}/{d(7)}"), ("phone", f"{r.randint(201, 989)} {r.randint(201, 989)} {d(4)}"), ("phone", f"06 {d(2)} {d(2)} {d(2)} {d(2)}"),
+            ("ip", f"[2a02:{':'.join(h(2))}::1]:8443"), ("ip", f"2a00:{h(1)[0]}::{':'.join(h(2))}/64"), ("ip", ":".join(h(8)).upper()),
+            ("ssn", f"{r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}"),
+            ("iban", british), ("iban", " ".join(british[k : k + 4] for k in range(0, 22, 4))), ("iban", checked("ES", d(20))), ("iban", checked("IT", "X" + d(22))),
+        ]
+        misses = [
+            f"lat 5{d(1)}.{d(4)} lon 1{d(1)}.{d(4)}", f"the dot product at node {d(1)}", f"parcel 1Z{d(3)}AA{d(10)}", f"sha {r.getrandbits(80):020x}",
+            f"exposure {r.randint(1980, 2024)}:0{r.randint(1, 9)}:1{d(1)}", f"catalogue ISBN 978-3-{d(2)}-{d(6)}-{d(1)}", f"QX{r.randint(10, 99)}{'0' * 10}17", f"mac {'-'.join(f'{r.randrange(256):02X}' for _ in range(6))}",
+            f"{r.randint(2, 9)} million in {r.randint(1900, 2024)}", f"chapter {d(1)}.{d(1)}.{d(1)} at page {d(3)}", f"gate {d(2)} at {r.randint(1, 12)}:{d(2)} dot",
+        ]
+        for kind, text in forms:
+            head = "ssn on file" if kind == "ssn" else r.choice(heads)
+            out.append((f"{head} {text} {r.choice(tails)}", kind, text))
+        out += [(f"{r.choice(heads)} {text} {r.choice(tails)}", None, None) for text in misses]
+    return out
+
+
+def test_precision_and_recall_on_forms_not_trained(model):
+    """Exact spans of the right kind; the figures per kind are in the README."""
+    cases = unseen()
+    trained = {t for t, _ in pii.EXAMPLES + pii.made_examples()}
+    assert not trained & {t for t, _, _ in cases}
+    hits, wanted, wrong = Counter(), Counter(), Counter()
+    for (text, kind, part), spans in zip(cases, pii.find_spans(model, [t for t, _, _ in cases]), strict=True):
+        got = [(k.removeprefix("crf_"), text[s:e]) for k, s, e in spans]
+        wanted[kind] += kind is not None
+        hits[kind] += (kind, part) in got
+        for k, x in got:
+            wrong[k] += (k, x) != (kind, part)
+    recall = {k: hits[k] / wanted[k] for k in pii.FIELD if wanted[k]}
+    precision = {k: hits[k] / (hits[k] + wrong[k]) for k in recall if hits[k] + wrong[k]}
+    print(recall, precision)
+    assert sum(hits.values()) / sum(wanted.values()) > 0.8 and sum(hits.values()) / (sum(hits.values()) + sum(wrong.values())) > 0.9
+
+
+def test_made_examples_follow_their_rules():
+    made = pii.made_examples()
+    assert made == pii.made_examples() and {k for _, found in made for k, _ in found} == {"email", "phone", "ip", "ssn", "iban"}
+    assert all(pii._plausible(k, x) and x in t for t, found in made for k, x in found)
+
+
+@pytest.mark.parametrize(
+    "kind,text,good",
+    [("iban", "DE89 3704 0044 0532 0130 00", True), ("iban", "DE88 3704 0044 0532 0130 00", False), ("ssn", "000-12-3456", False), ("ssn", "123-45-6789", True),
+     ("ip", "2001:db8::1", True), ("ip", "12:30:45", False), ("ip", "[fe80::1]:80", True), ("ip", "10.0.0.1/24", True), ("ip", "10.0.0.999", False), ("ip", "::", False),
+     ("email", "anna at example dot com", True), ("email", "anna at example", False), ("email", "dot com", False), ("email", "a (at) b.de", True),
+     ("phone", "12345", False), ("phone", "0221/4710815", True), ("phone", "555a1234567", False), ("card", "4111.1111.1111.1111", True), ("card", "4111.1111.1111.1112", False)],
+)
+def test_what_may_be_reported(kind, text, good):
+    assert pii._plausible(kind, text) == good
+
+
+@pytest.mark.parametrize("unit", ["anna at example dot com or ", "DE89 3704 0044 0532 0130 00 or ", "2001:db8::ff00:42:8329 or ", "dot at ", "a:b:" ])
+def test_new_forms_take_time_in_proportion(model, unit):
+    seconds = []
+    for n in (250_000, 1_000_000):
+        start = time.perf_counter()
+        pii.find_spans(model, [unit * (n // len(unit))])
+        seconds.append(time.perf_counter() - start)
+    assert seconds[1] < 6 * seconds[0] + 1
+
+
+def test_the_fit_takes_the_same_rows_in_every_run(spark):
+    """One id on most rows, and null ids: the draw tells rows apart by their texts, and copies count once."""
+    rows = [(7 if k % 3 else None, f"mail a{k % 500}.b@c{k % 500}.org now", "en", "s") for k in range(3_000)]
+    docs = make_docs(spark, rows)
+    drawn = [
+        sorted(((r.doc_id or -1), r.text) for r in about(docs.repartition(n).select("doc_id", "text"), 300, "doc_id", "text").collect()) for n in (2, 7)
+    ]
+    assert drawn[0] == drawn[1] and 0 < len(drawn[0]) <= 600 and len(set(drawn[0])) == len(drawn[0]) and len({t for _, t in drawn[0]}) > 10

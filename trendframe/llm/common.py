@@ -72,13 +72,15 @@ def about(df: DataFrame, n: int, *key: str) -> DataFrame:
     """About ``n`` rows of ``df`` (all, if it has fewer), never more than twice as many, by a hash of ``key``.
 
     The rows are counted first and kept by their share, so each task finds its own: no task and not the driver sees
-    the least of all partitions.
+    the least of all partitions. ``key`` should tell rows apart: of drawn rows that agree in it one stays, and where more than
+    twice ``n`` are left, those with the least hash. The same rows are thus drawn in every run.
     """
     total = df.count()
     if total <= n:
         return df
-    drawn = F.pmod(F.xxhash64(*key, F.lit(n)), F.lit(1 << 30)) < int(n / total * (1 << 30))
-    return df.filter(drawn).limit(2 * n)
+    place = F.xxhash64(*key, F.lit(n))
+    drawn = df.filter(F.pmod(place, F.lit(1 << 30)) < int(n / total * (1 << 30))).dropDuplicates(list(key))
+    return drawn.orderBy(place, *key).limit(2 * n)
 
 
 def parts(batch: pa.RecordBatch, column: str | int = "text", chars: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:

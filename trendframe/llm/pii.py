@@ -1,10 +1,12 @@
 """Personal data: fixed patterns, and a conditional random field over word shapes for other ways of writing them.
 
 The patterns find e-mail addresses, IP addresses, card and telephone numbers written in the usual way. The field labels
-words near digits, at-signs and bracketed ones as in ``anna [at] example.com`` (``REACH`` words on each side of each such word) by their
-own shape and their neighbours'; nothing that may be reported is without one of these; what it finds and the patterns don't is added as ``crf_<kind>``. It is trained on the driver from a
-small labelled table: ``EXAMPLES``, and about ``SAMPLE`` documents that may have matches of the patterns, chosen by a
-hash of their id and labelled by these matches.
+words near digits, at-signs, bracketed ones as in ``anna [at] example.com`` and spelled dots as in ``anna at example dot com``
+(``REACH`` words on each side of each such word) by their own shape and their neighbours'; nothing that may be reported is without one of
+these. What it finds and the patterns don't is added as ``crf_<kind>``, if its digits, lengths and check digits allow it. It also knows
+kinds without a pattern: social security numbers, and accounts (IBAN). It is trained on the driver from a small labelled table:
+``EXAMPLES``, ``made_examples``, and about ``SAMPLE`` documents that may have matches of the patterns, chosen by a
+hash of their id and text and labelled by these matches.
 
 Defined results: a null text is empty and has no span (masking keeps it null); a null ``doc_id`` is kept as null; each
 repeated row gets its spans; an empty table gives no row and trains on the examples alone; ``find`` reads
@@ -14,9 +16,11 @@ logarithm of its spans).
 
 from __future__ import annotations
 
+import ipaddress
+import random
 import re
 from bisect import bisect_right
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,12 +31,16 @@ from trendframe.llm.common import about, as_docs, map_texts, slices
 
 Span = tuple[str, int, int]
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, *(f"crf_{k}" for k in BASE))
+#: What the field labels: the kinds of the patterns, and two that have none.
+FIELD = (*BASE, "ssn", "iban")
+KINDS = (*BASE, *(f"crf_{k}" for k in FIELD))
 #: Documents whose matches are training material, about (never twice as many).
 SAMPLE = 300
-#: Words on each side of a word with a digit, at-sign or bracketed "at" that are labelled with it.
+#: Words on each side of a word with a digit or at-sign, a bracketed "at" or a spelled "dot" that are labelled with it.
 REACH = 3
-LABELS = ["O", *(f"{p}-{k}" for k in BASE for p in "BI")]
+LABELS = ["O", *(f"{p}-{k}" for k in FIELD for p in "BI")]
+#: Made examples of each way of writing.
+MADE = 8
 
 #: Labelled table: text, and the kind and text of what is personal in it.
 EXAMPLES: list[tuple[str, list[tuple[str, str]]]] = [
@@ -85,6 +93,61 @@ EXAMPLES: list[tuple[str, list[tuple[str, str]]]] = [
     ("at 10:45 the 7:30 train left track 12", []),
 ]
 
+_NAMES = "anna max lena tom eva joe kim ina jan rosa finn mara leo nora paul ruth".split()
+_HOSTS = "example mail firma lab shop verein office post".split()
+_ENDS = "com org net de edu io".split()
+_BEFORE = ["please write to", "contact", "you can reach us:", "it is", "the new one is", "from", "send it to", "see", "", "use", "my", "and"]
+_SECURITY = ["SSN", "ssn:", "his SSN is", "social security number", "social security no.", "ssn as given:", "security number of hers"]
+_THINGS = ["order", "pages", "part", "case", "model", "ticket", "lot", "rows", "invoice", "scores"]
+_AFTER = ["for more", "today", "or later", "before noon", "", "in the office", "and wait", "was used", "is down", "thanks"]
+
+
+def _iban(country: str, account: str) -> str:
+    """An account number with its check digits: the whole, with the first four last and letters as numbers, is 1 modulo 97."""
+    return f"{country}{98 - _mod_97(country + '00' + account):02d}{account}"
+
+
+def _mod_97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _ways(r: random.Random) -> list[tuple[str, str]]:
+    """One text of each way of writing, with its kind ("O": nothing personal)."""
+    d = lambda n: "".join(r.choices("0123456789", k=n))
+    hexes = lambda n: [f"{r.randrange(1, 65536):x}" for _ in range(n)]
+    name, other, host, end = r.choice(_NAMES), r.choice(_NAMES), r.choice(_HOSTS), r.choice(_ENDS)
+    area, line = f"{r.randint(201, 989)}", f"{r.randint(201, 989)}-{d(4)}"
+    german, french, dutch = _iban("DE", d(18)), _iban("FR", d(23)), _iban("NL", "".join(r.choices("ABGINRT", k=4)) + d(10))
+    grouped = f"{r.randint(100, 665)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}"
+    return [
+        ("email", f"{name} at {host} dot {end}"), ("email", f"{name} dot {other} at {host} dot {end}"), ("email", f"{name}{d(2)} at {host}.{end}"),
+        ("email", f"{name} [at] {host} [dot] {end}"), ("email", f"{name}.{other} (at) {host} (dot) {end}"), ("email", f"{name.upper()} AT {host.upper()} DOT {end.upper()}"),
+        ("phone", f"({area}) {line}"), ("phone", f"{area}-{line}"), ("phone", f"{area}.{line.replace('-', '.')}"), ("phone", f"0{d(2)} {r.randint(1, 9)}{d(6)}"),
+        ("phone", f"0{r.randint(10, 99)}{d(1)} {d(3)} {d(4)}"), ("phone", f"00{r.randint(30, 49)} {d(2)} {d(4)} {d(4)}"),
+        ("phone", f"0{d(2)} {d(3)} {d(2)} {d(2)}"),
+        ("ip", ":".join(hexes(8))), ("ip", f"fe80::{':'.join(hexes(4))}"), ("ip", f"2001:db8::{':'.join(hexes(2))}"), ("ip", f"2001:db8:{':'.join(hexes(2))}::{r.randint(1, 9)}"),
+        ("ssn", grouped), ("iban", german), ("iban", french), ("iban", dutch), ("O", f"{r.choice(_THINGS)} {grouped}"),
+        ("O", f"{r.choice(_THINGS)} {grouped.replace('-', ' ')}"), ("O", f"{r.choice(_THINGS)} {area} {d(2)} {d(4)}"),
+        ("iban", " ".join(german[k : k + 4] for k in range(0, 22, 4))), ("iban", " ".join(french[k : k + 4] for k in range(0, 27, 4))),
+        ("O", f"{r.randint(1900, 2030)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d} {r.randint(0, 23):02d}:{r.randint(0, 59):02d}:{r.randint(0, 59):02d}"),
+        ("O", ":".join(f"{r.randrange(256):02x}" for _ in range(6))), ("O", f"a dot com firm of {r.randint(1990, 2020)}"), ("O", f"we met at {host} dot and line"),
+        ("O", f"order {d(3)}-{d(3)}-{d(2)}"), ("O", f"item {d(4)} {d(4)} of lot {d(2)}"), ("O", f"{d(2)}.{d(2)}.{d(4)}"), ("O", f"serial {r.choice('ABC')}{d(9)}"),
+        ("O", f"{d(2)},{d(3)}.{d(2)}"), ("O", f"std::{name} and {host}::{end}{d(1)}"), ("O", f"the red dot at the {r.choice(_HOSTS)} door"),
+        ("O", f"version {d(1)}.{d(2)}.{d(1)}"), ("O", f"pages {d(3)}-{d(3)}"), ("O", f"at {r.randint(1, 12)}:{d(2)} on track {d(1)}"), ("O", f"ratio {d(1)}:{d(1)}:{d(1)}"),
+    ]
+
+
+def made_examples(n: int = MADE, seed: int = 1) -> list[tuple[str, list[tuple[str, str]]]]:
+    """``n`` labelled texts of each way of writing, as ``EXAMPLES``, with other words around."""
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        for kind, text in _ways(r):
+            before = r.choice(_SECURITY if kind == "ssn" else _BEFORE)
+            out.append((f"{before} {text} {r.choice(_AFTER)}".strip(), [] if kind == "O" else [(kind, text)]))
+    return out
+
+
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_END = re.compile(r"[A-Za-z0-9._%+-]*")
 #: Starts only where no digit stands before, which loses no match and keeps long runs of digits linear.
@@ -95,8 +158,10 @@ _DIGIT = re.compile(r"[0-9]")
 _WORD = re.compile(r"\S+")
 _AT = r"[\[(] ?at ?[\])]"
 _BRACKETED = re.compile(rf"(?i){_AT}")
-#: Whatever ``_PLAUSIBLE`` accepts has one of these.
-_MARKED = re.compile(rf"(?i)[0-9@]|{_AT}")
+_GROUPS = re.compile(r"\[?[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}[\]0-9:/%]*")
+_ACCOUNT = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]*")
+#: Whatever ``_plausible`` accepts has one of these, but for IPv6 addresses without a digit.
+_MARKED = re.compile(rf"(?i)[0-9@]|{_AT}|\bdot\b")
 
 
 def _emails(text: str) -> Iterator[Span]:
@@ -171,11 +236,17 @@ def _shape(word: str) -> str:
 
 
 def _mark(word: str) -> str:
-    """What a word may be in an address: a bracketed "at" or a part of one, a word with one, a host."""
+    """What a word may be in an address: a bracketed "at" or a part of one, a word with one, a "dot", a host, groups, an account."""
     if len(word) < 3:
         return {"(": "o", "[": "o", ")": "c", "]": "c", "at": "b"}.get(word.lower(), "-")
+    if len(word) < 6 and word.lower().strip("[()]") == "dot":
+        return "d"
     if word[0] in "[(" and _BRACKETED.fullmatch(word):
         return "a"
+    if word.count(":") > 1 and _GROUPS.fullmatch(word):
+        return "6"
+    if len(word) < 40 and _ACCOUNT.fullmatch(word):
+        return "i"
     if ("(" in word or "[" in word) and _BRACKETED.search(word):
         return "g"
     return "h" if "." in word and _DOMAIN.fullmatch(word) and not _DIGIT.search(word) else "-"
@@ -194,7 +265,9 @@ def _features(text: str, run: list[tuple[int, int]]) -> list[tuple[str, ...]]:
             "start=" + words[i][:1], "word=" + (words[i].lower()[:12] if digits[i] == "0" else "#"),
             "before=" + at(short, i - 1)[:24] + "|" + short[i][:24], "after=" + short[i][:24] + "|" + at(short, i + 1)[:24],
             "before digits=" + at(digits, i - 1) + "|" + digits[i], "after digits=" + digits[i] + "|" + at(digits, i + 1),
-            "marks=" + at(marks, i - 1) + marks[i] + at(marks, i + 1),
+            "marks=" + at(marks, i - 1) + marks[i] + at(marks, i + 1), "word before=" + at(words, i - 1).lower()[:12] + "|" + short[i][:24],
+            # Words further ahead name what a number is; they say nothing of words.
+            *("earlier=" + (at(words, i - k).lower()[:12] if digits[i] != "0" and at(digits, i - k) in "0-" else "#") for k in (2, REACH)),
         )
         for i in range(len(words))
     ]
@@ -211,7 +284,7 @@ class _Run(Sequence):
 
     def __getitem__(self, part: slice) -> list[tuple[str, ...]]:
         start, end, _ = part.indices(len(self.run))
-        before = max(start - 1, 0)
+        before = max(start - REACH, 0)
         return _features(self.text, self.run[before : end + 1])[start - before : end - before]
 
 
@@ -225,8 +298,9 @@ def _tags(run: list[tuple[int, int]], spans: list[Span]) -> list[str]:
 
 
 def train(texts: Iterable[str], rounds: int = 120) -> crf.Crf:
-    """The field from ``EXAMPLES`` and the patterns' matches in ``texts``."""
-    table = [(t, [(k, t.index(x), t.index(x) + len(x)) for k, x in found]) for t, found in EXAMPLES] * 3
+    """The field from ``EXAMPLES``, ``made_examples`` and the patterns' matches in ``texts``."""
+    labelled = EXAMPLES * 3 + made_examples()
+    table = [(t, [(k, t.index(x), t.index(x) + len(x)) for k, x in found]) for t, found in labelled]
     table += [(t, base_spans(t)) for t in texts]
     sequences, tags = [], []
     for text, spans in table:
@@ -248,19 +322,54 @@ def _labelled_spans(text: str, run: list[tuple[int, int]], tags: list[str]) -> I
         kind, start, end = ("", 0, 0) if tag == "O" else (tag[2:], s, e)
 
 
-#: What a labelled span must look like to be reported: its characters, and how many digits.
-_PLAUSIBLE = {
-    "email": (re.compile(rf"(?i).*(@|{_AT}).*"), 0, 99),
-    "ip": (re.compile(r"[0-9]{1,3}(\.[0-9]{1,3}){3}([:/][0-9]+)?"), 4, 17),
-    "card": (re.compile(r"[0-9]{4}[0-9 .-]+[0-9]"), 13, 19),
-    "phone": (re.compile(r"[+(]?[0-9][0-9 ()./-]+[0-9]"), 7, 15),
-}
+def _is_email(text: str) -> bool:
+    """A name, an at in some form and a host with a dot in some form, and little else."""
+    local, at, host = _SPELLED_AT.sub("@", text, count=1).partition("@")
+    dotted = "." in host.strip(".") or bool(_SPELLED_DOT.search(host))
+    return bool(at) and dotted and len(text) <= 254 and len(text.split()) <= 12 and any(map(str.isalnum, local)) and any(map(str.isalpha, host))
+
+
+def _is_ip(text: str) -> bool:
+    """An address, without a port or the length of a prefix."""
+    bare = re.sub(r"/[0-9]{1,3}$", "", text)
+    if bare.startswith("["):
+        bare = re.sub(r"\](:[0-9]{1,5})?$", "", bare[1:])
+    elif bare.count(":") == 1:
+        bare = bare.partition(":")[0]
+    try:
+        found = ipaddress.ip_address(bare)
+    except ValueError:
+        return False
+    return found.version == 4 or len(bare) > 3
+
+
+def _is_ssn(text: str) -> bool:
+    d = _digits(text)
+    return len(d) == 9 and len(re.split("[ -]", text)) == 3 and d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+
+
+def _is_iban(text: str) -> bool:
+    bare = re.sub("[ -]", "", text)
+    return 15 <= len(bare) <= 34 and bool(_ACCOUNT.fullmatch(bare)) and _mod_97(bare) == 1
+
+
+def _numeric(text: str, least: int, most: int) -> bool:
+    """Groups of digits with the usual signs between them, of so many digits in all."""
+    return least <= len(_digits(text)) <= most and not text.strip("0123456789 ()./+-")
+
+
+_SPELLED_AT = re.compile(rf"(?i)\s*{_AT}\s*|\s+at\s+")
+_SPELLED_DOT = re.compile(r"(?i)\w\s*(?:[\[(]\s?dot\s?[\])]|\sdot\s)\s*\w")
+
+#: Whether what the field labels may be of that kind.
+_CHECKS: dict[str, Callable[[str], bool]] = {
+    "email": _is_email, "ip": _is_ip, "card": lambda t: _numeric(t, 13, 19) and _luhn(_digits(t)), "phone": lambda t: _numeric(t, 7, 15),
+    "ssn": _is_ssn, "iban": _is_iban,
+}
 
 
 def _plausible(kind: str, text: str) -> bool:
-    pattern, least, most = _PLAUSIBLE[kind]
-    digits = _digits(text)
-    return bool(pattern.fullmatch(text)) and least <= len(digits) <= most and (kind != "card" or _luhn(digits))
+    return _CHECKS[kind](text)
 
 
 def find_spans(model: crf.Crf, texts: list[str]) -> list[list[Span]]:
