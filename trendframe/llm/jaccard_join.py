@@ -120,21 +120,25 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int, names: list[str]) ->
     return docs.mapInArrow(run, schema)
 
 
-def _units(nodes: DataFrame) -> DataFrame:
-    """(bucket, low, high, block, node): the nodes of every unit of work; ``nodes`` may have the sizes of their texts as ``bytes``."""
-    size = F.col("bytes") if "bytes" in nodes.columns else F.lit(0)
-    member = nodes.select("node", size.cast("long").alias("bytes"), F.explode("bands").alias("bucket"))
+def _units(nodes: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """(bucket, low, high, block, node): the nodes of every unit of work; ``sizes`` has the bytes of each node's text (node, bytes)."""
+    member = nodes.select("node", F.explode("bands").alias("bucket"))
     # Members are summed up by two hashes; equal sets of members are one bucket.
     groups = member.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("size"), F.sum("bytes").alias("bytes"),
-        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-    )
-    same = groups.filter("size > 1").groupBy("size", "bytes", "x", "y").agg(F.min("bucket").alias("bucket"))
-    kept = same.select("bucket", "size", F.col("bytes").alias("total"))
-    # Never more blocks than nodes, which one text of many times the limit would ask for.
-    blocks = F.least("size", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_BYTES))).cast("int")
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    kept = groups.filter("size > 1").groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+    chosen = member.join(kept, "bucket")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    if sizes is not None:
+        # Sizes come to the members of kept buckets only, which are few: carried along, they would go through every shuffle of all bands.
+        total = chosen.select("bucket", "node").join(sizes, "node").groupBy("bucket").agg(F.sum("bytes").alias("bytes"))
+        chosen = chosen.join(total, "bucket")
+        # Never more blocks than nodes, which one text of many times the limit would ask for.
+        blocks = F.least("size", F.greatest(blocks, F.ceil(F.col("bytes") / BLOCK_BYTES)))
+    blocks = blocks.cast("int")
     own = F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int")
-    placed = member.join(kept, "bucket").select("bucket", "node", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    placed = chosen.select("bucket", "node", own.alias("block"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     return placed.select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node")
 
 
@@ -250,10 +254,10 @@ def _classified(sketched: DataFrame, names: list[str], n: int, threshold: float,
         F.min(row).alias("node"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("id")
     )
     nodes = stored(grouped, "nodes")
-    size = F.octet_length(F.col("text").cast("string")).alias("bytes")
-    banded = sketched.select(row.alias("node"), keys.alias("bands"), size).join(nodes.select("node"), "node")
+    banded = sketched.select(row.alias("node"), keys.alias("bands")).join(nodes.select("node"), "node")
+    sizes = sketched.select(row.alias("node"), F.octet_length(F.col("text").cast("string")).alias("bytes"))
     texts = sketched.select(row.alias("node"), F.col("text").cast("string").alias("text")).join(nodes.select("node", "copies"), "node")
-    found = stored(_links(_units(banded), texts, n, threshold, bands, rows), "links")
+    found = stored(_links(_units(banded, sizes), texts, n, threshold, bands, rows), "links")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = nodes.join(linked, "node", "left").join(roots, "node", "left")
