@@ -207,3 +207,16 @@ def test_a_hot_work_is_spread_over_files(spark, tmp_path, conf):
     daily = frames.read_frame(spark, str(tmp_path / "frame"))[0].daily.filter("id_civil_work = 1")
     sizes = daily.groupBy(F.input_file_name()).count().collect()
     assert sum(r["count"] for r in sizes) == 2003 and max(r["count"] for r in sizes) < 1200
+
+
+def test_a_frame_has_few_files_per_bucket(spark, tmp_path, conf):
+    """Files are as many as buckets and tasks together, not their product, and small tables are written by several tasks."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16")
+    frames.write_frame(frames.frame(many_works(spark, 300)), str(tmp_path / "frame"), 40)
+    for name in frames.SCHEMAS:
+        files = list((tmp_path / "frame" / name).rglob("*.parquet"))
+        assert len(files) <= 40 + 16 and len({f.parent for f in files}) == 40, name
+    conf(spark__sql__adaptive__coalescePartitions__enabled="true")
+    frames.write_frame(frames.frame(many_works(spark, 40)), str(tmp_path / "small"), 40)
+    for name in frames.SCHEMAS:
+        assert len({f.name[:10] for f in (tmp_path / "small" / name).rglob("*.parquet")}) > 4, name

@@ -70,13 +70,22 @@ def buckets_for(t: Tables) -> int:
 
 
 def write_frame(f: Frame, path: str, buckets: int) -> None:
-    """Write each table of ``f`` with a folder per bucket of its works, sorted by work."""
+    """Write each table of ``f`` with a folder per bucket of its works, sorted by work.
+
+    Tasks take ranges of buckets, so there are no more files than buckets and tasks together, however many rows there are.
+    """
+    spark = f.owners.sparkSession
+    # A given number, since small rows would be coalesced to one task, which would write the folders one by one.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name in SCHEMAS:
         rows = getattr(f, name).select(*_names(name)).withColumn("bucket", bucket(buckets))
         # Rows of a hot work may lie in several files of its bucket: activities part them.
-        spread = ["bucket", *(c for c in (ACTIVITY,) if c in rows.columns)]
-        rows.repartition(*spread).sortWithinPartitions("bucket", WORK).write.partitionBy("bucket").parquet(f"{path}/{name}")
-    f.owners.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{path}/buckets")
+        if ACTIVITY in rows.columns:
+            dealt = rows.repartitionByRange(tasks, "bucket", WORK, ACTIVITY)
+        else:
+            dealt = rows.repartition(min(tasks, buckets), "bucket")
+        dealt.sortWithinPartitions("bucket", WORK).write.partitionBy("bucket").parquet(f"{path}/{name}")
+    spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{path}/buckets")
 
 
 def _names(name: str) -> list[str]:
