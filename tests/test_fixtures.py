@@ -1,0 +1,39 @@
+"""The tables derived from the test data."""
+
+from datetime import datetime
+
+from tests.helpers import day
+from trendframe.plans import fixtures
+
+ITEMS = [
+    (1, 10.0, 0.1, "2023-01-03"), (1, 30.0, 0.0, "2023-01-03"), (1, 60.0, 0.5, "2023-02-10"), (1, 5.0, 0.0, "2023-02-11"),
+    (2, 7.0, 0.0, "2023-02-01"), (2, 7.0, 0.0, "2024-05-01"), (None, 1.0, 0.0, "2023-01-01"), (1, None, 0.0, None),
+]
+
+
+def test_daily_measurements_are_written_for_those_who_ask(spark, tmp_path):
+    """Queries on monthly measurements neither sum shipments by day nor write daily rows; both kinds hold what they did."""
+    sf = str(tmp_path)
+    items = [(s, p, x, d and datetime.fromisoformat(d)) for s, p, x, d in ITEMS]
+    schema = "l_suppkey long, l_extendedprice double, l_discount double, l_shipdate timestamp"
+    spark.createDataFrame(items, schema).write.parquet(f"{sf}/lineitem.parquet")
+    spark.createDataFrame([(1, 24), (2, 0), (3, 0)], "s_suppkey long, s_nationkey long").write.parquet(f"{sf}/supplier.parquet")
+    made = lambda: {key[1] for key in fixtures._folders if key[2] == sf}
+    found = lambda t: sorted((r[1], str(r[3]), str(r[4])) for r in t.real_progress.collect())
+
+    monthly = fixtures.schedule_tables(spark, sf)
+    folder = next(path for key, path in fixtures._folders.items() if key[1:3] == ("tables", sf))
+    assert not fixtures._files(spark, f"{folder}/_shipments") and not fixtures._files(spark, f"{folder}/real_progress_all")
+    assert made() == {"tables", "real-monthly"}
+    assert found(monthly) == [
+        (12023, "2023-01-31", "37.1429"), (12023, "2023-02-28", "0.2500"), (12023, "2023-02-28", "33.3333"),
+        (22023, "2023-02-28", "0.2500"), (22023, "2023-02-28", "100.0000"),
+    ]
+    every = fixtures.schedule_tables(spark, sf, "all")
+    assert made() == {"tables", "real-monthly", "real-all"}
+    assert [(a, p) for a, p, _ in found(every)] == [
+        (12023, "2023-01-03"), (12023, "2023-02-10"), (12023, "2023-02-10"), (12023, "2023-02-11"), (12023, "2023-02-11"),
+        (22023, "2023-02-01"), (22023, "2023-02-01"), (22024, "2024-05-01"),
+    ]
+    planned = {(r[0], r[1]): float(r[2]) for r in monthly.foreseen_progress.collect()}
+    assert planned[12023, day("2023-01-31")] == 0.380952 and planned[120231, day("2023-01-31")] == 0.5

@@ -7,15 +7,15 @@ quarter, planned progress from prices and measured progress from discounted pric
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import fields
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendframe.schemas import ACTIVITY, TABLES
 from trendframe.session import scratch_dir
-from trendframe.sources import Tables, normalise, read_tables, write_tables
+from trendframe.sources import Tables, normalise, write_table
 
 # Factor of the work in the id of a measurement; the rest is twice the day number, plus one for a second
 # measurement of the day.
@@ -26,14 +26,14 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price in cents and discounted price in hundredths of cents per supplier and day, as exact integers."""
+def _shipments(spark: SparkSession, sf_dir: str, until: Callable[[Column], Column] = lambda day: day) -> DataFrame:
+    """Price in cents and discounted price in hundredths of cents per supplier and day, or ``until`` of the day, as exact integers."""
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     percent_left = 100 - F.round(F.col("l_discount") * 100).cast("long")
     return (
         _read(spark, sf_dir, "lineitem")
         .select(
-            F.col("l_suppkey").alias("s"), F.col("l_shipdate").cast("date").alias("d"),
+            F.col("l_suppkey").alias("s"), until(F.col("l_shipdate").cast("date")).alias("d"),
             cents.alias("price"), (cents * percent_left).alias("net"),
         )
         .groupBy("s", "d")
@@ -77,13 +77,15 @@ def _folder(spark: SparkSession, sf_dir: str, name: str, write) -> str:
 def schedule_tables(spark: SparkSession, sf_dir: str, real: str = "monthly") -> Tables:
     """All nine tables; ``real`` names the measurements: ``"monthly"``, or ``"all"``, daily and without cut-off.
 
-    They are derived and written once per application and input, so queries read them as stored tables.
+    They are derived and written once per application and input, so queries read them as stored tables; the measurements,
+    by far the largest if daily, are written when the first query asks for them.
     """
+    if real not in ("monthly", "all"):
+        raise ValueError(f"real must be 'monthly' or 'all', not {real!r}")
     folder = _folder(spark, sf_dir, "tables", lambda f: _write(spark, sf_dir, f))
-    tables = read_tables(spark, folder)
-    if real == "monthly":
-        return tables
-    return replace(tables, real_progress=spark.read.schema(TABLES["real_progress"]).parquet(f"{folder}/real_progress_{real}"))
+    measured = _folder(spark, sf_dir, f"real-{real}", lambda f: _write_real(spark, sf_dir, folder, f, real))
+    place = lambda name: measured if name == "real_progress" else folder
+    return Tables(**{f.name: spark.read.schema(TABLES[f.name]).parquet(f"{place(f.name)}/{f.name}") for f in fields(Tables)})
 
 
 def kept(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -110,26 +112,32 @@ def changed_version(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
 
 
 def _write(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    _shipments(spark, sf_dir).write.parquet(f"{folder}/_shipments")
-    shipments = spark.read.parquet(f"{folder}/_shipments")
-    write_tables(_derive(spark, sf_dir, shipments, "monthly"), folder)
-    every = _derive(spark, sf_dir, shipments, "all").real_progress
-    every.sortWithinPartitions(ACTIVITY).write.parquet(f"{folder}/real_progress_all")
+    """Write all tables but the measurements. They follow from monthly and yearly sums, which are stored for that."""
+    _shipments(spark, sf_dir, F.last_day).write.parquet(f"{folder}/_monthly")
+    monthly = spark.read.parquet(f"{folder}/_monthly")
+    yearly = monthly.groupBy("s", "y").agg(F.sum("price").alias("yearly"), F.max(F.quarter("d")).alias("last_quarter"))
+    yearly.write.parquet(f"{folder}/_yearly")
+    for name, df in _derive(spark, sf_dir, monthly, spark.read.parquet(f"{folder}/_yearly")).items():
+        write_table(name, normalise(name, df), folder)
 
 
-def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Tables:
+def _write_real(spark: SparkSession, sf_dir: str, tables: str, folder: str, real: str) -> None:
+    """Write the measurements, with the sums that ``_write`` has stored below ``tables``."""
+    monthly, year = spark.read.parquet(f"{tables}/_monthly"), spark.read.parquet(f"{tables}/_yearly")
+    measured = _measurements(spark, sf_dir, _shipments(spark, sf_dir) if real == "all" else monthly, year, real)
+    write_table("real_progress", normalise("real_progress", measured), folder)
+
+
+def _derive(spark: SparkSession, sf_dir: str, monthly: DataFrame, year: DataFrame) -> dict[str, DataFrame]:
     supplier = _read(spark, sf_dir, "supplier")
     id_schedule = (F.col("s") * 10000 + F.col("y")).alias("id_schedule")
-    year = daily.groupBy("s", "y").agg(
-        F.sum("price").alias("yearly"), F.max(F.quarter("d")).alias("last_quarter")
-    )
-    first_month, months, last_year = daily.agg(
-        F.min(F.trunc("d", "month")), F.months_between(F.max(F.trunc("d", "month")), F.min(F.trunc("d", "month"))), F.max("y")
+    first_month, months = monthly.agg(
+        F.min(F.trunc("d", "month")), F.months_between(F.max(F.trunc("d", "month")), F.min(F.trunc("d", "month")))
     ).first()
     first_month, months = first_month or date(1970, 1, 1), int(months or 0)
     schedule = year.select(id_schedule, F.col("s").alias("id_civil_work"))
     term = (
-        daily.select("s", "y", F.quarter("d").alias("q"))
+        monthly.select("s", "y", F.quarter("d").alias("q"))
         .distinct()
         .select(
             (id_schedule * 10 + F.col("q")).alias("id_term"), F.col("s").alias("id_civil_work"), id_schedule
@@ -137,7 +145,7 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
     )
     # The newest term of every seventh work belongs to its oldest schedule.
     late = (
-        daily.filter(F.col("s") % 7 == 0)
+        year.filter(F.col("s") % 7 == 0)
         .groupBy("s")
         .agg(F.max("y").alias("y"), F.min("y").alias("first"))
         .select(
@@ -163,12 +171,9 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
         F.when(F.col("part") == 0, 1).otherwise(2).alias("outline_lvl"),
     )
 
-    monthly = daily.groupBy("s", "y", F.last_day("d").alias("p")).agg(
-        F.sum("price").alias("price"), F.sum("net").alias("net")
-    )
     share = (F.col("price").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,6)")
     planned = monthly.join(year, ["s", "y"]).select(
-        id_schedule, F.col("p").alias("id_term_date"), share.alias("share"),
+        id_schedule, F.col("d").alias("id_term_date"), share.alias("share"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("part"),
     )
     foreseen = planned.select(
@@ -179,15 +184,31 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
         F.when(F.col("part") == 0, F.col("share")).otherwise(F.lit(0.5).cast("decimal(9,6)")).alias("foreseen_fraction"),
     )
 
-    measured = monthly.withColumnRenamed("p", "d") if real == "monthly" else daily
+    return {
+        "civil_work": supplier.select(F.col("s_suppkey").alias("id_civil_work")),
+        "schedule": schedule,
+        "term": term,
+        "term_input_data": term.select("id_term", F.col("id_civil_work").alias("id_input_data")),
+        "calendar": calendar,
+        "qualitative_activity": activity,
+        "foreseen_progress": foreseen,
+        "term_activity": year.select(last_term.alias("id_term_activity"), last_term),
+    }
+
+
+def _measurements(spark: SparkSession, sf_dir: str, measured: DataFrame, year: DataFrame, real: str) -> DataFrame:
+    supplier = _read(spark, sf_dir, "supplier")
+    id_schedule = (F.col("s") * 10000 + F.col("y")).alias("id_schedule")
+    last_term = (id_schedule * 10 + F.col("last_quarter")).alias("id_term")
     # Works are measured up to a month of the last year that depends on their nation: January to July.
     until = 1 + F.floor(F.col("s_nationkey") / 4)
+    last_year = year.agg(F.max("y")).first()[0]
     in_time = F.lit(True) if real == "all" else (F.col("y") < last_year) | (F.month("d") <= until)
     share = (F.col("net").cast("double") / F.col("yearly").cast("double")).cast("decimal(9,4)")
     percentage = F.when(F.col("part") == 0, share).otherwise(F.lit("0.25").cast("decimal(9,4)"))
     # A second measurement on each date of an even month.
     parts = F.explode(F.when(F.month("d") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    real_progress = (
+    return (
         measured.join(supplier.select(F.col("s_suppkey").alias("s"), "s_nationkey"), "s")
         .filter(in_time)
         .join(year, ["s", "y"])
@@ -200,18 +221,6 @@ def _derive(spark: SparkSession, sf_dir: str, daily: DataFrame, real: str) -> Ta
             percentage.alias("progress_percentage"),
         )
     )
-    frames = {
-        "civil_work": supplier.select(F.col("s_suppkey").alias("id_civil_work")),
-        "schedule": schedule,
-        "term": term,
-        "term_input_data": term.select("id_term", F.col("id_civil_work").alias("id_input_data")),
-        "calendar": calendar,
-        "qualitative_activity": activity,
-        "foreseen_progress": foreseen,
-        "real_progress": real_progress,
-        "term_activity": year.select(last_term.alias("id_term_activity"), last_term),
-    }
-    return Tables(**{name: normalise(name, df) for name, df in frames.items()})
 
 
 def change_images(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:

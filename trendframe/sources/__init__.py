@@ -1,3 +1,3 @@
-from trendframe.sources.tables import Tables, normalise, read_tables, write_tables
+from trendframe.sources.tables import Tables, normalise, read_tables, write_table, write_tables
 
-__all__ = ["Tables", "normalise", "read_tables", "write_tables"]
+__all__ = ["Tables", "normalise", "read_tables", "write_table", "write_tables"]

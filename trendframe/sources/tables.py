@@ -46,7 +46,11 @@ def write_tables(tables: Tables, location: str) -> None:
     The range of the activities that a refresh asks for then skips row groups of each file.
     """
     for f in fields(Tables):
-        df = getattr(tables, f.name)
-        if f.name in ("foreseen_progress", "real_progress"):
-            df = df.sortWithinPartitions(schemas.ACTIVITY)
-        df.write.mode("overwrite").parquet(f"{location}/{f.name}")
+        write_table(f.name, getattr(tables, f.name), location)
+
+
+def write_table(name: str, df: DataFrame, location: str) -> None:
+    """Write one table as ``write_tables`` does."""
+    if name in ("foreseen_progress", "real_progress"):
+        df = df.sortWithinPartitions(schemas.ACTIVITY)
+    df.write.mode("overwrite").parquet(f"{location}/{name}")
