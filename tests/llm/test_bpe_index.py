@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import awkward, make_docs, prose
-from trendframe.llm import bpe_index
+from trendframe.llm import bpe_index, common
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 with open(PATH, encoding="utf-8") as f:
@@ -139,3 +139,17 @@ def test_whole_texts_where_literals_hold_spaces():
     assert not encoder.by_pieces
     assert encoder(["a<|end of text|> b", "a b"]) == [[64, 50256, 275], [64, 275]]
     assert encoder.flat(pa.array([None, "a"], pa.string()))[1].tolist() == [0, 0, 1]
+
+
+def test_a_part_searches_its_store_once(monkeypatch):
+    """New pieces stand behind the kept ones, so they are not looked for again; pairs of bytes have their ranks in a table."""
+    merges, searched, keep = bpe_index.Merges.read(DEFINITION), [], common.pc.index_in
+    monkeypatch.setattr(common.pc, "index_in", lambda *a, **k: searched.append(1) or keep(*a, **k))
+    encoder = bpe_index.Encoder(merges, public_tokenizers.PATTERN)
+    for texts in (["one two a-b two", "", "x<|endoftext|>y z1,2", " \n  ué 日本語 two"], ["two three a-b", "one  four<|endoftext|>"], ["two a-b one"]):
+        searched.clear()
+        assert encoder(texts) == [REFERENCE.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(searched) == 1
+    pairs = np.indices((256, 256)).reshape(2, -1)
+    assert (merges.of_bytes.ravel() == merges.ranks(merges.base[pairs[0]], merges.base[pairs[1]])).all()
+    assert (merges.ranks(np.array([-1, -2, 5, 5, 0]), np.array([5, 5, -1, -2, -1])) == -1).all()

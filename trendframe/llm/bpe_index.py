@@ -79,11 +79,23 @@ class Merges:
 
     @cached_property
     def _by_pair(self) -> tuple[np.ndarray, np.ndarray]:
-        codes = self.left * self.size + self.right
+        codes = self.left * self._stride + self.right
         # Of a pair that is listed twice the last counts, as in a dictionary filled in order.
         _, at = np.unique(codes[::-1], return_index=True)
         ranks = len(codes) - 1 - at
-        return codes[ranks], ranks
+        # The last entry is beyond every pair, so that a search always ends within the table.
+        return np.append(codes[ranks], np.iinfo(np.int64).max), np.append(ranks, -1)
+
+    @cached_property
+    def _stride(self) -> int:
+        """Symbols -1 and -2, which are none, make no pair's code with this."""
+        return self.size + 2
+
+    @cached_property
+    def of_bytes(self) -> np.ndarray:
+        """The rank of each pair of bytes, -1 where no merge joins them."""
+        ranks = self.ranks(np.repeat(self.base, 256), np.tile(self.base, 256))
+        return ranks.reshape(256, 256)
 
     @cached_property
     def in_order(self) -> bool:
@@ -95,10 +107,8 @@ class Merges:
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair of symbols, -1 where no merge joins them."""
         codes, ranks = self._by_pair
-        if not len(codes):
-            return np.full(len(left), -1)
-        wanted = np.where((left < 0) | (right < 0), -1, left * self.size + right)
-        at = np.minimum(np.searchsorted(codes, wanted), len(codes) - 1)
+        wanted = left * self._stride + right
+        at = codes.searchsorted(wanted)
         return np.where(codes[at] == wanted, ranks[at], -1)
 
 
@@ -122,23 +132,30 @@ class PairIndex:
             self.before[np.append(0, filled[:-1])] = n
         self.places: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
-        self._enter(np.arange(n))
+        if n:
+            within = np.flatnonzero(self.next[:-1] < n)
+            self._list(within, merges.of_bytes[data[within], data[within + 1]])
 
     def _enter(self, at: np.ndarray) -> None:
         """Put positions into the lists of the ranks of their pairs."""
-        ranks = self.merges.ranks(self.symbol[at], self.symbol[self.next[at]])
+        self._list(at, self.merges.ranks(self.symbol[at], self.symbol[self.next[at]]))
+
+    def _list(self, at: np.ndarray, ranks: np.ndarray) -> None:
         found = ranks >= 0
         at, ranks = at[found], ranks[found]
         if not len(at):
             return
-        order = np.argsort(ranks, kind="stable")
+        if len(self.merges.product) < 2**16:
+            ranks = ranks.astype(np.uint16)  # sorted by digits
+        order = ranks.argsort(kind="stable")
         at, ranks = at[order], ranks[order]
-        starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        for rank, places in zip(ranks[starts].tolist(), np.split(at, starts[1:]), strict=True):
+        starts = np.append(0, np.flatnonzero(ranks[1:] != ranks[:-1]) + 1)
+        bounds = [*starts.tolist(), len(at)]
+        for k, rank in enumerate(ranks[starts].tolist()):
             if rank not in self.places:
                 self.places[rank] = []
                 heapq.heappush(self.active, rank)
-            self.places[rank].append(places)
+            self.places[rank].append(at[bounds[k] : bounds[k + 1]])
 
     def run(self) -> None:
         """Apply the active ranks in ascending order until none is left."""
@@ -204,14 +221,20 @@ class Encoder:
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
         bounds = bounds - bounds[0]
         cuts, tokens = [bounds[1:], bounds[1:][marked] - 1], []
-        for k in np.flatnonzero(~(plain | marked)).tolist():
-            at = int(bounds[k])
-            for word in self._pre_tokens(texts[k].as_py().decode()):
-                size = len(word.encode())
-                if word in self.merges.added:
-                    tokens.append((at, size, self.merges.added[word]))
-                at += size
-                cuts.append(np.array([at]))
+        odd = np.flatnonzero(~(plain | marked))
+        if len(odd):
+            words = [self._pre_tokens(t.decode()) for t in texts.take(pa.array(odd)).to_pylist()]
+            flat = pa.array([w for own in words for w in own], pa.large_string())
+            sizes = pc.binary_length(flat).to_numpy()
+            # Pre-tokens leave nothing out, so those of a text begin where it begins, one behind the other.
+            first = np.cumsum([0, *map(len, words)])
+            within = np.append(0, np.cumsum(sizes))
+            begins = within[:-1] + np.repeat(bounds[odd] - within[first[:-1]], np.diff(first))
+            cuts.append(begins + sizes)
+            added = self.merges.added
+            if added:
+                known = np.flatnonzero(_flags(pc.is_in(flat, value_set=pa.array(list(added), pa.large_string()))))
+                tokens = [(int(begins[k]), int(sizes[k]), added[flat[k].as_py()]) for k in known.tolist()]
         ends = np.unique(np.concatenate(cuts))
         index = PairIndex(self.merges, data, ends[ends > 0])
         index.run()

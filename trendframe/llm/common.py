@@ -185,8 +185,12 @@ class Pieces:
                 self._forget()
                 new = words
             ids = self.encode(pc.binary_join_element_wise(pa.scalar(""), new, " "))
+            if len(new) == len(words):
+                at = pa.nulls(len(words), pa.int32())
+            # New pieces stand behind the others, in their order.
+            place = len(self.words) + np.cumsum(at.is_null().to_numpy(zero_copy_only=False)) - 1
+            at = pc.coalesce(at, pa.array(place, pa.int32()))
             self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, ids])
-            at = pc.index_in(words, value_set=self.words)
         return self.ids, at.to_numpy()
 
     def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
