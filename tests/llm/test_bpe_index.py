@@ -153,3 +153,9 @@ def test_a_part_searches_its_store_once(monkeypatch):
     pairs = np.indices((256, 256)).reshape(2, -1)
     assert (merges.of_bytes.ravel() == merges.ranks(merges.base[pairs[0]], merges.base[pairs[1]])).all()
     assert (merges.ranks(np.array([-1, -2, 5, 5, 0]), np.array([5, 5, -1, -2, -1])) == -1).all()
+
+
+def test_overlapping_pairs_stay_listed():
+    """(256, 0) comes before (0, 0), which makes 256: the places that overlapped are needed after each merge."""
+    merges = bpe_index.Merges(np.arange(256), np.array([256, 0]), np.array([0, 0]), np.array([257, 256]), dict.fromkeys(range(258), b""))
+    assert not merges.in_order and indexed(merges, [bytes(7)]) == [plain(merges, bytes(7))] == [[257, 257, 0]]

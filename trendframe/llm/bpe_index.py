@@ -163,14 +163,14 @@ class PairIndex:
         while self.active:
             rank = heapq.heappop(self.active)
             lists = self.places.pop(rank)
-            at = np.unique(np.concatenate(lists)) if len(lists) > 1 else lists[0]
             left, right = merges.left[rank], merges.right[rank]
+            at = np.unique(np.concatenate(lists)) if len(lists) > 1 or not merges.in_order else lists[0]
             at = at[(symbol[at] == left) & (symbol[following[at]] == right)]
-            if left == right:
-                at = self._apart(at)
-            if not merges.in_order:  # a merge may bring back a lower rank: one place of each word at a time
+            if not merges.in_order:  # a merge may bring back a lower rank: one place of each word at a time, all others stay listed
                 self._enter(at)
                 at = at[np.unique(self.word[at], return_index=True)[1]]
+            elif left == right:
+                at = self._apart(at)
             if not len(at):
                 continue
             gone = following[at]
