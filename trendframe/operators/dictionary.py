@@ -69,7 +69,7 @@ def read_events(df: DataFrame) -> DataFrame:
     e = F.from_xml("event_xml", f"{EVENT_XML}, _corrupt STRING", options)
     first = lambda field: F.get(f"e.{field}", F.lit(0))
     kind = first("ObjectType")
-    blank = F.trim(F.coalesce(F.col("event_xml"), F.lit(""))) == ""
+    blank = F.coalesce(F.col("event_xml"), F.lit("")).rlike(r"\A\s*\z")
     defect = (
         F.when(blank, "empty")
         .when(F.col("e._corrupt").isNotNull(), "malformed")
