@@ -108,6 +108,26 @@ def test_distinct_keeps_one_of_each_class(spark):
     assert len(got) - len(with_words) == sum(not s for s in sets) and want == set()
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_rows_are_picked_by_number(spark, monkeypatch, most):
+    """The numbers of several partitions, at the ends of words of 64, repeated and null; columns may have any name."""
+    monkeypatch.setattr(jaccard_join, "BROADCAST_WORDS", most)
+    numbers = [(p << 40) + k for p in (0, 1, 77, 2**23 - 1) for k in range(200)]
+    table = spark.createDataFrame([(n, f"t{n}", "w") for n in numbers], "row long, text string, word string")
+    wanted = [n for n in numbers if n % 64 in (0, 1, 63) or n % 7 == 3]
+    got = jaccard_join.with_rows(table, "row", spark.createDataFrame([(n,) for n in [*wanted, *wanted[:9], None, 5 << 40]], "r long"))
+    assert got.columns == table.columns and sorted(r.row for r in got.collect()) == wanted
+    assert jaccard_join.with_rows(table, "row", spark.createDataFrame([], "r long")).count() == 0
+
+
+def test_texts_that_share_no_bucket_are_not_shuffled(spark, conf):
+    """Documents that stay are not shuffled either, though tables are too large to be broadcast by their size."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    kept = jaccard_join.distinct(make_docs(spark, corpus(6)))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan.replace("BroadcastExchange", "")
+
+
 def test_empty_table(spark):
     assert jaccard_join.classes(make_docs(spark, [])).count() == 0
     assert jaccard_join.distinct(make_docs(spark, [])).count() == 0

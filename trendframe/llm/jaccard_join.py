@@ -37,6 +37,8 @@ RECALL, MOST_HASHES = 0.9999, 128
 BLOCK = 256
 #: Bytes of text per block, about; a longer text is a large part of its block.
 BLOCK_BYTES = 8_000_000
+#: Rows of 64 bits that are sent to every task, about 50 MB in memory; they stand for up to 64 million documents.
+BROADCAST_WORDS = 1_000_000
 _KNOWN_WORDS = 250_000
 _MIXER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,6 +122,23 @@ def sketch(docs: DataFrame, n: int, bands: int, rows: int, names: list[str]) ->
     return docs.mapInArrow(run, schema)
 
 
+def with_rows(table: DataFrame, row: str, chosen: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose number is in ``chosen``, a table of one column that may repeat numbers.
+
+    A join would shuffle ``table`` with its texts to find out which rows to drop. Rows are numbered one after the other in each
+    partition, so the numbers are kept as bits, 64 to a row, and those go to all tasks: less than a byte for each row of ``table``. Beyond
+    ``BROADCAST_WORDS`` of them Spark plans the join as it sees fit.
+    """
+    number, word, bits = F.col(chosen.columns[0]), *fresh(table, "word", "bits")
+    bit = lambda n: F.expr(f"shiftleft(1L, cast(`{n}` & 63 AS INT))")
+    words = chosen.filter(number.isNotNull()).groupBy(F.shiftright(number, 6).alias(word)).agg(F.bit_or(bit(chosen.columns[0])).alias(bits))
+    words = stored(words, "words")
+    if words.count() <= BROADCAST_WORDS:
+        words = F.broadcast(words)
+    joined = table.join(words, F.shiftright(F.col(row), 6) == F.col(word))
+    return joined.filter(F.col(bits).bitwiseAND(bit(row)) != 0).select(*table.columns)
+
+
 def _units(nodes: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """(bucket, low, high, block, node): the nodes of every unit of work; ``sizes`` has the bytes of each node's text (node, bytes)."""
     member = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -191,7 +210,7 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _links(units: DataFrame, texts: DataFrame, n: int, threshold: float, bands: int, rows: int) -> DataFrame:
-    """(node, linked, root) of every unit, from nodes' texts (node, copies, text)."""
+    """(node, linked, root) of every unit, from its nodes' texts (node, copies, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = Bands(bands, rows)
@@ -254,10 +273,13 @@ def _classified(sketched: DataFrame, names: list[str], n: int, threshold: float,
         F.min(row).alias("node"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("id")
     )
     nodes = stored(grouped, "nodes")
-    banded = sketched.select(row.alias("node"), keys.alias("bands")).join(nodes.select("node"), "node")
+    banded = with_rows(sketched.select(row.alias("node"), keys.alias("bands")), "node", nodes.select("node"))
     sizes = sketched.select(row.alias("node"), F.octet_length(F.col("text").cast("string")).alias("bytes"))
-    texts = sketched.select(row.alias("node"), F.col("text").cast("string").alias("text")).join(nodes.select("node", "copies"), "node")
-    found = stored(_links(_units(banded, sizes), texts, n, threshold, bands, rows), "links")
+    # Only texts that a unit compares are shuffled; the others share no bucket.
+    units = stored(_units(banded, sizes), "units")
+    texts = with_rows(sketched.select(row.alias("node"), F.col("text").cast("string").alias("text")), "node", units.select("node"))
+    texts = texts.join(nodes.select("node", "copies"), "node")
+    found = stored(_links(units, texts, n, threshold, bands, rows), "links")
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     joined = nodes.join(linked, "node", "left").join(roots, "node", "left")
@@ -297,4 +319,4 @@ def distinct(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall:
     best = of_row.filter("set is not null").groupBy("set").agg(F.min(F.struct("d", "r")).alias("best"))
     kept = nodes.select("set", "root").join(best, "set").groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.r").alias("r"))
     alone = of_row.filter("set is null").select("r")
-    return sketched.join(kept.union(alone), row == F.col("r"), "left_semi").select(*docs.columns)
+    return with_rows(sketched, names[0], kept.union(alone)).select(*docs.columns)
