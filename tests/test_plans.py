@@ -78,6 +78,15 @@ def test_measurements_are_shuffled_twice(stored, conf):
     assert sum("Exchange " in line for line in above) == 3
 
 
+@pytest.mark.parametrize("query", ["accumulated_interval_progress", "progress_by_interval_join"])
+def test_interval_queries_read_measurements_from_their_table(spark, query):
+    """Their daily sums go from one shuffle to the next; stored, all of them would be written and read again."""
+    lines = plan_of(QUERIES[query](spark, "/root/testdata/sf0.001")).split("\n")
+    scans = [line for line in lines if "FileScan" in line]
+    assert sum("progress_percentage#" in line for line in scans) == 1
+    assert not any("n_measured#" in line or "id_term_date#" in line for line in scans)
+
+
 def test_scans_read_only_what_they_need(stored):
     plan = progress_by_calendar(stored)._jdf.queryExecution().executedPlan().toString()
     scans = [line for line in plan.split("\n") if "FileScan" in line]

@@ -210,7 +210,20 @@ def progress_by_calendar(
     return calendar_progress(t, [latest_term_by], fanout).drop("base")
 
 
-def progress_by_interval(t: Tables, fanout: str = "collapse", daily: DataFrame | None = None) -> DataFrame:
+def foreseen_sums(t: Tables) -> DataFrame:
+    """Foreseen progress summed per (activity, period), with the number of rows."""
+    sums = (F.sum("fraction").alias("fraction"), F.count(F.lit(1)).alias("n_foreseen"))
+    return _dated_foreseen(t).groupBy(ACTIVITY, "period").agg(*sums)
+
+
+def stored_foreseen_sums(t: Tables) -> DataFrame:
+    """``foreseen_sums`` stored: for plans that need them several times but measurements only once."""
+    return stored(foreseen_sums(t), "foreseen-sums")
+
+
+def progress_by_interval(
+    t: Tables, fanout: str = "collapse", daily: DataFrame | None = None, planned: DataFrame | None = None
+) -> DataFrame:
     """(work, period, foreseen_progress, accomplished_progress) over all schedules and terms.
 
     Each foreseen date is a period; its accomplished progress is what its activities measured in the
@@ -219,17 +232,13 @@ def progress_by_interval(t: Tables, fanout: str = "collapse", daily: DataFrame |
 
     The sum over ``(lo, hi]`` is a difference of running sums at ``hi`` and ``lo``: measurements and
     the two ends of each period are ordered by day within an activity, in one window. Measurements,
-    the larger table as a rule, are shuffled for their daily sums and for that window only. With ``daily``
-    (``stored_daily_facts``) neither fact table is read again.
+    the larger table as a rule, are shuffled for their daily sums and for that window only. With ``planned``
+    (``stored_foreseen_sums``) foreseen progress is not read again, with ``daily`` (``stored_daily_facts``) neither fact table.
     """
     _check_fanout(fanout)
     activities = work_activities(t).select(ACTIVITY, WORK)
     if daily is None:
-        planned = (
-            _dated_foreseen(t)
-            .groupBy(ACTIVITY, "period")
-            .agg(F.sum("fraction").alias("fraction"), F.count(F.lit(1)).alias("n_foreseen"))
-        )
+        planned = foreseen_sums(t) if planned is None else planned
         sums = (F.sum("percentage").alias("percentage"), F.count("percentage").alias("n_measured"), F.count(F.lit(1)).alias("n_real"))
         actual = _dated_real(t).groupBy(ACTIVITY, "period").agg(*sums)
     else:

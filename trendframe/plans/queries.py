@@ -18,7 +18,7 @@ from trendframe.operators.progress import (
     progress_by_calendar,
     progress_by_interval,
     status_date,
-    stored_daily_facts,
+    stored_foreseen_sums,
 )
 from trendframe.operators.refresh import affected_works
 from trendframe.operators.trend import trend_chain, trend_first, trend_fold, trend_next
@@ -76,8 +76,9 @@ def q_calendar_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calendar_intervals(fixtures.schedule_tables(spark, sf_dir))
 
 
-def _interval_base(t: Tables) -> DataFrame:
-    return progress_by_interval(t, daily=stored_daily_facts(t))
+def _interval_base(t: Tables, fanout: str = "collapse") -> DataFrame:
+    """Measurements go from their table to the one plan that needs them; only foreseen sums, which it reads twice, are stored."""
+    return progress_by_interval(t, fanout, planned=stored_foreseen_sums(t))
 
 
 def q_progress_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +86,7 @@ def q_progress_by_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_progress_by_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fixtures.schedule_tables(spark, sf_dir, "all")
-    return _progress(progress_by_interval(t, fanout="join", daily=stored_daily_facts(t)))
+    return _progress(_interval_base(fixtures.schedule_tables(spark, sf_dir, "all"), "join"))
 
 
 def status_date_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
